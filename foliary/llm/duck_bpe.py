@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from foliary.llm.common import quiet_threads, slices, texts
 from foliary.llm.pieces import PieceTable, worker_table
 
-_ENCODE = """
+#: For words of any length: state is held by key, so that memory doesn't grow with the number of steps.
+_ENCODE_LONG = """
 WITH RECURSIVE state(word, pos, tok) USING KEY (word, pos) AS (
   SELECT word, pos, tok FROM start_rows
   UNION ALL
@@ -46,6 +47,31 @@ WITH RECURSIVE state(word, pos, tok) USING KEY (word, pos) AS (
 )
 SELECT word, pos, tok FROM state WHERE tok >= 0 ORDER BY word, pos
 """
+#: For short words, of which there are most: rows stay in the order of (word, pos) throughout, as one thread runs the query
+#: and insertion order is preserved, so that neighbours are found without sorting. Ended words' rows are marked done.
+_ENCODE_SHORT = """
+WITH RECURSIVE state(word, pos, tok, done) AS (
+  SELECT word, pos, tok, false FROM start_rows
+  UNION ALL
+  SELECT word, pos, tok, done FROM (
+    SELECT word, pos, CASE WHEN here THEN best >> 32 ELSE tok END AS tok, best IS NULL AS done, coalesce(lag(here) OVER (), false) AS swallowed
+    FROM (
+      SELECT a.word, a.pos, a.tok, b.best, coalesce(a.pair = b.best, false) AS here
+      FROM (
+        SELECT n.word, n.pos, n.tok, m.pair + n.pos AS pair
+        FROM (SELECT word, pos, tok, CASE WHEN lead(word) OVER () = word THEN lead(tok) OVER () END AS nxt FROM state WHERE NOT done) n
+        LEFT JOIN merges m ON m.lft = n.tok AND m.rgt = n.nxt
+      ) a LEFT JOIN (
+        SELECT n.word, min(m.pair + n.pos) AS best
+        FROM (SELECT word, pos, tok, CASE WHEN lead(word) OVER () = word THEN lead(tok) OVER () END AS nxt FROM state WHERE NOT done) n
+        JOIN merges m ON m.lft = n.tok AND m.rgt = n.nxt GROUP BY n.word
+      ) b ON a.word = b.word
+    )
+  ) WHERE NOT swallowed
+)
+SELECT word, pos, tok FROM state WHERE done ORDER BY word, pos
+"""
+_SHORT = 48  # bytes
 _DECODE = "SELECT i.word, string_agg(v.hex, '' ORDER BY i.pos) AS hex FROM id_rows i JOIN vocabulary v ON v.tok = i.tok GROUP BY i.word ORDER BY i.word"
 
 
@@ -80,13 +106,21 @@ class DuckBpe:
         self.of_byte = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(words)
+        for query, short in ((_ENCODE_SHORT, True), (_ENCODE_LONG, False)):
+            which = [i for i, w in enumerate(words) if (len(w) <= _SHORT) == short]
+            for i, ids in zip(which, self._encode([words[i] for i in which], query) if which else (), strict=True):
+                out[i] = ids
+        return out
+
+    def _encode(self, words: list[bytes], query: str) -> list[list[int]]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         start_rows = pa.table({  # noqa: F841
             "word": np.repeat(np.arange(len(words)), sizes),
             "pos": np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes),
             "tok": self.of_byte[np.frombuffer(b"".join(words), np.uint8)],
         })
-        found = self.con.sql(_ENCODE).to_arrow_table()
+        found = self.con.sql(query).to_arrow_table()
         counts = np.bincount(found["word"].to_numpy(), minlength=len(words))
         flat, ends = found["tok"].to_numpy().tolist(), np.cumsum(counts).tolist()
         return [flat[e - n : e] for e, n in zip(ends, counts.tolist(), strict=True)]

@@ -5,10 +5,40 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliary.llm import best_fit, duck_bpe
+from pyspark.sql import functions as F
+
+from foliary.llm import ball_tree, best_fit, chosen_path, chunk_store, duck_bpe, jpeg_media, pu_quality, tag_paths, weak_toxicity
 from foliary.llm.common import table
 
 
+def op1_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op2_chunk_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_store.store_and_verify(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.similarity_join(table(spark, sf_dir, "documents"), threshold=0.8, width=5)
+
+
+def op4_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3, modulus=4, remainder=2)
+
+
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3, modulus=5, remainder=0)
+
+
+def op7_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jpeg_media.features(jpeg_media.to_media(table(spark, sf_dir, "documents")))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
 

@@ -106,7 +106,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int =
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).withColumn("positive", F.lit(1))
     rows = texts(docs).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), modulus, remainder))
     any_ids = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(fit_rows).withColumn("positive", F.lit(0))
-    ids = stage(chosen.unionByName(any_ids), "fit-ids")
+    ids = stage(chosen.select("doc_id", "positive").unionByName(any_ids), "fit-ids")
     sample = stage(_style_rows(rows.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id").dropDuplicates(["doc_id"])), "fit-rows").join(F.broadcast(ids), "doc_id")
     found = sample.select("positive", "features").toPandas()
     x = np.array(found["features"].tolist(), np.float64).reshape(len(found), len(STYLE))

@@ -132,3 +132,19 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, modulus
     """doc_id, held_out, score, predicted for each row of ``docs``."""
     model, _ = train(docs, labels, modulus, remainder, fit_rows)
     return score(docs, model).select("doc_id", held_out(F.col("doc_id"), modulus, remainder).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def with_scores(docs: DataFrame, model: Logistic | None, name: str) -> DataFrame:
+    """All columns of ``docs`` and the score of column text under ``name``: rows stay where they are."""
+    from pyspark.sql.types import DoubleType, StructType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quiet_threads()
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            for start, stop in slices(batch.column(at), 8_000_000):
+                part = batch.slice(start, stop - start)
+                found = np.full(part.num_rows, 0.5) if model is None else model.scores(style(part.column(at)))
+                yield pa.record_batch([*part.columns, pa.array(found)], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, StructType(docs.schema.fields).add(name, DoubleType()))

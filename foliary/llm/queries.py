@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from foliary.llm import ball_tree, best_fit, chosen_path, chunk_store, duck_bpe, jpeg_media, pu_quality, tag_paths, weak_toxicity
+from foliary.llm import ball_tree, best_fit, chosen_path, chunk_store, duck_bpe, jpeg_media, language_fusion, pu_quality, tag_paths, weak_toxicity
 from foliary.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op4_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3, modulus=4, remainder=2)
 
 
+def op5_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_fusion.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3, modulus=5, remainder=0)
 

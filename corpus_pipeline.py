@@ -19,13 +19,13 @@ THRESHOLD = 0.3
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject (score of at least 0.3)."""
     model, _ = pu_quality.train(docs, table(spark, sf_dir, "labels"), modulus=5, remainder=0)
-    return pu_quality.with_scores(docs, model, "quality_score").where(F.col("quality_score") >= THRESHOLD).drop("quality_score")
+    return pu_quality.with_scores(docs, model, "_foliary_score").where(F.col("_foliary_score") >= THRESHOLD).drop("_foliary_score")
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier doesn't reject (score below 0.3)."""
     model = weak_toxicity.train(docs, table(spark, sf_dir, "labels"), modulus=4, remainder=2)
-    return weak_toxicity.with_scores(docs, model, "toxicity_score").where(F.col("toxicity_score") < THRESHOLD).drop("toxicity_score")
+    return weak_toxicity.with_scores(docs, model, "_foliary_score").where(F.col("_foliary_score") < THRESHOLD).drop("_foliary_score")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

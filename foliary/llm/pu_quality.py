@@ -147,4 +147,4 @@ def with_scores(docs: DataFrame, model: Logistic | None, name: str) -> DataFrame
                 found = np.full(part.num_rows, 0.5) if model is None else model.scores(style(part.column(at)))
                 yield pa.record_batch([*part.columns, pa.array(found)], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType(docs.schema.fields).add(name, DoubleType()))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(name, DoubleType()))

@@ -213,4 +213,4 @@ def with_scores(docs: DataFrame, model: Classifier, name: str) -> DataFrame:
                 found = model.scores(part.column(at))
                 yield pa.record_batch([*part.columns, pa.array(found)], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType(docs.schema.fields).add(name, DoubleType()))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(name, DoubleType()))

@@ -142,7 +142,7 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
     rows = stage(rows.withColumn("length", F.size("vector")), "vectors")
     n_shards = max(1, -(-rows.count() // shard_rows))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(n_shards)))
-    queries = dealt.where(is_query)
+    queries = stage(dealt.where(is_query), "queries")  # a table of its own: no attribute is shared with the vectors
     keys = ["length", "shard"]
     search = _search(k, scale, block)
     vectors = dealt.select("length", "shard", "vec_id", "vector").groupBy(*keys)

@@ -1,8 +1,8 @@
 """Quality classifier learned from positive and unlabelled texts.
 
 Trusted positives are texts labelled 1; all other texts are unlabelled web text. A first classifier of positives against
-unlabelled texts gives an estimate of the share of positives among the unlabelled (the least ratio, over thresholds, of the
-masses above it). The final classifier, logistic over standardised style features, squares and products, minimises the
+unlabelled texts gives an estimate of the share of positives among the unlabelled (the ratio of the masses
+above the threshold where ratio and spread are least). The final classifier, logistic over standardised style features, squares and products, minimises the
 non-negative unbiased risk prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)).
 
 The fit is over a bounded sample: ``fit_rows`` texts of either kind, those of least hashed doc_id. Without positives or
@@ -57,13 +57,16 @@ def _descend(gradient, n: int, steps: int, rate: float = 0.05) -> np.ndarray:
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least_mass: float = 0.1) -> float:
-    """Share of positives among the unlabelled, from scores: least ratio of masses above a threshold, with its spread."""
-    best = 1.0
+    """Share of positives among the unlabelled, from scores: the ratio of masses above a threshold, at the threshold where
+    the ratio and its spread together are least."""
+    best, at_best = np.inf, 1.0
     for t in np.quantile(positive, np.linspace(0.02, 1 - least_mass, 60)):
         p, u = (positive >= t).mean(), (unlabelled >= t).mean()
         if p >= least_mass:
-            best = min(best, u / p + np.sqrt(np.log(100) / 2) * (1 / np.sqrt(len(unlabelled)) + u / p / np.sqrt(len(positive))) / p)
-    return float(np.clip(best, 0.05, 0.99))
+            bound = u / p + np.sqrt(np.log(100) / 2) * (1 / np.sqrt(len(unlabelled)) + u / p / np.sqrt(len(positive))) / p
+            if bound < best:
+                best, at_best = bound, u / p
+    return float(np.clip(at_best, 0.05, 0.99))
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 500, decay: float = 1e-3) -> tuple[Logistic, float]:

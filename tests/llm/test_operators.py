@@ -1,0 +1,346 @@
+"""Each operator against brute force or an exact round trip, and its edge cases."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from foliary.llm import ball_tree, best_fit, chosen_path, chunk_store, duck_bpe, jpeg_media, language_fusion, pu_quality, tag_paths, weak_toxicity
+
+DOCS = "doc_id long, text string, score string, label string, sid string"
+ODD = [
+    (1, "The quick brown fox, it's 12,345.6 don't.\nNext line  two spaces "), (2, None), (3, ""), (4, "  a  b\n\n c, d ,e..f\n . x\t\ny "), (5, "a\x01b, c <|endoftext|> "),
+    (6, "ünïcödé é é, ñ. 　 z  w ٣٤"), (7, "x" * 5000 + " " * 70 + "\n" * 5), (8, "漢字仮名交じり文章" * 40), (1, "The quick brown fox, it's 12,345.6 don't.\nNext line  two spaces "), (9, "İstanbul ǅ ≠= x"), (None, "no id here"), (10, "word " * 3000),
+]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "s", "l", "x") for i, t in rows], DOCS)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return frame(spark, ODD)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def library(name):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+def u32(ids):
+    return np.array(ids, "<u4").tobytes()
+
+
+def test_duck_bpe_equals_tiktoken(odd, empty):
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    e = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=duck_bpe.read_ranks(path), special_tokens={})
+    rows = duck_bpe.encode_decode(odd, path, public_tokenizers.PATTERN, digests=True).collect()
+    want = sorted(((-1 if i is None else i), len(ids := e.encode_ordinary(t or "")), hashlib.sha256(u32(ids)).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in ODD)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows) == want
+    for r in duck_bpe.encode_decode(odd, path, public_tokenizers.PATTERN).collect():
+        assert bytes(r.decoded).decode() in {t or "" for _, t in ODD} and e.decode(r.ids).encode() == bytes(r.decoded)
+    assert duck_bpe.encode_decode(empty, path, public_tokenizers.PATTERN, digests=True).count() == 0
+
+
+def test_best_fit_pieces_and_places(odd, empty):
+    encode = library("word_bpe_49k.json")
+    rows = best_fit.pack_documents(odd, public_tokenizers.path("word_bpe_49k.json"), capacity=256).collect()
+    texts = dict(ODD)
+    for r in rows:
+        ids = [*encode(texts[r.doc_id]), 0]
+        assert zlib.crc32(u32(ids[r.start : r.start + r.length])) == r.ids_crc32 and r.start == 256 * r.piece
+    assert sum(r.length for r in rows) == sum(len(encode(t)) + 1 for _, t in ODD)
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 256
+    assert best_fit.pack_documents(empty, public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+def test_best_fit_closes_the_fullest():
+    b = best_fit.BestFit(10, 2)
+    assert b.place(6) == (0, 0) and b.place(7) == (1, 0)
+    assert b.place(3) == (1, 7)  # the best fit is filled
+    assert b.place(8) == (2, 0) and b.place(9) == (3, 0)  # bin 2 (2 free) closes, bin 0 (4 free) stays
+    assert b.place(4) == (0, 6)
+    rng = random.Random(3)
+    sizes = [rng.randint(1, 10) for _ in range(3000)]
+    b = best_fit.BestFit(10, 64)
+    for n in sizes:
+        b.place(n)
+    assert b.n_bins <= 1.02 * sum(sizes) / 10 + 64
+
+
+def test_chunk_store_round_trip(spark, odd, empty, tmp_path):
+    path, tokenizer = str(tmp_path / "store"), public_tokenizers.path("byte_bpe_50k.json")
+    encode = library("byte_bpe_50k.json")
+    chunk_store.write_store(odd, path, tokenizer)
+    want = {i: [*encode(t), 0] for i, t in ODD}
+    got = chunk_store.verify(spark, path).collect()
+    assert len(got) == len(ODD)
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at and r.n_tokens == len(want[r.doc_id]) and r.ids_crc32 == zlib.crc32(u32(want[r.doc_id]))
+        at += r.n_tokens
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == sorted((i for i, _ in ODD), key=lambda i: -1 if i is None else i)
+    for r in chunk_store.reconstruct(spark, path).collect():
+        assert r.ids == want[r.doc_id]
+    digests = [bytes(r.digest) for r in spark.read.parquet(path).where("kind = 'chunk'").select("digest").collect()]
+    assert len(digests) == len(set(digests))
+    assert chunk_store.store_and_verify(empty, tokenizer).count() == 0
+
+
+def test_chunks_of_shared_passages_are_shared():
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 50000, 6000)
+    a, b = np.concatenate([rng.integers(0, 50000, 100), passage]), np.concatenate([rng.integers(0, 50000, 333), passage])
+    chunks = []
+    for x in (a, b):
+        cuts = chunk_store.cut_points(x, np.array([0, len(x)]), 16, 512, 64, 4096)[0]
+        chunks.append({x[s:e].tobytes() for s, e in zip([0, *cuts], cuts, strict=False)})
+        assert cuts[-1] == len(x)
+    assert len(chunks[0] & chunks[1]) >= len(chunks[0]) - 3
+
+
+def test_a_changed_chunk_is_found(spark, odd, tmp_path):
+    path = str(tmp_path / "store")
+    chunk_store.write_store(odd, path, public_tokenizers.path("byte_bpe_50k.json"))
+    changed = spark.read.parquet(path).withColumn("payload", F.when(F.col("kind") == "chunk", F.concat(F.col("payload"), F.lit(b"\0\0"))))
+    changed.write.partitionBy("kind").parquet(f"{path}2")
+    with pytest.raises(Exception, match="doesn't match its digest"):
+        chunk_store.read_chunks(spark, f"{path}2").collect()
+
+
+def test_ball_tree_equals_brute_force(spark):
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=(400, 8))
+    base[100:200] = base[100]  # ties
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(base)]
+    rows += [(1000, None), (1001, [1.0, None] + [0.0] * 6), (1002, [float("nan")] * 8), (1003, [float("inf")] * 8), (None, [1.0] * 8), (50, rows[50][1]), (2000, [1.0, 2.0]), (2050, [3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
+    v = np.floor(np.array([r[1] for r in rows[:400]]) * 256).astype(np.int64)
+    want = []
+    for q in range(0, 400, 50):
+        order = sorted((-int(v[q] @ v[i]), i) for i in range(400) if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(order)]
+    want += [(2000, 1, 2050, (256 * 768 + 512 * 1024)), (2050, 1, 2000, (256 * 768 + 512 * 1024))]
+    for shard_rows in (20_000, 60):
+        got = ball_tree.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=shard_rows)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    huge = spark.createDataFrame([(0, [1e7]), (1, [3e15]), (2, [-5.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in ball_tree.top_k(huge, F.col("vec_id") == 0).orderBy("rank").collect()] == [(0, 1, 1, (1 << 63) - 1), (0, 2, 2, -2_560_000_000 * 1280)]
+    assert ball_tree.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def brute_classes(texts, threshold=0.8):
+    import pyarrow as pa
+
+    s, e = chosen_path.shingle_sets(pa.array([t for _, t in texts], pa.string()))
+    sets = [frozenset(s[e[i] : e[i + 1]].tolist()) for i in range(len(texts))]
+    unique = list(dict.fromkeys(sets))
+    near = [[j for j, b in enumerate(unique) if j != i and len(a & b) / len(a | b) >= threshold - 1e-12] for i, a in enumerate(unique)]
+    root = list(range(len(unique)))
+    for _ in unique:
+        for i, js in enumerate(near):
+            for j in js:
+                root[i] = root[j] = min(root[i], root[j])
+    ids = {}
+    for (i, _), x in zip(texts, sets, strict=True):
+        r = root[unique.index(x)]
+        ids[r] = min(ids.get(r, i), i)
+    return {i: (ids[root[unique.index(x)]], len(near[unique.index(x)])) for (i, _), x in zip(texts, sets, strict=True)}
+
+
+def test_similarity_join_equals_brute_force(spark, empty):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    texts, n = [], 0
+    for _ in range(12):
+        base = [word() for _ in range(120)]
+        for _ in range(rng.randint(1, 9)):
+            own = list(base)
+            for _ in range(rng.randint(0, 4)):
+                own[rng.randrange(120)] = word()
+            texts.append((n, " ".join(own)))
+            n += 1
+    family = [word() for _ in range(200)]
+    for _ in range(90):  # more than a bucket and a block, so that groups are split
+        own = list(family)
+        for _ in range(rng.randint(0, 3)):
+            own[rng.randrange(200)] = word()
+        texts.append((n, " ".join(own)))
+        n += 1
+    texts += [(n + i, t) for i, t in enumerate(["", None, "one", "One.", "two words", "  ", "|||", "same long text of more than five words", "Same long text, of more than FIVE words!"])]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in chosen_path.similarity_join(frame(spark, texts), bucket=16, block=32).collect()}
+    assert got == brute_classes([(i, t or "") for i, t in texts])
+    assert chosen_path.similarity_join(empty).count() == 0
+    one = chosen_path.similarity_join(frame(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (None, "q"), (2, "A b c d e f")])).collect()
+    assert sorted((r.doc_id or 0, r.class_id or 0, r.n_copies) for r in one) == [(0, 0, 1), (1, 1, 3), (1, 1, 3), (2, 1, 3)]
+
+
+def test_keep_one_keeps_one_row_of_each_class(spark):
+    docs = frame(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, "other"), (None, "none")])
+    classes = chosen_path.stage(chosen_path.similarity_join(docs), "t")
+    assert sorted((r.doc_id or 0, r.text) for r in chosen_path.keep_one(docs, classes).collect()) == [(0, "none"), (1, "a b c d e f"), (3, "other")]
+
+
+def test_jpeg_round_trip(odd, empty):
+    media = jpeg_media.to_media(odd)
+    rows = jpeg_media.features(media).collect()
+    seen = {}
+    for r in rows:
+        raw = (dict(ODD)[r.doc_id] or "").encode()
+        payload = raw + b"\0" * (max(64, -(-len(raw) // 64) * 64) - len(raw))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert seen.setdefault(payload, (r.media_sha256, r.feature)) == (r.media_sha256, r.feature)
+    assert len(rows) == len(ODD) and jpeg_media.features(jpeg_media.to_media(empty)).count() == 0
+    data = bytes(media.where("doc_id = 1").first().media)
+    assert data[:2] == b"\xff\xd8" and data[-2:] == b"\xff\xd9"
+
+
+def test_jpeg_of_any_bytes_and_widths(monkeypatch):
+    rng = np.random.default_rng(2)
+    payloads = [rng.integers(0, 256, 64 * n, dtype=np.uint8).tobytes() for n in (1, 3, 40)] + [b"\xff" * 640, b"\0" * 64, bytes([0, 255] * 320)]
+    for (image, grid), p in zip(jpeg_media.decode_dc(jpeg_media.encode_images(payloads)), payloads, strict=True):
+        assert grid.tobytes() == p and image.width == grid.shape[1] * 8
+    monkeypatch.setattr(jpeg_media, "_MOST_ROWS", 4)
+    for (image, grid), p in zip(jpeg_media.decode_dc(jpeg_media.encode_images(payloads)), payloads, strict=True):
+        assert grid.tobytes()[: len(p)] == p and grid.shape[0] <= 4
+    with pytest.raises(ValueError):
+        jpeg_media.decode_dc([jpeg_media.encode_images([payloads[2]])[0][:-900] + b"\xff\xd9"])
+    with pytest.raises(ValueError):
+        jpeg_media.decode_dc([b"GIF89a"])
+
+
+def test_jpeg_reads_ac_coefficients():
+    """A file of two components with AC coefficients and no restarts: only DC counts."""
+    import struct
+
+    dc = {0: 2, 3: 2, 5: 2}
+    ac = {0x00: 2, 0x12: 2, 0xF0: 3, 0x01: 3}
+    (dcc, dcb), (acc, acb) = jpeg_media._canonical(dc), jpeg_media._canonical(ac)
+    bits = ""
+    put = lambda code, extra="": format(code[0], f"0{code[1]}b") + extra
+    for value, tail in ((5, [(0x12, "10"), (0xF0, ""), (0x01, "1")]), (-4, []), (20, [(0x01, "0")]), (0, [])):  # Y, Cb, Y, Cb differences
+        size = abs(value).bit_length()
+        v = value if value >= 0 else value + (1 << size) - 1
+        bits += put(dcc[size], format(v, f"0{size}b") if size else "")
+        bits += "".join(put(acc[s], e) for s, e in tail) + put(acc[0])
+    bits += "1" * (-len(bits) % 8)
+    data = int(bits, 2).to_bytes(len(bits) // 8, "big").replace(b"\xff", b"\xff\0")
+    seg = lambda m, b: struct.pack(">BBH", 0xFF, m, len(b) + 2) + b
+    head = b"\xff\xd8" + seg(0xDB, b"\0" + bytes([8] + [1] * 63)) + seg(0xC0, struct.pack(">BHHB", 8, 8, 16, 2) + bytes([1, 0x11, 0, 2, 0x11, 0]))
+    head += seg(0xC4, b"\x00" + dcb + b"\x10" + acb) + seg(0xDA, bytes([2, 1, 0, 2, 0, 0, 63, 0]))
+    image, grid = jpeg_media.decode_dc([head + data + b"\xff\xd9"])[0]
+    assert grid.tolist() == [[133, 153]] and (image.width, image.height) == (16, 8)
+
+
+def test_main_text():
+    page = """<!DOCTYPE html><html lang=en><head><title>T</title><style>p{a:"</p>"}</style></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav>
+    <div class="cookie-notice">We use cookies, many.</div><header>Site name</header><article><h1>A &amp; B</h1><p><b>First   line.<br><p>Second&nbsp;one, long enough, with signs.</p><p>Hm.</p>
+    <script>var t="</p>";</script><div id="comments"><p>Nice article, thanks, really!</p></div><form>Mail <input></form></article><aside>Other, news.</aside><footer>&copy; 2024</footer>"""
+    assert tag_paths.main_text(page) == "A & B\nFirst line.\nSecond one, long enough, with signs.\nHm."
+    bare = "<body><div class=menu><a>x</a></div><div class=post><h2>Head</h2><p>Some text, of a post, that goes on. And on.</p><p>More, of it, here.</p></div><div class=footer>bye</div>"
+    assert tag_paths.main_text(bare) == "Head\nSome text, of a post, that goes on. And on.\nMore, of it, here."
+    assert [tag_paths.main_text(x) for x in (None, "", "<nav>a</nav>", "<p>cut &am", "plain", "<p", "<!-- open <p>x</p>")] == ["", "", "", "cut &am", "plain", "", ""]
+
+
+def test_extract_rows(spark):
+    rows = [(1, "u", "<article><p>Hello there.</p></article>"), (1, "u", "<article><p>Hello there.</p></article>"), (None, None, None)]
+    got = tag_paths.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))).collect()
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "", 0), (1, "Hello there.", 12), (1, "Hello there.", 12)]
+
+
+def test_language_fusion(spark):
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate([("the house of the king and the queen was with them", "en"), ("das haus und der könig und die königin waren dort nicht", "de")] * 20)], "doc_id long, text string, lang string")
+    html = "<html lang={}><body><article><p>{}</p></article></body></html>"
+    pages = [(1, "http://a.example.com/x", html.format("en", "the queen and the house, with the king.")), (2, "http://b.de/", html.format("de", "der könig und das haus, nicht die königin.")), (3, "http://b.de/2", html.format("de", "")), (4, None, None), (5, "http://b.de/3", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("lang", F.lit("clash"))
+    got = {r.page_id: r for r in language_fusion.identify(df, docs).collect()}
+    assert [got[i].language for i in (1, 2, 3, 5)] == ["en", "de", "de", "de"] and got[4].host == "" and got[4].language in ("en", "de")
+    assert language_fusion.identify(df.limit(0), docs).count() == 0
+    assert {r.language for r in language_fusion.identify(df, docs.limit(0)).collect()} == {None}
+    assert language_fusion.address("https://u@fr.Example.org:80/de-DE/x?y", ["de", "fr"]) == ("fr.example.org", "example.org", "de")
+
+
+def accuracy(spark, module, column, threshold=0.3):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    found = module.classify(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
+    assert found["score"].between(0, 1).all() and ((found["score"] >= threshold) == (found["predicted"] == 1)).all()
+    return found, (found["predicted"] == found[column]).mean()
+
+
+def test_quality_on_held_out_labels(spark):
+    found, share = accuracy(spark, pu_quality, "quality")
+    assert share > 0.95 and (found[found["quality"] == 1]["predicted"] == 1).mean() > 0.97
+
+
+def test_toxicity_on_held_out_labels(spark):
+    found, share = accuracy(spark, weak_toxicity, "toxic")
+    assert share > 0.92 and (found[found["toxic"] == 0]["predicted"] == 0).mean() > 0.98
+
+
+@pytest.mark.parametrize("module", [pu_quality, weak_toxicity])
+def test_classifiers_on_odd_input(spark, odd, empty, module):
+    kinds = "doc_id long, quality int, toxic int"
+    labels = spark.createDataFrame([(1, 1, 0), (1, None, None), (4, 0, 1), (None, 1, 1), (10, 1, 1), (77, 1, 1)], kinds)
+    for known in (labels, labels.limit(0)):
+        rows = module.classify(odd, known).collect()
+        assert len(rows) == len(ODD) and all(0 <= r.score <= 1 for r in rows)
+        assert len({r.score for r in rows if r.doc_id == 1}) == 1
+    assert module.classify(empty, labels).count() == 0
+    held = {r.doc_id: r.held_out for r in rows}
+    modulus, rest = (5, 0) if module is pu_quality else (4, 2)
+    assert all(held[i] == (zlib.crc32(str(i).encode()) % modulus == rest) for i in held if i is not None) and held[None] is False
+
+
+def test_labels_of_the_held_out_fold_are_not_read(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    for module, column, fold in ((pu_quality, "quality", (5, 0)), (weak_toxicity, "toxic", (4, 2))):
+        held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % fold[0] == fold[1]
+        other = labels.withColumn(column, F.when(held, 1 - F.col(column)).otherwise(F.col(column)))
+        a, b = ({r.doc_id: r.score for r in module.classify(docs, x).collect()} for x in (labels, other))
+        assert a == b
+
+
+def test_pu_prior():
+    rng = np.random.default_rng(4)
+    positive = rng.normal(0, 1, (3000, 3))
+    unlabelled = np.concatenate([rng.normal(0, 1, (2100, 3)), rng.normal(4, 1, (900, 3))])
+    model, prior = pu_quality.fit(positive, unlabelled)
+    assert 0.6 < prior < 0.85
+    assert (model.scores(unlabelled[:2100]) > 0.5).mean() > 0.95 and (model.scores(unlabelled[2100:]) < 0.5).mean() > 0.95
+
+
+def test_label_model_weighs_good_voters():
+    rng = np.random.default_rng(6)
+    y = rng.random(3000) < 0.2
+    good, copy, noise = (y & (rng.random(3000) < 0.8)) | (rng.random(3000) < 0.02), None, rng.random(3000) < 0.2
+    copy = good.copy()
+    third = (y & (rng.random(3000) < 0.7)) | (rng.random(3000) < 0.03)
+    known = np.where(rng.random(3000) < 0.3, y.astype(int), -1)
+    posterior, weight = weak_toxicity.label_model(np.column_stack([good, copy, noise, third]).astype(float), known)
+    assert abs(weight[2]) < 0.5 < weight[3] and weight[0] + weight[1] < 2 * np.log(0.8 / 0.02)
+    assert ((posterior > 0.5) == y).mean() > 0.93

@@ -10,6 +10,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 
 def visible(text: str) -> str:
@@ -37,7 +38,7 @@ def visible(text: str) -> str:
     return "".join(out) + text[at:]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def visible_markdown(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None or "](" not in t else visible(t))
 
@@ -46,20 +47,20 @@ def _plain(text: str) -> str:
     return " ".join(re.sub(r"[#*_>`|]", " ", text).split())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratio of matching blocks of the texts without markup signs, to 4 places; 0 if one is blank."""
     return pd.Series([round(difflib.SequenceMatcher(None, _plain(a), _plain(b)).ratio(), 4) if a and b and a.strip() and b.strip() else 0.0 for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def word_sequence_similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratio over lower-case texts with single spaces, without the heuristic for frequent characters."""
     normal = lambda t: " ".join((t or "").casefold().split())
     return pd.Series([difflib.SequenceMatcher(None, normal(a), normal(b), autojunk=False).ratio() for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def canonical_json(values: pd.Series) -> pd.Series:
     """JSON text with sorted keys and characters as they are."""
     return values.map(lambda t: None if t is None else json.dumps(json.loads(t), ensure_ascii=False, sort_keys=True))

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from foliary.plans import census, events, files, text, versions  # noqa: F401
+from foliary.plans import census, events, files, progress, text, versions  # noqa: F401

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliary.operators.staging import stage
+
 
 def duplicates(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that repeat, and how often."""
@@ -49,10 +51,11 @@ def chunk(index: Column, size: int) -> Column:
 
 
 def positions(rows: DataFrame, order: list[str], name: str = "position") -> DataFrame:
-    """Global positions from 0 without sending all rows to one task: rows are range-partitioned, partitions counted (a row of
-    counts per partition is broadcast) and numbered inside."""
+    """Global positions from 0 without sending all rows to one task: rows are range-partitioned and staged with the number of
+    their partition (bounds of ranges are sampled, so they must be drawn once), partitions are counted (a row of counts per
+    partition is broadcast) and rows numbered inside. Rows equal in ``order`` get positions in any order."""
     part = "_part"
-    placed = rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id())
+    placed = stage(rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranges")
     counts = placed.groupBy(part).agg(F.count("*").alias("_n"))
     offsets = counts.select(part, (F.sum("_n").over(Window.orderBy(part)) - F.col("_n")).alias("_before"))
     inside = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1

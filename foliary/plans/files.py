@@ -2,30 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from foliary.functions import text as X
 from foliary.operators import publish
+from foliary.operators.staging import new_path
 from foliary.plans.catalog import query
 from foliary.plans.frames import t
 from foliary.sources import payloads, snapshots
 
 
-def _folder(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = getattr(_folder, "own", None) or f"file://{tempfile.mkdtemp(prefix='foliary-')}"
-        _folder.own = base
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
-
-
 @query("SELECT source, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars, min(sha256(text)) AS least_digest FROM documents GROUP BY 1")
 def json_lines_round_trip(spark, sf):
     """Documents to gzip JSON lines and back."""
-    path = _folder(spark)
+    path = new_path(spark, "files")
     publish.write_json_lines(t(spark, sf, "documents").select("doc_id", "text", "source", "n_chars"), path)
     back = spark.read.schema("doc_id long, text string, source string, n_chars long").json(path)
     return back.groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.min(F.sha2("text", 256)).alias("least_digest"))
@@ -101,6 +91,6 @@ def document_slugs(spark, sf):
 def snapshot_import(spark, sf):
     """Customers as a census snapshot: exported as gzip JSON lines, imported with all its checks."""
     c = t(spark, sf, "customer").join(t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    path = _folder(spark)
+    path = new_path(spark, "files")
     snapshots.export_snapshot(c.select(F.concat(F.lit("elibrary_"), F.col("c_custkey").cast("string")).alias("record_id"), F.col("n_name").alias("house"), F.col("c_mktsegment").alias("session")), path)
     return snapshots.import_snapshot(spark, path, source="elibrary").groupBy("house", "session").agg(F.count("*").alias("n"))

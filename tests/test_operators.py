@@ -46,8 +46,10 @@ def test_integrity(spark):
     e = spark.createDataFrame([("p", 1, "h"), ("q", 1, "h"), ("r", 1, "h"), ("s", 1, "h")], "path string, size long, hash string")
     a = spark.createDataFrame([("p", 1, "h"), ("q", 2, "h"), ("r", 1, "i"), ("t", 1, "h")], "path string, size long, hash string")
     assert rows(integrity.compare_files(e, a)) == [("p", "same"), ("q", "size"), ("r", "hash"), ("s", "missing"), ("t", "unexpected")]
-    n = spark.range(0, 5000, 1, 7).withColumn("v", F.col("id") * 3 % 5003)
+    n = spark.range(0, 5000, 1, 7).withColumn("v", F.col("id") * 3 % 5003).withColumn("wide", F.repeat(F.lit("x"), 300))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")  # so that ranges aren't merged to one
     got = integrity.positions(n, ["v"]).orderBy("v").collect()
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert [r.position for r in got] == list(range(5000))
 
 

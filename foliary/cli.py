@@ -13,6 +13,7 @@ from foliary.operators import publish, workflow
 from foliary.operators.store import Store
 from foliary.schemas import TABLES
 from foliary.sources import snapshots
+from foliary.sources.http_json import PagedJson
 
 
 def parser() -> argparse.ArgumentParser:
@@ -45,6 +46,11 @@ def parser() -> argparse.ArgumentParser:
         x.add_argument(f"--{option}")
     x.add_argument("--offset", type=int, default=0)
     x.add_argument("--limit", type=int, default=0)
+    x = c.add_parser("census-repository")
+    x.add_argument("url")
+    x.add_argument("--page-size", type=int, default=100)
+    x.add_argument("--pages", type=int, default=0)
+    c.add_parser("census-questions").add_argument("path")
     c.add_parser("export-census").add_argument("path")
     c.add_parser("census-status")
     c.add_parser("estimate-storage")
@@ -90,6 +96,11 @@ def run(a: argparse.Namespace, store: Store) -> dict:
         rows = snapshots.import_snapshot(store.spark, a.path, a.source, a.house, a.parliament, a.session, a.offset, a.limit, a.expected_sha256)
         store.upsert("census_records", rows.withColumn("acquisition_status", F.coalesce("acquisition_status", F.lit("discovered"))))
         return {"records": store.read("census_records").count()}
+    if a.command == "census-repository":
+        store.spark.dataSource.register(PagedJson)
+        return {"run": workflow.census_repository(store, a.url, a.page_size, a.pages)}
+    if a.command == "census-questions":
+        return {"records": workflow.census_questions(store, a.path)}
     if a.command == "export-census":
         snapshots.export_snapshot(store.read("census_records"), a.path)
         return {"written": a.path}

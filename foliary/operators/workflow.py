@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from foliary.functions import rules
 from foliary.functions import text as X
-from foliary.operators import integrity, publish, versions
+from foliary.operators import integrity, publish, staging, versions
 from foliary.operators.store import Store
 from foliary.sources import documents as originals_source
+from foliary.sources import payloads
 
 
 def in_scope(house: str, parliament: str, session: str) -> Column:
@@ -154,3 +155,26 @@ def verify_publication(store: Store, path: str) -> DataFrame:
     d = store.spark.read.parquet(f"{path}/documents.parquet").select("document_sha256")
     orphans = store.spark.read.parquet(f"{path}/pages.parquet").join(d, "document_sha256", "left_anti").select(F.col("document_sha256").alias("what"), F.lit("page without document").alias("problem"))
     return files.unionByName(orphans)
+
+
+def census_repository(store: Store, url: str, size: int = 100, pages: int = 0, source: str = "paged_json") -> int:
+    """Records of a paged repository search, upserted; scopes of the run are complete, as a bad page fails it. Returns the run."""
+    run = (store.read("census_runs").agg(F.max("id")).first()[0] or 0) + 1
+    hits = staging.stage(store.spark.read.format(source).option("url", url).option("pagesize", size).option("pages", pages).load(), "hits")
+    items = staging.stage(payloads.repository_items(hits), "items")
+    integrity.require_none(items.where("problem IS NOT NULL").select("item_id", "problem"), "hits that can't be records")
+    rows = items.drop("item_id", "problem", "handle", "original_session").withColumn("source_type", F.lit("questions_answers")).withColumn("acquisition_status", F.lit("discovered"))
+    rows = rows.withColumn("raw", F.lit(None).cast("string"))
+    store.upsert("census_records", rows)
+    store.append("census_runs", store.spark.createDataFrame([(run, source, "complete")], "id long, source string, status string"))
+    store.append("census_scopes", items.select(F.lit(run).cast("long").alias("run_id"), "house", "parliament_number", "session", F.lit("complete").alias("status")).distinct())
+    return run
+
+
+def census_questions(store: Store, path: str) -> int:
+    """Question rows of a JSON payload (one array or one object a line), grouped to records and upserted."""
+    fields = "qslno string, files string, shri string, name string, qtitle string, qtype string, ans_date string, qno double, min_name string, ses_no string"
+    rows = store.spark.read.schema(fields).json(path).withColumn("ordinal", F.monotonically_increasing_id())
+    found = payloads.question_rows(staging.stage(rows, "question-rows")).drop("ordinal")
+    store.upsert("census_records", found.withColumn("source_type", F.lit("questions_answers")).withColumn("acquisition_status", F.lit("discovered")))
+    return store.read("census_records").count()

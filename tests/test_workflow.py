@@ -102,3 +102,34 @@ def test_a_changed_configuration_is_pending_again(spark, store):
         at = s.version("census_runs")
         hadoop, fs = s._files()
         fs.create(hadoop.Path(f"{s._pointer('census_runs')}/{at}"), False).close()
+
+
+def test_census_of_a_repository_and_of_questions(spark, tmp_path):
+    from foliary.sources import http_json
+
+    def source():
+        class Fake(http_json.PagedJson):
+            @classmethod
+            def name(cls):
+                return "fake_repository"
+
+            @staticmethod
+            def opener(url, timeout):
+                import json
+                import urllib.parse
+
+                n = int(urllib.parse.parse_qs(urllib.parse.urlparse(url).query)["page"][0])
+                hit = lambda i: {"_embedded": {"indexableObject": {"uuid": f"u{i}", "metadata": {"dc.title": [{"value": f"T{i}"}], "dc.identifier.sessionnumber": [{"value": "II"}], "dc.identifier.loksabhanumber": [{"value": "1"}]}}}}
+                return json.dumps({"page": {"number": n, "size": 2, "totalElements": 5, "totalPages": 3}, "_embedded": {"searchResult": {"_embedded": {"objects": [hit(i) for i in range(2 * n, min(5, 2 * n + 2))]}}}}).encode()
+
+        return Fake
+
+    spark.dataSource.register(source())
+    s = Store(spark, str(tmp_path / "s"))
+    assert workflow.census_repository(s, "http://x", 2, source="fake_repository") == 1
+    assert workflow.census_repository(s, "http://x", 2, source="fake_repository") == 2
+    assert sorted((r.record_id, r.title, r.acquisition_status) for r in s.read("census_records").collect()) == [(f"elibrary_ls_question_u{i}", f"T{i}", "discovered") for i in range(5)]
+    assert workflow.scope_status(s, "lok_sabha", "1", "II")["census_status"] == "complete"
+    (tmp_path / "q.json").write_text(json.dumps({"qslno": "7", "files": "u", "shri": "Shri", "name": "A", "qno": 3.0, "ses_no": "5"}) + "\n" + json.dumps({"qslno": "7", "files": "u", "shri": "Shri", "name": "B"}) + "\n")
+    assert workflow.census_questions(s, str(tmp_path / "q.json")) == 6
+    assert s.read("census_records").where("record_id = 'rs_qsl7_en'").first().members == ["Shri A", "Shri B"]

@@ -13,7 +13,8 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Census records: an order is a record and its document, nation the house, market segment the session."""
     o, c, n = t(spark, sf_dir, "orders"), t(spark, sf_dir, "customer"), t(spark, sf_dir, "nation")
-    joined = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    scopes = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))  # dimensions first: orders are dealt once, by customer
+    joined = o.join(scopes, F.col("o_custkey") == F.col("c_custkey"))
     status = F.when(F.col("o_orderstatus") == "F", "downloaded").when(F.col("o_orderstatus") == "P", "failed").otherwise("discovered")
     return joined.select(F.col("o_orderkey").alias("document"), F.col("n_name").alias("house"), F.col("c_mktsegment").alias("session"), status.alias("status"), F.col("o_totalprice").alias("price"), F.col("o_orderdate").alias("day"), F.col("o_orderpriority").alias("priority"))
 

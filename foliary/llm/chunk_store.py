@@ -88,12 +88,12 @@ def merkle_root(digests: list[bytes]) -> bytes:
     return level[0]
 
 
-def encode_chunks(docs: DataFrame, tokenizer_path: str, end_id: int, width: int = 2, window: int = 16, mean: int = 512, slice_bytes: int = 8_000_000) -> DataFrame:
+def encode_chunks(docs: DataFrame, tokenizer_path: str, end_id: int, width: int = 2, window: int = 16, mean: int = 512, slice_bytes: int = 5_000_000) -> DataFrame:
     """Rows of kind ``chunk`` (a digest once per task, with its payload) and of kind ``doc``; ``place`` says where to deal them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads()
-        table = worker_table(("byte", tokenizer_path), lambda: library_table(tokenizer_path))
+        table = worker_table(("byte", tokenizer_path), lambda: library_table(tokenizer_path, limit=450_000))
         seen: set[bytes] = set()
         kind = f"<u{width}"
         for batch in batches:

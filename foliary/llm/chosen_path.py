@@ -14,8 +14,8 @@ found, and only a spanning forest of them is kept. No bucket, family or partner
 
 Result, a row per input row: doc_id, class_id (least doc_id of the texts linked to it directly or over others), copy_id (least
 doc_id with an equal set), n_links (different sets of similarity at or above the threshold), n_copies. Null texts are empty
-texts; all empty texts are copies of each other. A null doc_id keeps its row; extra columns are ignored; an empty table gives
-an empty result. Sets are known by 64-bit digests.
+texts; all empty texts are copies of each other. A null doc_id keeps its row, but a set that only such rows have takes part
+in no links; extra columns are ignored; an empty table gives an empty result. Sets are known by 64-bit digests.
 """
 
 from __future__ import annotations
@@ -251,11 +251,16 @@ def exact_links(members: DataFrame, threshold: float, block: int) -> DataFrame:
                 by = np.argsort(code, kind="stable")
                 code, owner = code[by], owner[by]
                 wide = 1 << 14
+                # of a pair of blocks only the products between the blocks count
+                left, right = (np.arange(len(sets)),) * 2 if side[0] == 2 else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+                between = np.zeros((len(left), len(right)), np.float64)
                 for at in range(0, int(shared.sum()), wide):
                     a, b = np.searchsorted(code, [at, at + wide])
                     part = np.zeros((len(sets), wide), np.float32)
                     part[owner[a:b], code[a:b] - at] = 1
-                    common += part @ part.T
+                    between += part[left] @ part[right].T
+                common[np.ix_(left, right)] = between
+                common[np.ix_(right, left)] = between.T
             near = common >= threshold * (size[:, None] + size[None, :] - common) - 1e-9
             np.fill_diagonal(near, False)
             if side[0] != 2:

@@ -68,7 +68,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
     """A row per piece of at most ``capacity`` ids: its place in its document and the crc32 of its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        quiet_threads()
+        quiet_threads(keep_tables=True)
         table = worker_table(("word", tokenizer_path), lambda: library_table(tokenizer_path))
         for batch in batches:
             for start, stop in slices(batch.column("text"), slice_bytes):

@@ -92,7 +92,7 @@ def encode_chunks(docs: DataFrame, tokenizer_path: str, end_id: int, width: int
     """Rows of kind ``chunk`` (a digest once per task, with its payload) and of kind ``doc``; ``place`` says where to deal them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        quiet_threads()
+        quiet_threads(keep_tables=True)
         table = worker_table(("byte", tokenizer_path), lambda: library_table(tokenizer_path, limit=450_000))
         seen: set[bytes] = set()
         kind = f"<u{width}"

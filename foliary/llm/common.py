@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
@@ -48,13 +49,17 @@ def held_out(doc_id, modulus: int, remainder: int):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def quiet_threads() -> None:
-    """One thread per Python worker: Spark already runs one worker per core."""
+def quiet_threads(keep_tables: bool = False) -> None:
+    """One thread per Python worker: Spark already runs one worker per core. Piece tables that an earlier operator left in
+    the worker are given up, unless this one uses them."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     os.environ["RAYON_NUM_THREADS"] = "1"
     import pyarrow as pa
 
     pa.set_cpu_count(1)
+    pieces = sys.modules.get("foliary.llm.pieces")
+    if pieces is not None and not keep_tables:
+        pieces._TABLES.clear()
 
 
 def slices(column, max_bytes: int):

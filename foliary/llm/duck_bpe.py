@@ -178,7 +178,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, digests: bool
     ids are hashed as little-endian unsigned 32-bit integers. No shuffle: each partition is encoded where it is read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        quiet_threads()
+        quiet_threads(keep_tables=True)
         pieces = worker_table(("duck", ranks_path, pattern), lambda: DuckBpe(ranks_path, pattern).table())
         for batch in batches:
             for start, stop in slices(batch.column("text"), slice_bytes):

@@ -151,7 +151,7 @@ def library_table(tokenizer_path: str, limit: int = 300_000) -> PieceTable:
     return PieceTable(encode, limit)
 
 
-_TABLES: dict = {}
+_TABLES: dict = {}  # common.quiet_threads empties it for operators that need none
 
 
 def worker_table(key, make: Callable[[], PieceTable]) -> PieceTable:

@@ -95,7 +95,7 @@ def _style_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads()
         for batch in batches:
-            for start, stop in slices(batch.column("text"), 8_000_000):
+            for start, stop in slices(batch.column("text"), 4_000_000):
                 part = batch.slice(start, stop - start)
                 yield pa.record_batch([part.column("doc_id"), pa.array(list(style(part.column("text"))), pa.list_(pa.float64()))], names=["doc_id", "features"])
 
@@ -123,7 +123,7 @@ def score(docs: DataFrame, model: Logistic | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads()
         for batch in batches:
-            for start, stop in slices(batch.column("text"), 8_000_000):
+            for start, stop in slices(batch.column("text"), 4_000_000):
                 part = batch.slice(start, stop - start)
                 found = np.full(part.num_rows, 0.5) if model is None else model.scores(style(part.column("text")))
                 yield pa.record_batch([part.column("doc_id"), pa.array(found)], names=["doc_id", "score"])
@@ -145,7 +145,7 @@ def with_scores(docs: DataFrame, model: Logistic | None, name: str) -> DataFrame
         quiet_threads()
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            for start, stop in slices(batch.column(at), 8_000_000):
+            for start, stop in slices(batch.column(at), 4_000_000):
                 part = batch.slice(start, stop - start)
                 found = np.full(part.num_rows, 0.5) if model is None else model.scores(style(part.column(at)))
                 yield pa.record_batch([*part.columns, pa.array(found)], names=[*batch.schema.names, name])

@@ -187,7 +187,7 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads()
         for batch in batches:
-            for start, stop in slices(batch.column("text"), 8_000_000):
+            for start, stop in slices(batch.column("text"), 4_000_000):
                 part = batch.slice(start, stop - start)
                 yield pa.record_batch([part.column("doc_id"), pa.array(model.scores(part.column("text")))], names=["doc_id", "score"])
 
@@ -208,7 +208,7 @@ def with_scores(docs: DataFrame, model: Classifier, name: str) -> DataFrame:
         quiet_threads()
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            for start, stop in slices(batch.column(at), 8_000_000):
+            for start, stop in slices(batch.column(at), 4_000_000):
                 part = batch.slice(start, stop - start)
                 found = model.scores(part.column(at))
                 yield pa.record_batch([*part.columns, pa.array(found)], names=[*batch.schema.names, name])

@@ -87,5 +87,6 @@ def style(array: pa.Array) -> np.ndarray:
 
 
 def _sums(flags: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(flags)])
+    total = np.zeros(len(flags) + 1, np.int32)  # texts come in slices of a few MB
+    np.cumsum(flags, out=total[1:])
     return (total[ends[1:]] - total[ends[:-1]]).astype(np.float64)

@@ -1,10 +1,11 @@
 """Main text of web pages by tag-path ratios.
 
 A page is a sequence of text blocks, each with the path of tags from the root to it. Text length and punctuation are summed
-per path and divided by the path's blocks; both ratios are smoothed along the page, fused by their product and held against
-a threshold (a share of their spread) to select content blocks. The element that holds them (an article or main element, if
-there is one) gives the text: all its blocks, short ones and headings included, outside menus, headers, footers, sidebars,
-notices, adverts, forms, comments and what isn't text.
+per path and divided by the path's blocks; the product of both ratios is smoothed along the page, fused with a weight for
+what elements, roles and words of class and id say, and held against a threshold (a share of its spread). Every block that
+passes is content, wherever it stands. A node (the element around paragraphs, lists and tables) whose blocks pass in the mean,
+weighted by length, is content too, so that its short lines and lists stay. Blocks known as menus, headers, footers, sidebars,
+notices, adverts, forms or comments have a small weight, which a ratio far above the page's others outweighs.
 
 Character references are decoded; white space inside a block becomes one space; blocks without text vanish. Null or empty
 html, or a page of boilerplate alone, gives an empty text. Pages may end anywhere, tags may be left open. Whole pages are
@@ -32,34 +33,43 @@ _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "da
 _CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 _CLOSES_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = {"ul", "ol", "dl", "table", "select", "menu"}
-# Elements, roles and words of class and id that are not the article.
-_NOT_TEXT = {"nav", "header", "footer", "aside", "form", "head", "script", "style", "noscript", "iframe", "template", "textarea", "title", "button", "select", "option", "svg", "canvas", "object", "dialog", "menu", "xmp", "fieldset", "figcaption"}
+# Elements that are no text of a page, and elements, roles and words of class and id that speak against a block.
+_NOT_TEXT = {"head", "script", "style", "noscript", "iframe", "template", "textarea", "title", "button", "select", "option", "svg", "canvas", "object", "dialog", "xmp"}
+_DOUBTED = {"nav", "header", "footer", "aside", "form", "menu"}
 _NOT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar", "toolbar"}
 _NOT_WORDS = re.compile(r"^(?:nav\w*|menu\w*|foot(?:er)?|header|masthead|side(?:bar)?|aside|ads?|adv|advert\w*|banner|promo\w*|sponsor\w*|cookies?|notices?|consent|gdpr|popup|modal|overlay|comments?|commentlist|disqus|replies|respond|discussion|share|sharing|social|related|recommend\w*|breadcrumbs?|pagination|pager|subscribe|subscription|newsletter|login|signin|signup|search|form|toolbar|widget|legal|copyright|disclaimer|skip|hidden)$")
-_PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
+# Weight of a doubted block, and the product of ratios (some 200 characters, 5 signs) from which it counts at all.
+_DOUBT, _SENTENCES = 0.02, 1000.0
+_HEADS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_PARTS = _HEADS | {"p", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "figure", "figcaption", "fieldset", "legend", "address"}
+_PUNCTUATION = re.compile(r"[.,;:!?…](?!\w)|[。，、；：！？]")  # the stops of an address are none
 
 
 class _Element:
-    __slots__ = ("children", "name", "number", "out", "parent")
+    __slots__ = ("doubted", "name", "number", "out", "parent")
 
-    def __init__(self, name: str, parent: _Element | None, number: int, out: bool) -> None:
-        self.name, self.parent, self.number, self.out = name, parent, number, out
+    def __init__(self, name: str, parent: _Element | None, number: int, out: bool, doubted: bool = False) -> None:
+        self.name, self.parent, self.number, self.out, self.doubted = name, parent, number, out, doubted
 
 
-def _is_out(name: str, attributes: str) -> bool:
+def _is_out(name: str, attributes: str) -> tuple[bool, bool]:
+    """(never shown as text, known as something else than the article)."""
     if name in _NOT_TEXT:
-        return True
+        return True, True
+    doubted = name in _DOUBTED
     if not attributes:
-        return False
+        return False, doubted
     if re.search(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until-found))", re.sub(r"=\s*(?:\"[^\"]*\"|'[^']*')", "", attributes)):
-        return True
+        return True, True
     for key, *values in _ATTRIBUTE.findall(attributes):
         value, key = "".join(values).lower(), key.lower()
-        if key in ("class", "id") and any(_NOT_WORDS.match(w) for w in re.split(r"[\s_-]+", value)):
-            return name not in ("html", "body", "article", "main")
-        if key == "role" and value in _NOT_ROLES or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+        if key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            return True, True
+        if key in ("class", "id") and name not in ("html", "body", "article", "main") and any(_NOT_WORDS.match(w) for w in re.split(r"[\s_-]+", value)):
+            doubted = True
+        if key == "role" and value in _NOT_ROLES:
+            doubted = True
+    return False, doubted
 
 
 def blocks(page: str) -> list[tuple[str, _Element, int]]:
@@ -128,7 +138,8 @@ def blocks(page: str) -> list[tuple[str, _Element, int]]:
             while here.parent is not None and here.name != "html":
                 here = here.parent
         number += 1
-        element = _Element(name, here, number, here.out or _is_out(name, m.group(3)))
+        out, doubted = _is_out(name, m.group(3))
+        element = _Element(name, here, number, here.out or out, here.doubted or doubted)
         if m.group(3).rstrip().endswith("/") and name not in _CLOSES_P:
             continue
         if name in _RAW:
@@ -164,66 +175,45 @@ def content_flags(found: list[tuple[str, _Element, int]], share: float = 0.5) ->
     signs = np.array([len(_PUNCTUATION.findall(t)) for t, _, _ in found], float)
     nodes = np.bincount(code)
     ratio = [(np.bincount(code, x) / nodes)[code] for x in (length, signs)]
-    # blocks out of question take no part: their ratios would drown a short article
-    inside = np.array([not e.out for _, e, _ in found])
+    product = ratio[0] * (ratio[1] + 0.1)
+    # a path of links alone has no ratio of its own, whatever stands beside it; a heading may be a link
+    shown = np.array([not e.out for _, e, _ in found]) & ((product > 0) | np.array([e.name in _HEADS for _, e, _ in found]))
+    doubted = np.array([e.doubted for _, e, _ in found])
     fused = np.zeros(len(found))
-    if inside.any():
-        fused[inside] = _smooth((ratio[0] * (ratio[1] + 0.1))[inside])
-    limit = share * fused[inside].std() if inside.any() else 0
-    return inside & (fused >= limit) & (fused > 0), fused
+    if not shown.any():
+        return shown, fused
+    own = product * np.where(doubted, _DOUBT, 1)
+    for kind, weight in ((shown & ~doubted, 1), (shown & doubted, _DOUBT)):  # neither kind lends the other its ratios
+        if kind.any():
+            fused[kind] = _smooth(product[kind]) * weight
+    inside = shown & (~doubted | (product >= _SENTENCES))
+    limit = share * fused[shown].std()
+    # nodes by the mean of their blocks, each weighted by its length
+    node = np.array([_node(e) for _, e, _ in found])
+    free = inside & ~doubted
+    weight = np.bincount(node[free], length[free], node.max() + 1)
+    total = np.bincount(node[free], (length * fused)[free], node.max() + 1)
+    passed = (total >= limit * weight) & (total > 0)
+    # what only its neighbours lift over the limit must be a heading or share its node with a block that needs none
+    alone = inside & (own >= limit) & (own > 0)
+    holds = np.bincount(node[alone], minlength=node.max() + 1) > 0
+    lifted = inside & (fused >= limit) & (fused > 0) & (holds[node] | np.array([e.name in _HEADS for _, e, _ in found]))
+    return alone | lifted | free & (passed & holds)[node], fused
 
 
 def main_text(page: str | None) -> str:
     found = blocks(page) if page else []
     if not found:
         return ""
-    selected, fused = content_flags(found)
-    if not selected.any():
-        selected = np.array([not e.out for _, e, _ in found])
-        if not selected.any():
-            return ""
-    # score of every element: the fused ratios of the selected blocks in it
-    scores: dict[int, float] = {}
-    elements: dict[int, _Element] = {}
-    for i in np.flatnonzero(selected):
-        x = found[i][1]
-        while x is not None:
-            scores[x.number] = scores.get(x.number, 0) + fused[i]
-            elements[x.number] = x
-            x = x.parent
-    named = [n for n, e in elements.items() if e.name in ("article", "main")]
-    if named:
-        holder = max(named, key=lambda n: (elements[n].name == "article", scores[n], -n))
-    else:  # the innermost element with most of what was selected
-        holder = max((n for n, s in scores.items() if s >= 0.8 * scores[0]), key=lambda n: _depth(elements[n]))
-        while elements[holder].name in ("p", "li", "ul", "ol", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "table", "tr", "td") and elements[holder].parent is not None:
-            holder = elements[holder].parent.number
-            if holder not in elements:
-                break
-    whole = elements[holder].name not in ("body", "html", "#root")
-    out = []
-    for i, (text, element, links) in enumerate(found):
-        if element.out or not _within(element, holder):
-            continue
-        if whole or selected[i] or element.name in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "blockquote", "pre") and links < len(text):
-            out.append(text)
-    return "\n".join(out)
-
+    selected, _ = content_flags(found)
+    return "\n".join(found[i][0] for i in np.flatnonzero(selected))
 
-def _depth(element: _Element) -> int:
-    n = 0
-    while element.parent is not None:
-        element, n = element.parent, n + 1
-    return n
 
-
-def _within(element: _Element, holder: int) -> bool:
-    x: _Element | None = element
-    while x is not None:
-        if x.number == holder:
-            return True
-        x = x.parent
-    return False
+def _node(element: _Element) -> int:
+    """The element around the paragraphs, lists and tables that a block belongs to."""
+    while element.name in _PARTS and element.parent is not None:
+        element = element.parent
+    return element.number
 
 
 def extract(pages: DataFrame) -> DataFrame:

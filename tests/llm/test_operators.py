@@ -344,3 +344,12 @@ def test_label_model_weighs_good_voters():
     posterior, weight = weak_toxicity.label_model(np.column_stack([good, copy, noise, third]).astype(float), known)
     assert abs(weight[2]) < 0.5 < weight[3] and weight[0] + weight[1] < 2 * np.log(0.8 / 0.02)
     assert ((posterior > 0.5) == y).mean() > 0.93
+
+
+def test_path_ratios_choose_the_content():
+    long = "Some text, of a page, that goes on. " * 8
+    page = f"<body><div>Products Solutions</div><div>Our team</div><article><p>Sign up</p></article><div class=x><p>{long}</p><p>Short.</p></div><div>All rights</div></body>"
+    assert tag_paths.main_text(page) == f"{long.strip()}\nShort."
+    # an article element with nothing but weak lines gives way; a list in a node that passes stays
+    page = f"<body><article><p>Read on</p></article><div><p>{long}</p><ul><li>one item</li><li>two items</li><li>three</li><li>four</li><li>five</li></ul></div></body>"
+    assert tag_paths.main_text(page).split("\n") == [long.strip(), "one item", "two items", "three", "four", "five"]

@@ -7,7 +7,9 @@ shingle; no words: the text itself). Texts of equal sets are one class from the
    again on the next sampled token, down to ``depth``, so that a path of tokens leads to each bucket;
 2. small buckets are compared in full by sketches of the sets (equal shares of min-hash values), with a margin below the
    threshold; larger ones, all of them, in blocks and pairs of blocks;
-3. runs repeat until a pair at the threshold has met with probability ``recall``; the pairs that remain bind sets to families.
+3. runs repeat until a pair at the threshold has met with probability ``recall``: first as many as paths of one token need, then,
+   for the sets that stood in a bucket that was split, as many more with fresh hash functions as paths of ``depth`` tokens need;
+   the pairs that remain bind sets to families. Buckets of one family alone need no further comparison.
 
 Sets of a family are then compared exactly, all with all, in blocks and pairs of blocks; links are counted where they are
 found, and only a spanning forest of them is kept. No bucket, family or partner is capped, and no pair list leaves a task.
@@ -91,15 +93,15 @@ def digests(s: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return _mix(np.add.reduceat(_mix(s ^ np.uint64(0x51ED270B)), ends[:-1]) + np.diff(ends).astype(np.uint64)) if len(ends) > 1 else np.zeros(0, np.uint64)
 
 
-def sketches(s: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Sets x SKETCH min-hash values of 32 bits."""
-    out = np.zeros((len(ends) - 1, SKETCH), np.uint32)
+def sketches(s: np.ndarray, ends: np.ndarray, first: int = 0, last: int = SKETCH) -> np.ndarray:
+    """Sets x (last - first) min-hash values of 32 bits, of the hash functions first to last - 1."""
+    out = np.zeros((len(ends) - 1, last - first), np.uint32)
     with np.errstate(over="ignore"):
-        for i in range(SKETCH if len(ends) > 1 else 0):
+        for i in range(first, last if len(ends) > 1 else first):
             a = np.uint64((2 * i + 1) * 0xD1342543DE82EF95 % (1 << 64))
             v = (s ^ (a >> np.uint64(7))) * (a | np.uint64(1))
             v = ((v ^ (v >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
-            out[:, i] = np.minimum.reduceat(v, ends[:-1])
+            out[:, i - first] = np.minimum.reduceat(v, ends[:-1])
     return out
 
 
@@ -108,6 +110,14 @@ def runs_needed(threshold: float, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold)))
 
 
+def more_runs(threshold: float, recall: float, runs: int, depth: int) -> int:
+    """So many runs after the first ones that a pair of sets from split buckets is lost with the probability that remains. A
+    pair is lost if it never met at a first token, (1 - t)^runs, or met there in split buckets and then shared no whole path
+    in any run, at most (1 - t^depth)^(runs + more)."""
+    rest = max(1 - recall - (1 - threshold) ** runs, (1 - recall) / 10)
+    return max(0, math.ceil(math.log(rest) / math.log(1 - threshold**depth)) - runs)
+
+
 def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Runs of rows of one key, from batches sorted by it."""
     kept: list[pa.RecordBatch] = []
@@ -151,21 +161,22 @@ def blocked(rows: DataFrame, key: str, size: int) -> DataFrame:
     return spread.withColumn("place", F.xxhash64(key, "pair.i", "pair.j")).withColumn("side", side.cast("int")).drop("pair", "own")
 
 
-def candidate_edges(reps: DataFrame, runs: int, depth: int, bucket: int, threshold: float, margin: float) -> DataFrame:
-    """(a, b): sets whose sketches are near, as forests of the buckets."""
-    value = lambda i: F.shiftrightunsigned(F.col(f"k{i // 2}"), 32 * (i % 2)).bitwiseAND(F.lit(0xFFFFFFFF))
-    paths = F.array(*(F.struct(F.lit(r).alias("run"), F.array(*(value((r + runs * d) % SKETCH) for d in range(depth))).alias("tokens")) for r in range(runs)))
-    active = reps.select("sid", F.explode(paths).alias("p")).select("sid", "p.tokens", F.xxhash64("p.run", F.element_at("p.tokens", 1)).alias("path"))
-    done = []
+def candidate_edges(reps: DataFrame, active: DataFrame, depth: int, bucket: int, threshold: float, margin: float) -> tuple[DataFrame, DataFrame]:
+    """(a, b): sets whose sketches are near, as forests of the buckets; and the sets (sid) of buckets that were split at the
+    first token. active: sid, family, run, tokens; buckets of one family alone vanish."""
+    active = active.select("sid", "family", "tokens", F.xxhash64("run", F.element_at("tokens", 1)).alias("path"))
+    done, split = [], None
     for level in range(1, depth + 1):
-        sizes = active.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
+        sizes = active.groupBy("path").agg(F.count("*").alias("size"), F.min("family").alias("low"), F.max("family").alias("high")).where("size > 1 AND low <> high").select("path", "size")
         met = active.join(sizes, "path")
         if level == depth:
             done.append(met.select("sid", "path"))
             break
         met = stage(met, f"level{level}")
         done.append(met.where(F.col("size") <= bucket).select("sid", "path"))
-        active = met.where(F.col("size") > bucket).select("sid", "tokens", F.xxhash64("path", F.element_at("tokens", level + 1)).alias("path"))
+        large = met.where(F.col("size") > bucket)
+        split = large.select("sid").distinct() if split is None else split
+        active = large.select("sid", "family", "tokens", F.xxhash64("path", F.element_at("tokens", level + 1)).alias("path"))
     met = done[0]
     for more in done[1:]:
         met = met.unionByName(more)
@@ -200,7 +211,8 @@ def candidate_edges(reps: DataFrame, runs: int, depth: int, bucket: int, thresho
         yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     placed = blocked(met, "path", 512).select("place", "side", "sid").join(reps.select("sid", *names), "sid")
-    return placed.select("place", "side", "sid", *names).repartition("place").sortWithinPartitions("place").mapInArrow(compare, "a long, b long").distinct()
+    edges = placed.select("place", "side", "sid", *names).repartition("place").sortWithinPartitions("place").mapInArrow(compare, "a long, b long").distinct()
+    return edges, split if split is not None else reps.select("sid").limit(0)
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -290,7 +302,35 @@ def similarity_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, rec
     schema = "doc_id long, sid long, " + ", ".join(f"{x} long" for x in names)
     signed = stage(texts(docs).mapInArrow(sign, schema), "signed")
     reps = stage(signed.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"), *(F.first(x).alias(x) for x in names)), "sets")
-    families = components(candidate_edges(reps, runs, depth, bucket, threshold, margin), "families").select("sid", F.col("root").alias("family"))
+    value = lambda i: F.shiftrightunsigned(F.col(f"k{i // 2}"), 32 * (i % 2)).bitwiseAND(F.lit(0xFFFFFFFF))
+    paths = F.array(*(F.struct(F.lit(r).alias("run"), F.array(*(value((r + runs * d) % SKETCH) for d in range(depth))).alias("tokens")) for r in range(runs)))
+    active = reps.select("sid", F.col("sid").alias("family"), F.explode(paths).alias("p")).select("sid", "family", "p.run", "p.tokens")
+    edges, split = candidate_edges(reps, active, depth, bucket, threshold, margin)
+    edges = stage(edges, "edges")
+    families = components(edges, "families").select("sid", F.col("root").alias("family"))
+    split = stage(split.join(reps.select("sid", "rep"), "sid").where("rep IS NOT NULL").join(families, "sid", "left").select(F.col("rep").alias("doc_id"), "sid", F.coalesce("family", "sid").alias("family")), "split")
+    more = more_runs(threshold, recall, runs, depth)
+    n_split = split.count()
+    if n_split and more:
+
+        def with_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            quiet_threads()
+            for batch in batches:
+                for start, stop in slices(batch.column("text"), 6_000_000):
+                    part = batch.slice(start, stop - start)
+                    s, ends = shingle_sets(part.column("text"), width)
+                    own = digests(s, ends).view(np.int64)
+                    right = np.flatnonzero(own == part.column("sid").to_numpy())
+                    fresh = sketches(s, ends, SKETCH, SKETCH + more * depth)[right].astype(np.int64)
+                    tokens = pa.FixedSizeListArray.from_arrays(pa.array(fresh.ravel()), more * depth).cast(pa.list_(pa.int64()))
+                    yield pa.record_batch([pa.array(own[right]), part.column("family").take(pa.array(right)), tokens], names=["sid", "family", "tokens"])
+
+        fresh = texts(docs).join(F.broadcast(split) if n_split <= _BROADCAST_ROWS else split, "doc_id").mapInArrow(with_tokens, "sid long, family long, tokens array<long>")
+        fresh = stage(fresh.dropDuplicates(["sid"]), "tokens")
+        paths = F.array(*(F.struct(F.lit(runs + r).alias("run"), F.slice("tokens", r * depth + 1, depth).alias("tokens")) for r in range(more)))
+        active = fresh.select("sid", "family", F.explode(paths).alias("p")).select("sid", "family", "p.run", "p.tokens")
+        found, _ = candidate_edges(reps, active, depth, bucket, threshold, margin)
+        families = components(edges.unionByName(found), "families").select("sid", F.col("root").alias("family"))
     wanted = stage(families.join(reps.select("sid", "rep"), "sid"), "wanted")
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -353,3 +353,27 @@ def test_path_ratios_choose_the_content():
     # an article element with nothing but weak lines gives way; a list in a node that passes stays
     page = f"<body><article><p>Read on</p></article><div><p>{long}</p><ul><li>one item</li><li>two items</li><li>three</li><li>four</li><li>five</li></ul></div></body>"
     assert tag_paths.main_text(page).split("\n") == [long.strip(), "one item", "two items", "three", "four", "five"]
+
+
+def hot_pairs(pairs=400):
+    """Isolated pairs at about 0.8: each holds six passages of 30, so that most of its shingles stand in many other texts."""
+    rng = np.random.default_rng(5)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    passages, rows = [word(24) for _ in range(30)], []
+    for i in range(pairs):
+        common = [w for k in sorted(rng.choice(30, 6, replace=False)) for w in passages[k]]
+        rows += [(2 * i, " ".join(common + word(17))), (2 * i + 1, " ".join(common + word(17)))]
+    return rows
+
+
+def test_chosen_path_recall_of_pairs_in_split_buckets(spark):
+    import pyarrow as pa
+
+    rows = hot_pairs()
+    s, e = chosen_path.shingle_sets(pa.array([t for _, t in rows[:2]]))
+    a, b = (set(s[e[i] : e[i + 1]].tolist()) for i in range(2))
+    assert 0.8 <= len(a & b) / len(a | b) < 0.81
+    got = {r.doc_id: r.class_id for r in chosen_path.similarity_join(frame(spark, rows), bucket=2).collect()}
+    assert [i for i in range(0, len(rows), 2) if got[i] != got[i + 1]] == []
+    t, more = 0.8, chosen_path.more_runs(0.8, 0.9999, 6, 4)
+    assert (1 - t) ** 6 + (1 - t**4) ** (6 + more) <= 1 - 0.9999 < (1 - t) ** 6 + (1 - t**4) ** (5 + more)

@@ -205,7 +205,7 @@ def sequence_similarity(spark, sf):
 
 @query()
 def visible_markdown(spark, sf):
-    linked = F.concat(F.lit("[Report "), F.col("doc_id").cast("string"), F.lit("](https://example.test/file(7).pdf) "), F.substring("text", 1, 200))
+    linked = F.concat(F.lit("[Report "), F.col("doc_id").cast("string"), F.lit("](https://example.test/file(7).pdf) "), F.col("text"))
     return t(spark, sf, "documents").select("doc_id", X.plain_numbers(arrow_udfs.visible_markdown(linked)).alias("numbers"))
 
 

@@ -56,3 +56,15 @@ def test_entry_without_the_llm_part(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert 'scope_status' in q and 'pipeline' not in q; assert set(e.oracle_sql()) <= set(q); print(e.__file__)"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
     assert done.returncode == 0 and str(tmp_path) in done.stdout, done.stderr
+
+
+def test_visible_markdown_reads_whole_texts(spark, small):
+    import re
+
+    from foliary.functions.arrow_udfs import visible
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()}
+    number = re.compile(r"(?:^|[^A-Za-z])(\d[\d,]*(?:\.\d+)?)")
+    expected = {i: [x.replace(",", "") for x in number.findall(visible(f"[Report {i}](https://example.test/file(7).pdf) {t}"))] for i, t in texts.items()}
+    assert any(number.search(t[200:]) for t in texts.values())
+    assert {r.doc_id: r.numbers for r in registry.queries()["visible_markdown"](spark, small).collect()} == expected

@@ -377,3 +377,15 @@ def test_chosen_path_recall_of_pairs_in_split_buckets(spark):
     assert [i for i in range(0, len(rows), 2) if got[i] != got[i + 1]] == []
     t, more = 0.8, chosen_path.more_runs(0.8, 0.9999, 6, 4)
     assert (1 - t) ** 6 + (1 - t**4) ** (6 + more) <= 1 - 0.9999 < (1 - t) ** 6 + (1 - t**4) ** (5 + more)
+
+
+def test_blocks_outside_one_element_stay():
+    long = "Some text, of a post, that goes on. " * 8
+    part = "Second part, of the text, that goes on."
+    assert tag_paths.main_text(f"<main><p>{long}</p></main><article>Teaser, short.</article>") == long.strip()
+    assert tag_paths.main_text(f"<article><p>First part, of it.</p></article><article><p>{part}</p></article>") == f"First part, of it.\n{part}"
+    lead = f"<div id=post><h1>Head</h1><div class=lead><p>{part}</p></div><div class=entry><p>{long}</p><p>{long}</p></div></div>"
+    assert tag_paths.main_text(lead) == f"Head\n{part}\n{long.strip()}\n{long.strip()}"
+    box = f"<article><p>{long}</p><figure><figcaption>A caption, of it.</figcaption></figure><fieldset>Set, in a box.</fieldset></article>"
+    assert tag_paths.main_text(box) == f"{long.strip()}\nA caption, of it.\nSet, in a box."
+    assert tag_paths.main_text(f"<div class=menu-open><p>{long}</p><p>{long}</p></div><div class=ad>Buy, now.</div>") == f"{long.strip()}\n{long.strip()}"

@@ -1,4 +1,4 @@
-"""Functions that built-in expressions can't state: balanced link syntax, sequence similarity, canonical JSON.
+"""Functions that built-in expressions can't state: sequence similarity, canonical JSON.
 
 All are Arrow-batched; put them behind filters and joins, as the optimiser doesn't move them."""
 
@@ -13,36 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 
-def visible(text: str) -> str:
-    """``[label](target)`` as its label; targets may hold balanced or escaped parentheses; open links stay as they are."""
-    out, at = [], 0
-    for opening in re.finditer(r"\[", text):
-        start = opening.start()
-        if start < at:
-            continue
-        middle = text.find("](", start + 1)
-        if middle < 0:
-            break
-        depth, stop = 1, None
-        for sign in re.finditer(r"(?<!\\)[()]", text[middle + 1 :]):
-            if sign.start() == 0:
-                continue  # the target's own opening
-            depth += 1 if sign.group() == "(" else -1
-            if not depth:
-                stop = middle + 1 + sign.end()
-                break
-        if stop is None:
-            continue
-        out.append(text[at:start] + text[start + 1 : middle])
-        at = stop
-    return "".join(out) + text[at:]
-
-
-@F.pandas_udf(StringType())
-def visible_markdown(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: t if t is None or "](" not in t else visible(t))
-
-
 def _plain(text: str) -> str:
     return " ".join(re.sub(r"[#*_>`|]", " ", text).split())
 

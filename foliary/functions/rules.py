@@ -58,7 +58,7 @@ def page_flags(text: Column, markdown: Column, route_: Column, confidence: Colum
         (X.replacement_characters(t) > rules.most_replacement_characters, "replacement-characters"),
         (ocr & (confidence < rules.least_confidence), "low-ocr-confidence"),
         (F.lit(rules.uneven_tables) & X.has_uneven_table(F.coalesce(markdown, F.lit(""))), "inconsistent-table-width"),
-        (F.lit(rules.numeric) & ocr & ~X.is_blank(native_text) & ~X.same_multiset(X.plain_numbers(t), X.plain_numbers(F.coalesce(native_text, F.lit("")))), "native-ocr-numeric-disagreement"),
+        (F.lit(rules.numeric) & ocr & ~X.is_blank(native_text) & ~X.same_multiset(X.numbers(t), X.numbers(F.coalesce(native_text, F.lit("")))), "native-ocr-numeric-disagreement"),
     )
 
 

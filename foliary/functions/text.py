@@ -28,13 +28,37 @@ def plain_numbers(t: Column) -> Column:
     return F.transform(F.regexp_extract_all(t, F.lit(NUMBER), F.lit(0)), lambda x: F.replace(x, F.lit(","), F.lit("")))
 
 
+def _balanced(levels: int) -> str:
+    """Text whose parentheses are balanced, ``levels`` deep; those after a backslash don't count. No backtracking (Java)."""
+    free = r"[^()]*+(?:(?<=\\)[()][^()]*+)*+"
+    inner = free
+    for _ in range(levels):
+        inner = rf"{free}(?:(?<!\\)\({inner}(?<!\\)\){free})*+"
+    return inner
+
+
+#: ``[label](target)``: the label ends at the first ``](``.
+LINK = rf"\[([^\]]*+(?:\](?!\()[^\]]*+)*+)\]\({_balanced(6)}(?<!\\)\)"
+
+
+def without_links(t: Column) -> Column:
+    """Links as their labels. Targets may hold escaped parentheses and up to six levels of balanced ones; what is not closed
+    stays as it is."""
+    return F.when(t.contains("]("), F.regexp_replace(t, LINK, "$1")).otherwise(t)
+
+
+def numbers(t: Column) -> Column:
+    """Numbers as written that a reader sees: targets of links don't count."""
+    return plain_numbers(without_links(t))
+
+
 def without_footers(t: Column) -> Column:
     return F.regexp_replace(t, PAGE_FOOTER, "")
 
 
 def content_numbers(t: Column) -> Column:
-    """Numbers outside standalone page-count lines."""
-    return plain_numbers(without_footers(t))
+    """Numbers that a reader sees outside standalone page-count lines."""
+    return numbers(without_footers(t))
 
 
 def word_tokens(t: Column) -> Column:

@@ -79,12 +79,12 @@ def optimised_copies(spark, sf):
 
 
 @query("""SELECT doc_id, '2026-02-0' || CAST(doc_id % 9 + 1 AS VARCHAR) || '_Q' || CASE WHEN doc_id % 2 = 0 THEN '5' ELSE CAST(doc_id AS VARCHAR) END || '_' ||
- (CASE WHEN s = '' THEN 'document' ELSE rtrim(substr(s, 1, 70), '-') END) || '__' || substr(sha256(text), 1, 8) AS slug FROM (SELECT *, trim(regexp_replace(lower(substr(text, 1, 200)), '[^a-z0-9]+', '-', 'g'), '-') AS s FROM documents)""")
+ (CASE WHEN s = '' THEN 'document' ELSE rtrim(substr(s, 1, 70), '-') END) || '__' || substr(sha256(text), 1, 8) AS slug FROM (SELECT *, trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-') AS s FROM documents)""")
 def document_slugs(spark, sf):
     i = F.col("doc_id")
     day = F.concat(F.lit("2026-02-0"), (i % 9 + 1).cast("string"))
     number = F.when(i % 2 == 0, "5").otherwise("")
-    return t(spark, sf, "documents").select("doc_id", X.document_slug(day, number, F.concat(F.lit("rec_"), i.cast("string")), F.substring("text", 1, 200), F.lit("x"), F.lit("questions_answers"), F.sha2("text", 256)).alias("slug"))
+    return t(spark, sf, "documents").select("doc_id", X.document_slug(day, number, F.concat(F.lit("rec_"), i.cast("string")), F.col("text"), F.lit("x"), F.lit("questions_answers"), F.sha2("text", 256)).alias("slug"))
 
 
 @query("SELECT house, session, count(*) AS n FROM (SELECT n_name AS house, c_mktsegment AS session FROM customer JOIN nation ON c_nationkey = n_nationkey) GROUP BY 1, 2")

@@ -27,19 +27,25 @@ def _content(c: str) -> str:
     return f"regexp_replace({c}, '(?im)^[ \\t]*(?:\\*\\*|__)?page[ \\t]+\\p{{Nd}}+[ \\t]+of[ \\t]+\\p{{Nd}}+(?:\\*\\*|__)?[ \\t]*$', '', 'g')"
 
 
-_FOOTED = "text || chr(10) || '**Page ' || CAST(doc_id % 9 AS VARCHAR) || ' of 9**' || chr(10) || 'Total ' || CAST(doc_id AS VARCHAR) || ',000.5 a12'"
+def _seen(c: str) -> str:
+    return f"regexp_replace({c}, '\\[([^\\]]*)\\]\\((?:[^()]|\\([^()]*\\))*\\)', '\\1', 'g')"
+
+
+# a page footer, a number, and a link whose target holds numbers that don't count
+_FOOTED = "text || chr(10) || '**Page ' || CAST(doc_id % 9 AS VARCHAR) || ' of 9**' || chr(10) || 'Total ' || CAST(doc_id AS VARCHAR) || ',000.5 a12 [Report 3](https://x.test/(' || CAST(doc_id % 5 AS VARCHAR) || ')/12.pdf)'"
 
 
 def _footed():
-    return F.concat(F.col("text"), F.lit("\n**Page "), (F.col("doc_id") % 9).cast("string"), F.lit(" of 9**\nTotal "), F.col("doc_id").cast("string"), F.lit(",000.5 a12"))
+    link = F.concat(F.lit(" [Report 3](https://x.test/("), (F.col("doc_id") % 5).cast("string"), F.lit(")/12.pdf)"))
+    return F.concat(F.col("text"), F.lit("\n**Page "), (F.col("doc_id") % 9).cast("string"), F.lit(" of 9**\nTotal "), F.col("doc_id").cast("string"), F.lit(",000.5 a12"), link)
 
 
-@query(f"SELECT doc_id, array_to_string({_nums(_FOOTED)}, ' ') AS numbers FROM documents")
+@query(f"SELECT doc_id, array_to_string({_nums(_seen(_FOOTED))}, ' ') AS numbers, len({_nums(_FOOTED)}) AS with_targets FROM documents")
 def number_tokens(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", F.array_join(X.plain_numbers(_footed()), " ").alias("numbers"))
+    return t(spark, sf, "documents").select("doc_id", F.array_join(X.numbers(_footed()), " ").alias("numbers"), F.size(X.plain_numbers(_footed())).cast("long").alias("with_targets"))
 
 
-@query(f"SELECT doc_id, array_to_string({_nums(_content(_FOOTED))}, ' ') AS numbers FROM documents")
+@query(f"SELECT doc_id, array_to_string({_nums(_seen(_content(_FOOTED)))}, ' ') AS numbers FROM documents")
 def content_number_tokens(spark, sf):
     return t(spark, sf, "documents").select("doc_id", F.array_join(X.content_numbers(_footed()), " ").alias("numbers"))
 
@@ -117,7 +123,7 @@ def replacement_and_empty(spark, sf):
 @query(f"""WITH p AS (SELECT doc_id, {_PAGE} AS p, {_PAGE.replace('text', "replace(text, '1', '7')")} AS native, CASE WHEN doc_id % 3 = 0 THEN 'native' ELSE 'ocr' END AS route, (doc_id % 10) / 10.0 AS confidence FROM documents),
 f AS (SELECT doc_id, unnest(list_filter([CASE WHEN {_strip('p')} = '' THEN 'empty-text' END, CASE WHEN p LIKE '%' || chr(65533) || '%' THEN 'replacement-characters' END,
  CASE WHEN route = 'ocr' AND confidence < 0.75 THEN 'low-ocr-confidence' END, CASE WHEN len(list_distinct({_widths('p')})) > 1 THEN 'inconsistent-table-width' END,
- CASE WHEN route = 'ocr' AND {_strip('native')} <> '' AND list_sort({_nums('p')}) <> list_sort({_nums('native')}) THEN 'native-ocr-numeric-disagreement' END], lambda x: x IS NOT NULL)) AS flag FROM p)
+ CASE WHEN route = 'ocr' AND {_strip('native')} <> '' AND list_sort({_nums(_seen('p'))}) <> list_sort({_nums(_seen('native'))}) THEN 'native-ocr-numeric-disagreement' END], lambda x: x IS NOT NULL)) AS flag FROM p)
 SELECT flag, count(*) AS n FROM f GROUP BY 1""")
 def flag_histogram(spark, sf):
     i, p = F.col("doc_id"), t(spark, sf, "documents")
@@ -155,14 +161,14 @@ def gold_number_f1(spark, sf):
     return _gold_plan(spark, sf, X.plain_numbers, numbered=True)
 
 
-_LAYERS = f"""SELECT doc_id, {_nums('a')} AS local, {_nums('b')} AS ocr, {_nums('c')} AS model FROM (SELECT doc_id, {_FOOTED} AS a, CASE WHEN doc_id % 3 = 0 THEN replace({_FOOTED}, '.5', '5') ELSE {_FOOTED} END AS b, CASE WHEN doc_id % 4 = 0 THEN {_FOOTED} || ' 77' ELSE {_FOOTED} END AS c FROM documents)"""
+_LAYERS = f"""SELECT doc_id, {_nums(_seen(_content('a')))} AS local, {_nums(_seen(_content('b')))} AS ocr, {_nums(_seen(_content('c')))} AS model FROM (SELECT doc_id, {_FOOTED} AS a, CASE WHEN doc_id % 3 = 0 THEN replace({_FOOTED}, '.5', '5') ELSE {_FOOTED} END AS b, CASE WHEN doc_id % 4 = 0 THEN {_FOOTED} || ' 77' WHEN doc_id % 4 = 1 THEN replace({_FOOTED}, '/12.pdf', '/99.pdf') ELSE {_FOOTED} END AS c FROM documents)"""
 
 
 def _layers(spark, sf):
     i, a = F.col("doc_id"), _footed()
     b = F.when(i % 3 == 0, F.replace(a, F.lit(".5"), F.lit("5"))).otherwise(a)
-    c = F.when(i % 4 == 0, F.concat(a, F.lit(" 77"))).otherwise(a)
-    return t(spark, sf, "documents").select("doc_id", X.plain_numbers(a).alias("local"), X.plain_numbers(b).alias("ocr"), X.plain_numbers(c).alias("model"))
+    c = F.when(i % 4 == 0, F.concat(a, F.lit(" 77"))).when(i % 4 == 1, F.replace(a, F.lit("/12.pdf"), F.lit("/99.pdf"))).otherwise(a)
+    return t(spark, sf, "documents").select("doc_id", X.content_numbers(a).alias("local"), X.content_numbers(b).alias("ocr"), X.content_numbers(c).alias("model"))
 
 
 @query(f"SELECT doc_id, list_sort(local) = list_sort(ocr) AS agrees FROM ({_LAYERS})")
@@ -203,16 +209,20 @@ def sequence_similarity(spark, sf):
     return c.join(before, ["conv_id", "turn"]).select("conv_id", "turn", arrow_udfs.similarity("before", "text").alias("similarity"), arrow_udfs.word_sequence_similarity("before", "text").alias("words"))
 
 
-@query()
+_LINKED = "'[Report ' || CAST(doc_id AS VARCHAR) || '](https://example.test/file(7).pdf) ' || text || ' [open](x(1'"
+
+
+@query(f"SELECT doc_id, sha256({_seen(_LINKED)}) AS digest FROM documents")
 def visible_markdown(spark, sf):
-    linked = F.concat(F.lit("[Report "), F.col("doc_id").cast("string"), F.lit("](https://example.test/file(7).pdf) "), F.col("text"))
-    return t(spark, sf, "documents").select("doc_id", X.plain_numbers(arrow_udfs.visible_markdown(linked)).alias("numbers"))
+    """Whole texts between a link and one that isn't closed, which stays."""
+    linked = F.concat(F.lit("[Report "), F.col("doc_id").cast("string"), F.lit("](https://example.test/file(7).pdf) "), F.col("text"), F.lit(" [open](x(1"))
+    return t(spark, sf, "documents").select("doc_id", F.sha2(X.without_links(linked), 256).alias("digest"))
 
 
-@query("""WITH s AS (SELECT doc_id, trim(regexp_replace(lower(substr(text, 1, 120)), '[^a-z0-9]+', '-', 'g'), '-') AS s FROM documents)
+@query("""WITH s AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-') AS s FROM documents)
 SELECT doc_id, CASE WHEN s = '' THEN 'document' ELSE rtrim(substr(s, 1, 60), '-') END AS slug FROM s""")
 def slugs(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", X.slugify(F.substring("text", 1, 120)).alias("slug"))
+    return t(spark, sf, "documents").select("doc_id", X.slugify(F.col("text")).alias("slug"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE lpad(CAST(year(o_orderdate) AS VARCHAR), 4, '0') || '-' || lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') || '-' || lpad(CAST(day(o_orderdate) AS VARCHAR), 2, '0') END AS day FROM orders""")

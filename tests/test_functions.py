@@ -3,6 +3,7 @@
 import re
 
 import pytest
+import regex
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -50,8 +51,29 @@ def test_functions_equal_their_python_twins(spark, texts):
 
 def test_visible_markdown(spark):
     cases = ["[Report 2024](https://example.test/file(7).pdf)", "[a](b\\)c) d", "[open](x", "no [link] (here)", "[a][b](c)", None]
-    got = column(spark, cases, lambda: arrow_udfs.visible_markdown("t"))
+    got = column(spark, cases, lambda: X.without_links(F.col("t")))
     assert got == ["Report 2024", "a d", "[open](x", "no [link] (here)", "a][b", None]
+    deep = ["[a](" + "(" * 6 + ")" * 6 + ") 1", "x" * 200_000 + "[b](1)", "[" * 5000 + "](2", "[c](" + "\\(" * 3000 + ")", "](" * 3000]
+    assert column(spark, deep, lambda: X.without_links(F.col("t"))) == ["a 1", "x" * 200_000 + "b", deep[2], "c", deep[4]]
+
+
+_LINK = regex.compile(r"\[((?:(?!\]\()[\s\S])*+)\]\((?P<target>(?:[^()]|(?<=\\)[()]|(?<!\\)\((?&target)(?<!\\)\))*+)(?<!\\)\)")
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from(["[", "]", "](", "(", ")", "\\", "a", "1", "\n", " "]), max_size=16).map("".join), min_size=30, max_size=60))
+def test_links_equal_a_recursive_pattern(spark, texts):
+    got = column(spark, texts, lambda: X.without_links(F.col("t")))
+    assert got == [_LINK.sub(lambda m: m.group(1), t) for t in texts]
+
+
+def test_numbers_of_link_targets_do_not_count(spark):
+    a, b = "Total 5 [Report](https://x.test/12.pdf)", "Total 5 Report"
+    pairs = [(a, b), (a, b.replace("5", "6")), (a, "Total 5 [Report](https://x.test/99.pdf)")]
+    candidate = column(spark, pairs, lambda: rules.candidate_flags(F.col("t"), F.col("m")), "t string, m string")
+    assert candidate == [[], ["candidate-numeric-disagreement"], []]
+    page = column(spark, pairs, lambda: rules.page_flags(F.col("t"), F.col("t"), F.lit("ocr"), F.lit(0.9), F.col("m")), "t string, m string")
+    assert page == [[], ["native-ocr-numeric-disagreement"], []]
 
 
 def test_empty_fences_dates_romans_labels(spark):

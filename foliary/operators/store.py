@@ -1,56 +1,120 @@
-"""A folder of tables in immutable versions. A change writes the next version in full, then names it current; readers see one
-version throughout, and a writer that is lost leaves the current one as it was."""
+"""A folder of tables in immutable versions. A change writes its rows under a name of their own and then claims the next version
+number; readers see one version throughout, and a writer that is lost, or that another writer has overtaken, leaves the current
+one as it was. A version is a list of data folders, so that appending writes only what is new."""
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from foliary.operators import versions
 from foliary.schemas import KEYS, SURVIVING, TABLES
 
+#: Seconds after which a claimed version without content counts as its lost writer's.
+ABANDONED = 600
+
+
+class Conflict(RuntimeError):
+    """Another writer has taken the version that this one was to become."""
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/current"
-
     def _files(self):
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return jvm.org.apache.hadoop.fs, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def version(self, name: str) -> int:
-        """Number of the current version, 0 before the first: the greatest marker file."""
+    def _state(self, name: str) -> tuple[int, list[str], int]:
+        """(current version or 0, its folders, next free number). Markers that are claimed but not written don't count; those of
+        lost writers, claimed ``ABANDONED`` seconds ago, are passed over."""
         hadoop, fs = self._files()
-        folder = hadoop.Path(self._pointer(name))
-        if not fs.exists(folder):
-            return 0
-        return max((int(f.getPath().getName()) for f in fs.listStatus(folder)), default=0)
+        folder = hadoop.Path(f"{self.root}/{name}/current")
+        markers = sorted(fs.listStatus(folder), key=lambda f: -int(f.getPath().getName())) if fs.exists(folder) else []
+        free = 0
+        for status in markers:
+            number = int(status.getPath().getName())
+            stream = fs.open(status.getPath())
+            try:
+                text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if text.endswith("\n"):
+                return number, json.loads(text), max(free, number + 1)
+            if time.time() - status.getModificationTime() / 1000 > ABANDONED:
+                free = max(free, number + 1)
+        return 0, [], max(free, 1)
+
+    def version(self, name: str) -> int:
+        """Number of the current version, 0 before the first."""
+        return self._state(name)[0]
 
     def read(self, name: str) -> DataFrame:
-        at = self.version(name)
-        if not at:
+        return self._read(name, self._state(name)[1])
+
+    def _read(self, name: str, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}/v{at}")
+        return self.spark.read.schema(TABLES[name]).parquet(*(f"{self.root}/{name}/{f}" for f in folders))
+
+    def _write(self, name: str, rows: DataFrame) -> str:
+        own = self.spark.createDataFrame([], TABLES[name])
+        folder = f"data-{uuid.uuid4().hex}"
+        own.unionByName(rows, allowMissingColumns=True).select(*own.columns).write.option("compression", "zstd").parquet(f"{self.root}/{name}/{folder}")
+        return folder
 
-    def replace(self, name: str, rows: DataFrame) -> None:
-        at = self.version(name) + 1
-        typed = self.spark.createDataFrame([], TABLES[name]).unionByName(rows, allowMissingColumns=True).select(*self.spark.createDataFrame([], TABLES[name]).columns)
-        typed.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{name}/v{at}")
+    def _claim(self, name: str, base: int, folders: list[str]) -> None:
+        at, _, free = self._state(name)
         hadoop, fs = self._files()
-        fs.create(hadoop.Path(f"{self._pointer(name)}/{at}"), False).close()  # fails if another writer was first
+        fs.mkdirs(hadoop.Path(f"{self.root}/{name}/current"))
+        try:
+            if at != base:
+                raise Conflict(f"{name}: version {at} has followed version {base}")
+            stream = fs.create(hadoop.Path(f"{self.root}/{name}/current/{free}"), False)
+        except Py4JJavaError as error:
+            if "exists" not in str(error.java_exception):
+                raise
+            raise Conflict(f"{name}: version {free} is claimed") from error
+        stream.writeBytes(json.dumps(folders) + "\n")
+        stream.close()
+
+    def replace(self, name: str, rows: DataFrame, base: int | None = None) -> None:
+        """``rows`` become the table, unless its version is no longer ``base`` (by default the one at the call)."""
+        base = self.version(name) if base is None else base
+        self._claim(name, base, [self._write(name, rows)])
+
+    def append(self, name: str, rows: DataFrame, attempts: int = 20) -> None:
+        """Adds rows; to a version that another writer has made meanwhile they are added too."""
+        folder = self._write(name, rows)
+        for n in range(attempts):
+            at, folders, _ = self._state(name)
+            try:
+                return self._claim(name, at, [*folders, folder])
+            except Conflict:
+                if n + 1 == attempts:
+                    raise
+                time.sleep(0.05 * n)
+
+    def compact(self, name: str) -> None:
+        """The same rows in one folder."""
+        at, folders, _ = self._state(name)
+        if len(folders) > 1:
+            self.replace(name, self._read(name, folders), at)
 
     def insert_or_ignore(self, name: str, rows: DataFrame) -> None:
-        self.replace(name, versions.insert_or_ignore(self.read(name), self._filled(name, rows), KEYS[name]))
+        at, folders, _ = self._state(name)
+        self.replace(name, versions.insert_or_ignore(self._read(name, folders), self._filled(name, rows), KEYS[name]), at)
 
     def upsert(self, name: str, rows: DataFrame) -> None:
         surviving = SURVIVING if name == "census_records" else []
-        self.replace(name, versions.upsert(self.read(name), self._filled(name, rows), KEYS[name][0], surviving))
-
-    def append(self, name: str, rows: DataFrame) -> None:
-        self.replace(name, self.read(name).unionByName(self._filled(name, rows)))
+        at, folders, _ = self._state(name)
+        self.replace(name, versions.upsert(self._read(name, folders), self._filled(name, rows), KEYS[name][0], surviving), at)
 
     def _filled(self, name: str, rows: DataFrame) -> DataFrame:
         own = self.spark.createDataFrame([], TABLES[name])

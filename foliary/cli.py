@@ -5,14 +5,15 @@ from __future__ import annotations
 import argparse
 import importlib
 import json
+import time
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from foliary.operators import publish, workflow
+from foliary.operators import acquire, publish, workflow
 from foliary.operators.store import Store
 from foliary.schemas import TABLES
-from foliary.sources import snapshots
+from foliary.sources import documents, snapshots
 from foliary.sources.http_json import PagedJson
 
 
@@ -23,6 +24,12 @@ def parser() -> argparse.ArgumentParser:
     c.add_parser("init")
     c.add_parser("ingest").add_argument("path")
     c.add_parser("ingest-manifest").add_argument("path")
+    for name in ("acquire-census", "download"):
+        x = c.add_parser(name)
+        x.add_argument("--batch", type=int, default=1000)
+        x.add_argument("--seconds", type=float, default=0, help="stop before the next batch after so many")
+        x.add_argument("--retry-failed", action="store_true")
+        x.add_argument("--least-free", type=int, default=0, help="bytes that must be free")
     x = c.add_parser("process")
     x.add_argument("--extractor", required=True, help="module:attribute of a page extractor")
     x.add_argument("--config")
@@ -73,10 +80,13 @@ def run(a: argparse.Namespace, store: Store) -> dict:
                 store.replace(name, store.read(name))
         return {"tables": sorted(TABLES)}
     if a.command == "ingest":
-        return {"documents": workflow.ingest(store, a.path).count()}
+        rejected = [r.asDict() for r in documents.not_originals(store.spark, a.path).orderBy("path").collect()]
+        return {"documents": workflow.ingest(store, a.path).count()} | ({"rejected": rejected} if rejected else {})
     if a.command == "ingest-manifest":
-        files = [r.file for r in snapshots.manifest(store.spark, a.path).where("file IS NOT NULL").select("file").collect()]  # a manifest names a handful
-        return {"documents": [workflow.ingest(store, f).count() for f in files][-1:]}
+        return {"entries": acquire.ingest_manifest(store, a.path), "documents": store.read("documents").count()}
+    if a.command in ("acquire-census", "download"):
+        deadline = time.time() + a.seconds if a.seconds else None
+        return acquire.drain(store, a.batch, deadline, a.retry_failed, a.least_free)
     if a.command == "process":
         module, _, name = a.extractor.partition(":")
         config = {}
@@ -117,7 +127,7 @@ def run(a: argparse.Namespace, store: Store) -> dict:
     if a.command == "prepare-publication":
         return workflow.prepare_publication(store, a.path, a.house, a.parliament, a.session, a.policy).first().asDict()
     if a.command == "verify-publication":
-        return {"problems": [r.asDict() for r in workflow.verify_publication(store, a.path).limit(100).collect()]}
+        return {"problems": [r.asDict() for r in workflow.verify_publication(store, a.path).collect()]}
     raise ValueError(a.command)
 
 

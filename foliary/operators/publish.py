@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import itertools
 import os
 import tarfile
 from collections.abc import Iterator
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary.operators.integrity import compare_files
+from foliary.operators.staging import stage
+from foliary.sources import files
 
 
 def document_text(pages: DataFrame, keys: list[str], order: str, text: str, separator: str = "\n\n") -> DataFrame:
@@ -27,59 +30,84 @@ def write_tables(documents: DataFrame, pages: DataFrame, path: str) -> None:
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:
-    """gzip JSON lines; Spark's text writers have no zstd here, see write_zstd_lines."""
+    """gzip JSON lines; Spark's text writers have no zstd here, see ``write_zstd_lines``."""
     rows.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
-
-def zstd_lines(rows: DataFrame, level: int = 10, lines_per_block: int = 50_000) -> DataFrame:
-    """(part, content): JSON lines with sorted keys as zstd frames, one per block of lines of a partition; frames of a
-    partition, joined in order, are one valid file."""
+def write_zstd_lines(rows: DataFrame, path: str, level: int = 10, lines_per_block: int = 50_000) -> DataFrame:
+    """JSON lines with sorted keys as zstd files, one per partition, each a sequence of frames of so many lines. Written by the
+    tasks; returns part, path, lines, size, hash, staged."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
         from pyspark import TaskContext
 
-        part, held, n = TaskContext.get().partitionId(), [], 0
-        pack = lambda: pd.DataFrame({"part": [part], "block": [n], "content": [zstandard.ZstdCompressor(level=level).compress("".join(f"{x}\n" for x in held).encode())]})
+        context, held, lines = TaskContext.get(), [], 0
+        target = f"{path}/part-{context.partitionId():05d}.jsonl.zst"
+        pack = lambda: zstandard.ZstdCompressor(level=level).compress("".join(f"{x}\n" for x in held).encode())
+        with files.Writing(target, str(context.taskAttemptId())) as out:
+            for batch in batches:
+                for line in batch["line"]:
+                    held.append(line)
+                    lines += 1
+                    if len(held) == lines_per_block:
+                        out.write(pack())
+                        held = []
+            if held:
+                out.write(pack())
+        yield pd.DataFrame({"part": [context.partitionId()], "path": [target], "lines": [lines], "size": [out.size], "hash": [out.digest.hexdigest()]})
+
+    lines = rows.select(F.to_json(F.struct(*(F.col(c) for c in sorted(rows.columns)))).alias("line"))
+    return stage(lines.mapInPandas(run, "part int, path string, lines long, size long, hash string"), "zstd-lines")
+
+
+def read_zstd_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of zstd JSON lines, read as streams; a line that isn't JSON of the schema is an error."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
         for batch in batches:
-            for line in batch["line"]:
-                held.append(line)
-                if len(held) == lines_per_block:
-                    yield pack()
-                    held, n = [], n + 1
-        if held:
-            yield pack()
+            for name in batch["path"]:
+                with files.open_stream(name) as raw:
+                    text = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True), encoding="utf-8", newline="\n")
+                    while block := list(itertools.islice(text, 1000)):
+                        yield pd.DataFrame({"line": [x.rstrip("\n") for x in block]})
 
-    return rows.select(F.to_json(F.struct(*(F.col(c) for c in sorted(rows.columns)))).alias("line")).mapInPandas(run, "part int, block int, content binary")
+    lines = files.listing(spark, path).select("path").mapInPandas(run, "line string")
+    return lines.select(F.from_json("line", schema, {"mode": "FAILFAST"}).alias("x")).select("x.*")
 
 
-def tar_shards(members: DataFrame) -> DataFrame:
-    """(shard, content): archives with the same headers whenever they are made (time 0, user 0), members sorted by key and
-    name, a shard per partition. Columns key, name, content."""
+def write_tar_shards(members: DataFrame, path: str) -> DataFrame:
+    """Archives with the same headers whenever they are made (time 0, user 0), members sorted by key and name, a shard per
+    partition. Columns key, name, content. Written by the tasks as streams; returns shard, path, members, size, hash, staged."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        data = io.BytesIO()
-        n = 0
-        with tarfile.open(fileobj=data, mode="w", format=tarfile.PAX_FORMAT) as tar:
-            for batch in batches:
-                for name, content in zip(batch["name"], batch["content"], strict=True):
-                    info = tarfile.TarInfo(name)
-                    info.size, info.mtime, info.mode = len(content), 0, 0o644
-                    tar.addfile(info, io.BytesIO(bytes(content)))
-                    n += 1
-        if n:
-            yield pd.DataFrame({"shard": [TaskContext.get().partitionId()], "members": [n], "content": [data.getvalue()]})
-
-    return members.repartitionByRange("key").sortWithinPartitions("key", "name").mapInPandas(run, "shard int, members int, content binary")
+        context, n = TaskContext.get(), 0
+        batch = next(batches, None)
+        if batch is None:
+            return
+        target = f"{path}/shard-{context.partitionId():05d}.tar"
+        with files.Writing(target, str(context.taskAttemptId())) as out:
+            with tarfile.open(fileobj=out, mode="w|", format=tarfile.PAX_FORMAT) as tar:
+                for part in itertools.chain([batch], batches):
+                    for name, content in zip(part["name"], part["content"], strict=True):
+                        info = tarfile.TarInfo(name)
+                        info.size, info.mtime, info.mode = len(content), 0, 0o644
+                        tar.addfile(info, io.BytesIO(bytes(content)))
+                        n += 1
+        yield pd.DataFrame({"shard": [context.partitionId()], "path": [target], "members": [n], "size": [out.size], "hash": [out.digest.hexdigest()]})
+
+    sorted_members = members.repartitionByRange("key").sortWithinPartitions("key", "name")
+    return stage(sorted_members.mapInPandas(run, "shard int, path string, members long, size long, hash string"), "tar-shards")
 
 
 def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """path, size, hash of every file under a folder, paths relative to it."""
-    x = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return x.select(F.regexp_replace("path", f"^.*{os.path.basename(path.rstrip('/'))}/", "").alias("path"), F.col("length").alias("size"), F.sha2("content", 256).alias("hash"))
+    """path, size, hash of every file under a folder, paths relative to it; files are read in blocks, whatever their size."""
+    relative = F.regexp_replace("path", f"^.*{os.path.basename(path.rstrip('/'))}/", "")
+    return files.hashed(files.listing(spark, path)).withColumn("path", relative)
 
 
 def verify(spark: SparkSession, path: str, expected: DataFrame) -> DataFrame:

@@ -30,7 +30,8 @@ def current_pages(store: Store) -> DataFrame:
 
 
 def ingest(store: Store, path: str) -> DataFrame:
-    """Register the PDF files under a path; the same bytes are one document with several sources. Returns the new state."""
+    """Register the PDF files under a path; the same bytes are one document with several sources. Returns the new state; what
+    isn't a PDF is in ``documents.not_originals``."""
     files = originals_source.originals(store.spark, path)
     originals_source.store(files, f"{store.root}/originals")
     rows = files.select("sha256", "size_bytes", F.lit("application/pdf").alias("media_type"), F.col("path").alias("raw_path"), F.current_timestamp().alias("created_at"))

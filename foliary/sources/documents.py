@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import io
+import hashlib
 import os
 import tarfile
 import tempfile
+import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -13,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliary.sources import files, http_json
+
 PAGE = "document_sha256 string, page_number int, text string, markdown string, width double, height double, mean_confidence double, text_items int, reasons array<string>, full_page_image boolean, error string"
 
 
@@ -31,10 +34,51 @@ def originals(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
 
 
 def not_originals(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
+    """path, error of the files that ``originals`` leaves out."""
     x = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     return x.where(F.substring("content", 1, 5) != F.lit(b"%PDF-")).select("path", F.lit("not a PDF").alias("error"))
 
 
+FETCHED = "url string, sha256 string, size_bytes long, content binary, error string"
+
+
+def fetched(entries: DataFrame, opener: Callable[[str, float], bytes] = http_json.open_url, attempts: int = 5, timeout: float = 90, pause: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Contents of entries (file, url, sha256): the file if it is there, else the URL's bytes. An entry whose bytes aren't a PDF,
+    don't have the expected hash or can't be had gives a row with its error, never nothing. Entries are dealt over the cluster."""
+
+    def content_of(file: str | None, url: str | None) -> bytes:
+        if file:
+            try:
+                with files.open_stream(file) as stream:
+                    return stream.read()
+            except FileNotFoundError:
+                if not url:
+                    raise
+        if not url:
+            raise ValueError("neither a file nor a URL")
+        return http_json.download(url, attempts, timeout, opener, pause)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file, url, expected in zip(batch["file"], batch["url"], batch["sha256"], strict=True):
+                row = {"url": url or file, "sha256": expected, "size_bytes": None, "content": None, "error": None}
+                try:
+                    content = content_of(file, url)
+                    found = hashlib.sha256(content).hexdigest()
+                    row |= {"sha256": found, "size_bytes": len(content)}
+                    if content[:5] != b"%PDF-":
+                        raise ValueError(f"Not a PDF: it begins with {content[:20]!r}")
+                    if expected and expected != found:
+                        raise ValueError(f"SHA-256 is {found}, not {expected}")
+                    row["content"] = content
+                except Exception as error:
+                    row["error"] = f"{type(error).__name__}: {error}"
+                yield pd.DataFrame([row], dtype=object)
+
+    spread = entries.select("file", "url", "sha256").repartition(F.coalesce("url", "file"))
+    return spread.mapInPandas(run, FETCHED)
+
+
 def store(files: DataFrame, path: str) -> None:
     """One row per distinct content, partitioned by the hash's beginning; what is there already isn't written again."""
     spark = files.sparkSession
@@ -79,25 +123,27 @@ def two_pass(files: DataFrame, extractor: PageExtractor, reasons: Callable[[Data
 
 
 def archive_members(spark: SparkSession, path: str, most_bytes: int = 1 << 30) -> DataFrame:
-    """Members of tar archives (plain, gzip or zstd): archive, name, size, content. A member above ``most_bytes`` is an error."""
+    """Members of tar archives (plain, gzip or zstd): archive, name, size, content. Archives of any size are read as streams, a
+    member at a time; a member above ``most_bytes`` is an error before it is read."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                data = io.BytesIO(bytes(content))
-                if name.endswith(".zst"):
-                    import zstandard
-
-                    data = io.BytesIO(zstandard.ZstdDecompressor().stream_reader(data).read())
-                with tarfile.open(fileobj=data, mode="r:*") as tar:
-                    for member in tar:
-                        if not member.isfile():
-                            continue
-                        if member.size > most_bytes:
-                            raise ValueError(f"{name}: {member.name} has {member.size} bytes")
-                        yield pd.DataFrame({"archive": [name], "name": [member.name], "size": [member.size], "content": [tar.extractfile(member).read()]})
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, name string, size long, content binary")
+            for name in batch["path"]:
+                with files.open_stream(name) as raw:
+                    data = raw
+                    if name.endswith(".zst"):
+                        import zstandard
+
+                        data = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True)
+                    with tarfile.open(fileobj=data, mode="r|gz" if name.endswith("gz") else "r|") as tar:
+                        for member in tar:
+                            if not member.isfile():
+                                continue
+                            if member.size > most_bytes:
+                                raise ValueError(f"{name}: {member.name} has {member.size} bytes")
+                            yield pd.DataFrame({"archive": [name], "name": [member.name], "size": [member.size], "content": [tar.extractfile(member).read()]})
+
+    return files.listing(spark, path).select("path").mapInPandas(run, "archive string, name string, size long, content binary")
 
 
 def with_file(content: bytes, suffix: str, use: Callable[[str], object]):

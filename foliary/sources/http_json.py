@@ -4,6 +4,7 @@ The transport is a parameter, so that tests and other transports need no network
 
 from __future__ import annotations
 
+import http.client
 import json
 import time
 import urllib.error
@@ -28,12 +29,12 @@ def build_url(url: str, params: dict | None) -> str:
 
 
 def request_json(url: str, params: dict | None = None, attempts: int = 5, timeout: float = 90, opener: Open = open_url, sleep: Callable[[float], None] = time.sleep):
-    """Parsed answer; connection, time-out and JSON errors are tried again after 1, 2, 4, ... (at most 30) seconds."""
+    """Parsed answer; connection and time-out errors, truncated answers and bad JSON are tried again after 1, 2, 4, ... (at most 30) seconds."""
     full, last = build_url(url, params), None
     for n in range(attempts):
         try:
             return json.loads(opener(full, timeout))
-        except (urllib.error.URLError, TimeoutError, OSError, ValueError) as error:
+        except (urllib.error.URLError, http.client.HTTPException, TimeoutError, OSError, ValueError) as error:
             last = error
             if n + 1 < attempts:
                 sleep(min(2**n, 30))
@@ -66,7 +67,7 @@ def download(url: str, attempts: int = 5, timeout: float = 90, opener: Open = op
                 continue
             if 400 <= error.code < 500:
                 break
-        except OSError as error:
+        except (http.client.HTTPException, OSError) as error:
             last = error
         sleep(min(2**n, 30))
     raise RuntimeError(f"{url}: {last}") from last

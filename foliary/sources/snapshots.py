@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary.operators.integrity import duplicates, positions, require_none
+from foliary.sources import files
 
 RECORD = (
     "record_id string, source_type string, house string, parliament_number string, session string, document_number string, document_subtype string, document_date string, title string, ministry string, "
@@ -74,9 +75,8 @@ def last_json(text: str) -> dict:
 
 
 def archive_index(spark: SparkSession, path: str, exclude: str = r"\.(?:lock|tmp)$") -> DataFrame:
-    """path, bytes and SHA-256 of every file under a folder."""
-    x = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(~F.col("path").rlike(exclude))
-    return x.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("hash"))
+    """path, bytes and SHA-256 of every file under a folder; files are read in blocks."""
+    return files.hashed(files.listing(spark, path).where(~F.col("path").rlike(exclude)))
 
 
 def inventory_digest(rows: list[tuple[str, int, str]]) -> str:

@@ -34,3 +34,13 @@ def word_sequence_similarity(left: pd.Series, right: pd.Series) -> pd.Series:
 def canonical_json(values: pd.Series) -> pd.Series:
     """JSON text with sorted keys and characters as they are."""
     return values.map(lambda t: None if t is None else json.dumps(json.loads(t), ensure_ascii=False, sort_keys=True))
+
+
+def exact_round(places: int):
+    """Rounding of the exact binary value, ties to even, as Python does: built-in rounding starts from the shortest decimal."""
+
+    @F.pandas_udf(DoubleType())
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: None if x is None or x != x else round(x, places))
+
+    return run

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliary.functions import text as X
-from foliary.operators import publish
+from foliary.operators import integrity, layers, publish, staging
 from foliary.operators.staging import new_path
 from foliary.plans.catalog import query
 from foliary.plans.frames import t
-from foliary.sources import payloads, snapshots
+from foliary.sources import documents, payloads, snapshots
 
 
 @query("SELECT source, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars, min(sha256(text)) AS least_digest FROM documents GROUP BY 1")
@@ -21,19 +21,27 @@ def json_lines_round_trip(spark, sf):
     return back.groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.min(F.sha2("text", 256)).alias("least_digest"))
 
 
-@query()
+@query("SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS size, sha256(html) AS hash, true AS as_listed FROM pages")
 def bundle_verify(spark, sf):
-    """Pages as archives with fixed headers: checksums of the written files against those of a second writing."""
-    pages = t(spark, sf, "pages").select(F.lpad(F.col("page_id").cast("string"), 12, "0").alias("key"), F.concat(F.lpad(F.col("page_id").cast("string"), 12, "0"), F.lit(".html")).alias("name"), F.encode("html", "utf-8").alias("content"))
-    digest = lambda: publish.tar_shards(pages).select("shard", "members", F.sha2("content", 256).alias("hash"), F.length("content").cast("long").alias("size"))
-    a, b = digest().withColumn("path", F.col("shard").cast("string")), digest().withColumn("path", F.col("shard").cast("string"))
-    return publish.compare_files(a, b)
-
-
-@query()
+    """Pages as archives: written by the tasks, then read back by member, each archive against the hash that its writer gave."""
+    name = F.lpad(F.col("page_id").cast("string"), 12, "0")
+    pages = t(spark, sf, "pages").select(name.alias("key"), F.concat(name, F.lit(".html")).alias("name"), F.encode("html", "utf-8").alias("content"))
+    path = new_path(spark, "bundle")
+    written = publish.write_tar_shards(pages, path)
+    wanted = written.select(F.element_at(F.split("path", "/"), -1).alias("path"), "size", "hash")
+    same = integrity.compare_files(wanted, publish.checksums(spark, path)).select(F.col("path").alias("shard"), (F.col("state") == "same").alias("as_listed"))
+    members = documents.archive_members(spark, path).withColumn("shard", F.element_at(F.split("archive", "/"), -1))
+    read = members.select(F.regexp_extract("name", "([0-9]+)[.]html$", 1).cast("long").alias("page_id"), "size", F.sha2("content", 256).alias("hash"), "shard")
+    return read.join(F.broadcast(same), "shard").drop("shard")
+
+
+@query("SELECT doc_id, source, sha256(text) AS digest FROM documents")
 def zstd_lines(spark, sf):
-    x = publish.zstd_lines(t(spark, sf, "documents").select("doc_id", "text", "source"))
-    return x.select("part", "block", F.length("content").cast("long").alias("size"))
+    """Documents as zstd JSON lines and back."""
+    path = new_path(spark, "lines")
+    publish.write_zstd_lines(t(spark, sf, "documents").select("doc_id", "text", "source"), path, lines_per_block=400)
+    back = publish.read_zstd_lines(spark, path, "doc_id long, source string, text string")
+    return back.select("doc_id", "source", F.sha2("text", 256).alias("digest"))
 
 
 @query("""SELECT 'rs_qsl' || CAST(l_orderkey AS VARCHAR) || '_en' AS record_id, count(DISTINCT l_suppkey) AS members, CAST(min(l_linenumber) AS VARCHAR) AS document_number FROM lineitem GROUP BY l_orderkey""")
@@ -94,3 +102,28 @@ def snapshot_import(spark, sf):
     path = new_path(spark, "files")
     snapshots.export_snapshot(c.select(F.concat(F.lit("elibrary_"), F.col("c_custkey").cast("string")).alias("record_id"), F.col("n_name").alias("house"), F.col("c_mktsegment").alias("session")), path)
     return snapshots.import_snapshot(spark, path, source="elibrary").groupBy("house", "session").agg(F.count("*").alias("n"))
+
+
+_POSITIONS = "(SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, CAST(doc_id AS VARCHAR) AS key, CAST(n_chars AS BIGINT) AS chars FROM documents)"
+
+
+def _layer(spark, sf):
+    """A layer over all documents, stopped in the middle of a shard and resumed; and its inventory."""
+    d = t(spark, sf, "documents").select("doc_id", F.col("doc_id").cast("string").alias("key"), F.col("n_chars").cast("long").alias("chars"))
+    inventory = staging.stage(integrity.positions(d, ["doc_id"]), "inventory")
+    layer, total = layers.Layer(spark, new_path(spark, "layer"), "chars", "chars long"), inventory.count()
+    layer.add(inventory.where("position < 150"), total)
+    layer.add(inventory.where(F.col("position") >= layer.next_position()), total)
+    return layer, inventory
+
+
+@query(f"SELECT position, key, chars, position // 100 AS shard FROM {_POSITIONS}")
+def layer_resume(spark, sf):
+    layer, inventory = _layer(spark, sf)
+    return layer.read(inventory)
+
+
+@query(f"SELECT position // 100 AS shard, min(position) AS first, max(position) AS last, count(*) AS n_rows, 'chars' AS layer FROM {_POSITIONS} GROUP BY 1, 5")
+def shard_verify(spark, sf):
+    """The manifest that the layer's readers hold its shards against."""
+    return _layer(spark, sf)[0].manifest().drop("digest")

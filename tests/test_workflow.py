@@ -1,6 +1,9 @@
 """The store and its commands from empty tables to a verified publication."""
 
+import hashlib
 import json
+import os
+import shutil
 import sys
 import types
 
@@ -8,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliary import cli
-from foliary.operators import workflow
-from foliary.operators.store import Store
+from foliary.functions import arrow_udfs
+from foliary.operators import acquire, layers, reports, workflow
+from foliary.operators.store import Conflict, Store
 
 
 def extractor():
@@ -98,10 +102,145 @@ def test_publication(spark, store):
 def test_a_changed_configuration_is_pending_again(spark, store):
     s, run, _, root = store
     assert workflow.pending(s, "{}").count() == 0 and workflow.pending(s, '{"dpi": 300}').count() == 2
-    with pytest.raises(Exception, match=r"(?i)exist"):
-        at = s.version("census_runs")
-        hadoop, fs = s._files()
-        fs.create(hadoop.Path(f"{s._pointer('census_runs')}/{at}"), False).close()
+
+
+def test_two_writers(spark, tmp_path):
+    schema = "id long, source string, status string"
+    a, b = Store(spark, str(tmp_path / "s")), Store(spark, str(tmp_path / "s"))
+    one = lambda i: spark.createDataFrame([(i, "s", "complete")], schema)
+    a.append("census_runs", one(1))
+    base = a.version("census_runs")
+    b.append("census_runs", one(2))  # follows the version that a has read
+    with pytest.raises(Conflict):
+        a.replace("census_runs", one(9), base)
+    read = lambda: sorted(r.id for r in a.read("census_runs").collect())
+    assert read() == [1, 2]
+    folders = lambda: len(a._state("census_runs")[1])
+    a.append("census_runs", one(3))
+    assert read() == [1, 2, 3] and folders() == 3
+    a.compact("census_runs")
+    assert read() == [1, 2, 3] and folders() == 1
+    # a writer that has claimed a version and was lost: others wait for it, then pass it over
+    marker = tmp_path / "s" / "census_runs" / "current" / "5"
+    marker.touch()
+    with pytest.raises(Conflict):
+        a.replace("census_runs", one(4))
+    assert read() == [1, 2, 3]
+    os.utime(marker, (1, 1))
+    a.append("census_runs", one(5))
+    assert read() == [1, 2, 3, 5] and a.version("census_runs") == 6
+
+
+def test_manifests_and_acquisition(spark, tmp_path):
+    (tmp_path / "local.pdf").write_text("%PDF-1 local")
+    good = hashlib.sha256(b"%PDF-1 local").hexdigest()
+
+    def opener():
+        calls = {}
+
+        def open_(url, timeout):
+            import http.client
+
+            calls[url] = calls.get(url, 0) + 1
+            if "cut" in url and calls[url] == 1:
+                raise http.client.IncompleteRead(b"%PD")
+            if "gone" in url:
+                raise OSError("no route")
+            return b"<html>" if url.endswith(".htm") else b"%PDF-1 " + url.encode()
+
+        return open_
+
+    quiet = {"opener": opener(), "attempts": 2, "pause": lambda s: None}
+    s = Store(spark, str(tmp_path / "s"))
+    path = tmp_path / "manifest.json"
+    path.write_text(json.dumps({"samples": [{"file": "local.pdf", "sha256": good}, {"url": "http://x/cut.pdf"}, {"file": "none.pdf", "url": "http://x/b.pdf"}]}))
+    assert acquire.ingest_manifest(s, str(path), **quiet) == 3 and s.read("documents").count() == 3
+    path.write_text(json.dumps({"documents": [{"file": "local.pdf", "sha256": "0" * 64}, {"file": "none.pdf"}, {"url": "http://x/a.htm"}, {"url": "http://x/c.pdf"}]}))
+    with pytest.raises(ValueError, match="could not be had") as error:
+        acquire.ingest_manifest(s, str(path), **quiet)
+    assert all(x in str(error.value) for x in ("SHA-256 is", "none.pdf", "Not a PDF")) and s.read("documents").count() == 4
+    urls = ["http://x/1.pdf", "http://x/2.pdf", "http://x/1.pdf", "http://x/a.htm", "http://x/gone.pdf", ""]
+    s.replace("census_records", spark.createDataFrame([(f"r{i}", u, "discovered") for i, u in enumerate(urls)], "record_id string, source_url string, acquisition_status string"))
+    assert acquire.drain(s, 2, deadline=0.0, clock=lambda: 1.0) == {"batches": 0, "tried": 0, "failed": 0, "stopped": "deadline"}
+    assert acquire.drain(s, 2, least_free=1 << 62)["stopped"] == "disk"
+    assert acquire.drain(s, 2, **quiet) == {"batches": 3, "tried": 5, "failed": 2, "stopped": "empty"}
+    state = {r.record_id: r for r in s.read("census_records").collect()}
+    assert [state[f"r{i}"].acquisition_status for i in range(6)] == ["downloaded", "downloaded", "downloaded", "failed", "failed", "discovered"]
+    assert state["r0"].document_sha256 == state["r2"].document_sha256 and "Not a PDF: " in state["r3"].last_error and "no route" in state["r4"].last_error
+    assert acquire.drain(s, 2, **quiet)["tried"] == 0
+    again = acquire.drain(s, 2, retry_failed=True, opener=lambda url, timeout: b"%PDF-2", attempts=1)
+    assert (again["tried"], again["failed"]) == (2, 0) and s.read("census_records").where("last_error IS NOT NULL").count() == 0
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.pdf").write_text("no")
+    got = cli.main(["--store", str(tmp_path / "s"), "ingest", str(tmp_path / "in")], spark)
+    assert [r["error"] for r in got["rejected"]] == ["not a PDF"]
+
+
+def test_layers(spark, tmp_path):
+    pages = spark.createDataFrame([(d, p) for d in ("a", "b", "c") for p in range(1, 6)], "document_sha256 string, page_number int")
+    records = spark.createDataFrame([("a", "downloaded"), ("b", "downloaded"), ("c", "downloaded"), ("a", "downloaded")], "document_sha256 string, acquisition_status string")
+    inventory = layers.inventory(pages, records)
+    assert [(r.position, r.key) for r in inventory.orderBy("position").collect()][:6] == [(0, "a:1"), (1, "a:2"), (2, "a:3"), (3, "a:4"), (4, "a:5"), (5, "b:1")]
+    with pytest.raises(ValueError, match="all their pages"):
+        layers.inventory(pages.where("page_number <> 3 OR document_sha256 <> 'b'"), records)
+    with pytest.raises(ValueError, match="not acquired"):
+        layers.inventory(pages, records.withColumn("acquisition_status", F.lit("discovered")))
+    layer = layers.Layer(spark, str(tmp_path / "layer"), "ocr", "text string", size=4)
+    rows = inventory.withColumn("text", F.concat(F.lit("text of "), "key"))
+    assert layer.add(rows.where("position < 7"), 15) == 1 and layer.next_position() == 4
+    with pytest.raises(ValueError, match="follow each other"):
+        layer.add(rows.where("position >= 8"), 15)
+    assert layer.add(rows, 15) == 3 and layer.add(rows, 15) == 0
+    got = layer.read(inventory)
+    assert got.count() == 15 and got.where("text = concat('text of ', key)").count() == 15
+    with pytest.raises(ValueError, match="inventory doesn't have"):
+        layer.read(inventory.withColumn("key", F.when(F.col("position") == 3, "z:9").otherwise(F.col("key"))))
+    manifest = layer.manifest()
+    lost = spark.createDataFrame(manifest.where("shard <> 1").collect(), manifest.schema)
+    assert {r.problem for r in layers.manifest_problems(lost, 4, 15).collect()} == {"gap"}
+    shutil.rmtree(tmp_path / "layer" / "manifest")
+    manifest = lost.unionByName(lost.where("shard = 0").withColumn("shard", F.lit(1).cast("long")).withColumn("first", F.lit(4).cast("long")).withColumn("last", F.lit(7).cast("long")))
+    manifest.write.parquet(str(tmp_path / "layer" / "manifest"))
+    with pytest.raises(ValueError, match="differ from their manifest"):
+        layer.read(inventory)
+
+
+def test_evidence_of_completion(spark):
+    scopes = spark.createDataFrame([("s1", "t/1"), ("s2", "t/2"), ("s3", "t/3")], "scope string, prefix string")
+    marks = [("s1", "m/1.complete.json", "session-complete", True, None), ("s2", "m/2.snapshot.json", "session-complete", True, None), ("s3", "m/3.skipped.json", "skipped", None, "no records")]
+    markers = spark.createDataFrame(marks, "scope string, path string, kind string, complete boolean, reason string")
+    names = [f"t/{n}/{f}" for n in (1, 2) for f in layers.TRANCHE] + [f"t/3/{f}" for f in layers.TRANCHE[1:]]
+    got = layers.completion_evidence(scopes, markers, spark.createDataFrame([(n,) for n in names], "path string"))
+    assert sorted(map(tuple, got.collect())) == [("s1", True, True, True), ("s2", False, True, False), ("s3", True, False, False)]
+    h = "a" * 64
+    sides = [((h, "r", 3), (h, "r", 3)), ((h, "r", 3), (h, "r", 4)), (("A" * 64, "r", 3), ("A" * 64, "r", 3)), ((h, "", 3), (h, "", 3)), ((None, "r", 3), (None, "r", 3))]
+    names = ("inventory_sha256", "revision", "pages")
+    df = spark.createDataFrame([(i, *a, *b) for i, (a, b) in enumerate(sides)], "i int, a0 string, a1 string, a2 int, b0 string, b1 string, b2 int")
+    same = layers.same_inventory(*({n: F.col(f"{s}{i}") for i, n in enumerate(names)} for s in "ab"))
+    assert [r.x for r in df.select("i", same.alias("x")).orderBy("i").collect()] == [True, False, False, False, False]
+
+
+def test_reports(spark, tmp_path):
+    pages = spark.createDataFrame([(1, 2, "ocr", "review"), (1, 1, "native", "accepted"), (1, 3, "ocr", "review"), (2, 1, "native", "accepted")], "run_id long, page_number int, route string, validation_status string")
+    assert sorted(map(tuple, reports.run_manifest(pages).collect())) == [(1, 3, 1, 2, [2, 3]), (2, 1, 1, 0, [])]
+    tasks = spark.createDataFrame([("m", True, None, 5), ("m", False, None, 7), ("m", None, "late", None), ("n", None, "late", None)], "model string, agrees boolean, error string, tokens long")
+    found = reports.write_verification(tasks, str(tmp_path / "v"))["models"]
+    assert found == [{"model": "m", "tasks": 3, "errors": 1, "agreed": 1, "tokens": 12, "share": 0.5}, {"model": "n", "tasks": 1, "errors": 1, "agreed": 0, "tokens": 0, "share": None}]
+    assert json.loads((tmp_path / "v" / "report.json").read_text())["models"] == found and "| m | 3 | 1 | 1 |" in (tmp_path / "v" / "report.md").read_text()
+    path = reports.write_audit({"b": 1, "a": {2, 1}}, str(tmp_path))
+    assert json.loads(open(path).read()) == {"a": [1, 2], "b": 1}
+    assert reports.matrix([{"s": "1"}]) == 'matrix={"include":[{"s":"1"}]}\ncount=1\n'
+    documents = spark.createDataFrame([("one", "text", ["r1"]), ("two", None, [])], "slug string, text string, record_ids array<string>")
+    assert reports.write_readable(documents, str(tmp_path / "docs")).count() == 2
+    assert (tmp_path / "docs" / "one" / "document.md").read_text() == "text" and json.loads((tmp_path / "docs" / "one" / "metadata.json").read_text()) == {"record_ids": ["r1"], "slug": "one"}
+    reports.write_card(str(tmp_path / "card"), "Title", {"pages": 3})
+    assert "| pages | 3 |" in (tmp_path / "card" / "README.md").read_text()
+    reports.write_csv_summary(spark.createDataFrame([("a", 1.23456)], "name string, elapsed double"), str(tmp_path / "csv"), ("elapsed",))
+    assert [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "csv")).collect()] == [("a", "1.2346")]
+    assert reports.plain(types.SimpleNamespace(a=(1, {2}), _b=3)) == {"a": [1, [2]]} and reports.raw_count({"files": ["a.pdf", "b.txt"]}) == reports.raw_count({"originals": {"h": 1}}) == 1
+    assert reports.request_digest({"b": 1, "a": 2}) == hashlib.sha256(b'{"b":1,"a":2}').hexdigest()
+    row = spark.range(1).select(reports.model_folder(F.lit("a/b c")).alias("m"), arrow_udfs.exact_round(4)(F.lit(0.12345)).alias("r"), reports.marker_kind(F.lit(None), F.lit(False), F.lit(True)).alias("k")).first()
+    assert tuple(row) == ("a__b__c", round(0.12345, 4), "snapshot-complete")
 
 
 def test_census_of_a_repository_and_of_questions(spark, tmp_path):

@@ -6,14 +6,17 @@ equal passages give equal chunks wherever they stand. A store is a folder of Par
 * ``kind=chunk``: one row per distinct chunk, under its BLAKE2b-128 digest: ids as little-endian unsigned integers of
   ``width`` bytes (2 if the vocabulary allows, else 4);
 * ``kind=doc``: as dealt out by the encoder, one row per document: digests and lengths of its chunks in order;
-* ``recipes``: the same rows in ascending doc_id order (ties: by content) with each document's start in the stream of all
-  documents and the Merkle root of its digests;
-* ``manifest``: per recipe partition its rows, tokens and the Merkle root of its documents' roots.
-
-``write_store`` makes it, ``read_chunks`` reads and verifies chunks, ``verify`` derives each document's checksum from what
-was read, ``reconstruct`` gives back the ids. Null texts are empty: a document of the end id alone. Repeated rows are
-documents of their own that share all chunks. Rows without doc_id come first. Extra columns are ignored; an empty table
-gives an empty store.
+* ``recipes/kind=recipe``: the same rows in ascending doc_id order (ties: by content), each with its partition, page and start
+  in it and the Merkle root of its digests; a page is ``PAGE`` documents in a row;
+* ``recipes/kind=manifest``: a row per page: its start in the partition, documents, tokens and the Merkle root of its
+  documents' roots;
+* ``top``: the Merkle root of all partitions' roots (each that of its pages), with the sums of documents and tokens.
+
+``write_store`` makes it. ``verify`` reads it back: chunks must match their digests, the chunks that were found must give their
+document's root and number of ids, the documents' roots their page's root in the manifest, and the manifest the root on top;
+anything else raises ValueError. ``reconstruct`` gives back the ids. Null texts are empty: a document of the end id alone.
+Repeated rows are documents of their own that share all chunks. Rows without doc_id come first. Extra columns are ignored; an
+empty table gives an empty store. Strings of special tokens in a text become their ids, as in the library's own encoding.
 """
 
 from __future__ import annotations
@@ -21,17 +24,20 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliary.llm.common import quiet_threads, slices, texts, workspace
+from foliary.llm.common import give_back, quiet_threads, slices, texts, workspace
 from foliary.llm.pieces import library_table, worker_table
 
 DIGEST = 16
 _MULTIPLIER = 0x9E3779B97F4A7C15
+PAGE = 1024
 _ROWS = "place long, digest binary, doc_id long, n_tokens long, sizes binary, payload binary, kind string"
 
 
@@ -88,14 +94,25 @@ def merkle_root(digests: list[bytes]) -> bytes:
     return level[0]
 
 
-def encode_chunks(docs: DataFrame, tokenizer_path: str, end_id: int, width: int = 2, window: int = 16, mean: int = 512, slice_bytes: int = 5_000_000) -> DataFrame:
-    """Rows of kind ``chunk`` (a digest once per task, with its payload) and of kind ``doc``; ``place`` says where to deal them."""
+def _split(joined: bytes) -> list[bytes]:
+    return [joined[i : i + DIGEST] for i in range(0, len(joined), DIGEST)]
+
+
+def _ragged(data, ends: np.ndarray) -> pa.Array:
+    """A binary array over one buffer, without a copy; ends: offsets from 0."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
+def encode_chunks(docs: DataFrame, tokenizer_path: str, end_id: int, width: int = 2, window: int = 16, mean: int = 512, slice_bytes: int = 3_000_000) -> DataFrame:
+    """Rows of kind ``chunk`` (a digest once per task and 200,000 chunks, with its payload) and of kind ``doc``; ``place``
+    says where to deal them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads(keep_tables=True)
-        table = worker_table(("byte", tokenizer_path), lambda: library_table(tokenizer_path, limit=450_000))
+        table = worker_table(("byte", tokenizer_path), lambda: library_table(tokenizer_path))
         seen: set[bytes] = set()
-        kind = f"<u{width}"
+        names = ["place", "digest", "doc_id", "n_tokens", "sizes", "payload", "kind"]
+        none = lambda n, kind: pa.nulls(n, kind)
         for batch in batches:
             for start, stop in slices(batch.column("text"), slice_bytes):
                 part = batch.slice(start, stop - start)
@@ -104,46 +121,51 @@ def encode_chunks(docs: DataFrame, tokenizer_path: str, end_id: int, width: int
                 if width == 2 and len(ids) and ids.max() > 0xFFFF:
                     raise ValueError("ids need a store of width 4")
                 ends = ends + np.arange(len(ends))
-                packed = memoryview(ids.astype(kind).tobytes())
-                rows: list[list] = [[], [], [], [], [], []]
-                for doc_id, at, end, cuts in zip(part.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), cut_points(ids, ends, window, mean, mean // 8, mean * 8), strict=True):
-                    digests, sizes, begin = [], [], at
-                    for cut in cuts:
-                        payload = packed[begin * width : cut * width]
-                        digest = hashlib.blake2b(payload, digest_size=DIGEST).digest()
-                        digests.append(digest)
-                        sizes.append(cut - begin)
-                        if digest not in seen:
-                            seen.add(digest)
-                            for column, value in zip(rows, (int.from_bytes(digest[:8], "little", signed=True), digest, None, cut - begin, None, bytes(payload)), strict=True):
-                                column.append(value)
-                        begin = cut
-                    joined = b"".join(digests)
-                    place = zlib.crc32(b"%d" % doc_id if doc_id is not None else joined)
-                    for column, value in zip(rows, (place, joined, doc_id, end - at, np.array(sizes, "<u4").tobytes(), None), strict=True):
-                        column.append(value)
-                if len(seen) > 2_000_000:
+                cuts = cut_points(ids, ends, window, mean, mean // 8, mean * 8)
+                bounds = np.fromiter((0, *(c for own in cuts for c in own)), np.int64)
+                per_doc = np.concatenate([[0], np.cumsum([len(own) for own in cuts])]).astype(np.int64)
+                packed = memoryview(ids.astype(f"<u{width}").tobytes())
+                del ids
+                edges = (bounds * width).tolist()
+                found = [hashlib.blake2b(packed[a:b], digest_size=DIGEST).digest() for a, b in pairwise(edges)]
+                new = []
+                for i, digest in enumerate(found):
+                    if digest not in seen:
+                        seen.add(digest)
+                        new.append(i)
+                sizes = np.diff(bounds)
+                joined = b"".join(found)
+                place = np.frombuffer(joined, "<i8")[::2][new] if new else np.zeros(0, np.int64)
+                yield pa.record_batch([pa.array(place), pa.array([found[i] for i in new], pa.binary()), none(len(new), pa.int64()), pa.array(sizes[new]), none(len(new), pa.binary()), pa.array([packed[edges[i] : edges[i + 1]] for i in new], pa.binary()), pa.array(["chunk"] * len(new), pa.string())], names=names)
+                digests = _ragged(joined, per_doc * DIGEST)
+                place = [zlib.crc32(b"%d" % doc_id if doc_id is not None else own) for doc_id, own in zip(part.column("doc_id").to_pylist(), digests.to_pylist(), strict=True)]
+                yield pa.record_batch([pa.array(place, pa.int64()), digests, part.column("doc_id"), pa.array(np.diff(ends)), _ragged(sizes.astype("<u4"), per_doc * 4), none(len(cuts), pa.binary()), pa.array(["doc"] * len(cuts), pa.string())], names=names)
+                if len(seen) > 200_000:
                     seen.clear()
-                names = ["place", "digest", "doc_id", "n_tokens", "sizes", "payload"]
-                types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                arrays = [pa.array(values, t) for values, t in zip(rows, types, strict=True)]
-                yield pa.record_batch([*arrays, pa.array(["chunk" if s is None else "doc" for s in rows[4]], pa.string())], names=[*names, "kind"])
+            give_back()
 
     return texts(docs).mapInArrow(run, _ROWS)
 
 
 def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by digest, chunks that repeat the last digest go."""
+    """Of rows sorted by kind and digest, chunks that repeat the last digest go."""
+    quiet_threads()
     last = None
     for batch in batches:
-        keep = []
-        for i, (kind, digest) in enumerate(zip(batch.column("kind").to_pylist(), batch.column("digest").to_pylist(), strict=True)):
-            if kind == "doc":
-                keep.append(i)
-            elif digest != last:
-                keep.append(i)
-                last = digest
-        yield batch.take(pa.array(keep, pa.int64()))
+        if not batch.num_rows:
+            continue
+        digest = batch.column("digest")
+        same = np.zeros(batch.num_rows, bool)
+        same[1:] = pc.equal(digest.slice(1), digest.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+        same[0] = digest[0].as_py() == last
+        last = digest[-1].as_py()
+        doc = pc.equal(batch.column("kind"), "doc").to_numpy(zero_copy_only=False)
+        yield batch.take(pa.array(np.flatnonzero(doc | ~same)))
+
+
+_STORED = _ROWS.replace("place long, ", "")
+_RECIPES = "doc_id long, n_docs long, n_tokens long, digests binary, sizes binary, root binary, part int, page long, start_in_part long, kind string"
+_TOP = "root binary, n_docs long, n_tokens long"
 
 
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, width: int = 2) -> None:
@@ -151,49 +173,79 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
     spark = docs.sparkSession
     dealt = encode_chunks(docs, tokenizer_path, end_id, width).repartition(F.col("place")).sortWithinPartitions("kind", "digest")
     dealt.mapInArrow(_first_of_each, _ROWS).drop("place").write.partitionBy("kind").option("compression", "zstd").parquet(path)
-    schema = "doc_id long, n_tokens long, digests binary, sizes binary, root binary, part int, start_in_part long"
 
     def rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, at = TaskContext.get().partitionId(), 0
+        quiet_threads()
+        part, at, n_done, roots = TaskContext.get().partitionId(), 0, 0, []
+        pages: list[list] = [[], [], [], [], []]  # documents, tokens, root, page, start
+        tokens = first = 0
+
+        def close() -> None:
+            for column, value in zip(pages, (len(roots), tokens, merkle_root(roots), (n_done - 1) // PAGE, first), strict=True):
+                column.append(value)
+
         for b in batches:
             n = b.column("n_tokens").to_numpy()
             starts = at + np.cumsum(n) - n
+            own = [merkle_root(_split(d)) for d in b.column("digests").to_pylist()]
+            for root, k, start in zip(own, n.tolist(), starts.tolist(), strict=True):
+                if len(roots) == PAGE:
+                    close()
+                    roots, tokens, first = [], 0, start
+                roots.append(root)
+                tokens += k
+                n_done += 1
+            page = np.arange(n_done - b.num_rows, n_done) // PAGE
             at += int(n.sum())
-            roots = [merkle_root([d[i : i + DIGEST] for i in range(0, len(d), DIGEST)]) for d in b.column("digests").to_pylist()]
-            yield pa.record_batch([*b.columns, pa.array(roots, pa.binary()), pa.array([part] * b.num_rows, pa.int32()), pa.array(starts)], names=[*b.schema.names, "root", "part", "start_in_part"])
+            yield pa.record_batch([b.column("doc_id"), pa.array(np.ones(b.num_rows, np.int64)), b.column("n_tokens"), b.column("digests"), b.column("sizes"), pa.array(own, pa.binary()), pa.array(np.full(b.num_rows, part, np.int32)), pa.array(page), pa.array(starts), pa.array(["recipe"] * b.num_rows, pa.string())], names=names)
+        if roots:
+            close()
+        n = len(pages[0])
+        yield pa.record_batch([pa.nulls(n, pa.int64()), pa.array(pages[0], pa.int64()), pa.array(pages[1], pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.array(pages[2], pa.binary()), pa.array([part] * n, pa.int32()), pa.array(pages[3], pa.int64()), pa.array(pages[4], pa.int64()), pa.array(["manifest"] * n, pa.string())], names=names)
+
+    names = [x.split()[0] for x in _RECIPES.split(", ")]
+    found = spark.read.schema(_STORED).parquet(path).where("kind = 'doc'").select("doc_id", "n_tokens", F.col("digest").alias("digests"), "sizes")
+    found.repartitionByRange("doc_id", "digests").sortWithinPartitions("doc_id", "digests").mapInArrow(rooted, _RECIPES).write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}-recipes")
+    sums, root = _sums(spark, path)
+    total = [(bytearray(root), sum(r.n_docs for r in sums), sum(r.n_tokens for r in sums))]
+    spark.createDataFrame(total, _TOP).coalesce(1).write.parquet(f"{path}-top")
 
-    found = spark.read.schema(_ROWS.replace("place long, ", "")).parquet(path).where("kind = 'doc'").select("doc_id", "n_tokens", F.col("digest").alias("digests"), "sizes")
-    found.repartitionByRange("doc_id", "digests").sortWithinPartitions("doc_id", "digests").mapInArrow(rooted, schema).write.option("compression", "zstd").parquet(f"{path}-recipes")
 
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: dict[int, list] = {}
+def _sums(spark: SparkSession, path: str):
+    """(a row per recipe partition: documents, tokens, root; the root over the partitions' roots). Pages of a partition are
+    as many as its documents / PAGE, partitions are as many as the shuffle made."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part, doc_id, n, root in zip(*(b.column(c).to_pylist() for c in ("part", "doc_id", "n_tokens", "root")), strict=True):
-                x = rows.setdefault(part, [doc_id, 0, 0, []])
-                x[1] += 1
-                x[2] += n
-                x[3].append(root)
-        if rows:
-            yield pa.record_batch([pa.array(list(rows), pa.int32()), *(pa.array([x[i] for x in rows.values()], pa.int64()) for i in range(3)), pa.array([merkle_root(x[3]) for x in rows.values()], pa.binary())], names=["part", "first_doc", "n_docs", "n_tokens", "root"])
+            roots = [merkle_root([x["root"] for x in pages]) for pages in b.column("pages").to_pylist()]
+            yield pa.record_batch([b.column("part"), b.column("n_docs"), b.column("n_tokens"), pa.array(roots, pa.binary())], names=["part", "n_docs", "n_tokens", "root"])
+
+    pages = _read_recipes(spark, path).where("kind = 'manifest'")
+    by_part = pages.groupBy("part").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("page", "root"))).alias("pages"))
+    sums = sorted(by_part.mapInArrow(fold, "part int, n_docs long, n_tokens long, root binary").collect(), key=lambda r: r.part)
+    return sums, merkle_root([bytes(r.root) for r in sums])
+
 
-    recipes = spark.read.schema(schema).parquet(f"{path}-recipes")
-    per_part = recipes.select("part", "doc_id", "n_tokens", "root").mapInArrow(totals, "part int, first_doc long, n_docs long, n_tokens long, root binary")
-    # A file may be read in several splits: each gives a row; one row per part has the sums. Parts number as the partitions do.
-    per_part.write.option("compression", "zstd").parquet(f"{path}-manifest")
+def _read_recipes(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_RECIPES).parquet(f"{path}-recipes")
 
 
 def read_recipes(spark: SparkSession, path: str) -> DataFrame:
-    """Recipes with ``start``: ids of all documents before. A row per partition goes to the driver and is broadcast."""
-    sums = sorted((r.part, r.n) for r in spark.read.parquet(f"{path}-manifest").groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
+    """Recipes and manifest pages (kind) with ``start``: ids of all documents before. A row per partition goes to the driver
+    and is broadcast; its root is held against the one on top."""
+    sums, root = _sums(spark, path)
+    top = spark.read.schema(_TOP).parquet(f"{path}-top").collect()
+    if len(top) != 1 or (bytes(top[0].root), top[0].n_docs, top[0].n_tokens) != (root, sum(r.n_docs for r in sums), sum(r.n_tokens for r in sums)):
+        raise ValueError("the manifest doesn't match the root on top")
     before, at = [], 0
-    for part, n in sums:
-        before.append((part, at))
-        at += n
+    for r in sums:
+        before.append((r.part, at))
+        at += r.n_tokens
     offsets = spark.createDataFrame(before, "part int, before long")
-    recipes = spark.read.parquet(f"{path}-recipes").join(F.broadcast(offsets), "part")
-    return recipes.select("doc_id", (F.col("before") + F.col("start_in_part")).alias("start"), "n_tokens", "digests", "sizes", "root")
+    recipes = _read_recipes(spark, path).join(F.broadcast(offsets), "part", "left")
+    return recipes.select("kind", "part", "page", "doc_id", (F.coalesce("before", F.lit(0)) + F.col("start_in_part")).alias("start"), "n_docs", "n_tokens", "digests", "sizes", "root")
 
 
 def read_chunks(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
@@ -202,6 +254,7 @@ def read_chunks(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     A payload that doesn't match its digest raises ValueError."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quiet_threads()
         for b in batches:
             digests, counts, checks = b.column("digest").to_pylist(), [], []
             for digest, payload in zip(digests, b.column("payload"), strict=True):
@@ -213,7 +266,7 @@ def read_chunks(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
                 checks.append(zlib.crc32(ids.astype("<u4")))
             yield pa.record_batch([b.column("digest"), pa.array(counts, pa.int64()), pa.array(checks, pa.int64())], names=["digest", "n_ids", "crc"])
 
-    stored = spark.read.schema(_ROWS.replace("place long, ", "")).parquet(path)
+    stored = spark.read.schema(_STORED).parquet(path)
     return stored.where("kind = 'chunk'").select("digest", "payload").mapInArrow(run, "digest binary, n_ids long, crc long")
 
 
@@ -257,42 +310,83 @@ def combine_crcs(crcs: np.ndarray, counts: np.ndarray, owners: np.ndarray, n_own
     return out.astype(np.int64)
 
 
-def verify(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
-    """Per document, from the stored bytes: doc_id, start, n_tokens, ids_crc32, chunks, merkle_root.
+def _check_pages(rows: pa.Table) -> pa.RecordBatch:
+    """The documents of whole pages from rows sorted by (part, page, start, seq): first a page's row of the manifest (seq -1),
+    then each document's chunks as they were found."""
+    seq, start = rows["seq"].to_numpy(), rows["start"].to_numpy()
+    if rows["n_ids"].null_count != int((seq < 0).sum()):
+        raise ValueError("a chunk is missing")
+    page_of = np.cumsum(seq < 0) - 1
+    heads = np.flatnonzero(seq < 0)
+    use = np.flatnonzero(seq >= 0)
+    firsts = use[seq[use] == 0]
+    if len(seq) and seq[0] >= 0 or len(use) != int(rows["n_chunks"].take(pa.array(firsts)).to_numpy().sum()) or len(firsts) != int(rows["n_docs"].take(pa.array(heads)).to_numpy().sum()):
+        raise ValueError("a page's rows are not as many as the manifest says")
+    owner = np.cumsum(seq[use] == 0) - 1
+    counts, crcs = (rows[c].take(pa.array(use)).to_numpy() for c in ("n_ids", "crc"))
+    n = len(firsts)
+    tokens = np.bincount(owner, counts, n).astype(np.int64)
+    first = rows.take(pa.array(firsts))
+    if (tokens != first["n_tokens"].to_numpy()).any():
+        raise ValueError("a document's ids are not as many as its recipe says")
+    found = rows["digest"].take(pa.array(use)).to_pylist()
+    edges = np.searchsorted(owner, np.arange(n + 1)).tolist()
+    roots = [merkle_root(found[a:b]) for a, b in pairwise(edges)]
+    if roots != first["root"].to_pylist():
+        raise ValueError("a document's chunks don't give its Merkle root")
+    edges = np.searchsorted(page_of[firsts], np.arange(len(heads) + 1)).tolist()
+    if [merkle_root(roots[a:b]) for a, b in pairwise(edges)] != rows["root"].take(pa.array(heads)).to_pylist():
+        raise ValueError("a page's documents don't give its root in the manifest")
+    if np.bincount(page_of[firsts], tokens, len(heads)).astype(np.int64).tolist() != rows["n_tokens"].take(pa.array(heads)).to_pylist():
+        raise ValueError("a page's ids are not as many as the manifest says")
+    columns = [first["doc_id"], pa.array(start[firsts]), pa.array(tokens), pa.array(combine_crcs(crcs, counts, owner, n)), pa.array(np.bincount(owner, minlength=n)), pa.array([r.hex() for r in roots], pa.string())]
+    return pa.record_batch([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns], names=["doc_id", "start", "n_tokens", "ids_crc32", "chunks", "merkle_root"])
 
-    Chunks' payloads are read where they lie; only digests and checksums move. A recipe that names a missing chunk, or whose
-    number of ids doesn't match, raises an error."""
-    recipes = read_recipes(spark, path)
+
+def verify(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
+    """Per document, from the stored bytes: doc_id, start, n_tokens, ids_crc32, chunks, merkle_root; all of the module's
+    checks are made on the way. Chunks' payloads are read where they lie; only digests and checksums move, to the page of
+    the document that uses them."""
+    use = "part int, page long, start long, seq long, doc_id long, n_docs long, n_tokens long, n_chunks long, root binary"
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            head = pc.equal(b.column("kind"), "manifest").to_numpy(zero_copy_only=False)
             joined = b.column("digests").to_pylist()
-            n = np.array([len(d) // DIGEST for d in joined], np.int64)
+            n = np.array([1 if d is None else len(d) // DIGEST for d in joined], np.int64)
             rows = pa.array(np.repeat(np.arange(len(n)), n))
-            flat = pa.array([d[i : i + DIGEST] for d in joined for i in range(0, len(d), DIGEST)], pa.binary())
+            flat = pa.array([x for d in joined for x in ([None] if d is None else _split(d))], pa.binary())
             seq = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            yield pa.record_batch([b.column("start").take(rows), pa.array(seq), flat], names=["start", "seq", "digest"])
+            is_head = head[rows.to_numpy()] if len(rows) else np.zeros(0, bool)
+            inner = pa.array(seq > 0)  # what a document's first row has already is null in the others
+            own = [pc.if_else(inner, pa.scalar(None, b.schema.field(c).type), b.column(c).take(rows)) for c in ("doc_id", "n_docs", "n_tokens")]
+            root = pc.if_else(inner, pa.scalar(None, pa.binary()), b.column("root").take(rows))
+            yield pa.record_batch([b.column("part").take(rows), b.column("page").take(rows), b.column("start").take(rows), pa.array(np.where(is_head, -1, seq)), *own, pc.if_else(inner, pa.scalar(None, pa.int64()), pa.array(n).take(rows)), root, flat], names=[*(x.split()[0] for x in use.split(", ")), "digest"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quiet_threads()
+        kept: list[pa.RecordBatch] = []
         for b in batches:
-            parts = b.column("parts")
-            n = np.diff(parts.offsets.to_numpy()).astype(np.int64)
-            flat = parts.flatten()
-            crc, counts = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2))
-            owners = np.repeat(np.arange(len(n)), n)
-            yield pa.record_batch([b.column("start"), pa.array(np.bincount(owners, counts, len(n)).astype(np.int64)), pa.array(combine_crcs(crc, counts, owners, len(n))), pa.array(n)], names=["start", "n_read", "ids_crc32", "chunks"])
+            if not b.num_rows:
+                continue
+            heads = np.flatnonzero(b.column("seq").to_numpy() < 0)
+            if len(heads) and (kept or heads[-1]):  # up to the last page that begins here all pages are whole
+                kept.append(b.slice(0, heads[-1]))
+                yield _check_pages(pa.Table.from_batches(kept).combine_chunks())
+                kept, b = [], b.slice(heads[-1])
+            kept.append(b)
+        if kept:
+            yield _check_pages(pa.Table.from_batches(kept).combine_chunks())
 
-    # Every document has an id of its own at its start, so the start identifies it whatever its doc_id.
-    uses = recipes.select("start", "digests").mapInArrow(spread, "start long, seq long, digest binary")
-    found = uses.join(read_chunks(spark, path, width), "digest", "left")
-    sums = found.groupBy("start").agg(F.sort_array(F.collect_list(F.struct("seq", F.coalesce("crc", F.raise_error(F.lit("a chunk is missing")).cast("long")).alias("crc"), "n_ids"))).alias("parts")).mapInArrow(gather, "start long, n_read long, ids_crc32 long, chunks long")
-    same = F.when(F.col("n_read") == F.col("n_tokens"), F.col("n_tokens")).otherwise(F.raise_error(F.lit("a document's ids are not as many as its recipe says")).cast("long"))
-    return recipes.select("doc_id", "start", "n_tokens", F.hex("root").alias("merkle_root")).join(sums, "start").select("doc_id", "start", same.alias("n_tokens"), "ids_crc32", "chunks", F.lower("merkle_root").alias("merkle_root"))
+    recipes = read_recipes(spark, path)
+    uses = recipes.select("kind", "part", "page", "doc_id", "start", "n_docs", "n_tokens", "digests", "root").mapInArrow(spread, f"{use}, digest binary")
+    found = uses.join(read_chunks(spark, path, width), "digest", "left").repartition("part", "page").sortWithinPartitions("part", "page", "start", "seq")
+    return found.mapInArrow(gather, "doc_id long, start long, n_tokens long, ids_crc32 long, chunks long, merkle_root string")
 
 
 def reconstruct(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     """doc_id, start, ids: the streams put together again from the stored chunks."""
-    recipes = read_recipes(spark, path)
+    recipes = read_recipes(spark, path).where("kind = 'recipe'").select("doc_id", "start", "digests")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -304,7 +398,7 @@ def reconstruct(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
             ids = [np.frombuffer(b"".join(p["payload"] for p in parts), f"<u{width}").astype(np.int64).tolist() for parts in b.column("parts").to_pylist()]
             yield pa.record_batch([b.column("doc_id"), b.column("start"), pa.array(ids, pa.list_(pa.int64()))], names=["doc_id", "start", "ids"])
 
-    stored = spark.read.schema(_ROWS.replace("place long, ", "")).parquet(path).where("kind = 'chunk'").select("digest", "payload")
+    stored = spark.read.schema(_STORED).parquet(path).where("kind = 'chunk'").select("digest", "payload")
     uses = recipes.mapInArrow(spread, "doc_id long, start long, seq long, digest binary").join(stored, "digest")
     parts = uses.groupBy("doc_id", "start").agg(F.sort_array(F.collect_list(F.struct("seq", "payload"))).alias("parts"))
     return parts.mapInArrow(join, "doc_id long, start long, ids array<long>")

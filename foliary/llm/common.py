@@ -58,8 +58,21 @@ def quiet_threads(keep_tables: bool = False) -> None:
 
     pa.set_cpu_count(1)
     pieces = sys.modules.get("foliary.llm.pieces")
-    if pieces is not None and not keep_tables:
+    if pieces is not None and pieces._TABLES and not keep_tables:
         pieces._TABLES.clear()
+        give_back()
+
+
+def give_back() -> None:
+    """Hand memory that a batch has freed back to the system: an executor's workers and its JVM share one limit."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def slices(column, max_bytes: int):

@@ -3,7 +3,12 @@
 Each distinct word (a match of the split pattern) is a set of rows (word, position, token). One step of the recursion
 joins neighbouring tokens with the merge table, takes each word's pair of least rank, and contracts its places from the
 left (only the leftmost one where the result could be part of a pair of still lower rank); words without a pair leave the
-recursion. Decoding joins ids with the vocabulary and aggregates bytes in position order.
+recursion. Decoding joins the ids of each document with the vocabulary and aggregates their bytes in position order.
+
+Long words are encoded as overlapping blocks, which are joined at a token that both have at one place. That is exact: a sequence
+of tokens is the encoding of its bytes if and only if each two neighbours are the encoding of theirs, as the first merge over
+a boundary would also be made where only its two tokens stand; in the joined sequence every two neighbours come from one block.
+Blocks that share no token in their overlap become one block and are encoded again.
 
 Null texts are empty texts; an empty text has no ids. Ties of rank go to the leftmost pair. Words that are in the
 vocabulary as a whole are one id. Repeated rows are encoded once each; extra columns are ignored; an empty table gives an
@@ -15,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +28,9 @@ import regex
 from pyspark.sql import DataFrame
 
 from foliary.llm.common import quiet_threads, slices, texts
-from foliary.llm.pieces import PieceTable, worker_table
+from foliary.llm.pieces import PieceTable, flat_lists, worker_table
 
-#: For words of any length: state is held by key, so that memory doesn't grow with the number of steps.
+#: For blocks of any length: state is held by key, so that memory doesn't grow with the number of steps.
 _ENCODE_LONG = """
 WITH RECURSIVE state(word, pos, tok) USING KEY (word, pos) AS (
   SELECT word, pos, tok FROM start_rows
@@ -47,32 +53,33 @@ WITH RECURSIVE state(word, pos, tok) USING KEY (word, pos) AS (
 )
 SELECT word, pos, tok FROM state WHERE tok >= 0 ORDER BY word, pos
 """
-#: For short words, of which there are most: rows stay in the order of (word, pos) throughout, as one thread runs the query
-#: and insertion order is preserved, so that neighbours are found without sorting. Ended words' rows are marked done.
+#: For short words, of which there are most, the leftmost least pair of each is contracted in a step; ``spot`` orders all rows,
+#: word by word. Ended words' rows are marked done.
 _ENCODE_SHORT = """
-WITH RECURSIVE state(word, pos, tok, done) AS (
-  SELECT word, pos, tok, false FROM start_rows
+WITH RECURSIVE state(word, spot, tok, done) AS (
+  SELECT word, spot, tok, false FROM start_rows
   UNION ALL
-  SELECT word, pos, tok, done FROM (
-    SELECT word, pos, CASE WHEN here THEN best >> 32 ELSE tok END AS tok, best IS NULL AS done, coalesce(lag(here) OVER (), false) AS swallowed
+  SELECT word, spot, tok, done FROM (
+    SELECT word, spot, CASE WHEN here THEN best >> 32 ELSE tok END AS tok, best IS NULL AS done, coalesce(lag(here) OVER (ORDER BY spot), false) AS swallowed
     FROM (
-      SELECT a.word, a.pos, a.tok, b.best, coalesce(a.pair = b.best, false) AS here
+      SELECT p.word, p.spot, p.tok, b.best, coalesce(p.pair = b.best, false) AS here
       FROM (
-        SELECT n.word, n.pos, n.tok, m.pair + n.pos AS pair
-        FROM (SELECT word, pos, tok, CASE WHEN lead(word) OVER () = word THEN lead(tok) OVER () END AS nxt FROM state WHERE NOT done) n
+        SELECT n.word, n.spot, n.tok, m.pair + n.spot AS pair
+        FROM (SELECT word, spot, tok, CASE WHEN lead(word) OVER o = word THEN lead(tok) OVER o END AS nxt FROM state WHERE NOT done WINDOW o AS (ORDER BY spot)) n
         LEFT JOIN merges m ON m.lft = n.tok AND m.rgt = n.nxt
-      ) a LEFT JOIN (
-        SELECT n.word, min(m.pair + n.pos) AS best
-        FROM (SELECT word, pos, tok, CASE WHEN lead(word) OVER () = word THEN lead(tok) OVER () END AS nxt FROM state WHERE NOT done) n
+      ) p LEFT JOIN (
+        SELECT n.word, min(m.pair + n.spot) AS best
+        FROM (SELECT word, spot, tok, CASE WHEN lead(word) OVER o = word THEN lead(tok) OVER o END AS nxt FROM state WHERE NOT done WINDOW o AS (ORDER BY spot)) n
         JOIN merges m ON m.lft = n.tok AND m.rgt = n.nxt GROUP BY n.word
-      ) b ON a.word = b.word
+      ) b ON p.word = b.word
     )
   ) WHERE NOT swallowed
 )
-SELECT word, pos, tok FROM state WHERE done ORDER BY word, pos
+SELECT word, spot, tok FROM state WHERE done ORDER BY spot
 """
-_SHORT = 48  # bytes
-_DECODE = "SELECT i.word, string_agg(v.hex, '' ORDER BY i.pos) AS hex FROM id_rows i JOIN vocabulary v ON v.tok = i.tok GROUP BY i.word ORDER BY i.word"
+_SHORT = 96  # bytes
+_STEP, _OVERLAP = 64, 32  # of the blocks of longer words
+_DECODE = "SELECT i.doc, string_agg(v.chars, '' ORDER BY i.pos) AS chars FROM id_rows i JOIN vocabulary v ON v.tok = i.tok GROUP BY i.doc ORDER BY i.doc"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -101,94 +108,153 @@ class DuckBpe:
         lower = np.concatenate([part[rank < part] for part in (lft, rgt)])
         merge_rows = pa.table({"lft": lft, "rgt": rgt, "pair": rank << 32, "alone": np.isin(rank, lower)})  # noqa: F841  read below
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
-        vocabulary_rows = pa.table({"tok": np.fromiter(self.ranks.values(), np.int64, len(self.ranks)), "hex": [b.hex() for b in self.ranks]})  # noqa: F841
+        # a character for each byte
+        vocabulary_rows = pa.table({"tok": np.fromiter(self.ranks.values(), np.int64, len(self.ranks)), "chars": [b.decode("latin-1") for b in self.ranks]})  # noqa: F841
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_rows")
+        self.size_of = dict(zip(self.ranks.values(), map(len, self.ranks), strict=True))
         self.of_byte = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         out: list[list[int]] = [[]] * len(words)
-        for query, short in ((_ENCODE_SHORT, True), (_ENCODE_LONG, False)):
-            which = [i for i, w in enumerate(words) if (len(w) <= _SHORT) == short]
-            for i, ids in zip(which, self._encode([words[i] for i in which], query) if which else (), strict=True):
-                out[i] = ids
+        short = [i for i, w in enumerate(words) if len(w) <= _SHORT]
+        for i, ids in zip(short, self._encode_many([words[i] for i in short]), strict=True):
+            out[i] = ids
+        long = [i for i, w in enumerate(words) if len(w) > _SHORT]
+        for i, ids in zip(long, self._encode_long([words[i] for i in long]), strict=True):
+            out[i] = ids
+        return out
+
+    def _encode_long(self, words: list[bytes]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(words)
+        spans = {i: [(a, min(len(w), a + _STEP + _OVERLAP)) for a in range(0, len(w) - _OVERLAP, _STEP)] for i, w in enumerate(words)}
+        found: dict[tuple, list[tuple[int, int]]] = {}  # by word and span: (start, token) of each token
+        chains = False
+        while spans:
+            new = [(i, s) for i, own in spans.items() for s in own if (i, s) not in found]
+            for (i, (a, b)), ids in zip(new, self._encode_many([words[i][a:b] for i, (a, b) in new]), strict=True):
+                sizes = [self.size_of[tok] for tok in ids]
+                found[i, (a, b)] = list(zip(accumulate(sizes, initial=a), ids, strict=False))
+            again = {}
+            for i, own in spans.items():
+                joined, merged = self._join([(s, found[i, s]) for s in own], chains)
+                if merged == own:
+                    out[i] = [tok for _, tok in joined]
+                else:
+                    again[i] = merged
+            spans, chains = again, True
         return out
 
-    def _encode(self, words: list[bytes], query: str) -> list[list[int]]:
+    @staticmethod
+    def _join(blocks: list, chains: bool) -> tuple[list, list]:
+        """(tokens of the joined blocks, spans): spans are fewer if two neighbours share no token and must become one.
+        chains: blocks of which each shares none with the next all become one."""
+        (begin, joined), merged, apart = blocks[0], [], False
+        joined = last = list(joined)
+        for span, tokens in blocks[1:]:
+            there = {x for x in last[begin[0] - span[1] :] if x[0] >= span[0]}
+            common = next((k for k, x in enumerate(tokens) if x in there), None)
+            last = tokens
+            if common is None and (chains or not apart):
+                begin, apart = (begin[0], span[1]), True
+                continue
+            if apart:
+                joined = list(tokens)
+            else:
+                while joined[-1] != tokens[common]:
+                    joined.pop()
+                joined += tokens[common + 1 :]
+            merged.append(begin)
+            begin, apart = span, False
+        merged.append(begin)
+        return joined, merged
+
+    def _encode_many(self, words: list[bytes]) -> list[list[int]]:
+        """Words in groups of bounded work: a group's rows over all steps are about the sum of the squares of its lengths."""
+        out: list[list[int]] = []
+        start = 0
+        while start < len(words):
+            stop, work, long = start, 0, len(words[start]) > _SHORT
+            while stop < len(words) and work < 4_000_000 and (len(words[stop]) > _SHORT) == long:
+                work += len(words[stop]) ** 2
+                stop += 1
+            out += self._encode(words[start:stop], long)
+            start = stop
+        return out
+
+    def _encode(self, words: list[bytes], long: bool) -> list[list[int]]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
+        total = int(sizes.sum())
+        at = np.arange(total)
         start_rows = pa.table({  # noqa: F841
             "word": np.repeat(np.arange(len(words)), sizes),
-            "pos": np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes),
+            "pos" if long else "spot": at - np.repeat(np.cumsum(sizes) - sizes, sizes) if long else at,
             "tok": self.of_byte[np.frombuffer(b"".join(words), np.uint8)],
         })
-        found = self.con.sql(query).to_arrow_table()
+        found = self.con.sql(_ENCODE_LONG if long else _ENCODE_SHORT).to_arrow_table()
         counts = np.bincount(found["word"].to_numpy(), minlength=len(words))
         flat, ends = found["tok"].to_numpy().tolist(), np.cumsum(counts).tolist()
         return [flat[e - n : e] for e, n in zip(ends, counts.tolist(), strict=True)]
 
-    def decode_words(self, ids: list[list[int]]) -> list[bytes]:
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        id_rows = pa.table({  # noqa: F841
-            "word": np.repeat(np.arange(len(ids)), sizes),
-            "pos": np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes),
-            "tok": np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum())),
-        })
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Bytes of each document; ends: offsets of documents in ids, from 0."""
+        sizes = np.diff(ends)
+        id_rows = pa.table({"doc": np.repeat(np.arange(len(sizes)), sizes), "pos": np.arange(len(ids)), "tok": ids.astype(np.int64)})  # noqa: F841
         found = self.con.sql(_DECODE).to_arrow_table()
-        out = [b""] * len(ids)
-        for word, text in zip(found["word"].to_pylist(), found["hex"].to_pylist(), strict=True):
-            out[word] = bytes.fromhex(text)
+        out = [b""] * len(sizes)
+        for doc, chars in zip(found["doc"].to_pylist(), found["chars"].to_pylist(), strict=True):
+            out[doc] = chars.encode("latin-1")
         return out
 
-    def table(self, limit: int = 250_000, block: int = 20_000) -> PieceTable:
-        """A piece table whose pieces are split by the pattern and whose words DuckDB encodes and decodes.
-
-        A block of words has at most ``block`` words and, one long word aside, 2 MB."""
+    def table(self, limit: int = 200_000, block: int = 20_000) -> PieceTable:
+        """A piece table whose pieces are split by the pattern and whose words DuckDB encodes, at most ``block`` at a time."""
         find, known = self.find, {}
 
-        def encode(pieces: list[str]):
+        def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             nonlocal known
             split = [find(p) for p in pieces]
             if len(known) > limit:
                 known = {}
             new = list({w: None for ws in split for w in ws if w not in known})
-            start = 0
-            while start < len(new):
-                stop, size = start, 0
-                while stop < len(new) and stop - start < block and (stop == start or size < 2_000_000):
-                    size += 4 * len(new[stop])
-                    stop += 1
-                raw = [w.encode() for w in new[start:stop]]
+            for start in range(0, len(new), block):
+                raw = [w.encode() for w in new[start : start + block]]
                 ids: list = [[self.ranks[b]] if b in self.ranks else None for b in raw]
                 rest = [i for i, x in enumerate(ids) if x is None]
-                for i, x in zip(rest, self.encode_words([raw[i] for i in rest]) if rest else (), strict=True):
+                for i, x in zip(rest, self.encode_words([raw[i] for i in rest]), strict=True):
                     ids[i] = x
-                known.update(zip(new[start:stop], zip(ids, self.decode_words(ids), strict=True), strict=True))
-                start = stop
-            return [([i for w in ws for i in known[w][0]], b"".join(known[w][1] for w in ws)) for ws in split]
+                known.update(zip(new[start : start + block], ids, strict=True))
+            return flat_lists([[i for w in ws for i in known[w]] for ws in split])
+
+        return PieceTable(encode, limit)
+
 
-        return PieceTable(encode, limit, with_bytes=True)
+def _table_of(duck: DuckBpe) -> PieceTable:
+    table = duck.table()
+    table.duck = duck
+    return table
 
 
 SCHEMA = "doc_id long, ids array<int>, decoded binary"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, digests: bool = False, slice_bytes: int = 6_000_000) -> DataFrame:
+def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, digests: bool = False, slice_bytes: int = 4_000_000) -> DataFrame:
     """Ids of each whole text and the bytes they decode to, or (``digests``) their number and SHA-256 hashes.
 
     ids are hashed as little-endian unsigned 32-bit integers. No shuffle: each partition is encoded where it is read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads(keep_tables=True)
-        pieces = worker_table(("duck", ranks_path, pattern), lambda: DuckBpe(ranks_path, pattern).table())
+        pieces = worker_table(("duck", ranks_path, pattern), lambda: _table_of(DuckBpe(ranks_path, pattern)))
         for batch in batches:
             for start, stop in slices(batch.column("text"), slice_bytes):
                 part = batch.slice(start, stop - start)
-                ids, ends, raw, raw_ends = pieces.encode_texts(part.column("text"))
+                ids, ends = pieces.encode_texts(part.column("text"))
+                raw = pieces.duck.decode(ids, ends)
                 if not digests:
-                    yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))), pa.array([raw[a:b].tobytes() for a, b in zip(raw_ends[:-1], raw_ends[1:], strict=True)], pa.binary())], names=["doc_id", "ids", "decoded"])
+                    yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))), pa.array(raw, pa.binary())], names=["doc_id", "ids", "decoded"])
                     continue
                 ids = ids.astype("<u4", copy=False)
-                sha = lambda flat, at: pa.array([hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.string())
-                yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(ends)), sha(ids, ends), sha(raw, raw_ends)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                of_ids = [hashlib.sha256(ids[a:b]).hexdigest() for a, b in pairwise(ends.tolist())]
+                yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(ends)), pa.array(of_ids, pa.string()), pa.array([hashlib.sha256(b).hexdigest() for b in raw], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return texts(docs).mapInArrow(run, DIGESTS if digests else SCHEMA)

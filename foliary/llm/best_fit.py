@@ -101,14 +101,30 @@ def pack(pieces: DataFrame, capacity: int = 2048, open_bins: int = 4096, pieces_
 
         first = TaskContext.get().partitionId() << 40
         bins = BestFit(capacity, open_bins)
-        for batch in batches:
-            lengths = batch.column("length").to_numpy()
+
+        def placed(rows: pa.Table) -> pa.RecordBatch:
+            rows = rows.combine_chunks()
+            lengths = rows["length"].to_numpy()
             which, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
-            for at in range(0, len(lengths), window):
-                order = at + np.argsort(-lengths[at : at + window], kind="stable")
-                for i, n in zip(order.tolist(), lengths[order].tolist(), strict=True):
-                    which[i], offset[i] = bins.place(n)
-            yield pa.record_batch([*batch.columns, pa.array(first + which), pa.array(offset)], names=[*batch.schema.names, "sequence_id", "offset"])
+            order = np.argsort(-lengths, kind="stable")
+            for i, n in zip(order.tolist(), lengths[order].tolist(), strict=True):
+                which[i], offset[i] = bins.place(n)
+            columns = [c.chunk(0) for c in rows.columns]
+            return pa.record_batch([*columns, pa.array(first + which), pa.array(offset)], names=[*rows.schema.names, "sequence_id", "offset"])
+
+        kept: list[pa.RecordBatch] = []  # windows go on over batches, whatever their size
+        n_kept = 0
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, window - n_kept)
+                kept.append(part)
+                n_kept += part.num_rows
+                batch = batch.slice(part.num_rows)
+                if n_kept == window:
+                    yield placed(pa.Table.from_batches(kept))
+                    kept, n_kept = [], 0
+        if kept:
+            yield placed(pa.Table.from_batches(kept))
 
     return pieces.repartition(shards, F.xxhash64("doc_id", "piece")).sortWithinPartitions(*keys).mapInArrow(run, schema)
 

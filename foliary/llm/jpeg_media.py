@@ -1,13 +1,14 @@
 """Baseline JPEG media columns: a writer of DC-only images and a reader of baseline scans, both vectorised in numpy.
 
 The writer stores bytes without loss: each byte is the DC coefficient of one 8x8 block of a greyscale image (quantiser 8, so
-that the block's sample is the byte), rows of blocks are restart intervals. The reader parses markers and quantisation and
+that the block's sample is the byte), rows of 64 blocks are restart intervals. A payload of more than ``FRAME`` bytes is a
+sequence of such files, one after the other (as in motion JPEG). The reader parses markers and quantisation and
 Huffman tables, splits scans at restart markers, decodes all intervals of a batch of images in step (one numpy operation per
 symbol for all lanes), skips AC coefficients, and gives the luminance thumbnail of the DC coefficients: one pixel per block.
 
 Null texts are empty texts. An empty payload is one padding unit of zeros. Equal payloads give equal media. Payloads of any
-length fit: beyond 64 columns of blocks by 8,191 rows the image grows wider. Extra columns are ignored, repeated rows repeat.
-Files that aren't baseline JPEG, or that end early, raise ValueError.
+length fit whose media fits a cell (2 GB); memory is bounded by a few frames beside the row itself. Extra columns are ignored,
+repeated rows repeat, an empty table gives an empty result. Files that aren't baseline JPEG, or that end early, raise ValueError.
 """
 
 from __future__ import annotations
@@ -16,17 +17,18 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from foliary.llm.common import quiet_threads, slices, texts
+from foliary.llm.common import quiet_threads, slices, stage, texts
 
 UNIT = 64
-_MOST_ROWS = 8191
+FRAME = UNIT * 8191  # bytes of one file: the most rows of blocks that a height of 16 bits allows
 # Lengths of the writer's codes. DC categories 0 to 8 (differences of -255 to 255); AC has the end of block alone.
-_DC_LENGTHS = {0: 3, 1: 4, 2: 4, 3: 3, 4: 3, 5: 3, 6: 3, 7: 3, 8: 4}
+_DC_LENGTHS = {0: 5, 1: 4, 2: 4, 3: 3, 4: 2, 5: 4, 6: 4, 7: 2, 8: 6}
 _AC_LENGTHS = {0x00: 1}
 # The zigzag place of each coefficient isn't needed for DC; markers of the format.
 _SOI, _EOI, _SOF0, _DHT, _DQT, _DRI, _SOS, _COM = 0xD8, 0xD9, 0xC0, 0xC4, 0xDB, 0xDD, 0xDA, 0xFE
@@ -65,72 +67,84 @@ def _block_codes() -> tuple[np.ndarray, np.ndarray]:
 _BITS, _SIZES = _block_codes()
 
 
-def shape_of(n_bytes: int) -> tuple[int, int]:
-    """Blocks across and down for a payload: 64 across, more if it would be too high."""
-    across = UNIT * max(1, -(-n_bytes // (UNIT * _MOST_ROWS)))
-    return across, -(-n_bytes // across)
-
-
 def payload_of(raw: bytes) -> bytes:
     """Bytes 0 appended up to a positive multiple of 64."""
     return raw + b"\0" * (max(UNIT, -(-len(raw) // UNIT) * UNIT) - len(raw))
 
 
-def _header(across: int, down: int, n_bytes: int) -> bytes:
+def frames_of(payload: bytes) -> list[bytes]:
+    return [payload[i : i + FRAME] for i in range(0, len(payload), FRAME)]
+
+
+def _header(down: int, n_bytes: int) -> bytes:
     segment = lambda marker, body: struct.pack(">BBH", 0xFF, marker, len(body) + 2) + body
     return b"".join([
         struct.pack(">BB", 0xFF, _SOI),
         segment(_COM, b"payload " + str(n_bytes).encode()),
         segment(_DQT, b"\0" + bytes([8] + [1] * 63)),
-        segment(_SOF0, struct.pack(">BHHBBBB", 8, down * 8, across * 8, 1, 1, 0x11, 0)),
+        segment(_SOF0, struct.pack(">BHHBBBB", 8, down * 8, UNIT * 8, 1, 1, 0x11, 0)),
         segment(_DHT, b"\x00" + _DC_BODY + b"\x10" + _AC_BODY),
-        segment(_DRI, struct.pack(">H", across)),
+        segment(_DRI, struct.pack(">H", UNIT)),
         segment(_SOS, bytes([1, 1, 0, 0, 63, 0])),
     ])
 
 
 def encode_images(payloads: list[bytes]) -> list[bytes]:
-    """A JPEG file per payload (each of a positive multiple of 64 bytes)."""
-    shapes = [shape_of(len(p)) for p in payloads]
-    out: list[bytes] = [b""] * len(payloads)
-    for across in {a for a, _ in shapes}:
-        which = [i for i, (a, _) in enumerate(shapes) if a == across]
-        padded = [payloads[i] + b"\0" * (shapes[i][0] * shapes[i][1] - len(payloads[i])) for i in which]
-        samples = np.frombuffer(b"".join(padded), np.uint8).reshape(-1, across).astype(np.int16) - 128
-        diff = np.diff(samples, axis=1, prepend=np.int16(0)) + 255
-        sizes = _SIZES[diff]
-        ends = np.cumsum(sizes, axis=1)
-        row_bytes = -(-ends[:, -1] // 8)
-        starts = np.cumsum(row_bytes) - row_bytes
-        # each block's bits are added to the (at most 3) bytes they touch; bits of blocks never overlap
-        at = (starts[:, None] * 8 + ends - sizes).ravel()
-        word = _BITS[diff].ravel() << (np.uint64(24) - (at % 8).astype(np.uint64) - sizes.ravel().astype(np.uint64))
-        total = int(row_bytes.sum())
-        stream = np.zeros(total + 3, np.uint32)
-        for k in range(3):
-            part = (word >> np.uint64(16 - 8 * k)) & np.uint64(0xFF)
-            stream += np.bincount(at // 8 + k, part, total + 3).astype(np.uint32)
-        stream = stream[:total].astype(np.uint8)
-        pad = (8 - ends[:, -1] % 8) % 8
-        stream[starts + row_bytes - 1] |= ((1 << pad) - 1).astype(np.uint8)
-        # stuff a 0 after each 0xFF, then a restart marker after each row but an image's last
-        row_of_image = np.concatenate([np.arange(shapes[i][1]) for i in which])
-        rows_in = np.repeat([shapes[i][1] for i in which], [shapes[i][1] for i in which])
-        stuffed = (stream == 0xFF).astype(np.int64)
-        cut = np.concatenate([[0], np.cumsum(stuffed)])
-        row_sizes = row_bytes + cut[starts + row_bytes] - cut[starts] + 2 * (row_of_image < rows_in - 1)
-        row_starts = np.cumsum(row_sizes) - row_sizes
-        data = np.zeros(int(row_sizes.sum()), np.uint8)
-        before = np.repeat(row_starts - starts - cut[starts], row_bytes)
-        data[np.arange(total) + cut[:-1] + before] = stream
-        marked = np.flatnonzero(row_of_image < rows_in - 1)
-        data[row_starts[marked] + row_sizes[marked] - 2] = 0xFF
-        data[row_starts[marked] + row_sizes[marked] - 1] = 0xD0 + row_of_image[marked] % 8
-        first = 0
-        for i in which:
-            last = first + shapes[i][1]
-            out[i] = _header(*shapes[i], len(payloads[i])) + data[row_starts[first] : row_starts[last - 1] + row_sizes[last - 1]].tobytes() + b"\xff\xd9"
-            first = last
+    """A JPEG file per payload (each of a positive multiple of 64 bytes, ``FRAME`` at most)."""
+    if not payloads:
+        return []
+    rows = np.array([len(p) // UNIT for p in payloads])
+    samples = np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, UNIT).astype(np.int16) - 128
+    diff = np.diff(samples, axis=1, prepend=np.int16(0)) + 255
+    sizes = _SIZES[diff]
+    ends = np.cumsum(sizes, axis=1)
+    row_bytes = -(-ends[:, -1] // 8)
+    starts = np.cumsum(row_bytes) - row_bytes
+    # each block's bits are added to the (at most 3) bytes they touch; bits of blocks never overlap
+    at = (starts[:, None] * 8 + ends - sizes).ravel()
+    word = _BITS[diff].ravel() << (np.uint64(24) - (at % 8).astype(np.uint64) - sizes.ravel().astype(np.uint64))
+    total = int(row_bytes.sum())
+    stream = np.zeros(total + 3, np.uint32)
+    for k in range(3):
+        part = (word >> np.uint64(16 - 8 * k)) & np.uint64(0xFF)
+        stream += np.bincount(at // 8 + k, part, total + 3).astype(np.uint32)
+    stream = stream[:total].astype(np.uint8)
+    pad = (8 - ends[:, -1] % 8) % 8
+    stream[starts + row_bytes - 1] |= ((1 << pad) - 1).astype(np.uint8)
+    # stuff a 0 after each 0xFF, then a restart marker after each row but an image's last
+    row_of_image = np.concatenate([np.arange(n) for n in rows])
+    inner = row_of_image < np.repeat(rows, rows) - 1
+    stuffed = (stream == 0xFF).astype(np.int64)
+    cut = np.concatenate([[0], np.cumsum(stuffed)])
+    row_sizes = row_bytes + cut[starts + row_bytes] - cut[starts] + 2 * inner
+    row_starts = np.cumsum(row_sizes) - row_sizes
+    data = np.zeros(int(row_sizes.sum()), np.uint8)
+    before = np.repeat(row_starts - starts - cut[starts], row_bytes)
+    data[np.arange(total) + cut[:-1] + before] = stream
+    marked = np.flatnonzero(inner)
+    data[row_starts[marked] + row_sizes[marked] - 2] = 0xFF
+    data[row_starts[marked] + row_sizes[marked] - 1] = 0xD0 + row_of_image[marked] % 8
+    edges = np.concatenate([[0], np.cumsum(row_sizes)])[np.concatenate([[0], np.cumsum(rows)])].tolist()
+    return [_header(int(n), len(p)) + data[a:b].tobytes() + b"\xff\xd9" for n, p, (a, b) in zip(rows, payloads, pairwise(edges), strict=True)]
+
+
+def split_files(media: bytes) -> list[bytes]:
+    """The JPEG files of a media cell: each ends with the first end marker after its scan begins."""
+    out, start = [], 0
+    while start < len(media):
+        at = start + 2
+        while True:
+            if media[start : start + 2] != b"\xff\xd8" or at + 4 > len(media) or media[at] != 0xFF:
+                raise ValueError("a marker is missing")
+            marker = media[at + 1]
+            at += 1 if marker == 0xFF else 2 + int.from_bytes(media[at + 2 : at + 4], "big")
+            if marker == _SOS:
+                break
+        end = media.find(b"\xff\xd9", at)
+        if end < 0:
+            raise ValueError("the scan has no end")
+        out.append(media[start : end + 2])
+        start = end + 2
     return out
 
 
@@ -312,24 +326,57 @@ def decode_dc(files: list[bytes]) -> list[tuple[Image, np.ndarray]]:
     return out
 
 
-def thumbnail_hashes(grid: np.ndarray) -> tuple[int, int]:
-    """64-bit average and difference hashes of the thumbnail, shrunk by means of its cells."""
-    rows = np.linspace(0, grid.shape[0], 9).astype(np.int64)
-    columns = np.linspace(0, grid.shape[1], 10).astype(np.int64)
-    area = np.zeros((grid.shape[0] + 1, grid.shape[1] + 1), np.int64)
-    area[1:, 1:] = grid.cumsum(0, dtype=np.int64).cumsum(1)
+class Thumbnail:
+    """64-bit average and difference hashes of a thumbnail that comes in strips (one per file), shrunk by means of its cells."""
+
+    def __init__(self) -> None:
+        self.width, self.sums = 0, []
 
-    def cells(r: np.ndarray, c: np.ndarray) -> np.ndarray:
-        low_r, high_r = r[:-1], np.maximum(r[1:], r[:-1] + 1).clip(max=grid.shape[0])
-        low_c, high_c = c[:-1], np.maximum(c[1:], c[:-1] + 1).clip(max=grid.shape[1])
-        low_r, low_c = np.minimum(low_r, high_r - 1), np.minimum(low_c, high_c - 1)
-        sums = area[high_r][:, high_c] - area[low_r][:, high_c] - area[high_r][:, low_c] + area[low_r][:, low_c]
-        return sums / ((high_r - low_r)[:, None] * (high_c - low_c)[None, :])
+    def add(self, grid: np.ndarray) -> None:
+        if self.width and grid.shape[1] != self.width:
+            raise ValueError("the files of a cell differ in width")
+        self.width = grid.shape[1]
+        self.sums.append(np.concatenate([np.zeros((len(grid), 1), np.int64), grid.cumsum(1, dtype=np.int64)], axis=1)[:, np.unique(np.concatenate([self._edges(n).ravel() for n in (8, 9)]))])
 
-    square = cells(rows, np.linspace(0, grid.shape[1], 9).astype(np.int64))
-    wide = cells(rows, columns)
-    pack = lambda bits: int.from_bytes(np.packbits(bits.ravel()).tobytes(), "big")
-    return pack(square > square.mean()), pack(wide[:, 1:] > wide[:, :-1])
+    def _edges(self, n: int) -> np.ndarray:
+        """Start and end of n cells across, one pixel wide at least."""
+        return self._spread(self.width, n)
+
+    @staticmethod
+    def _spread(size: int, n: int) -> np.ndarray:
+        edges = np.linspace(0, size, n + 1).astype(np.int64)
+        high = np.maximum(edges[1:], edges[:-1] + 1).clip(max=size)
+        return np.array([np.minimum(edges[:-1], high - 1), high])
+
+    def hashes(self) -> tuple[int, int]:
+        sums = np.concatenate(self.sums)
+        area = np.concatenate([np.zeros((1, sums.shape[1]), np.int64), sums.cumsum(0)])
+        low_r, high_r = self._spread(len(sums), 8)
+        known = np.unique(np.concatenate([self._edges(n).ravel() for n in (8, 9)]))
+
+        def cells(n: int) -> np.ndarray:
+            low, high = self._edges(n)
+            a, b = np.searchsorted(known, low), np.searchsorted(known, high)
+            found = area[high_r][:, b] - area[low_r][:, b] - area[high_r][:, a] + area[low_r][:, a]
+            return found / ((high_r - low_r)[:, None] * (high - low)[None, :])
+
+        square, wide = cells(8), cells(9)
+        pack = lambda bits: int.from_bytes(np.packbits(bits.ravel()).tobytes(), "big")
+        return pack(square > square.mean()), pack(wide[:, 1:] > wide[:, :-1])
+
+
+def _groups(parts: list[list[bytes]], most: int) -> Iterator[list[tuple[int, bytes]]]:
+    """(owner, part) in runs of about ``most`` bytes."""
+    run, size = [], 0
+    for owner, own in enumerate(parts):
+        for x in own:
+            run.append((owner, x))
+            size += len(x)
+            if size >= most:
+                yield run
+                run, size = [], 0
+    if run:
+        yield run
 
 
 MEDIA = "doc_id long, n_bytes long, media binary"
@@ -337,7 +384,7 @@ FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string
 
 
 def to_media(docs: DataFrame, slice_bytes: int = 4_000_000) -> DataFrame:
-    """A media column: each whole text as a JPEG file that holds its bytes."""
+    """A media column: each whole text as the JPEG files that hold its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads()
@@ -345,7 +392,11 @@ def to_media(docs: DataFrame, slice_bytes: int = 4_000_000) -> DataFrame:
             for start, stop in slices(batch.column("text"), slice_bytes):
                 part = batch.slice(start, stop - start)
                 raw = [(t.as_py() or "").encode() for t in part.column("text")]
-                yield pa.record_batch([part.column("doc_id"), pa.array([len(r) for r in raw], pa.int64()), pa.array(encode_images([payload_of(r) for r in raw]), pa.binary())], names=["doc_id", "n_bytes", "media"])
+                media: list[list[bytes]] = [[] for _ in raw]
+                for group in _groups([frames_of(payload_of(r)) for r in raw], slice_bytes):
+                    for (owner, _), data in zip(group, encode_images([x for _, x in group]), strict=True):
+                        media[owner].append(data)
+                yield pa.record_batch([part.column("doc_id"), pa.array([len(r) for r in raw], pa.int64()), pa.array([b"".join(m) for m in media], pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     return texts(docs).mapInArrow(run, MEDIA)
 
@@ -358,13 +409,26 @@ def features(media: DataFrame, slice_bytes: int = 4_000_000) -> DataFrame:
         for batch in batches:
             for start, stop in slices(batch.column("media"), slice_bytes):
                 part = batch.slice(start, stop - start)
-                files = part.column("media").to_pylist()
-                rows: list[tuple] = []
-                for data, (image, grid) in zip(files, decode_dc(files), strict=True):
-                    payload = grid.tobytes()[: int(image.comment.split()[-1])]
-                    average, difference = thumbnail_hashes(grid)
-                    rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(data), hashlib.sha256(data).hexdigest(), f"{image.width}x{image.height} {average:016x} {difference:016x}"))
+                cells = part.column("media").to_pylist()
+                files = [split_files(c) for c in cells]
+                # bytes, sha256, last unit, thumbnail, height
+                found = [[0, hashlib.sha256(), b"", Thumbnail(), 0] for _ in cells]
+                for group in _groups(files, slice_bytes):
+                    for (owner, _), (image, grid) in zip(group, decode_dc([x for _, x in group]), strict=True):
+                        x = found[owner]
+                        payload = grid.tobytes()[: int(image.comment.split()[-1])]
+                        x[0] += len(payload)
+                        x[1].update(payload)
+                        x[2] = (x[2] + payload)[-UNIT:]
+                        x[3].add(grid)
+                        x[4] += image.height
+                rows = [(n, sha.hexdigest(), zlib.crc32(tail), len(c), hashlib.sha256(c).hexdigest(), "{}x{} {:016x} {:016x}".format(8 * thumbnail.width, height, *thumbnail.hashes())) for (n, sha, tail, thumbnail, height), c in zip(found, cells, strict=True)]
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 yield pa.record_batch([part.column("doc_id"), part.column("n_bytes"), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], names=[x.split()[0] for x in FEATURES.split(", ")])
 
     return media.select("doc_id", "n_bytes", "media").mapInArrow(run, FEATURES)
+
+
+def store_and_read(docs: DataFrame) -> DataFrame:
+    """Write the media column to the shared folder and return the features of what is read back."""
+    return features(stage(to_media(docs), "media"))

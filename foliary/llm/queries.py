@@ -40,7 +40,7 @@ def op7_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jpeg_media.features(jpeg_media.to_media(table(spark, sf_dir, "documents")))
+    return jpeg_media.store_and_read(table(spark, sf_dir, "documents"))
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,5 +55,19 @@ def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
+#: DuckDB SQL by query. Integers below 2**53 are exact as doubles.
+_OP1 = """
+WITH v AS (
+  SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_ball_tree": _OP1}

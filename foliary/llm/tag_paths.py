@@ -166,16 +166,21 @@ def _smooth(x: np.ndarray, reach: int = 2) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), "valid") / weight
 
 
-def content_flags(found: list[tuple[str, _Element, int]], share: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
-    """(selected, fused ratio) per block."""
+def path_ratios(found: list[tuple[str, _Element, int]], length: np.ndarray) -> np.ndarray:
+    """Per block the product of its path's ratios: text outside links, and punctuation, by the path's blocks."""
     paths = [_path(e) for _, e, _ in found]
     names = {p: i for i, p in enumerate(dict.fromkeys(paths))}
     code = np.array([names[p] for p in paths])
-    length = np.array([len(t) - min(k, len(t)) for t, _, k in found], float)
     signs = np.array([len(_PUNCTUATION.findall(t)) for t, _, _ in found], float)
     nodes = np.bincount(code)
     ratio = [(np.bincount(code, x) / nodes)[code] for x in (length, signs)]
-    product = ratio[0] * (ratio[1] + 0.1)
+    return ratio[0] * (ratio[1] + 0.1)
+
+
+def content_flags(found: list[tuple[str, _Element, int]], share: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
+    """(selected, fused ratio) per block."""
+    length = np.array([len(t) - min(k, len(t)) for t, _, k in found], float)
+    product = path_ratios(found, length)
     # a path of links alone has no ratio of its own, whatever stands beside it; a heading may be a link
     shown = np.array([not e.out for _, e, _ in found]) & ((product > 0) | np.array([e.name in _HEADS for _, e, _ in found]))
     doubted = np.array([e.doubted for _, e, _ in found])

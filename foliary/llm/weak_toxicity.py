@@ -5,7 +5,8 @@ A generative model with a hidden class estimates by expectation-maximisation eac
 from what remains together given the class, pairwise correlations, by which the weight of voters that say the same is
 lowered. A linear classifier over the voters' counts is then trained on the model's posteriors and scores whole texts.
 
-The fit is over a bounded sample, at most ``fit_rows`` labelled texts of least hashed doc_id outside the held-out fold, in
+At most ``most_words`` words and ``most_beginnings`` beginnings are made voters, those that gain most; this bounds the model, not
+the rows that are counted or scored. The fit is over a bounded sample, at most ``fit_rows`` labelled texts of least hashed doc_id outside the held-out fold, in
 which known labels take part as one more voter of fixed accuracy. Without labels the lexicon alone votes. Scoring reads each
 whole text once, without a shuffle. Null texts are empty texts and get a score too. A doc_id counts as toxic if any of its
 labels is 1; null labels are left out. Repeated rows get equal scores; extra columns are ignored; an empty table gives an

@@ -14,7 +14,7 @@ from foliary.operators import acquire, publish, workflow
 from foliary.operators.store import Store
 from foliary.schemas import TABLES
 from foliary.sources import documents, snapshots
-from foliary.sources.http_json import PagedJson
+from foliary.sources.http_json import NumberedJson, PagedJson
 
 
 def parser() -> argparse.ArgumentParser:
@@ -57,6 +57,11 @@ def parser() -> argparse.ArgumentParser:
     x.add_argument("url")
     x.add_argument("--page-size", type=int, default=100)
     x.add_argument("--pages", type=int, default=0)
+    x = c.add_parser("census-modern")
+    x.add_argument("url")
+    x.add_argument("--scope", action="append", default=[], help="parliament/session; may be repeated")
+    x.add_argument("--retry-failed", action="store_true")
+    x.add_argument("--page-size", type=int, default=100)
     c.add_parser("census-questions").add_argument("path")
     c.add_parser("export-census").add_argument("path")
     c.add_parser("census-status")
@@ -109,6 +114,10 @@ def run(a: argparse.Namespace, store: Store) -> dict:
     if a.command == "census-repository":
         store.spark.dataSource.register(PagedJson)
         return {"run": workflow.census_repository(store, a.url, a.page_size, a.pages)}
+    if a.command == "census-modern":
+        store.spark.dataSource.register(NumberedJson)
+        scopes = workflow.failed_scopes(store) if a.retry_failed else [tuple(x.split("/")) for x in a.scope]
+        return workflow.census_modern(store, a.url, scopes, a.page_size)
     if a.command == "census-questions":
         return {"records": workflow.census_questions(store, a.path)}
     if a.command == "export-census":

@@ -81,7 +81,8 @@ def status(store: Store) -> dict:
 def scope_status(store: Store, house: str, parliament: str, session: str) -> dict:
     """A scope's counts. The census state is looked up by strict equality, as records and scopes may spell it differently."""
     records = store.read("census_records").where(in_scope(house, parliament, session))
-    census = store.read("census_scopes").where((F.col("house") == house) & (F.col("parliament_number") == parliament) & (F.col("session") == session)).agg(F.max_by("status", "run_id").alias("s")).first().s
+    order = F.when(F.col("status") == "pending", 0).when(F.col("status") == "running", 1).otherwise(2)  # states of one run are rows
+    census = store.read("census_scopes").where((F.col("house") == house) & (F.col("parliament_number") == parliament) & (F.col("session") == session)).agg(F.max_by("status", F.struct("run_id", order)).alias("s")).first().s
     html = F.lower("source_url").contains(".htm") & F.lower("last_error").contains("not a pdf:") & (F.col("acquisition_status") == "failed")
     counts = records.agg(F.count("*").alias("records"), *(F.count_if(F.col("acquisition_status") == s).alias(s) for s in ("discovered", "downloaded", "failed")), F.count_if(html).alias("unsupported_html")).first().asDict()
     docs = records.where("document_sha256 IS NOT NULL").select("document_sha256").distinct().join(store.read("documents").withColumnRenamed("sha256", "document_sha256"), "document_sha256").join(latest_runs(store), "document_sha256", "left")
@@ -172,6 +173,52 @@ def census_repository(store: Store, url: str, size: int = 100, pages: int = 0, s
     return run
 
 
+def _next_run(store: Store) -> int:
+    return (store.read("census_runs").agg(F.max("id")).first()[0] or 0) + 1
+
+
+def scope_state(store: Store, run: int, house: str, parliament: str, session: str, status: str) -> None:
+    """A scope's next state is a row: pending, running, then complete, failed or interrupted; the newest counts."""
+    store.append("census_scopes", store.spark.createDataFrame([(run, house, parliament, session, status)], "run_id long, house string, parliament_number string, session string, status string"))
+
+
+def census_modern(store: Store, url: str, scopes: list[tuple[str, str]], size: int = 100, source: str = "numbered_json") -> dict:
+    """Questions of (parliament, session) scopes of the modern interface, upserted scope by scope. A scope that fails is marked so
+    with its error and the others go on; an interruption marks its scope and ends the run. Returns run, status and errors."""
+    run, errors = _next_run(store), {}
+    state = lambda status: store.append("census_runs", store.spark.createDataFrame([(run, source, status)], "id long, source string, status string"))
+    state("running")
+    for parliament, session in scopes:
+        mark = lambda status, p=parliament, s=session: scope_state(store, run, "lok_sabha", p, s, status)
+        mark("running")
+        try:
+            params = json.dumps({"loksabhaNo": parliament, "sessionNumber": session, "locale": "en"})
+            hits = staging.stage(store.spark.read.format(source).option("url", url).option("params", params).option("pagesize", size).load(), "hits")
+            found = payloads.modern_questions(hits, parliament, session)
+            integrity.require_none(found.where("problem IS NOT NULL").select("position", "problem"), "rows that can't be records")
+            integrity.require_none(integrity.duplicates(found, ["record_id"]), "questions that repeat")
+            store.upsert("census_records", found.drop("position", "problem").withColumn("acquisition_status", F.lit("discovered")))
+        except KeyboardInterrupt:
+            mark("interrupted")
+            state("interrupted")
+            raise
+        except Exception as error:
+            errors[f"{parliament}/{session}"] = f"{type(error).__name__}: {error}"
+            mark("failed")
+        else:
+            mark("complete")
+    state("failed" if errors else "complete")
+    return {"run": run, "status": "failed" if errors else "complete", "errors": errors}
+
+
+def failed_scopes(store: Store) -> list[tuple[str, str]]:
+    """(parliament, session) of the scopes whose newest run did not end well: what a retry takes up."""
+    newest = store.read("census_scopes").groupBy("house", "parliament_number", "session").agg(F.max("run_id").alias("run_id"))
+    states = store.read("census_scopes").join(newest, ["house", "parliament_number", "session", "run_id"])
+    ended = states.groupBy("house", "parliament_number", "session").agg(F.bool_or(F.col("status") == "complete").alias("ok"))
+    return sorted((r.parliament_number, r.session) for r in ended.where("NOT ok").collect())
+
+
 def census_questions(store: Store, path: str) -> int:
     """Question rows of a JSON payload (one array or one object a line), grouped to records and upserted."""
     fields = "qslno string, files string, shri string, name string, qtitle string, qtype string, ans_date string, qno double, min_name string, ses_no string"

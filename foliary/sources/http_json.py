@@ -134,3 +134,53 @@ class PagedJson(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         return _PagedReader(self.options, type(self).opener)
+
+
+class _NumberedReader(DataSourceReader):
+    def __init__(self, options: dict, opener: Open) -> None:
+        self.url, self.size, self.opener = options["url"], int(options.get("pagesize", 100)), opener
+        self.params = json.loads(options.get("params", "{}"))
+
+    def _fetch(self, number: int) -> tuple[int, list]:
+        answer = request_json(self.url, {**self.params, "pageNo": number, "pageSize": self.size}, opener=self.opener)
+        if not isinstance(answer, list) or not answer or not isinstance(answer[0], dict):
+            raise RuntimeError(f"page {number}: no answer of the expected form")
+        rows, total = answer[0].get("listOfQuestions"), answer[0].get("totalRecordSize")
+        if not isinstance(rows, list) or total is None or int(total) < 0:
+            raise RuntimeError(f"page {number}: no rows or no total")
+        return int(total), rows
+
+    def partitions(self) -> list[InputPartition]:
+        total, rows = self._fetch(1)
+        if total and not rows:
+            raise RuntimeError(f"ended after 0 of {total} rows")
+        self.size = len(rows) or self.size  # an interface may give less than was asked for
+        return [_Page(n, total, len(rows)) for n in range(1, -(-total // self.size) + 1)]
+
+    def read(self, partition: _Page) -> Iterator[tuple]:
+        size = partition.pages
+        total, rows = self._fetch(partition.number)
+        if total != partition.total:
+            raise RuntimeError(f"page {partition.number}: the count changed from {partition.total} to {total}")
+        before = (partition.number - 1) * size
+        if len(rows) != min(size, total - before):
+            raise RuntimeError(f"page {partition.number}: ended after {before + len(rows)} of {total} rows")
+        for i, row in enumerate(rows):
+            yield before + i, partition.number, json.dumps(row, ensure_ascii=False, sort_keys=True)
+
+
+class NumberedJson(DataSource):
+    """``spark.read.format("numbered_json")`` with options url, params (JSON) and pagesize: position, page, item of an interface
+    that numbers its pages from 1 and says its total. The total must not change, and no page may end early."""
+
+    opener: Open = staticmethod(open_url)
+
+    @classmethod
+    def name(cls) -> str:
+        return "numbered_json"
+
+    def schema(self) -> str:
+        return "position long, page int, item string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _NumberedReader(self.options, type(self).opener)

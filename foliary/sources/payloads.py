@@ -23,6 +23,28 @@ def latest_session(found: DataFrame) -> DataFrame:
     return found.agg(F.max(F.struct("parliament", "session")).alias("x")).select("x.*")
 
 
+def session_list(found: DataFrame, ordinal: str, session: str = "session") -> DataFrame:
+    """(session, ordinal) as text in the interface's own order, rows without one left out."""
+    return found.where(F.col(session).isNotNull()).select(F.col(session).cast("string").alias("session"), ordinal).orderBy(ordinal)
+
+
+MODERN_ROW = "struct<quesNo:string,type:string,sessionNo:string,date:string,subjects:string,ministry:string,member:array<string>,questionsFilePath:string>"
+
+
+def modern_questions(items: DataFrame, parliament: str, session: str) -> DataFrame:
+    """Records of the modern interface's rows (position, item: JSON text), rows without a URL too, as evidence; ``problem`` names
+    rows without a number."""
+    r = F.from_json("item", MODERN_ROW)
+    own = lambda c: X.stripped(F.coalesce(F.col(f"r.{c}"), F.lit("")))
+    kind = F.upper(X.stripped(F.coalesce(F.nullif(F.col("r.type"), F.lit("")), F.lit("unknown"))))
+    members = F.filter(F.transform(F.coalesce("r.member", F.array().cast("array<string>")), X.stripped), lambda m: m != "")
+    return items.withColumn("r", r).select(
+        "position", F.concat(F.lit(f"ls_l{parliament}_s{session}_q"), own("quesNo"), F.lit("_"), F.lower(kind), F.lit("_en")).alias("record_id"), F.lit("questions_answers").alias("source_type"), F.lit("lok_sabha").alias("house"), F.lit(parliament).alias("parliament_number"),
+        F.coalesce(F.nullif(F.col("r.sessionNo"), F.lit("")), F.lit(session)).alias("session"), own("quesNo").alias("document_number"), kind.alias("document_subtype"), X.parse_date(own("date")).alias("document_date"), own("subjects").alias("title"), own("ministry").alias("ministry"),
+        members.alias("members"), F.lit("en").alias("language"), own("questionsFilePath").alias("source_url"), F.col("item").alias("raw"), F.when(own("quesNo") == "", "no number").alias("problem"),
+    )
+
+
 def first_session(found: DataFrame, ordinal: str, session: str = "session") -> DataFrame:
     """First session in the interface's own order, rows without one left out."""
     return found.where(F.col(session).isNotNull()).agg(F.min_by(session, ordinal).alias("session"))

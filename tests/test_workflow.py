@@ -272,3 +272,44 @@ def test_census_of_a_repository_and_of_questions(spark, tmp_path):
     (tmp_path / "q.json").write_text(json.dumps({"qslno": "7", "files": "u", "shri": "Shri", "name": "A", "qno": 3.0, "ses_no": "5"}) + "\n" + json.dumps({"qslno": "7", "files": "u", "shri": "Shri", "name": "B"}) + "\n")
     assert workflow.census_questions(s, str(tmp_path / "q.json")) == 6
     assert s.read("census_records").where("record_id = 'rs_qsl7_en'").first().members == ["Shri A", "Shri B"]
+
+
+def test_census_of_the_modern_interface(spark, tmp_path):
+    from foliary.sources import http_json, payloads
+
+    def source():
+        class Fake(http_json.NumberedJson):
+            @classmethod
+            def name(cls):
+                return "fake_modern"
+
+            @staticmethod
+            def opener(url, timeout):
+                import json
+                import urllib.parse
+
+                q = {k: v[0] for k, v in urllib.parse.parse_qs(urllib.parse.urlparse(url).query).items()}
+                n, session = int(q["pageNo"]), q["sessionNumber"]
+                row = lambda i: {"quesNo": f" {1 if session == '3' else i} ", "type": "Starred", "subjects": f"S{i}", "member": [" A ", ""], "date": "02.04.2026", "questionsFilePath": "" if i == 2 else f"http://x/{i}.pdf"}
+                rows = [row(i) for i in range(5)][2 * n - 2 : 2 * n]
+                if session == "2" and n == 2:
+                    rows = []
+                if session == "4":
+                    rows[0].pop("quesNo")
+                return json.dumps([{"totalRecordSize": 6 if session == "5" and n > 1 else 5, "listOfQuestions": rows}]).encode()
+
+        return Fake
+
+    spark.dataSource.register(source())
+    s = Store(spark, str(tmp_path / "s"))
+    got = workflow.census_modern(s, "http://x", [("18", str(i)) for i in range(1, 6)], 100, source="fake_modern")
+    assert got["status"] == "failed" and sorted(got["errors"]) == ["18/2", "18/3", "18/4", "18/5"]
+    for scope, message in (("18/2", "ended after 2 of 5"), ("18/3", "repeat"), ("18/4", "no number"), ("18/5", "changed from 5 to 6")):
+        assert message in got["errors"][scope]
+    records = {r.record_id: r for r in s.read("census_records").collect()}
+    assert sorted(records) == [f"ls_l18_s1_q{i}_starred_en" for i in range(5)]
+    assert records["ls_l18_s1_q2_starred_en"].source_url == "" and records["ls_l18_s1_q1_starred_en"].members == ["A"] and records["ls_l18_s1_q1_starred_en"].document_date == "2026-04-02"
+    assert workflow.failed_scopes(s) == [("18", str(i)) for i in range(2, 6)]
+    assert workflow.scope_status(s, "lok_sabha", "18", "1")["census_status"] == "complete" and workflow.scope_status(s, "lok_sabha", "18", "2")["census_status"] == "failed"
+    rows = spark.createDataFrame([(2, 267), (0, None), (1, 268)], "o int, session int")
+    assert [r.session for r in payloads.session_list(rows, "o").collect()] == ["268", "267"]

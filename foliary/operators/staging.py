@@ -11,9 +11,12 @@ _OWN: list[str] = []
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``; under a temporary folder only where that is unset."""
+    """A new path under ``spark.checkpoint.dir``. Where that is unset, a temporary folder does for a local master; a cluster's
+    executors don't share one, so that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _OWN:
             _OWN.append(f"file://{tempfile.mkdtemp(prefix='foliary-')}")
         base = _OWN[0]

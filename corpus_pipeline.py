@@ -1,7 +1,11 @@
 """Corpus pipeline over ``documents``: quality, toxicity, near duplicates, packing.
 
 Each stage calls one operator of ``foliary.llm`` on all that its predecessor kept; ``run`` stages each result as Parquet in
-the shared folder. All stages but the last return the columns of documents.
+the shared folder. All stages but the last return the columns of documents, whatever further ones there are and whatever their
+names. Null texts are empty texts, which are scored like others; rows with null doc_id, repeated rows and repeated ids of different
+texts are rows of their own for the classifiers. Of each class of copies one row stays, one with the least doc_id there is in it; ties
+between rows of that id go to any one. Empty tables give empty tables; without labels the classifiers reject what their modules
+say.
 """
 
 from __future__ import annotations
@@ -16,16 +20,24 @@ from foliary.llm.common import stage, table
 THRESHOLD = 0.3
 
 
+def _kept(docs: DataFrame, scored, keep) -> DataFrame:
+    """Rows of ``docs`` whose score, under a name that no column has, passes ``keep``."""
+    taken, name = {c.lower() for c in docs.columns}, "_score"
+    while name in taken:
+        name = f"_{name}"
+    return scored(docs, name).where(keep(F.col(name))).drop(name)
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject (score of at least 0.3)."""
     model, _ = pu_quality.train(docs, table(spark, sf_dir, "labels"), modulus=5, remainder=0)
-    return pu_quality.with_scores(docs, model, "_foliary_score").where(F.col("_foliary_score") >= THRESHOLD).drop("_foliary_score")
+    return _kept(docs, lambda d, name: pu_quality.with_scores(d, model, name), lambda score: score >= THRESHOLD)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier doesn't reject (score below 0.3)."""
     model = weak_toxicity.train(docs, table(spark, sf_dir, "labels"), modulus=4, remainder=2)
-    return weak_toxicity.with_scores(docs, model, "_foliary_score").where(F.col("_foliary_score") < THRESHOLD).drop("_foliary_score")
+    return _kept(docs, lambda d, name: weak_toxicity.with_scores(d, model, name), lambda score: score < THRESHOLD)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

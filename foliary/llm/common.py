@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where that is unset, a temporary one does for a local master;
+    a cluster's executors don't share one, so that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         base = getattr(shared_folder, "own", None)
         if base is None:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = shared_folder.own = f"file://{tempfile.mkdtemp(prefix='foliary-')}"
     return base.rstrip("/")
 

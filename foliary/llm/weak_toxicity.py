@@ -49,6 +49,10 @@ class Voters:
                     self.kinds.append(f"{group} {w}")
         self.kinds += list(_STYLE_VOTERS)
 
+    def trusted(self) -> np.ndarray:
+        """Voters that need no labels: the lexicon's words."""
+        return np.array([k.startswith("lexicon") for k in self.kinds])
+
     def of_word(self, word: str) -> list[int]:
         out = [self.exact[word]] if word in self.exact else []
         if self.begin:
@@ -65,14 +69,17 @@ class Voters:
         return np.column_stack([fired, w.counts])
 
 
-def label_model(votes: np.ndarray, known: np.ndarray, known_accuracy: float = 0.98, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, known: np.ndarray, known_accuracy: float = 0.98, rounds: int = 40, trusted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of class 1 per row, and each voter's weight after the discount for correlation.
 
-    votes: rows x voters, 1 where a voter fires (else it abstains); known: 1, 0 or -1 (no label)."""
+    votes: rows x voters, 1 where a voter fires (else it abstains); known: 1, 0 or -1 (no label). trusted: voters whose votes
+    rows without a label begin with (None: all). Correlations are first taken when the classes have settled: before, what the
+    class itself explains would count as correlation."""
     n, m = votes.shape
     own = np.log(known_accuracy / (1 - known_accuracy))
     anchor = np.where(known == 1, own, np.where(known == 0, -own, 0.0))
-    posterior = 1 / (1 + np.exp(-np.where(known >= 0, anchor, np.where(votes.any(1), 1.0, -2.0))))
+    first = votes if trusted is None else votes[:, trusted]
+    posterior = 1 / (1 + np.exp(-np.where(known >= 0, anchor, np.minimum(2.0 * first.sum(1), 4) - 2)))
     discount = np.ones(m)
     for i in range(rounds):
         in_one = (posterior @ votes + 0.5) / (posterior.sum() + 2)
@@ -82,7 +89,7 @@ def label_model(votes: np.ndarray, known: np.ndarray, known_accuracy: float = 0.
         prior = np.clip(posterior.mean(), 0.01, 0.99)
         margin = np.log(prior / (1 - prior)) + anchor + votes @ weight + (1 - votes) @ (absent * discount)
         posterior = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-        if i % 10 == 9:
+        if i % 10 == 9 and i > 10:
             rest = votes - np.outer(posterior, in_one) - np.outer(1 - posterior, in_zero)
             scale = rest.std(0) + 1e-6
             correlation = np.abs(rest.T @ rest / n / np.outer(scale, scale))
@@ -180,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
         coefficients = np.zeros(len(voters.kinds) + 5)
         coefficients[0], coefficients[len(voters.kinds) + 1] = -4.0, 4.0
         return Classifier(voters, weight, coefficients)
-    posterior, weight = label_model((counts[:, :-1] > 0).astype(np.float64), found["label"].to_numpy())
+    posterior, weight = label_model((counts[:, :-1] > 0).astype(np.float64), found["label"].to_numpy(), trusted=voters.trusted())
     return Classifier(voters, weight, _regress(Classifier.features(counts, weight), posterior))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from foliary.functions import arrow_udfs, rules
 from foliary.functions import text as X
-from foliary.operators import multisets
+from foliary.operators import multisets, staging
 from foliary.plans.catalog import query
 from foliary.plans.frames import t
 
@@ -141,12 +141,15 @@ SELECT doc_id, item_id, CAST(common AS BIGINT) AS common, CAST(ds.total AS BIGIN
 
 
 def _gold_plan(spark, sf, tokens, numbered=False):
-    """Token-count tables joined on the token. Numbers are planted by rule, as the gold texts have none."""
+    """Token-count tables joined on the token; that of the gold texts is broadcast if it is small, so that no task gathers a common
+    word's documents. Numbers are planted by rule, as the gold texts have none."""
     own = lambda i: F.concat(F.col("text"), F.lit(" "), (F.col(i) % 40).cast("string"), F.lit(",5."), (F.col(i) % 3).cast("string"), F.lit(" 7")) if numbered else F.col("text")
     d = multisets.counted(t(spark, sf, "documents"), ["doc_id"], tokens(own("doc_id")))
     b = multisets.counted(t(spark, sf, "benchmark"), ["item_id"], tokens(own("item_id")))
+    b = staging.stage(b, "gold-tokens")
+    few = F.broadcast(b) if b.count() <= 500_000 else b
     totals = lambda x, k, name: x.groupBy(k).agg(F.sum("n").alias(name))
-    common = d.withColumnRenamed("n", "n_left").join(b.withColumnRenamed("n", "n_right"), "token").groupBy("doc_id", "item_id").agg(F.sum(F.least("n_left", "n_right")).alias("common"))
+    common = d.withColumnRenamed("n", "n_left").join(few.withColumnRenamed("n", "n_right"), "token").groupBy("doc_id", "item_id").agg(F.sum(F.least("n_left", "n_right")).alias("common"))
     return common.join(totals(b, "item_id", "expected"), "item_id").where(F.col("common") * 2 >= F.col("expected")).join(totals(d, "doc_id", "found"), "doc_id").select("doc_id", "item_id", "common", "found", "expected")
 
 

@@ -8,16 +8,30 @@ import pyarrow.compute as pc
 
 #: Signs that are cut off both ends of a word.
 SIGNS = ".,;:!?\"'()[]{}<>|%*$#&@~^_=+/\\-–—…«»„“”‚‘’¡¿`"
+#: White space beyond space, line feed and tab; scripts written without spaces.
+_OTHER_SPACE = r"[\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+
+
+def _spaced(texts: pa.Array) -> pa.Array:
+    """Each white space character as a space; characters of scripts without spaces as words of their own."""
+    out = pc.replace_substring(pc.replace_substring(texts, "\n", " "), "\t", " ")
+    odd = pc.match_substring_regex(texts, f"{_OTHER_SPACE}|{_UNSPACED}")
+    if pc.any(odd).as_py():
+        some = pc.replace_substring_regex(out.filter(odd), _OTHER_SPACE, " ")
+        out = pc.replace_with_mask(out, odd, pc.replace_substring_regex(some, _UNSPACED, r" \0 "))
+    return out
 
 
 class Words:
     """Lower-case words between white space of an array of texts (null: empty): ``dictionary`` with signs cut off, ``raw``
-    as written, ``codes`` per word, ``doc`` per word and ``counts`` per text."""
+    as written, ``codes`` per word, ``doc`` per word and ``counts`` per text. White space is Unicode's; each character of a
+    script without spaces is a word."""
 
     def __init__(self, array: pa.Array) -> None:
         array = array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array
         self.texts = pc.fill_null(array, "")
-        split = pc.split_pattern(pc.utf8_lower(pc.replace_substring(pc.replace_substring(self.texts, "\n", " "), "\t", " ")), " ")
+        split = pc.split_pattern(pc.utf8_lower(_spaced(self.texts)), " ")
         flat = split.flatten().dictionary_encode()
         offsets = split.offsets.to_numpy().astype(np.int64)
         offsets -= offsets[0]

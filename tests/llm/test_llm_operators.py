@@ -36,7 +36,6 @@ def library(name):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -57,6 +56,62 @@ def test_duck_bpe_equals_tiktoken(odd, empty):
     assert duck_bpe.encode_decode(empty, path, public_tokenizers.PATTERN, digests=True).count() == 0
 
 
+def test_duck_bpe_of_long_words():
+    import time
+
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    e = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=duck_bpe.read_ranks(path), special_tokens={})
+    duck = duck_bpe.DuckBpe(path, public_tokenizers.PATTERN)
+    rng = random.Random(8)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    latin = "abcdefghijklmnopqrstuvwxyz"
+    words = ["a" * 5000, "=" * 3000, "ab" * 2000, "-" * 777, "Ã" * 1500, "the" * 300, "=-" * 2000]
+    words += [word(latin, rng.randint(1, 220)) for _ in range(300)] + [word("aabétèionsr", rng.randint(60, 900)) for _ in range(20)] + [word("etaoin", n) for n in range(90, 200)]
+    assert duck.encode_words([w.encode() for w in words]) == [e.encode_ordinary(w) for w in words]
+    for w in (word(latin, 100_000), "=" * 100_000):
+        began = time.process_time()
+        assert duck.encode_words([w.encode()]) == [e.encode_ordinary(w)]
+        assert time.process_time() - began < 30  # some 4 to 6 seconds
+
+
+def test_pieces_equal_whole_texts():
+    """Fuzz over what normalisation takes apart or puts together, odd white space and the strings of special tokens."""
+    import pyarrow as pa
+
+    from foliary.llm.pieces import library_table
+
+    rng = random.Random(11)
+    alphabet = ["İ", "क़", "ŉ", "é", "e\u0301", "ǅ", "K", "Å", "ﬁ", "ß", "Σ", "a", "b", "x", "I", "1", "²", "٣", "漢", "\u0338", "\u200d", "\u200b", "\xad", "\u180e", ",", ".", "'s", "'", "!", "-", " ", " ", " ", "\n", "\t", "\r", "\xa0", "\u3000", "\x0b", "\x1c", "\x85", "\x01", "\x02", "<|endoftext|>", "<|startoftext|>", "<|", "|>"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(20_000)] + ["İ, x", "क़, x", "a <|endoftext|> b", " <|startoftext|>,", "\u0307, x. \u0307", "a \x02 b \x02"]
+    for name, vanish in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        encode = library(name)
+        table = library_table(public_tokenizers.path(name), limit=500)
+        for at in range(0, len(texts), 2000):
+            part = texts[at : at + 2000]
+            ids, ends = table.encode_texts(pa.array(part), spaces_vanish=vanish)
+            for t, a, b in zip(part, ends[:-1], ends[1:], strict=True):
+                assert ids[a:b].tolist() == encode(t), (name, t)
+
+
+def test_packing_does_not_depend_on_batches(spark):
+    rng = random.Random(2)
+    pieces = best_fit.stage(spark.createDataFrame([(i, 0, 0, rng.randint(1, 256), i) for i in range(9000)], best_fit.PIECES), "t")
+    found = []
+    for size in ("10000", "700"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        found.append(sorted(map(tuple, best_fit.pack(pieces, capacity=256, open_bins=20).collect())))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found[0] == found[1]
+    ends, whole = {}, 0
+    for _, _, _, n, _, which, offset in sorted(found[0], key=lambda r: r[5:]):
+        assert offset == ends.get(which, 0)
+        ends[which] = offset + n
+        whole += n
+    assert max(ends.values()) <= 256 and sum(ends.values()) == whole
+
+
 def test_best_fit_pieces_and_places(odd, empty):
     encode = library("word_bpe_49k.json")
     rows = best_fit.pack_documents(odd, public_tokenizers.path("word_bpe_49k.json"), capacity=256).collect()
@@ -122,13 +177,58 @@ def test_chunks_of_shared_passages_are_shared():
     assert len(chunks[0] & chunks[1]) >= len(chunks[0]) - 3
 
 
-def test_a_changed_chunk_is_found(spark, odd, tmp_path):
-    path = str(tmp_path / "store")
-    chunk_store.write_store(odd, path, public_tokenizers.path("byte_bpe_50k.json"))
-    changed = spark.read.parquet(path).withColumn("payload", F.when(F.col("kind") == "chunk", F.concat(F.col("payload"), F.lit(b"\0\0"))))
-    changed.write.partitionBy("kind").parquet(f"{path}2")
-    with pytest.raises(Exception, match="doesn't match its digest"):
-        chunk_store.read_chunks(spark, f"{path}2").collect()
+def store(spark, path, rows):
+    chunk_store.write_store(frame(spark, rows), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return path
+
+
+def changed_copy(spark, path, other, which, change):
+    """A store like ``path`` in which ``change`` was applied to one of its tables."""
+    for end in ("", "-recipes", "-top"):
+        df = spark.read.parquet(path + end)
+        writer = (change(df) if end == which else df).write
+        (writer.partitionBy("kind") if end != "-top" else writer).parquet(other + end)
+    return other
+
+
+def test_a_changed_store_is_found(spark, tmp_path):
+    rows = [(i, f"document {i} of equal length") for i in range(10, 40)] + [(50, None), (51, "one " * 3000)]
+    path = store(spark, str(tmp_path / "store"), rows)
+    assert chunk_store.verify(spark, path).count() == len(rows)
+    recipes = spark.read.parquet(f"{path}-recipes")
+    other = recipes.where("doc_id = 13").first()
+    one = F.col("doc_id") == 11
+    lost = spark.read.parquet(path).where("kind = 'chunk'").first().digest
+    page = F.col("kind") == "manifest"
+    for i, (which, message, change) in enumerate([
+        ("", "doesn't match its digest", lambda df: df.withColumn("payload", F.when(F.col("kind") == "chunk", F.concat("payload", F.lit(b"\0\0"))))),
+        ("", "a chunk is missing", lambda df: df.where(F.col("digest") != F.lit(bytes(lost)))),
+        ("-recipes", "don't give its Merkle root", lambda df: df.withColumn("digests", F.when(one, F.lit(bytes(other.digests))).otherwise(F.col("digests")))),
+        ("-recipes", "don't give its root in the manifest", lambda df: df.withColumn("digests", F.when(one, F.lit(bytes(other.digests))).otherwise(F.col("digests"))).withColumn("root", F.when(one, F.lit(bytes(other.root))).otherwise(F.col("root")))),
+        ("-recipes", "don't give its Merkle root", lambda df: df.withColumn("root", F.when(one, F.lit(bytes(other.root))).otherwise(F.col("root")))),
+        ("-recipes", "not as many as the manifest says", lambda df: df.where(~one | page)),
+        ("-recipes", "not as many as its recipe says", lambda df: df.withColumn("n_tokens", F.when(one, F.col("n_tokens") + 1).otherwise(F.col("n_tokens")))),
+        ("-recipes", "doesn't match the root on top", lambda df: df.withColumn("root", F.when(page, F.lit(bytes(other.root))).otherwise(F.col("root")))),
+        ("-recipes", "doesn't match the root on top", lambda df: df.where(~page)),
+        ("-top", "doesn't match the root on top", lambda df: df.withColumn("root", F.lit(bytes(other.root)))),
+    ]):
+        with pytest.raises(Exception, match=message):
+            chunk_store.verify(spark, changed_copy(spark, path, str(tmp_path / f"changed{i}"), which, change)).collect()
+
+
+def test_pages_of_the_manifest(spark, tmp_path, monkeypatch):
+    rows = [(i % 700, f"text {i % 900}") for i in range(2500)]
+    path = store(spark, str(tmp_path / "store"), rows)
+    encode = library("byte_bpe_50k.json")
+    got = chunk_store.verify(spark, path).collect()
+    want = sorted((d, zlib.crc32(u32([*encode(t), 0]))) for d, t in rows)
+    assert sorted((r.doc_id, r.ids_crc32) for r in got) == want
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    pages = spark.read.parquet(f"{path}-recipes").where("kind = 'manifest'")
+    assert pages.count() >= 3 and pages.agg(F.sum("n_docs")).first()[0] == len(rows)
 
 
 def test_ball_tree_equals_brute_force(spark):
@@ -198,6 +298,25 @@ def test_similarity_join_equals_brute_force(spark, empty):
     assert sorted((r.doc_id or 0, r.class_id or 0, r.n_copies) for r in one) == [(0, 0, 1), (1, 1, 3), (1, 1, 3), (2, 1, 3)]
 
 
+def test_words_of_any_white_space_and_script():
+    import pyarrow as pa
+
+    lines = ["one two three four five six", "one\xa0two\u3000three\x0cfour\r\nfive\u2028six", "漢字かな交じり文", "漢字 かな交じ り文"]
+    s, e = chosen_path.shingle_sets(pa.array(lines))
+    sets = [set(s[e[i] : e[i + 1]].tolist()) for i in range(4)]
+    assert sets[0] == sets[1] and sets[2] == sets[3] and len(sets[2]) == 4
+
+
+def test_rows_without_doc_id_are_compared(spark):
+    base = [f"w{i}" for i in range(100)]
+    near = " ".join([*base[:-1], "other"])
+    docs = frame(spark, [(None, " ".join(base)), (5, near), (None, near.upper()), (7, "something else"), (None, "x y z"), (None, "X y, z"), (7, " ".join(base[1:])), (3, " ".join(base[2:]))])
+    rows = chosen_path.similarity_join(docs).collect()
+    assert sorted((r.doc_id or 0, r.class_id or 0, r.n_links) for r in rows) == [(0, 0, 0), (0, 0, 0), (0, 3, 3), (0, 3, 3), (3, 3, 3), (5, 3, 3), (7, 3, 3), (7, 7, 0)]
+    kept = chosen_path.keep_one(docs, chosen_path.stage(chosen_path.similarity_join(docs), "t")).collect()
+    assert sorted((r.doc_id or 0, r.text.lower().replace(",", "")) for r in kept) == [(0, "x y z"), (3, " ".join(base[2:])), (7, "something else")]
+
+
 def test_keep_one_keeps_one_row_of_each_class(spark):
     docs = frame(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, "other"), (None, "none")])
     classes = chosen_path.stage(chosen_path.similarity_join(docs), "t")
@@ -218,18 +337,28 @@ def test_jpeg_round_trip(odd, empty):
     assert data[:2] == b"\xff\xd8" and data[-2:] == b"\xff\xd9"
 
 
-def test_jpeg_of_any_bytes_and_widths(monkeypatch):
+def test_jpeg_of_any_bytes():
     rng = np.random.default_rng(2)
-    payloads = [rng.integers(0, 256, 64 * n, dtype=np.uint8).tobytes() for n in (1, 3, 40)] + [b"\xff" * 640, b"\0" * 64, bytes([0, 255] * 320)]
-    for (image, grid), p in zip(jpeg_media.decode_dc(jpeg_media.encode_images(payloads)), payloads, strict=True):
-        assert grid.tobytes() == p and image.width == grid.shape[1] * 8
-    monkeypatch.setattr(jpeg_media, "_MOST_ROWS", 4)
-    for (image, grid), p in zip(jpeg_media.decode_dc(jpeg_media.encode_images(payloads)), payloads, strict=True):
-        assert grid.tobytes()[: len(p)] == p and grid.shape[0] <= 4
-    with pytest.raises(ValueError):
-        jpeg_media.decode_dc([jpeg_media.encode_images([payloads[2]])[0][:-900] + b"\xff\xd9"])
+    payloads = [rng.integers(0, 256, 64 * n, dtype=np.uint8).tobytes() for n in (1, 3, 40)] + [b"\xff" * 640, b"\0" * 64, bytes([0, 255] * 320), b"ab" * (jpeg_media.FRAME // 2)]
+    files = jpeg_media.encode_images(payloads)
+    for (image, grid), p in zip(jpeg_media.decode_dc(files), payloads, strict=True):
+        assert grid.tobytes() == p and (image.width, image.height) == (512, 8 * len(p) // 64)
+    assert jpeg_media.split_files(b"".join(files)) == files
     with pytest.raises(ValueError):
-        jpeg_media.decode_dc([b"GIF89a"])
+        jpeg_media.decode_dc([files[2][:-900] + b"\xff\xd9"])
+    for broken in (b"GIF89a", files[0][:-2], files[0] + b"x"):
+        with pytest.raises(ValueError):
+            jpeg_media.decode_dc(jpeg_media.split_files(broken))
+
+
+def test_jpeg_of_a_text_beyond_one_image(spark):
+    """70 MB: more than 16 bits of height and width could hold in one image."""
+    rng = np.random.default_rng(3)
+    raw = rng.integers(32, 127, 70_000_000, dtype=np.uint8).tobytes()
+    row = jpeg_media.store_and_read(frame(spark, [(1, raw.decode())])).first()
+    payload = jpeg_media.payload_of(raw)
+    assert (row.n_bytes, row.payload_bytes, row.payload_sha256, row.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+    assert row.feature.startswith(f"512x{8 * len(payload) // 64} ")
 
 
 def test_jpeg_reads_ac_coefficients():
@@ -355,7 +484,7 @@ def test_path_ratios_choose_the_content():
     assert tag_paths.main_text(page).split("\n") == [long.strip(), "one item", "two items", "three", "four", "five"]
 
 
-def hot_pairs(pairs=400):
+def hot_pairs(pairs=2000):
     """Isolated pairs at about 0.8: each holds six passages of 30, so that most of its shingles stand in many other texts."""
     rng = np.random.default_rng(5)
     word = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]

@@ -27,3 +27,19 @@ def test_pipeline_on_an_empty_table(spark, small, tmp_path):
     for _, function in corpus_pipeline.STAGES:
         docs = stage(function(spark, docs, small), "t")
         assert docs.count() == 0
+
+
+def test_odd_rows_and_clashing_names(spark, small):
+    from pyspark.sql import functions as F
+
+    docs = table(spark, small, "documents").limit(60)
+    odd = docs.limit(1).withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.lit(None).cast("long"))
+    docs = stage(docs.unionByName(odd).unionByName(docs.limit(3)).withColumn("_score", F.lit("own")).withColumn("sid", F.lit(1)).withColumn("label", F.lit(None).cast("int")), "t")
+    rows = docs.count()
+    for _, function in corpus_pipeline.STAGES[:-1]:
+        kept = stage(function(spark, docs, small), "t")
+        assert kept.columns == docs.columns and kept.count() <= docs.count() and kept.where("_score <> 'own' OR sid <> 1").count() == 0
+        docs = kept
+    assert 0 < docs.count() <= rows - 3 and docs.groupBy("doc_id").count().where("count > 1").count() == 0
+    pieces = corpus_pipeline.packed(spark, docs, small)
+    assert pieces.where("piece = 0").count() == docs.count()

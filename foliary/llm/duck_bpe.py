@@ -60,19 +60,13 @@ WITH RECURSIVE state(word, spot, tok, done) AS (
   SELECT word, spot, tok, false FROM start_rows
   UNION ALL
   SELECT word, spot, tok, done FROM (
+    WITH pairs AS MATERIALIZED (
+      SELECT n.word, n.spot, n.tok, p.pair + n.spot AS pair
+      FROM (SELECT word, spot, tok, CASE WHEN lead(word) OVER o = word THEN lead(tok) OVER o END AS nxt FROM state WHERE NOT done WINDOW o AS (ORDER BY spot)) n
+      LEFT JOIN merges p ON p.lft = n.tok AND p.rgt = n.nxt
+    ), least AS (SELECT word, min(pair) AS best FROM pairs GROUP BY word)
     SELECT word, spot, CASE WHEN here THEN best >> 32 ELSE tok END AS tok, best IS NULL AS done, coalesce(lag(here) OVER (ORDER BY spot), false) AS swallowed
-    FROM (
-      SELECT p.word, p.spot, p.tok, b.best, coalesce(p.pair = b.best, false) AS here
-      FROM (
-        SELECT n.word, n.spot, n.tok, m.pair + n.spot AS pair
-        FROM (SELECT word, spot, tok, CASE WHEN lead(word) OVER o = word THEN lead(tok) OVER o END AS nxt FROM state WHERE NOT done WINDOW o AS (ORDER BY spot)) n
-        LEFT JOIN merges m ON m.lft = n.tok AND m.rgt = n.nxt
-      ) p LEFT JOIN (
-        SELECT n.word, min(m.pair + n.spot) AS best
-        FROM (SELECT word, spot, tok, CASE WHEN lead(word) OVER o = word THEN lead(tok) OVER o END AS nxt FROM state WHERE NOT done WINDOW o AS (ORDER BY spot)) n
-        JOIN merges m ON m.lft = n.tok AND m.rgt = n.nxt GROUP BY n.word
-      ) b ON p.word = b.word
-    )
+    FROM (SELECT a.word, a.spot, a.tok, b.best, coalesce(a.pair = b.best, false) AS here FROM pairs a JOIN least b ON a.word = b.word)
   ) WHERE NOT swallowed
 )
 SELECT word, spot, tok FROM state WHERE done ORDER BY spot

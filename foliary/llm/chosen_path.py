@@ -4,20 +4,23 @@ A text is the set of its shingles: ``width`` words in a row, lower-case and with
 shingle; no words: the text itself). Texts of equal sets are one class from the start. Then, in several runs:
 
 1. sets split on a sampled shared token, the shingle least under the run's hash function; buckets above ``bucket`` sets split
-   again on the next sampled token, down to ``depth``, so that a path of tokens leads to each bucket;
-2. small buckets are compared in full by sketches of the sets (equal shares of min-hash values), with a margin below the
-   threshold; larger ones, all of them, in blocks and pairs of blocks;
+   again on paths of twice as many sampled tokens, ``depth`` at most;
+2. buckets are compared in full by sketches of the sets (equal shares of min-hash values), with a margin below the threshold:
+   first in blocks, dealt anew for each bucket; then those of several blocks whose sets aren't of one family by then, in pairs
+   of blocks;
 3. runs repeat until a pair at the threshold has met with probability ``recall``: first as many as paths of one token need, then,
    for the sets that stood in a bucket that was split, as many more with fresh hash functions as paths of ``depth`` tokens need;
    the pairs that remain bind sets to families. Buckets of one family alone need no further comparison.
 
-Sets of a family are then compared exactly, all with all, in blocks and pairs of blocks; links are counted where they are
-found, and only a spanning forest of them is kept. No bucket, family or partner is capped, and no pair list leaves a task.
+Sets of a family are then compared exactly, all with all, in blocks and then pairs of blocks; links are counted where they are
+found, and of them only a spanning forest is kept: inside the blocks first, then between what these have joined. No bucket,
+family or partner is capped, and no pair list leaves a task.
 
 Result, a row per input row: doc_id, class_id (least doc_id of the texts linked to it directly or over others), copy_id (least
-doc_id with an equal set), n_links (different sets of similarity at or above the threshold), n_copies. Null texts are empty
-texts; all empty texts are copies of each other. A null doc_id keeps its row, but a set that only such rows have takes part
-in no links; extra columns are ignored; an empty table gives an empty result. Sets are known by 64-bit digests.
+doc_id with an equal set), n_links (different sets of similarity at or above the threshold), n_copies, set_id (a digest of the
+set) and class_set (the least set_id of the class). Null texts are empty texts; all empty texts are copies of each other. Rows
+without doc_id take part like others; where a class has no other rows, its class_id is null. Extra columns are ignored; an
+empty table gives an empty result. Sets are known by 64-bit digests.
 """
 
 from __future__ import annotations
@@ -36,7 +39,6 @@ from foliary.llm.words import Words
 
 SKETCH = 32
 _HALF = SKETCH // 2
-RESULT = "doc_id long, class_id long, copy_id long, n_links long, n_copies long"
 _BROADCAST_ROWS = 500_000  # ids of 8 bytes: at most some 20 MB are broadcast, more are joined by a shuffle
 
 
@@ -149,58 +151,95 @@ def _labels(near: np.ndarray) -> np.ndarray:
         label = new
 
 
-def blocked(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """Rows of large groups go to every pair of blocks with their own; ``place`` is the pair's key, ``side`` the block's
-    place in the pair (2: the pair is one block). Groups of one row vanish. Sizes come from a partial aggregation."""
-    sizes = rows.groupBy(key).agg(F.count("*").alias("size")).where("size > 1")
-    n = F.ceil(F.col("size") / size).cast("int")
-    joined = rows.join(sizes, key).withColumn("blocks", n).withColumn("own", F.pmod(F.xxhash64("sid", F.lit(11)), F.col("blocks")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least("own", other).alias("i"), F.greatest("own", other).alias("j")))
-    spread = joined.withColumn("pair", F.explode(pairs)).drop("blocks", "size")
-    side = F.when(F.col("pair.i") == F.col("pair.j"), 2).when(F.col("own") == F.col("pair.i"), 0).otherwise(1)
-    return spread.withColumn("place", F.xxhash64(key, "pair.i", "pair.j")).withColumn("side", side.cast("int")).drop("pair", "own")
+def _small(df: DataFrame, rows: int = _BROADCAST_ROWS) -> bool:
+    return df.count() <= rows
 
 
-def candidate_edges(reps: DataFrame, active: DataFrame, depth: int, bucket: int, threshold: float, margin: float) -> tuple[DataFrame, DataFrame]:
-    """(a, b): sets whose sketches are near, as forests of the buckets; and the sets (sid) of buckets that were split at the
-    first token. active: sid, family, run, tokens; buckets of one family alone vanish."""
+def in_blocks(rows: DataFrame, sizes: DataFrame, key: str, size: int) -> DataFrame:
+    """Adds ``blocks`` (how many the key's rows are dealt to) and ``own`` (a row's block, other ones for other keys). sizes: a
+    staged table of (key, size); keys that it doesn't have vanish. It is broadcast if it is small: no row is then dealt by key."""
+    joined = rows.join(F.broadcast(sizes) if _small(sizes) else sizes, key)
+    joined = joined.withColumn("blocks", F.ceil(F.col("size") / size).cast("int")).drop("size")
+    return joined.withColumn("own", F.pmod(F.xxhash64("sid", key, F.lit(11)), F.col("blocks")).cast("int"))
+
+
+def in_pairs(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of keys with several blocks go to every pair of their block with another; ``place`` is the pair's key, ``side``
+    the block's place in the pair."""
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: other != F.col("own"))
+    spread = rows.where("blocks > 1").withColumn("other", F.explode(others))
+    place = F.xxhash64(key, F.least("own", "other"), F.greatest("own", "other"))
+    return spread.withColumn("place", place).withColumn("side", (F.col("own") > F.col("other")).cast("int")).drop("blocks", "own", "other")
+
+
+def _forest(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that span what ``near`` (left x right) joins of the labels ``left`` and ``right``."""
+    i, j = np.nonzero(near & (left[:, None] != right[None, :]))
+    pairs = np.unique(np.column_stack([left[i], right[j]]), axis=0).tolist()
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := root.setdefault(x, x)) != x:
+            root[x] = x = root[y] if y in root else y
+        return x
+
+    out = []
+    for a, b in pairs:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            root[max(ra, rb)] = min(ra, rb)
+            out.append((a, b))
+    return out
+
+
+def _sketch_of(group: pa.Table) -> np.ndarray:
+    return np.column_stack([group[f"k{i}"].to_numpy() for i in range(_HALF)]).view(np.uint32)
+
+
+def _alike(left: np.ndarray, right: np.ndarray, least: int) -> np.ndarray:
+    near = np.empty((len(left), len(right)), bool)
+    for at in range(0, len(left), 64):
+        near[at : at + 64] = (left[at : at + 64, None, :] == right[None, :, :]).sum(2) >= least
+    return near
+
+
+def candidate_edges(reps: DataFrame, active: DataFrame, depth: int, bucket: int, least: int, block: int = 512) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a, b): sets of one block whose sketches have ``least`` equal values, as forests; the sets (sid) of buckets that were
+    split at the first token; and the rows (path, blocks, own, sid) of buckets of several blocks, whose pairs are still to be
+    compared. active: sid, family, run, tokens; buckets of one family alone vanish."""
     active = active.select("sid", "family", "tokens", F.xxhash64("run", F.element_at("tokens", 1)).alias("path"))
-    done, split = [], None
-    for level in range(1, depth + 1):
+    done, counted, split = [], [], None
+    length = 1
+    while True:
         sizes = active.groupBy("path").agg(F.count("*").alias("size"), F.min("family").alias("low"), F.max("family").alias("high")).where("size > 1 AND low <> high").select("path", "size")
-        met = active.join(sizes, "path")
-        if level == depth:
-            done.append(met.select("sid", "path"))
+        sizes = stage(sizes, f"sizes{length}")
+        large = sizes.where(F.col("size") > bucket)
+        counted.append(sizes if length == depth else sizes.where(F.col("size") <= bucket))
+        done.append(active.select("sid", "path"))
+        if length == depth or not large.limit(1).count():
             break
-        met = stage(met, f"level{level}")
-        done.append(met.where(F.col("size") <= bucket).select("sid", "path"))
-        large = met.where(F.col("size") > bucket)
-        split = large.select("sid").distinct() if split is None else split
-        active = large.select("sid", "family", "tokens", F.xxhash64("path", F.element_at("tokens", level + 1)).alias("path"))
-    met = done[0]
-    for more in done[1:]:
-        met = met.unionByName(more)
-    least = int(math.floor((threshold - margin) * SKETCH))
+        met = stage(active.join(F.broadcast(large) if _small(large) else large, "path"), f"level{length}")
+        split = met.select("sid").distinct() if split is None else split
+        longer = min(2 * length, depth)  # a path of twice the tokens: fewer rounds for hot tokens
+        active = met.select("sid", "family", "tokens", F.xxhash64("path", *(F.element_at("tokens", i + 1) for i in range(length, longer))).alias("path"))
+        length = longer
+    placed = None
+    for rows, sizes in zip(done, counted, strict=True):
+        own = in_blocks(rows, sizes, "path", block)
+        placed = own if placed is None else placed.unionByName(own)
     names = [f"k{i}" for i in range(_HALF)]
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads()
         a, b = [], []
         for group in _groups(batches, "place"):
-            sid, side = group["sid"].to_numpy(), group["side"].to_numpy()
-            sketch = np.column_stack([group[x].to_numpy() for x in names]).view(np.uint32)
+            sid, sketch = group["sid"].to_numpy(), _sketch_of(group)
             if len(sid) == 2:
-                near = bool((sketch[0] == sketch[1]).sum() >= least)
-                if near and sid[0] != sid[1]:
+                if (sketch[0] == sketch[1]).sum() >= least and sid[0] != sid[1]:
                     a.append(int(sid[0]))
                     b.append(int(sid[1]))
                 continue
-            near = np.empty((len(sid), len(sid)), bool)
-            for at in range(0, len(sid), 64):
-                near[at : at + 64] = (sketch[at : at + 64, None, :] == sketch[None, :, :]).sum(2) >= least
-            if side[0] != 2:
-                near &= side[:, None] != side[None, :]
-            label = _labels(near)
+            label = _labels(_alike(sketch, sketch, least)) if len(sid) > 1 else np.zeros(1, np.int64)
             for i in np.flatnonzero(label != np.arange(len(sid))):
                 if sid[i] != sid[label[i]]:
                     a.append(int(sid[i]))
@@ -210,9 +249,52 @@ def candidate_edges(reps: DataFrame, active: DataFrame, depth: int, bucket: int,
                 a, b = [], []
         yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    placed = blocked(met, "path", 512).select("place", "side", "sid").join(reps.select("sid", *names), "sid")
-    edges = placed.select("place", "side", "sid", *names).repartition("place").sortWithinPartitions("place").mapInArrow(compare, "a long, b long").distinct()
-    return edges, split if split is not None else reps.select("sid").limit(0)
+    placed = stage(placed, "placed")
+    blocks = placed.select(F.xxhash64("path", "own").alias("place"), "sid").join(reps.select("sid", *names), "sid").repartition("place").sortWithinPartitions("place")
+    edges = stage(blocks.mapInArrow(inside, "a long, b long").distinct(), "edges")
+    return edges, split if split is not None else reps.select("sid").limit(0), placed.where("blocks > 1")
+
+
+def edges_between(reps: DataFrame, several: DataFrame, families: DataFrame, least: int) -> DataFrame | None:
+    """(a, b) between families: near sets of different blocks of one bucket, as forests. Buckets whose sets are all of one family
+    need no comparison; None if there are no others."""
+    names = [f"k{i}" for i in range(_HALF)]
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quiet_threads()
+        for group in _groups(batches, "place"):
+            side, family, sketch = group["side"].to_numpy(), group["family"].to_numpy(), _sketch_of(group)
+            left, right = side == 0, side == 1
+            if not left.any() or not right.any() or (family == family[0]).all():
+                continue
+            edges = np.array(_forest(_alike(sketch[left], sketch[right], least), family[left], family[right]), np.int64).reshape(-1, 2)
+            yield pa.record_batch([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())], names=["a", "b"])
+
+    several = several.join(families, "sid", "left").withColumn("family", F.coalesce("family", "sid"))
+    several = stage(several, "several")
+    mixed = stage(several.groupBy("path").agg(F.min("family").alias("low"), F.max("family").alias("high")).where("low <> high").select("path"), "mixed")
+    n_mixed = mixed.count()
+    if not n_mixed:
+        return None
+    several = in_pairs(several.join(F.broadcast(mixed) if n_mixed <= _BROADCAST_ROWS else mixed, "path"), "path")
+    pairs = several.select("place", "side", "sid", "family").join(reps.select("sid", *names), "sid").repartition("place").sortWithinPartitions("place")
+    return stage(pairs.mapInArrow(between, "a long, b long").distinct(), "edges-between")
+
+
+def merged(families: DataFrame, edges: DataFrame | None, name: str) -> DataFrame:
+    """``families`` (sid, family: a component's least sid) after more edges: only what these join is followed."""
+    if edges is None:
+        return families
+    of = lambda c: families.select(F.col("sid").alias(c), F.col("family").alias(f"f{c}"))
+    mapped = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", F.coalesce("fa", "a").alias("fa"), F.coalesce("fb", "b").alias("fb"))
+    mapped = stage(mapped, f"{name}-mapped")
+    across = mapped.where("fa <> fb").select(F.col("fa").alias("a"), F.col("fb").alias("b")).distinct()
+    if not across.limit(1).count():
+        return families  # an edge inside a family names no new set
+    joined = components(across, name).select(F.col("sid").alias("family"), "root")
+    ends = mapped.select(F.col("a").alias("sid"), F.col("fa").alias("family")).unionByName(mapped.select(F.col("b").alias("sid"), F.col("fb").alias("family")))
+    every = families.unionByName(ends).distinct()
+    return stage(every.join(joined, "family", "left").select("sid", F.coalesce("root", "family").alias("family")), f"{name}-families")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -233,59 +315,90 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-def exact_links(members: DataFrame, threshold: float, block: int) -> DataFrame:
-    """(sid, links, root): counts and forest edges of the exact comparisons; members: family, sid, shingles (binary)."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def exact_links(members: DataFrame, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """(sid, n_links) and the classes (sid, family) that the links make, by exact comparison; members, a staged table: family,
+    sid, shingles (binary)."""
+
+    def sets_of(group: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+        column = group["shingles"].combine_chunks()
+        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in column]
+        return sets, np.array([len(x) for x in sets], np.int64)
+
+    def common(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
+        """Sizes of the intersections; right None: of left with itself."""
+        sets = left + (right or [])
+        if len(sets) <= 6:
+            return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in right or left] for a in left], np.float64)
+        tokens, code = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        shared = np.bincount(code, minlength=len(tokens)) > 1
+        number = np.cumsum(shared) - 1
+        use = shared[code]
+        code, owner = number[code[use]], owner[use]
+        by = np.argsort(code, kind="stable")
+        code, owner = code[by], owner[by]
+        wide = 1 << 14
+        out = np.zeros((len(left), len(right if right is not None else left)), np.float64)
+        for at in range(0, int(shared.sum()), wide):
+            a, b = np.searchsorted(code, [at, at + wide])
+            part = np.zeros((len(sets), wide), np.float32)
+            part[owner[a:b], code[a:b] - at] = 1
+            out += part[: len(left)] @ (part if right is None else part[len(left) :]).T
+        if right is None:
+            np.fill_diagonal(out, [len(x) for x in left])
+        return out
+
+    def near(both: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return both >= threshold * (a[:, None] + b[None, :] - both) - 1e-9
+
+    def rows(*columns) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(np.asarray(c, np.int64)) for c in columns], names=["sid", "links", "root"])
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads()
         for group in _groups(batches, "place"):
-            sid, side = group["sid"].to_numpy(), group["side"].to_numpy()
-            order = np.argsort(sid, kind="stable")
-            sid, side = sid[order], side[order]
-            keep = np.ones(len(sid), bool)
-            keep[1:] = sid[1:] != sid[:-1]  # a repeated row of one text
-            order, sid, side = order[keep], sid[keep], side[keep]
-            column = group["shingles"].combine_chunks() if group["shingles"].num_chunks != 1 else group["shingles"].chunk(0)
-            sets = [np.frombuffer(column[int(i)].as_buffer(), "<u8") for i in order]
-            size = np.array([len(x) for x in sets], np.int64)
-            common = np.zeros((len(sets), len(sets)), np.float64)
-            if len(sets) <= 6:
-                for i in range(len(sets)):
-                    for j in range(i):
-                        common[i, j] = common[j, i] = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            else:
-                tokens, code = np.unique(np.concatenate(sets), return_inverse=True)
-                owner = np.repeat(np.arange(len(sets)), size)
-                shared = np.bincount(code, minlength=len(tokens)) > 1
-                number = np.cumsum(shared) - 1
-                use = shared[code]
-                code, owner = number[code[use]], owner[use]
-                by = np.argsort(code, kind="stable")
-                code, owner = code[by], owner[by]
-                wide = 1 << 14
-                # of a pair of blocks only the products between the blocks count
-                left, right = (np.arange(len(sets)),) * 2 if side[0] == 2 else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-                between = np.zeros((len(left), len(right)), np.float64)
-                for at in range(0, int(shared.sum()), wide):
-                    a, b = np.searchsorted(code, [at, at + wide])
-                    part = np.zeros((len(sets), wide), np.float32)
-                    part[owner[a:b], code[a:b] - at] = 1
-                    between += part[left] @ part[right].T
-                common[np.ix_(left, right)] = between
-                common[np.ix_(right, left)] = between.T
-            near = common >= threshold * (size[:, None] + size[None, :] - common) - 1e-9
-            np.fill_diagonal(near, False)
-            if side[0] != 2:
-                near &= side[:, None] != side[None, :]
-            links = near.sum(1)
-            label = _labels(near)
-            yield pa.record_batch([pa.array(sid), pa.array(links.astype(np.int64)), pa.array(sid[label])], names=["sid", "links", "root"])
-
-    placed = blocked(members, "family", block).select("place", "side", "sid", "shingles")
-    return placed.repartition("place").sortWithinPartitions("place").mapInArrow(compare, "sid long, links long, root long")
-
-
-def similarity_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999, depth: int = 4, bucket: int = 128, margin: float = 0.25, block: int = 256) -> DataFrame:
+            sid = group["sid"].to_numpy()
+            _, first = np.unique(sid, return_index=True)  # a text may be read from several rows
+            sid, group = sid[first], group.take(pa.array(first))
+            sets, size = sets_of(group)
+            found = near(common(sets, None), size, size)
+            np.fill_diagonal(found, False)
+            yield rows(sid, found.sum(1), sid[_labels(found)])
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quiet_threads()
+        for group in _groups(batches, "place"):
+            sid = group["sid"].to_numpy()
+            _, first = np.unique(sid, return_index=True)
+            group = group.take(pa.array(first))
+            side = group["side"].to_numpy()
+            parts = [group.filter(pa.array(side == i)) for i in (0, 1)]
+            if not parts[0].num_rows or not parts[1].num_rows:
+                continue
+            (left, a), (right, b) = sets_of(parts[0]), sets_of(parts[1])
+            found = near(common(left, right), a, b)
+            own, other = (p["sid"].to_numpy() for p in parts)
+            yield rows(np.concatenate([own, other]), np.concatenate([found.sum(1), found.sum(0)]), np.concatenate([own, other]))
+            edges = np.array(_forest(found, *(p["root"].to_numpy() for p in parts)), np.int64).reshape(-1, 2)
+            yield rows(edges[:, 0], np.zeros(len(edges)), edges[:, 1])
+
+    sizes = stage(members.groupBy("family").agg(F.count("*").alias("size")), "family-sizes")
+    placed = in_blocks(members, sizes, "family", block)
+    own = placed.select(F.xxhash64("family", "own").alias("place"), "sid", "shingles").repartition("place").sortWithinPartitions("place")
+    found = stage(own.mapInArrow(inside, "sid long, links long, root long"), "links")
+    forest = lambda x: x.where("sid <> root").select(F.col("sid").alias("a"), F.col("root").alias("b"))
+    classes = components(forest(found), "classes").select("sid", F.col("root").alias("family"))
+    if sizes.where(F.col("size") > block).limit(1).count():
+        pairs = in_pairs(placed, "family").join(classes.select("sid", F.col("family").alias("root")), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        pairs = pairs.select("place", "side", "sid", "root", "shingles").repartition("place").sortWithinPartitions("place")
+        more = stage(pairs.mapInArrow(between, "sid long, links long, root long"), "links-between")
+        classes = merged(classes, forest(more), "joined")
+        found = found.unionByName(more)
+    return found.groupBy("sid").agg(F.sum("links").alias("n_links")), classes
+
+
+def similarity_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999, depth: int = 4, bucket: int = 128, margin: float = 0.25, block: int = 512) -> DataFrame:
     """See the module's description."""
     runs = runs_needed(threshold, recall)
     names = [f"k{i}" for i in range(_HALF)]
@@ -305,10 +418,29 @@ def similarity_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, rec
     value = lambda i: F.shiftrightunsigned(F.col(f"k{i // 2}"), 32 * (i % 2)).bitwiseAND(F.lit(0xFFFFFFFF))
     paths = F.array(*(F.struct(F.lit(r).alias("run"), F.array(*(value((r + runs * d) % SKETCH) for d in range(depth))).alias("tokens")) for r in range(runs)))
     active = reps.select("sid", F.col("sid").alias("family"), F.explode(paths).alias("p")).select("sid", "family", "p.run", "p.tokens")
-    edges, split = candidate_edges(reps, active, depth, bucket, threshold, margin)
-    edges = stage(edges, "edges")
+
+    def with_sid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quiet_threads()
+        for batch in batches:
+            for start, stop in slices(batch.column("text"), 6_000_000):
+                part = batch.column("text").slice(start, stop - start)
+                yield pa.record_batch([part, pa.array(digests(*shingle_sets(part, width)).view(np.int64))], names=["text", "sid"])
+
+    def read_again(wanted: DataFrame) -> DataFrame:
+        """Texts of the sets in a staged table (sid, rep, family), with the sid they are wanted for: by doc_id, and where a set
+        only has rows without one, by the set itself."""
+        named = wanted.where("rep IS NOT NULL").select(F.col("rep").alias("doc_id"), "sid", "family")
+        found = texts(docs).join(F.broadcast(named) if _small(named) else named, "doc_id").select("text", "sid", "family")
+        nameless = wanted.where("rep IS NULL").select("sid", "family")
+        if nameless.limit(1).count():
+            own = texts(docs).where("doc_id IS NULL").mapInArrow(with_sid, "text string, sid long").dropDuplicates(["sid"])
+            found = found.unionByName(own.join(nameless, "sid").select("text", "sid", "family"))
+        return found
+
+    least = int(math.floor((threshold - margin) * SKETCH))
+    edges, split, several = candidate_edges(reps, active, depth, bucket, least)
     families = components(edges, "families").select("sid", F.col("root").alias("family"))
-    split = stage(split.join(reps.select("sid", "rep"), "sid").where("rep IS NOT NULL").join(families, "sid", "left").select(F.col("rep").alias("doc_id"), "sid", F.coalesce("family", "sid").alias("family")), "split")
+    split = stage(split.join(reps.select("sid", "rep"), "sid").join(families, "sid", "left").select("sid", "rep", F.coalesce("family", "sid").alias("family")), "split")
     more = more_runs(threshold, recall, runs, depth)
     n_split = split.count()
     if n_split and more:
@@ -325,12 +457,14 @@ def similarity_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, rec
                     tokens = pa.FixedSizeListArray.from_arrays(pa.array(fresh.ravel()), more * depth).cast(pa.list_(pa.int64()))
                     yield pa.record_batch([pa.array(own[right]), part.column("family").take(pa.array(right)), tokens], names=["sid", "family", "tokens"])
 
-        fresh = texts(docs).join(F.broadcast(split) if n_split <= _BROADCAST_ROWS else split, "doc_id").mapInArrow(with_tokens, "sid long, family long, tokens array<long>")
+        fresh = read_again(split).mapInArrow(with_tokens, "sid long, family long, tokens array<long>")
         fresh = stage(fresh.dropDuplicates(["sid"]), "tokens")
         paths = F.array(*(F.struct(F.lit(runs + r).alias("run"), F.slice("tokens", r * depth + 1, depth).alias("tokens")) for r in range(more)))
         active = fresh.select("sid", "family", F.explode(paths).alias("p")).select("sid", "family", "p.run", "p.tokens")
-        found, _ = candidate_edges(reps, active, depth, bucket, threshold, margin)
-        families = components(edges.unionByName(found), "families").select("sid", F.col("root").alias("family"))
+        found, _, others = candidate_edges(reps, active, depth, bucket, least)
+        families, several = merged(families, found, "more"), several.unionByName(others)
+    if several.limit(1).count():
+        families = merged(families, edges_between(reps, several, families, least), "between")
     wanted = stage(families.join(reps.select("sid", "rep"), "sid"), "wanted")
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,28 +479,41 @@ def similarity_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, rec
                 sets = [raw[ends[i] : ends[i + 1]].tobytes() for i in right.tolist()]
                 yield pa.record_batch([part.column("family").take(pa.array(right)), pa.array(own[right]), pa.array(sets, pa.binary())], names=["family", "sid", "shingles"])
 
-    reads = wanted.select(F.col("rep").alias("doc_id"), "sid", "family").where("doc_id IS NOT NULL")
-    reads = F.broadcast(reads) if wanted.count() <= _BROADCAST_ROWS else reads
-    members = texts(docs).join(reads, "doc_id").mapInArrow(with_sets, "family long, sid long, shingles binary")
-    members = stage(members, "members")
-    found = stage(exact_links(members, threshold, block), "links")
-    linked = found.groupBy("sid").agg(F.sum("links").alias("n_links"))
-    classes = components(found.where("sid <> root").select(F.col("sid").alias("a"), F.col("root").alias("b")), "classes")
+    members = read_again(wanted).mapInArrow(with_sets, "family long, sid long, shingles binary")
+    linked, classes = exact_links(stage(members, "members"), threshold, block)
     named = classes.join(reps.select("sid", "rep"), "sid")
-    least = named.groupBy("root").agg(F.min("rep").alias("class_id"))
-    in_class = named.join(least, "root").select("sid", "class_id")
+    least_id = named.groupBy("family").agg(F.min("rep").alias("class_id"))
+    in_class = named.join(least_id, "family").select("sid", "class_id", F.col("family").alias("class_set"))
     of_set = reps.select("sid", "rep", "n_copies").join(in_class, "sid", "left").join(linked, "sid", "left")
-    of_set = of_set.select("sid", F.coalesce("class_id", "rep").alias("class_id"), F.col("rep").alias("copy_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies")
-    return signed.select("doc_id", "sid").join(of_set, "sid").select("doc_id", "class_id", "copy_id", "n_links", "n_copies")
+    alone = F.col("class_set").isNull()
+    of_set = of_set.select("sid", F.when(alone, F.col("rep")).otherwise(F.col("class_id")).alias("class_id"), F.col("rep").alias("copy_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies", F.coalesce("class_set", "sid").alias("class_set"))
+    return signed.select("doc_id", "sid").join(of_set, "sid").select("doc_id", "class_id", "copy_id", "n_links", "n_copies", F.col("sid").alias("set_id"), "class_set")
+
 
+def keep_one(docs: DataFrame, classes: DataFrame, width: int = 5) -> DataFrame:
+    """One row of each class, with the least doc_id there is in it and all columns of ``docs``. ``classes``: similarity_join's
+    rows for ``docs``, as a staged table. Rows stay where they are, but for those whose doc_id repeats or is null: their class is
+    found by their set, and one row of those that remain of a class stays."""
+    from pyspark.sql.types import LongType, StructType
 
-def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of each class the row with the least doc_id, with all columns of ``docs``; rows without doc_id stay. ``classes`` must
-    be a staged table. Only where rows of a class share its least doc_id are ``docs`` dealt anew, to keep one of them."""
     gone = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    small = gone.limit(_BROADCAST_ROWS + 1).count() <= _BROADCAST_ROWS
-    kept = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
-    if classes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        nulls = kept.where("doc_id IS NULL")
-        kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(nulls)
-    return kept
+    kept = docs.join(F.broadcast(gone) if _small(gone) else gone, "doc_id", "left_anti")
+    odd = stage(classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_foliary_id")), "odd-ids")
+    if not odd.limit(1).count():
+        return kept
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quiet_threads()
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            for start, stop in slices(batch.column(at), 6_000_000):
+                part = batch.slice(start, stop - start)
+                own = digests(*shingle_sets(part.column(at).cast(pa.string()), width)).view(np.int64)
+                yield pa.record_batch([*part.columns, pa.array(own)], names=[*batch.schema.names, "_foliary_set"])
+
+    odd = F.broadcast(odd) if _small(odd) else odd
+    same = docs["doc_id"].cast("long").eqNullSafe(odd["_foliary_id"])
+    doubted = docs.join(odd, same, "left_semi").mapInArrow(signed, StructType([*docs.schema.fields]).add("_foliary_set", LongType()))
+    of_set = classes.select(F.col("set_id").alias("_foliary_set"), F.col("class_id").alias("_foliary_id"), F.col("class_set").alias("_foliary_class")).dropDuplicates(["_foliary_set"])
+    doubted = doubted.join(of_set, "_foliary_set").where(F.col("doc_id").cast("long").eqNullSafe(F.col("_foliary_id"))).dropDuplicates(["_foliary_class"])
+    return kept.join(odd, kept["doc_id"].cast("long").eqNullSafe(odd["_foliary_id"]), "left_anti").unionByName(doubted.select(*docs.columns))

@@ -93,15 +93,17 @@ def audit(docs: DataFrame, top: int = 200, least_documents: int = 3) -> DataFram
         F.struct(F.col("ix").alias("i"), F.col("j"), F.expr(f"terms * ({_apart('p', 'zj')} - {_apart('zi', 'zj')})").alias("value")),
         F.struct(F.col("j").alias("i"), F.col("ix").alias("j"), F.expr(f"terms * ({_apart('zj', 'p')} - {_apart('zj', 'zi')})").alias("value")),
     )))
-    # 3. terms that both have: each entry with those after it, both ways
+    # 3. terms that both have: each entry with those after it, both ways. As f(p, q) = floor(p^2 / q) - 2 p + q, only the ratios remain of
+    # the four differences
     valued = _with_language(wide, languages, F.xxhash64("term")).withColumn("e", F.expr(f"transform(entries, e -> named_struct('ix', e.ix, 'p', {_share('e.count', 'd[e.ix]')}, 'z', z[e.ix]))"))
+    valued = valued.withColumn("e", F.expr("transform(e, e -> named_struct('ix', e.ix, 'p', e.p, 'z', e.z, 'pp', e.p * e.p, 'zz', e.z * e.z))"))
     each = valued.where("size(entries) > 1").select("lang", F.posexplode("e").alias("k", "a"), "e").where("k + 1 < size(e)")
     both = each.select("lang", "a", F.explode(F.expr(f"""transform(slice(e, k + 2, size(e)), b -> named_struct('ix', b.ix, 'z', b.z,
-        'ij', {_apart('a.p', 'b.p')} - {_apart('a.p', 'b.z')} - {_apart('a.z', 'b.p')}, 'ji', {_apart('b.p', 'a.p')} - {_apart('b.p', 'a.z')} - {_apart('b.z', 'a.p')}))""")).alias("b"))
+        'ij', a.pp div b.p - a.pp div b.z - a.zz div b.p, 'ji', b.pp div a.p - b.pp div a.z - b.zz div a.p))""")).alias("b"))
     both = both.groupBy("lang", F.col("a.ix").alias("i"), F.col("b.ix").alias("j")).agg(F.sum("b.ij").alias("ij"), F.sum("b.ji").alias("ji"), F.count(F.lit(1)).alias("n"), F.any_value("a.z").alias("zi"), F.any_value("b.z").alias("zj"))
     both = both.select("lang", F.inline(F.array(
-        F.struct("i", "j", F.expr(f"ij + n * {_apart('zi', 'zj')}").alias("value")),
-        F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.expr(f"ji + n * {_apart('zj', 'zi')}").alias("value")),
+        F.struct("i", "j", F.expr("ij + n * (zi * zi div zj)").alias("value")),
+        F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.expr("ji + n * (zj * zj div zi)").alias("value")),
     )))
     pairs = base.unionByName(alone).unionByName(both).groupBy("lang", "i", "j").agg(F.sum("value").alias("value"))
     named = lambda ix, source: groups.select("lang", F.col("ix").alias(ix), F.col("source").alias(source))

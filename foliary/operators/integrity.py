@@ -60,3 +60,15 @@ def positions(rows: DataFrame, order: list[str], name: str = "position") -> Data
     offsets = counts.select(part, (F.sum("_n").over(Window.orderBy(part)) - F.col("_n")).alias("_before"))
     inside = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1
     return placed.withColumn("_inside", inside).join(F.broadcast(offsets), part).withColumn(name, (F.col("_before") + F.col("_inside")).cast("long")).drop(part, "_before", "_inside")
+
+
+def running(rows: DataFrame, order: list[str], value: str, name: str = "total") -> DataFrame:
+    """Sum of ``value`` over a row and all rows before it in ``order``, without sending all rows to one task: as ``positions``, with
+    the sums of range partitions in place of their counts. Null values count as 0; ``order`` should be unique."""
+    part = "_part"
+    placed = stage(rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranges")
+    amount = F.coalesce(value, F.lit(0))
+    sums = placed.groupBy(part).agg(F.sum(amount).alias("_sum"))
+    offsets = sums.select(part, (F.sum("_sum").over(Window.orderBy(part)) - F.col("_sum")).alias("_before"))
+    inside = F.sum(amount).over(Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return placed.withColumn("_inside", inside).join(F.broadcast(offsets), part).withColumn(name, F.col("_before") + F.col("_inside")).drop(part, "_before", "_inside")

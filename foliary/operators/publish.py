@@ -107,7 +107,8 @@ def write_tar_shards(members: DataFrame, path: str) -> DataFrame:
 def checksums(spark: SparkSession, path: str) -> DataFrame:
     """path, size, hash of every file under a folder, paths relative to it; files are read in blocks, whatever their size."""
     relative = F.regexp_replace("path", f"^.*{os.path.basename(path.rstrip('/'))}/", "")
-    return files.hashed(files.listing(spark, path)).withColumn("path", relative)
+    found = files.listing(spark, path).where(~F.col("path").rlike("/_(?:SUCCESS|temporary/.*)$"))
+    return files.hashed(found).withColumn("path", relative)
 
 
 def verify(spark: SparkSession, path: str, expected: DataFrame) -> DataFrame:

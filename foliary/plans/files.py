@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliary.functions import text as X
-from foliary.operators import integrity, layers, publish, staging
+from foliary.operators import archive, integrity, layers, publish, staging
 from foliary.operators.staging import new_path
 from foliary.plans.catalog import query
 from foliary.plans.frames import t
@@ -127,3 +127,17 @@ def layer_resume(spark, sf):
 def shard_verify(spark, sf):
     """The manifest that the layer's readers hold its shards against."""
     return _layer(spark, sf)[0].manifest().drop("digest")
+
+
+@query("""SELECT source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, CAST(octet_length(encode(text)) AS BIGINT) AS size, sha256(text) AS hash, CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END AS generation, 'kept' AS state FROM documents""")
+def raw_increment(spark, sf):
+    """Documents as files, archived in two generations (those whose id three divides come in the second); sizes and hashes are those of
+    the bytes read back from the packs, the state that of a third save, which would add nothing."""
+    path = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    content = F.encode("text", "utf-8")
+    d = t(spark, sf, "documents").select("doc_id", path.alias("path"), F.octet_length(content).cast("long").alias("size"), F.sha2(content, 256).alias("hash"), content.alias("content"))
+    kept = archive.RawArchive(spark, new_path(spark, "raw"))
+    kept.save(d.where("doc_id % 3 <> 0").drop("doc_id"), pack_bytes=1 << 20)
+    kept.save(d.drop("doc_id"), pack_bytes=1 << 20)
+    state = archive.compare(d, kept.index()).select("path", "state")
+    return kept.members().drop("pack").join(kept.index().select("path", "generation"), "path").join(state, "path")

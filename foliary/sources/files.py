@@ -55,6 +55,10 @@ class Writing:
     def flush(self) -> None:
         self.stream.flush()
 
+    def becomes(self, path: str) -> None:
+        """The file's name, if it is known only when the content is."""
+        self.at = _target(path)[1]
+
     def __exit__(self, kind, *_) -> None:
         self.stream.close()
         if kind is None:
@@ -66,9 +70,53 @@ class Writing:
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
-    """path, size of every file under a folder; contents are not read."""
-    x = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return x.select("path", F.col("length").alias("size")).repartition("path")
+    """path, size of every file under a folder, empty and hidden ones too, but for the side files that Hadoop's local file system
+    keeps (``.name.crc``); contents are not read. The folder's own entries are listed
+    here, what lies below each of its folders by the tasks. A single file is listed too."""
+    system, at = _target(path)
+    root = "" if system is None else f"{urllib.parse.urlsplit(path).scheme}://"
+    at = at.rstrip("/") or "/"
+    top = [(at, False)] if not _is_folder(system, at) else [(x, folder) for x, folder, _ in _entries(system, at)]
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for entry, folder in zip(batch["entry"], batch["folder"], strict=True):
+                system, _ = _target(f"{root}{entry}") if root else (None, entry)
+                todo, rows = [entry] if folder else [], []
+                if not folder:
+                    rows.append((f"{root}{entry}", _size(system, entry)))
+                while todo:
+                    for x, inner, size in _entries(system, todo.pop()):
+                        todo.append(x) if inner else rows.append((f"{root}{x}", size))
+                    if len(rows) >= 10_000:
+                        yield pd.DataFrame(rows, columns=["path", "size"])
+                        rows = []
+                yield pd.DataFrame(rows, columns=["path", "size"])
+
+    entries = spark.createDataFrame(top, "entry string, folder boolean")
+    return entries.repartition("entry").mapInPandas(walk, "path string, size long").repartition("path")
+
+
+def _is_folder(system, at: str) -> bool:
+    if system is None:
+        return os.path.isdir(at)
+    from pyarrow import fs
+
+    return system.get_file_info(at).type == fs.FileType.Directory
+
+
+def _size(system, at: str) -> int:
+    return os.path.getsize(at) if system is None else system.get_file_info(at).size
+
+
+def _entries(system, at: str) -> list[tuple[str, bool, int]]:
+    """(path, whether it is a folder, size) of what a folder holds itself."""
+    if system is None:
+        with os.scandir(at) as found:
+            return [(x.path, x.is_dir(), 0 if x.is_dir() else x.stat().st_size) for x in found if not (x.name.startswith(".") and x.name.endswith(".crc"))]
+    from pyarrow import fs
+
+    return [(x.path, x.type == fs.FileType.Directory, x.size or 0) for x in system.get_file_info(fs.FileSelector(at))]
 
 
 def hashed(found: DataFrame) -> DataFrame:

@@ -28,23 +28,84 @@ def plain_numbers(t: Column) -> Column:
     return F.transform(F.regexp_extract_all(t, F.lit(NUMBER), F.lit(0)), lambda x: F.replace(x, F.lit(","), F.lit("")))
 
 
-def _balanced(levels: int) -> str:
-    """Text whose parentheses are balanced, ``levels`` deep; those after a backslash don't count. No backtracking (Java)."""
-    free = r"[^()]*+(?:(?<=\\)[()][^()]*+)*+"
-    inner = free
-    for _ in range(levels):
-        inner = rf"{free}(?:(?<!\\)\({inner}(?<!\\)\){free})*+"
-    return inner
+#: Pieces of a text: ``](``, a bracket or parenthesis, or what stands between them.
+_PIECES = r"\]\(|[\[\]()]|[^\[\]()]++"
 
 
-#: ``[label](target)``: the label ends at the first ``](``.
-LINK = rf"\[([^\]]*+(?:\](?!\()[^\]]*+)*+)\]\({_balanced(6)}(?<!\\)\)"
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _two(high: Column, low: Column) -> Column:
+    return F.shiftleft(high.cast("long"), 32) + low.cast("long")
+
+
+_high = lambda x: F.shiftright(x, 32).cast("int")
+_low = lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+
+
+def _emitted(items: Column, zero: Column, step, block: int = 128) -> Column:
+    """Longs that a fold emits: ``step`` gives a struct of the next state ``s`` and what is emitted, ``out`` (null: nothing). Spark copies a
+    fold's state at every item, so that items are folded in blocks, and only blocks meet the whole list."""
+    none = F.array().cast("array<long>")
+
+    def inner(a: Column, item: Column) -> Column:
+        return _let(step(a["s"], item), lambda r: F.struct(r["s"].alias("s"), F.when(r["out"].isNull(), a["found"]).otherwise(F.concat(a["found"], F.array(r["out"]))).alias("found")))
+
+    def outer(a: Column, items: Column) -> Column:
+        return _let(F.aggregate(items, F.struct(a["s"].alias("s"), none.alias("found")), inner), lambda r: F.struct(r["s"].alias("s"), F.concat(a["found"], r["found"]).alias("found")))
+
+    blocks = F.transform(F.sequence(F.lit(0), ((F.size(items) - 1) / block).cast("int")), lambda i: F.slice(items, i * block + 1, F.lit(block)))
+    return F.aggregate(blocks, F.struct(zero.alias("s"), none.alias("found")), outer, lambda a: a["found"])
+
+
+def _targets(pieces: Column) -> Column:
+    """(at, end) of each ``](`` whose parenthesis is closed, in order: indexes of both pieces. A fold over the pieces with a stack of the
+    targets that are open; what is open inside one is a number beside it, so that the stack doesn't grow with it."""
+    zero = F.struct(F.lit(0).alias("j"), F.lit(False).alias("escaped"), F.array().cast("array<long>").alias("stack"))
+
+    def step(s: Column, piece: Column) -> Column:
+        stack, top, plain = s["stack"], F.element_at(s["stack"], -1), ~s["escaped"] & (F.size(s["stack"]) > 0)
+        below = F.slice(stack, 1, F.size(stack) - 1)
+        closes = plain & (piece == ")")
+        after = F.when(piece == "](", F.concat(stack, F.array(_two(s["j"], F.lit(0))))).when(plain & (piece == "("), F.concat(below, F.array(top + 1))).when(closes, F.when(_low(top) > 0, F.concat(below, F.array(top - 1))).otherwise(below)).otherwise(stack)
+        out = F.when(closes, F.when(_low(top) == 0, _two(_high(top), s["j"])))
+        return F.struct(F.struct((s["j"] + 1).alias("j"), piece.endswith("\\").alias("escaped"), after.alias("stack")).alias("s"), out.alias("out"))
+
+    return F.sort_array(_emitted(pieces, zero, step))
+
+
+def _links(pieces: Column, targets: Column) -> Column:
+    """(index of the opening piece, number of the target) of the links from left to right: the first ``[`` that isn't inside an earlier link,
+    with the first ``](`` after it. If that isn't closed, no ``[`` before it begins a link."""
+    zero = F.struct(F.lit(0).alias("j"), F.lit(-1).alias("open"), F.lit(-1).alias("end"), F.lit(0).alias("next"))
+
+    def step(s: Column, piece: Column) -> Column:
+        j, target = s["j"], F.get(targets, s["next"])
+        free, close = j > s["end"], piece == "]("
+        closed = close & F.coalesce(_high(target) == j, F.lit(False))
+        link = free & closed & (s["open"] >= 0)
+        opened = F.when(link | (free & close & ~closed), -1).when(free & (piece == "[") & (s["open"] < 0), j).otherwise(s["open"])
+        after = F.struct((j + 1).alias("j"), opened.alias("open"), F.when(link, _low(target)).otherwise(s["end"]).alias("end"), (s["next"] + closed.cast("int")).alias("next"))
+        return F.struct(after.alias("s"), F.when(link, _two(s["open"], s["next"])).alias("out"))
+
+    return _emitted(pieces, zero, step)
 
 
 def without_links(t: Column) -> Column:
-    """Links as their labels. Targets may hold escaped parentheses and up to six levels of balanced ones; what is not closed
-    stays as it is."""
-    return F.when(t.contains("]("), F.regexp_replace(t, LINK, "$1")).otherwise(t)
+    """Links ``[label](target)`` as their labels. A label ends at the first ``](``; parentheses in a target are balanced to any depth, those
+    after a backslash don't count; what is not closed stays as it is. The work grows with the text and, per piece, with
+    the targets that are open there."""
+
+    def shown(pieces: Column, targets: Column, links: Column) -> Column:
+        between = lambda start, stop: F.array_join(F.slice(pieces, start + 1, F.greatest(stop - start, F.lit(0))), "")
+        before = lambda k: F.coalesce(_low(F.get(targets, _low(F.get(links, k - 1)))), F.lit(-1)) + 1
+        parts = F.transform(links, lambda x, k: F.concat(between(before(k), _high(x)), between(_high(x) + 1, _high(F.get(targets, _low(x))))))
+        return F.concat(F.array_join(parts, ""), between(before(F.size(links)), F.size(pieces)))
+
+    resolved = _let(F.regexp_extract_all(t, F.lit(_PIECES), F.lit(0)), lambda p: _let(_targets(p), lambda x: _let(_links(p, x), lambda links: shown(p, x, links))))
+    return F.when(t.contains("]("), resolved).otherwise(t)
 
 
 def numbers(t: Column) -> Column:

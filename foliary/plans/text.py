@@ -222,6 +222,34 @@ def visible_markdown(spark, sf):
     return t(spark, sf, "documents").select("doc_id", F.sha2(X.without_links(linked), 256).alias("digest"))
 
 
+# a link nested as deep as the id says, with an escaped parenthesis, a link inside its target and one that isn't closed
+_DEEP = "text || ' [Label [' || CAST(doc_id AS VARCHAR) || '](' || repeat('a(1', CAST(doc_id % 51 AS INTEGER)) || '\\\\)[in](2)' || repeat(')', CAST(doc_id % 51 AS INTEGER)) || ') 3 [open](x(1) [4](5)'"
+
+
+@query(f"""WITH RECURSIVE p AS (SELECT doc_id, regexp_extract_all({_DEEP}, '\\]\\(|[\\[\\]()]|[^\\[\\]()]+') AS x FROM documents),
+s AS (
+  SELECT doc_id, CAST(1 AS BIGINT) AS j, CAST(0 AS BIGINT) AS opened, CAST(0 AS BIGINT) AS closed, CAST(0 AS BIGINT) AS depth, CAST([] AS VARCHAR[]) AS shown FROM p
+  UNION ALL
+  SELECT doc_id, CASE WHEN opened > 0 THEN CASE WHEN j > len(x) THEN opened + 1 ELSE j + 1 END WHEN link > 0 THEN j + link + 1 ELSE j + 1 END,
+    CASE WHEN opened > 0 THEN CASE WHEN j > len(x) OR deeper = 0 THEN 0 ELSE opened END WHEN link > 0 THEN j ELSE 0 END,
+    CASE WHEN opened > 0 THEN closed WHEN link > 0 THEN j + link ELSE 0 END,
+    CASE WHEN opened > 0 THEN CASE WHEN j > len(x) THEN 0 ELSE deeper END WHEN link > 0 THEN 1 ELSE 0 END,
+    CASE WHEN opened > 0 THEN CASE WHEN j > len(x) THEN list_append(shown, x[opened]) WHEN deeper = 0 THEN list_concat(shown, x[opened + 1:closed - 1]) ELSE shown END WHEN link > 0 THEN shown ELSE list_append(shown, x[j]) END
+  FROM (
+    SELECT s.*, p.x, CASE WHEN s.opened = 0 AND x[j] = '[' THEN coalesce(list_position(x[j + 1:], ']('), 0) ELSE 0 END AS link,
+      s.depth + CASE WHEN ends_with(coalesce(x[j - 1], ''), '\\') THEN 0 WHEN x[j] IN ('(', '](') THEN 1 WHEN x[j] = ')' THEN -1 ELSE 0 END AS deeper
+    FROM s JOIN p USING (doc_id) WHERE s.j <= len(p.x) OR s.opened > 0
+  )
+)
+SELECT s.doc_id, sha256(array_to_string(shown, '')) AS digest, len(shown) > 0 AS found FROM s JOIN p USING (doc_id) WHERE j > len(x) AND opened = 0""")
+def deep_links(spark, sf):
+    """Whole texts with a link of 0 to 50 nested parentheses, a link within its target, and one that isn't closed."""
+    i, text = F.col("doc_id"), F.col("text")
+    depth = (i % 51).cast("int")
+    linked = F.concat(text, F.lit(" [Label ["), i.cast("string"), F.lit("]("), F.repeat(F.lit("a(1"), depth), F.lit("\\)[in](2)"), F.repeat(F.lit(")"), depth), F.lit(") 3 [open](x(1) [4](5)"))
+    return t(spark, sf, "documents").select("doc_id", F.sha2(X.without_links(linked), 256).alias("digest"), F.lit(True).alias("found"))
+
+
 @query("""WITH s AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-') AS s FROM documents)
 SELECT doc_id, CASE WHEN s = '' THEN 'document' ELSE rtrim(substr(s, 1, 60), '-') END AS slug FROM s""")
 def slugs(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliary.functions import rules
-from foliary.operators import integrity, versions
+from foliary.operators import adjudicate, integrity, versions
 from foliary.plans.catalog import query
 from foliary.plans.frames import attempts, runs, t
 
@@ -101,12 +101,27 @@ def document_rollup(spark, sf):
     return attempts(spark, sf).groupBy("page").agg(F.count("*").alias("n"), F.count_if(F.col("provider") == "user").alias("native"), F.count_if(F.col("provider") == "assistant").alias("ocr"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"), F.nullif(review, F.lit("")).alias("review_pages"))
 
 
-@query(f"""WITH {_C} SELECT page, attempt FROM c u WHERE provider = 'user' AND NOT EXISTS (SELECT 1 FROM c a WHERE a.page = u.page AND a.provider = 'system') ORDER BY page, attempt LIMIT 60""")
+@query(f"""WITH {_C}, p AS (SELECT page, attempt FROM c u WHERE provider = 'user' AND NOT EXISTS (SELECT 1 FROM c a WHERE a.page = u.page AND a.attempt = u.attempt + 1 AND a.provider = 'assistant' AND a.page % 3 = 0)),
+n AS (SELECT page, attempt, row_number() OVER (ORDER BY page, attempt) AS k, count(*) OVER (PARTITION BY page) AS document_pages FROM p)
+SELECT page, attempt, document_pages, document_pages > count(*) OVER (PARTITION BY page) AS cut FROM n WHERE k <= 100""")
 def greedy_page_budget(spark, sf):
-    """A budget of pages over all documents in order is the feature."""
+    """A budget of 100 pages over all documents in order, after those that are reviewed (answered, where three divides the id) are
+    dropped; the last document is cut where the budget ends. The budget is the feature."""
     c = attempts(spark, sf).drop("text")
-    skip = c.where("provider = 'system'").select("page")
-    return c.where("provider = 'user'").join(skip, "page", "left_anti").orderBy("page", "attempt").limit(60).select("page", "attempt")
+    reviewed = c.where("provider = 'assistant' AND page % 3 = 0").select("page", (F.col("attempt") - 1).alias("attempt"))
+    return adjudicate.take_pages(c.where("provider = 'user'").join(reviewed, ["page", "attempt"], "left_anti").select("page", "attempt"), "page", "attempt", 100)
+
+
+@query(f"""WITH {_C}, r AS (SELECT page, attempt, length(text) AS reserve, sha256('reader' || chr(31) || text) AS request_sha256 FROM c WHERE provider = 'user'),
+s AS (SELECT DISTINCT request_sha256 FROM r WHERE page % 4 = 0),
+n AS (SELECT r.*, s.request_sha256 IS NOT NULL AS known, row_number() OVER (PARTITION BY r.request_sha256 ORDER BY page, attempt) AS nth FROM r LEFT JOIN s USING (request_sha256)),
+t AS (SELECT *, 500 + CAST(sum(CASE WHEN known OR nth > 1 THEN 0 ELSE reserve END) OVER (ORDER BY page, attempt) AS BIGINT) AS reserved FROM n)
+SELECT page, attempt, request_sha256, reserved, CASE WHEN known THEN 'stored' WHEN nth > 1 THEN 'repeated' WHEN reserved <= 9000 THEN 'call' ELSE 'over budget' END AS state FROM t""")
+def adjudication_plan(spark, sf):
+    """User turns as requests in order, their lengths as reserves, under a ceiling of 9,000 of which 500 are spent; answers to those of
+    every fourth conversation are stored already."""
+    r = attempts(spark, sf).where("provider = 'user'").select("page", "attempt", F.length("text").cast("long").alias("reserve"), adjudicate.request_digest("reader", F.col("text")).alias("request_sha256"))
+    return adjudicate.plan(r, ["page", "attempt"], r.where("page % 4 = 0"), 9000, 500).drop("reserve")
 
 
 @query("""SELECT doc_id, CASE WHEN l.quality = 0 OR d.text LIKE '%|%' THEN 'selected' ELSE 'skipped' END AS review_or_table, d.doc_id IN (1, 2, 3, 5, 8, 13) AS listed, coalesce(l.quality = 0, false) AS review

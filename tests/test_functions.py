@@ -1,6 +1,8 @@
 """Text functions and rules on the reference cases and against Python twins."""
 
+import random
 import re
+import time
 
 import pytest
 import regex
@@ -67,6 +69,43 @@ def test_links_equal_a_recursive_pattern(spark, texts):
     assert got == [_LINK.sub(lambda m: m.group(1), t) for t in texts]
 
 
+def _shown(text: str) -> str:
+    """What a scan from left to right leaves of the links."""
+    out, i = [], 0
+    while i < len(text):
+        at = text.find("](", i + 1) if text[i] == "[" else -1
+        depth, end = 1, at + 2
+        while at >= 0 and end < len(text) and depth:
+            if text[end] in "()" and text[end - 1] != "\\":
+                depth += 1 if text[end] == "(" else -1
+            end += 1
+        if at >= 0 and depth == 0:
+            out.append(text[i + 1 : at])
+            i = end
+        else:
+            out.append(text[i])
+            i += 1
+    return "".join(out)
+
+
+def test_links_of_any_depth_equal_a_scan(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(["[", "](", "(", ")", "\\", "]", "a", "1\n", "[x](", "é"]) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts += [f"5 [a](x{'(' * d}1{')' * (d + k)}) 7 [b](c)" for d in range(51) for k in (-1, 0, 1)]
+    assert column(spark, texts, lambda: X.without_links(F.col("t"))) == [_shown(t) for t in texts]
+    assert column(spark, ["[a](x" + "(" * 7 + "1" + ")" * 7 + ") 5"], lambda: X.numbers(F.col("t"))) == [["5"]]
+
+
+def test_links_take_time_in_proportion(spark):
+    seconds = []
+    for n in (4_000, 32_000):
+        text = ("word " * 20 + "[lab](http://x/(1)_y) (see) ") * n
+        began = time.perf_counter()
+        assert column(spark, [text], lambda: F.length(X.without_links(F.col("t")))) == [110 * n]
+        seconds.append(time.perf_counter() - began)
+    assert seconds[1] < 20 * seconds[0] + 5
+
+
 def test_numbers_of_link_targets_do_not_count(spark):
     a, b = "Total 5 [Report](https://x.test/12.pdf)", "Total 5 Report"
     pairs = [(a, b), (a, b.replace("5", "6")), (a, "Total 5 [Report](https://x.test/99.pdf)")]

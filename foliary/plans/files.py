@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliary.functions import text as X
-from foliary.operators import archive, integrity, layers, publish, staging
+from foliary.operators import archive, integrity, layers, proofs, publish, staging
 from foliary.operators.staging import new_path
 from foliary.plans.catalog import query
 from foliary.plans.frames import t
@@ -141,3 +141,58 @@ def raw_increment(spark, sf):
     kept.save(d.drop("doc_id"), pack_bytes=1 << 20)
     state = archive.compare(d, kept.index()).select("path", "state")
     return kept.members().drop("pack").join(kept.index().select("path", "generation"), "path").join(state, "path")
+
+
+@query("""WITH n AS (SELECT doc_id, n_chars, length(text) AS chars, row_number() OVER (ORDER BY doc_id) - 1 AS position, count(*) OVER () AS total FROM documents)
+SELECT position, doc_id, CAST(n_chars AS BIGINT) AS n_chars, CASE WHEN position < total * 2 // 3 THEN chars END AS read_chars FROM n""")
+def positional_merge(spark, sf):
+    """All documents and a layer that has come to two thirds of them, zipped by position."""
+    d = staging.stage(t(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.length("text").cast("long").alias("chars")), "documents")
+    layer = integrity.positions(d.select("doc_id", "chars"), ["doc_id"]).where(F.col("position") < d.count() * 2 // 3).drop("position")
+    rows = proofs.require_merge(d.select("doc_id", "n_chars"), layer, ["doc_id"])
+    return rows.select("position", "doc_id", "left.n_chars", F.col("right.chars").alias("read_chars"))
+
+
+@query("""WITH b AS (SELECT 'r' || CAST(o_orderkey AS VARCHAR) AS record_id, o_orderstatus AS status FROM orders WHERE o_orderkey % 7 <> 1),
+f AS (SELECT 'r' || CAST(o_orderkey AS VARCHAR) AS record_id, 'fresh' AS status FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 11 <> 2)
+SELECT record_id, status FROM b WHERE status <> 'F' UNION ALL SELECT record_id, status FROM f""")
+def snapshot_assembly(spark, sf):
+    """Orders as a census whose source F is refreshed: some ids of it are new and some are gone; read back from the claimed snapshot."""
+    k, o = F.col("o_orderkey"), t(spark, sf, "orders")
+    record = F.concat(F.lit("r"), k.cast("string")).alias("record_id")
+    base = o.where(k % 7 != 1).select(record, F.col("o_orderstatus").alias("status"))
+    fresh = o.where((F.col("o_orderstatus") == "F") & (k % 11 != 2)).select(record, F.lit("fresh").alias("status"))
+    counts = base.agg(F.count("*").alias("base"), F.count_if(F.col("status") == "F").alias("base_refreshed")).first().asDict() | {"fresh": fresh.count()}
+    path = new_path(spark, "snapshot")
+    proofs.assemble_snapshot(base, fresh, F.col("status") == "F", path, counts)
+    return proofs.read_snapshot(spark, path, "record_id string, status string")
+
+
+@query("""WITH d AS (SELECT sha256(text) AS h, min(doc_id) AS k, list('r' || CAST(doc_id AS VARCHAR)) AS records, octet_length(encode(any_value(text))) AS size FROM documents GROUP BY 1),
+x AS (SELECT doc_id, sha256(text) AS h FROM documents)
+SELECT 'counts' AS "check", 'page_count' AS what, CAST((SELECT count(*) FROM d) + (SELECT count(*) FROM d WHERE k % 89 = 3) AS VARCHAR) || ' where ' || CAST((SELECT count(*) FROM d) AS VARCHAR) || ' are published' AS problem WHERE (SELECT count(*) FROM d WHERE k % 89 = 3) > 0
+UNION ALL SELECT 'pages', h || '/1', 'repeated' FROM d WHERE k % 89 = 3
+UNION ALL SELECT 'members', h || '.pdf', 'other bytes' FROM d WHERE k % 83 = 7 AND k % 101 <> 11
+UNION ALL SELECT 'members', h, 'missing' FROM d WHERE k % 101 = 11
+UNION ALL SELECT 'attachments', 'r' || CAST(doc_id AS VARCHAR), 'record without attachment' FROM x WHERE doc_id % 97 = 5 OR doc_id % 79 = 13
+UNION ALL SELECT 'attachments', 'r' || CAST(doc_id AS VARCHAR), 'not a published document' FROM x WHERE doc_id % 79 = 13""")
+def publication_violations(spark, sf):
+    """Documents as a publication (tables, archives, checksums, attachments), written and read back. Pages that repeat, members with other
+    bytes or none, and attachments that are lost or lead elsewhere are planted by rule; whole texts are published."""
+    d, k = t(spark, sf, "documents"), F.col("k")
+    digest, content, record = F.sha2("text", 256), F.encode("text", "utf-8"), F.concat(F.lit("r"), F.col("doc_id").cast("string"))
+    docs = staging.stage(d.groupBy(digest.alias("document_sha256")).agg(F.min("doc_id").alias("k"), F.collect_list(record).alias("record_ids"), F.any_value(content).alias("content")), "published")
+    path, scope = new_path(spark, "publication"), {"house": "h", "parliament": "1", "session": "2"}
+    pages = docs.select("document_sha256", F.lit(1).alias("page_number"), "k")
+    pages.unionByName(pages.where(k % 89 == 3)).drop("k").write.parquet(f"{path}/pages.parquet")
+    docs.select("document_sha256", F.octet_length("content").cast("long").alias("size_bytes"), "record_ids").write.parquet(f"{path}/documents.parquet")
+    name = F.concat(F.col("document_sha256"), F.lit(".pdf"))
+    publish.write_tar_shards(docs.where(k % 101 != 11).select(name.alias("key"), name.alias("name"), F.when(k % 83 == 7, F.concat("content", F.lit(b"!"))).otherwise(F.col("content")).alias("content")), f"{path}/archives")
+    sums = staging.stage(publish.checksums(spark, path), "sums")
+    i = F.col("doc_id")
+    attachments = d.where(i % 97 != 5).select(record.alias("record_id"), F.when(i % 79 == 13, F.sha2(record, 256)).otherwise(digest).alias("document_sha256"))
+    members = documents.archive_members(spark, f"{path}/archives").select("name", "size", F.sha2("content", 256).alias("hash"))
+    counts = {"document_count": docs.count(), "page_count": docs.count(), "attachment_count": attachments.count()}
+    marker = scope | {"complete": True, "tranche": "data/h/parliament-1/session-2/x"}
+    read = lambda name: spark.read.parquet(f"{path}/{name}.parquet")
+    return proofs.publication_violations(spark, scope, marker, sums, publish.checksums(spark, path), counts, read("documents"), read("pages"), staging.stage(members, "members"), attachments)

@@ -385,22 +385,43 @@ def verify(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
 
 
 def reconstruct(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
-    """doc_id, start, ids: the streams put together again from the stored chunks."""
-    recipes = read_recipes(spark, path).where("kind = 'recipe'").select("doc_id", "start", "digests")
+    """doc_id, start, ids: the streams put together again from the stored chunks. A chunk that is missing or doesn't match its digest, and
+    chunks that don't give a recipe's number of ids or its Merkle root, raise ValueError."""
+    recipes = read_recipes(spark, path).where("kind = 'recipe'").select("doc_id", "start", "n_tokens", "digests", "root")
+    names = ["doc_id", "start", "n_tokens", "root", "seq", "n_chunks", "digest"]
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(doc, start, i // DIGEST, d[i : i + DIGEST]) for doc, start, d in zip(*(b.column(c).to_pylist() for c in ("doc_id", "start", "digests")), strict=True) for i in range(0, len(d), DIGEST)]
-            yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["doc_id", "start", "seq", "digest"])
+            columns = [b.column(c).to_pylist() for c in ("doc_id", "start", "n_tokens", "root", "digests")]
+            rows = [(doc, start, n, root, i // DIGEST, len(d) // DIGEST, d[i : i + DIGEST]) for doc, start, n, root, d in zip(*columns, strict=True) for i in range(0, len(d), DIGEST)]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = [np.frombuffer(b"".join(p["payload"] for p in parts), f"<u{width}").astype(np.int64).tolist() for parts in b.column("parts").to_pylist()]
-            yield pa.record_batch([b.column("doc_id"), b.column("start"), pa.array(ids, pa.list_(pa.int64()))], names=["doc_id", "start", "ids"])
+            ids = []
+            for doc, n, root, chunks, parts in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n_tokens", "root", "n_chunks", "parts")), strict=True):
+                if len(parts) != chunks or [p["seq"] for p in parts] != list(range(chunks)):
+                    raise ValueError(f"document {doc} has {len(parts)} of {chunks} chunks")
+                for p in parts:
+                    if p["payload"] is None:
+                        raise ValueError(f"a chunk of document {doc} is missing")
+                    if hashlib.blake2b(p["payload"], digest_size=DIGEST).digest() != p["digest"]:
+                        raise ValueError(f"a chunk of document {doc} doesn't match its digest")
+                if merkle_root([p["digest"] for p in parts]) != root:
+                    raise ValueError(f"the chunks of document {doc} don't give its Merkle root")
+                found = np.frombuffer(b"".join(p["payload"] for p in parts), f"<u{width}").astype(np.int64)
+                if len(found) != n:
+                    raise ValueError(f"document {doc} has {len(found)} of {n} ids")
+                ids.append(found)
+            flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            yield pa.record_batch([b.column("doc_id"), b.column("start"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "start", "ids"])
 
     stored = spark.read.schema(_STORED).parquet(path).where("kind = 'chunk'").select("digest", "payload")
-    uses = recipes.mapInArrow(spread, "doc_id long, start long, seq long, digest binary").join(stored, "digest")
-    parts = uses.groupBy("doc_id", "start").agg(F.sort_array(F.collect_list(F.struct("seq", "payload"))).alias("parts"))
+    uses = recipes.mapInArrow(spread, "doc_id long, start long, n_tokens long, root binary, seq long, n_chunks long, digest binary")
+    found = uses.join(stored, "digest", "left")  # the uses of a chunk that many documents share can be split, as the join is an outer one
+    parts = found.groupBy("doc_id", "start").agg(F.first("n_tokens").alias("n_tokens"), F.first("root").alias("root"), F.first("n_chunks").alias("n_chunks"), F.sort_array(F.collect_list(F.struct("seq", "digest", "payload"))).alias("parts"))
     return parts.mapInArrow(join, "doc_id long, start long, ids array<long>")
 
 

@@ -4,8 +4,10 @@ A page is a sequence of text blocks, each with the path of tags from the root to
 per path and divided by the path's blocks; the product of both ratios is smoothed along the page, fused with a weight for
 what elements, roles and words of class and id say, and held against a threshold (a share of its spread). Every block that
 passes is content, wherever it stands. A node (the element around paragraphs, lists and tables) whose blocks pass in the mean,
-weighted by length, is content too, so that its short lines and lists stay. Blocks known as menus, headers, footers, sidebars,
-notices, adverts, forms or comments have a small weight, which a ratio far above the page's others outweighs.
+weighted by length, is content too, so that its short lines and lists stay; so are the nodes below it, whatever the length of their
+blocks: a list, table, code or section inside an article stays with the article. Blocks known as menus, headers, footers, sidebars,
+notices, adverts, forms or comments have a small weight, which a ratio far above the page's others outweighs. Class and id names count as
+wholes or by their head, the last part that isn't a general one (``site-footer`` and ``nav-list`` do, ``sidebar-layout`` doesn't); a ``header`` inside an article is its own.
 
 Character references are decoded; white space inside a block becomes one space; blocks without text vanish. Null or empty
 html, or a page of boilerplate alone, gives an empty text. Pages may end anywhere, tags may be left open. Whole pages are
@@ -36,6 +38,7 @@ _SCOPES = {"ul", "ol", "dl", "table", "select", "menu"}
 # Elements that are no text of a page, and elements, roles and words of class and id that speak against a block.
 _NOT_TEXT = {"head", "script", "style", "noscript", "iframe", "template", "textarea", "title", "button", "select", "option", "svg", "canvas", "object", "dialog", "xmp"}
 _DOUBTED = {"nav", "header", "footer", "aside", "form", "menu"}
+_GENERAL = {"area", "bar", "block", "body", "box", "container", "content", "group", "inner", "item", "items", "line", "link", "links", "list", "outer", "panel", "row", "section", "top", "bottom", "left", "right", "unit", "wrap", "wrapper"}
 _NOT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar", "toolbar"}
 _NOT_WORDS = re.compile(r"^(?:nav\w*|menu\w*|foot(?:er)?|header|masthead|side(?:bar)?|aside|ads?|adv|advert\w*|banner|promo\w*|sponsor\w*|cookies?|notices?|consent|gdpr|popup|modal|overlay|comments?|commentlist|disqus|replies|respond|discussion|share|sharing|social|related|recommend\w*|breadcrumbs?|pagination|pager|subscribe|subscription|newsletter|login|signin|signup|search|form|toolbar|widget|legal|copyright|disclaimer|skip|hidden)$")
 # Weight of a doubted block, and the product of ratios (some 200 characters, 5 signs) from which it counts at all.
@@ -52,11 +55,21 @@ class _Element:
         self.name, self.parent, self.number, self.out, self.doubted = name, parent, number, out, doubted
 
 
-def _is_out(name: str, attributes: str) -> tuple[bool, bool]:
+def _speaks_against(name: str) -> bool:
+    """Whether a name of class or id says that a block is something else: as a whole, or by its head."""
+    if _NOT_WORDS.match(name):
+        return True
+    parts = [w for w in re.split(r"[_-]+", name) if w]
+    while len(parts) > 1 and (parts[-1] in _GENERAL or parts[-1].isdigit()):
+        parts.pop()
+    return bool(parts) and bool(_NOT_WORDS.match(parts[-1]))
+
+
+def _is_out(name: str, attributes: str, parent: _Element) -> tuple[bool, bool]:
     """(never shown as text, known as something else than the article)."""
     if name in _NOT_TEXT:
         return True, True
-    doubted = name in _DOUBTED
+    doubted = name in _DOUBTED and not (name == "header" and _within(parent, "article"))
     if not attributes:
         return False, doubted
     if re.search(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until-found))", re.sub(r"=\s*(?:\"[^\"]*\"|'[^']*')", "", attributes)):
@@ -65,7 +78,7 @@ def _is_out(name: str, attributes: str) -> tuple[bool, bool]:
         value, key = "".join(values).lower(), key.lower()
         if key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True, True
-        if key in ("class", "id") and name not in ("html", "body", "article", "main") and any(_NOT_WORDS.match(w) for w in re.split(r"[\s_-]+", value)):
+        if key in ("class", "id") and name not in ("html", "body", "article", "main") and any(map(_speaks_against, value.split())):
             doubted = True
         if key == "role" and value in _NOT_ROLES:
             doubted = True
@@ -138,7 +151,7 @@ def blocks(page: str) -> list[tuple[str, _Element, int]]:
             while here.parent is not None and here.name != "html":
                 here = here.parent
         number += 1
-        out, doubted = _is_out(name, m.group(3))
+        out, doubted = _is_out(name, m.group(3), here)
         element = _Element(name, here, number, here.out or out, here.doubted or doubted)
         if m.group(3).rstrip().endswith("/") and name not in _CLOSES_P:
             continue
@@ -151,6 +164,12 @@ def blocks(page: str) -> list[tuple[str, _Element, int]]:
     return found
 
 
+def _within(element: _Element | None, name: str) -> bool:
+    while element is not None and element.name != name:
+        element = element.parent
+    return element is not None
+
+
 def _path(element: _Element) -> str:
     names = []
     while element.parent is not None:
@@ -203,7 +222,13 @@ def content_flags(found: list[tuple[str, _Element, int]], share: float = 0.5) ->
     alone = inside & (own >= limit) & (own > 0)
     holds = np.bincount(node[alone], minlength=node.max() + 1) > 0
     lifted = inside & (fused >= limit) & (fused > 0) & (holds[node] | np.array([e.name in _HEADS for _, e, _ in found]))
-    return alone | lifted | free & (passed & holds)[node], fused
+    rides = (passed & holds)[node]
+    for i in np.flatnonzero(free & ~rides):  # with a node around it, but not with the whole page
+        x = found[i][1].parent
+        while x is not None and x.name not in ("body", "html", "#root") and not rides[i]:
+            rides[i] = (holds & passed)[x.number] if x.number < len(holds) else False
+            x = x.parent
+    return alone | lifted | free & rides, fused
 
 
 def main_text(page: str | None) -> str:

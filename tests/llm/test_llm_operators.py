@@ -216,6 +216,27 @@ def test_a_changed_store_is_found(spark, tmp_path):
             chunk_store.verify(spark, changed_copy(spark, path, str(tmp_path / f"changed{i}"), which, change)).collect()
 
 
+def test_reconstruct_finds_lost_changed_and_swapped_chunks(spark, tmp_path):
+    rows = [(i, f"document {i} of equal length") for i in range(12)] + [(50, "one " * 4000), (51, "two " * 4000)]
+    path = store(spark, str(tmp_path / "store"), rows)
+    chunks = spark.read.parquet(path).where("kind = 'chunk'").orderBy("digest").select("digest", "payload").collect()
+    a, b = chunks[0], chunks[1]
+    is_a, is_b = F.col("digest") == F.lit(bytes(a.digest)), F.col("digest") == F.lit(bytes(b.digest))
+    payload = lambda when: lambda df: df.withColumn("payload", when.otherwise(F.col("payload")))
+    one, longer = F.col("doc_id") == 1, F.col("kind") == "recipe"
+    two = spark.read.parquet(f"{path}-recipes").where("doc_id = 2").first()
+    for i, (which, message, change) in enumerate([
+        ("", "is missing", lambda df: df.where(~F.coalesce(is_a, F.lit(False)))),
+        ("", "doesn't match its digest", payload(F.when(is_a, F.concat(F.col("payload"), F.lit(b"\0\0"))))),
+        ("", "doesn't match its digest", payload(F.when(is_a, F.lit(bytes(b.payload))).when(is_b, F.lit(bytes(a.payload))))),
+        ("-recipes", "don't give its Merkle root", lambda df: df.withColumn("digests", F.when(one & longer, F.lit(bytes(two.digests))).otherwise(F.col("digests")))),
+        ("-recipes", "ids", lambda df: df.withColumn("n_tokens", F.when(one & longer, F.col("n_tokens") + 1).otherwise(F.col("n_tokens")))),
+    ]):
+        with pytest.raises(Exception, match=message):
+            chunk_store.reconstruct(spark, changed_copy(spark, path, str(tmp_path / f"changed{i}"), which, change)).collect()
+    assert {r.doc_id for r in chunk_store.reconstruct(spark, path).collect()} == {i for i, _ in rows}
+
+
 def test_pages_of_the_manifest(spark, tmp_path, monkeypatch):
     rows = [(i % 700, f"text {i % 900}") for i in range(2500)]
     path = store(spark, str(tmp_path / "store"), rows)

@@ -176,3 +176,24 @@ def test_toxicity_recall_and_the_label_model_alone(spark):
     toxic = rows["toxic"].to_numpy() == 1
     print("label model without labels: toxic found", (posterior[toxic] >= 0.5).mean(), "clean kept", (posterior[~toxic] < 0.5).mean())
     assert (posterior[toxic] >= 0.5).mean() >= 0.5 and (posterior[~toxic] < 0.5).mean() >= 0.9
+
+
+_LONG = "<p>" + "A long paragraph, with many words, and signs. " * 12 + "</p>"
+
+
+@pytest.mark.parametrize(("page", "kept"), [
+    (f"<article>{_LONG}<div><ul><li>milk</li><li>eggs</li></ul></div></article>", ["milk", "eggs"]),
+    (f"<article>{_LONG}<div><table><tr><td>a</td><td>b</td></tr></table></div></article>", ["a", "b"]),
+    (f"<article>{_LONG}<section><h2>Code</h2><pre>x = 1</pre></section></article>", ["Code", "x = 1"]),
+    (f"<header><h1>Site</h1></header><article><header><h1>The Title</h1></header>{_LONG}</article>", ["The Title"]),
+    (f'<article>{_LONG}<section class="comment-list"><p>I like it, really. Yes.</p></section></article><nav class=x><ul><li><a href=y>Home</a></ul></nav>', []),
+    (f'<div class="site-footer"><p>We are here.</p></div><div class=c>{_LONG}</div><div id=nav-bar><p>Here and there.</p></div>', []),
+])
+def test_short_blocks_stay_with_their_article(page, kept):
+    lines = tag_paths.main_text(f"<html><body>{page}</body></html>").split("\n")
+    assert [x for x in lines if not x.startswith("A long")] == kept and len(lines) == len(kept) + 1
+
+
+def test_names_of_layouts_condemn_nothing():
+    page = '<body><div class="sidebar-layout"><p>Two short words.</p><p>And more, again.</p></div></body>'
+    assert tag_paths.main_text(page) == "Two short words.\nAnd more, again."

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliary.functions import text as X
+from foliary.operators import audits
 from foliary.plans.catalog import query
 from foliary.plans.frames import RECORDS, attempts, records, t
 
@@ -115,3 +116,24 @@ def event_dedup(spark, sf):
 def page_progress(spark, sf):
     c = t(spark, sf, "conversations")
     return c.groupBy("conv_id").agg(F.max("turn").alias("last_turn"), F.sum(F.when(F.col("role") == "user", F.length("text")).otherwise(0)).alias("user_chars"), F.bool_and(~X.is_blank(F.col("text"))).alias("all_filled"))
+
+
+@query("""WITH c AS (SELECT conv_id AS document, turn // 3 AS run, turn % 3 AS page, turn, role, CASE WHEN conv_id % 9 = 4 THEN 'elsewhere/' WHEN conv_id % 2 = 0 THEN '/srv/data/artifacts/' ELSE 'data/artifacts/' END || 'd' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn // 3 AS VARCHAR) || '/attempt-' || CAST(turn AS VARCHAR) || '/response.json' AS response FROM conversations),
+l AS (SELECT document, max(run) AS run FROM c WHERE document % 4 <> 3 GROUP BY 1),
+e AS (SELECT DISTINCT CASE WHEN contains(response, 'data/artifacts/') THEN regexp_replace(substr(response, strpos(response, 'data/artifacts/')), '[^/]*$', 'adjudicated.md') ELSE response END AS path, contains(response, 'data/artifacts/') AS inside FROM (
+  SELECT (SELECT arg_max(a.response, a.turn) FROM c a WHERE a.document = p.document AND a.run = p.run AND a.page = p.page AND a.role = 'assistant') AS response FROM c p JOIN l ON p.document = l.document AND p.run = l.run) WHERE response IS NOT NULL),
+t AS (SELECT DISTINCT 'data/artifacts/d' || CAST(document AS VARCHAR) || '/' || CAST(run AS VARCHAR) || '/attempt-' || CAST(turn AS VARCHAR) || '/adjudicated.md' AS path FROM c WHERE role = 'assistant' AND document % 5 <> 1)
+SELECT coalesce(e.path, t.path) AS path, CASE WHEN e.path IS NULL THEN 'unexpected' WHEN NOT inside THEN 'outside' WHEN t.path IS NULL THEN 'missing' ELSE 'present' END AS state FROM e FULL JOIN t ON e.path = t.path""")
+def transcript_paths(spark, sf):
+    """Turns as pages of runs (three a run), assistant turns as answers; a scope of documents, some of whose transcripts are missing, and
+    responses that lie elsewhere, by rule."""
+    c, d, n = t(spark, sf, "conversations").drop("text"), F.col("conv_id"), F.col("turn")
+    run, text = F.floor(n / 3).cast("long"), lambda x: x.cast("string")
+    folder = F.concat(F.lit("d"), text(d), F.lit("/"), text(run), F.lit("/attempt-"), text(n), F.lit("/"))
+    root = F.when(d % 9 == 4, "elsewhere/").when(d % 2 == 0, "/srv/data/artifacts/").otherwise("data/artifacts/")
+    ids = (d * 1_000_000 + run).alias("run_id")  # a document's runs in order
+    runs = c.select((d * 1_000_000 + run).alias("id"), d.alias("document"), F.lit("complete").alias("status")).distinct()
+    pages = c.select(ids, (n % 3).alias("page_number"))
+    answers = c.select(n.alias("id"), ids, (n % 3).alias("page_number"), F.col("role").alias("provider"), F.concat(root, folder, F.lit("response.json")).alias("response_path"))
+    listing = c.where((F.col("role") == "assistant") & (d % 5 != 1)).select(F.concat(F.lit("data/artifacts/"), folder, F.lit("adjudicated.md")).alias("path"))
+    return audits.transcript_paths(c.where(d % 4 != 3).select(d.alias("document")), runs, pages, answers, listing, "assistant")

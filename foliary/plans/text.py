@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from foliary.functions import arrow_udfs, rules
 from foliary.functions import text as X
-from foliary.operators import multisets, staging
+from foliary.operators import audits, multisets, sampling, staging
 from foliary.plans.catalog import query
 from foliary.plans.frames import t
 
@@ -50,50 +50,59 @@ def content_number_tokens(spark, sf):
     return t(spark, sf, "documents").select("doc_id", F.array_join(X.content_numbers(_footed()), " ").alias("numbers"))
 
 
-_NATIVE = "CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 = 1 THEN substr(text, 1, 20) WHEN doc_id % 7 = 2 THEN repeat('-- ', 30) || 'ab' ELSE text END"
-_STRIPPED = _strip(_NATIVE)
+# all documents, and planted beside them (ids below 0) empty, short and ruled texts
+_ROUTED = "(SELECT doc_id, text FROM documents UNION ALL SELECT -1 - doc_id, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN 'A short text of ' || CAST(doc_id AS VARCHAR) ELSE repeat('-- ', 30) || 'ab' END FROM documents WHERE doc_id % 7 < 3)"
+_STRIPPED = _strip("text")
 _RATIO = f"length(regexp_replace({_STRIPPED}, '[^\\p{{L}}\\p{{N}}]', '', 'g')) / CAST(length(regexp_replace({_STRIPPED}, '[\\s\\p{{Z}}\\x1c-\\x1f]', '', 'g')) AS DOUBLE)"
 _REASONS = f"""list_filter([CASE WHEN doc_id % 11 = 0 THEN 'full-page-image' END, CASE WHEN {_STRIPPED} = '' THEN 'empty-native-text' END,
  CASE WHEN {_STRIPPED} <> '' AND length({_STRIPPED}) < 40 THEN 'too-little-native-text' END, CASE WHEN {_STRIPPED} <> '' AND {_RATIO} < 0.35 THEN 'low-alphanumeric-ratio' END,
  CASE WHEN doc_id % 13 = 0 THEN 'garbled' END, CASE WHEN doc_id % 13 = 0 THEN 'scanned' END], lambda x: x IS NOT NULL)"""
 
 
-def _native():
-    i = F.col("doc_id")
-    return F.when(i % 7 == 0, "").when(i % 7 == 1, F.substring("text", 1, 20)).when(i % 7 == 2, F.concat(F.repeat(F.lit("-- "), 30), F.lit("ab"))).otherwise(F.col("text"))
+def _routed(spark, sf):
+    d, i = t(spark, sf, "documents").select("doc_id", "text"), F.col("doc_id")
+    planted = F.when(i % 7 == 0, "").when(i % 7 == 1, F.concat(F.lit("A short text of "), i.cast("string"))).otherwise(F.concat(F.repeat(F.lit("-- "), 30), F.lit("ab")))
+    return d.unionByName(d.where(i % 7 < 3).select((-1 - i).alias("doc_id"), planted.alias("text")))
 
 
 def _reasons():
     given = F.when(F.col("doc_id") % 13 == 0, F.array(F.lit("scanned"), F.lit("sparse-text"), F.lit("garbled"))).otherwise(F.array(F.lit("sparse-text")))
-    return rules.route_reasons(_native(), given, F.col("doc_id") % 11 == 0)
+    return rules.route_reasons(F.col("text"), given, F.col("doc_id") % 11 == 0)
 
 
-@query(f"SELECT doc_id, CASE WHEN len(r) > 0 THEN 'ocr' ELSE 'native' END AS route, array_to_string(r, ',') AS reasons FROM (SELECT doc_id, {_REASONS} AS r FROM documents)")
+@query(f"SELECT doc_id, CASE WHEN len(r) > 0 THEN 'ocr' ELSE 'native' END AS route, array_to_string(r, ',') AS reasons FROM (SELECT doc_id, {_REASONS} AS r FROM {_ROUTED})")
 def route_decision(spark, sf):
-    """Empty, short and ruled texts are planted by rule; every document has a row."""
-    return t(spark, sf, "documents").withColumn("r", _reasons()).select("doc_id", rules.route(F.col("r")).alias("route"), F.array_join("r", ",").alias("reasons"))
+    """All documents; empty, short and ruled texts are planted as further rows."""
+    return _routed(spark, sf).withColumn("r", _reasons()).select("doc_id", rules.route(F.col("r")).alias("route"), F.array_join("r", ",").alias("reasons"))
 
 
-@query(f"SELECT doc_id, CASE WHEN length({_STRIPPED}) = 0 THEN 0.0 ELSE {_RATIO} END AS ratio FROM documents")
+@query(f"SELECT doc_id, CASE WHEN length({_STRIPPED}) = 0 THEN 0.0 ELSE {_RATIO} END AS ratio FROM {_ROUTED}")
 def alnum_ratio_route(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", X.alphanumeric_ratio(X.stripped(_native())).alias("ratio"))
+    return _routed(spark, sf).select("doc_id", X.alphanumeric_ratio(X.stripped(F.col("text"))).alias("ratio"))
 
 
-@query(f"""WITH x AS (SELECT CASE WHEN len({_REASONS}) > 0 THEN 'ocr' ELSE 'native' END AS route, CASE WHEN text LIKE '%|%' THEN 'review' ELSE 'accepted' END AS status FROM documents)
+@query(f"""WITH x AS (SELECT CASE WHEN len({_REASONS}) > 0 THEN 'ocr' ELSE 'native' END AS route, CASE WHEN text LIKE '%|%' THEN 'review' ELSE 'accepted' END AS status FROM {_ROUTED})
 SELECT CASE WHEN grouping(route) = 0 THEN 'route' ELSE 'status' END AS kind, coalesce(route, status) AS name, count(*) AS n FROM x GROUP BY GROUPING SETS ((route), (status))""")
 def route_status_marginals(spark, sf):
-    x = t(spark, sf, "documents").select(rules.route(_reasons()).alias("route"), F.when(F.col("text").contains("|"), "review").otherwise("accepted").alias("status")).groupBy("route", "status").agg(F.count("*").alias("n"))
+    x = _routed(spark, sf).select(rules.route(_reasons()).alias("route"), F.when(F.col("text").contains("|"), "review").otherwise("accepted").alias("status")).groupBy("route", "status").agg(F.count("*").alias("n"))
     g = x.groupingSets([[F.col("route")], [F.col("status")]], "route", "status").agg(F.sum("n").alias("n"), F.grouping("route").alias("g"))
     return g.select(F.when(F.col("g") == 0, "route").otherwise("status").alias("kind"), F.coalesce("route", "status").alias("name"), "n")
 
 
-_PAGE = "CASE doc_id % 6 WHEN 0 THEN '  ' WHEN 1 THEN text || chr(65533) WHEN 2 THEN '| a | b |' || chr(10) || '|---|---|' || chr(10) || '| 1 | 2 | 3 |' || chr(10) || text ELSE text END"
+# all documents, some with a sign or a table added, and blank texts planted beside them (ids below 0)
+_PAGES = "(SELECT doc_id, text FROM documents UNION ALL SELECT -1 - doc_id, '  ' FROM documents WHERE doc_id % 6 = 0)"
+_PAGE = "CASE doc_id % 6 WHEN 1 THEN text || chr(65533) WHEN 2 THEN '| a | b |' || chr(10) || '|---|---|' || chr(10) || '| 1 | 2 | 3 |' || chr(10) || text ELSE text END"
 
 
 def _page():
     i = F.col("doc_id")
     table = F.concat(F.lit("| a | b |\n|---|---|\n| 1 | 2 | 3 |\n"), F.col("text"))
-    return F.when(i % 6 == 0, "  ").when(i % 6 == 1, F.concat("text", F.lit("�"))).when(i % 6 == 2, table).otherwise(F.col("text"))
+    return F.when(i % 6 == 1, F.concat("text", F.lit("�"))).when(i % 6 == 2, table).otherwise(F.col("text"))
+
+
+def _pages(spark, sf):
+    d = t(spark, sf, "documents").select("doc_id", "text")
+    return d.unionByName(d.where("doc_id % 6 = 0").select((-1 - F.col("doc_id")).alias("doc_id"), F.lit("  ").alias("text")))
 
 
 def _widths(c: str) -> str:
@@ -102,31 +111,31 @@ def _widths(c: str) -> str:
     return f"list_transform(list_filter({cells}, lambda c: len(list_filter(c, lambda x: regexp_replace({_strip('x')}, '[-:]', '', 'g') <> '')) > 0), lambda c: len(c))"
 
 
-@query(f"SELECT doc_id, array_to_string(w, ',') AS widths, len(list_distinct(w)) > 1 AS uneven FROM (SELECT doc_id, {_widths(_PAGE)} AS w FROM documents)")
+@query(f"SELECT doc_id, array_to_string(w, ',') AS widths, len(list_distinct(w)) > 1 AS uneven FROM (SELECT doc_id, {_widths(_PAGE)} AS w FROM {_PAGES})")
 def table_widths(spark, sf):
-    p = t(spark, sf, "documents").select("doc_id", X.table_widths(_page()).alias("w"))
+    p = _pages(spark, sf).select("doc_id", X.table_widths(_page()).alias("w"))
     return p.select("doc_id", F.array_join(F.transform("w", lambda x: x.cast("string")), ",").alias("widths"), (F.size(F.array_distinct("w")) > 1).alias("uneven"))
 
 
-@query(f"""SELECT doc_id, len(list_filter(string_split({_PAGE}, chr(10)), lambda x: starts_with({_strip('x')}, '|') AND x LIKE '%-%' AND regexp_replace({_strip('x')}, '[|: -]', '', 'g') = '')) AS n FROM documents""")
+@query(f"""SELECT doc_id, len(list_filter(string_split({_PAGE}, chr(10)), lambda x: starts_with({_strip('x')}, '|') AND x LIKE '%-%' AND regexp_replace({_strip('x')}, '[|: -]', '', 'g') = '')) AS n FROM {_PAGES}""")
 def separator_rows(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", X.separator_rows(_page()).alias("n"))
+    return _pages(spark, sf).select("doc_id", X.separator_rows(_page()).alias("n"))
 
 
 @query(f"""SELECT doc_id, length(p) - length(replace(p, chr(65533), '')) AS replaced, {_strip('p')} = '' AS blank,
- {_strip('p')} = '' AND (f = '' OR regexp_matches(f, '^\\s*```[^\\n]*\\n\\s*```\\s*$')) AS empty FROM (SELECT doc_id, {_PAGE} AS p, CASE WHEN doc_id % 4 = 0 THEN '```text' || chr(10) || '```' WHEN doc_id % 4 = 1 THEN '' ELSE text END AS f FROM documents)""")
+ {_strip('p')} = '' AND ({_strip('f')} = '' OR regexp_matches(f, '^\\s*```[^\\n]*\\n\\s*```\\s*$')) AS empty FROM (SELECT doc_id, {_PAGE} AS p, CASE WHEN doc_id % 4 = 0 THEN '```text' || chr(10) || '```' WHEN doc_id % 4 = 1 THEN '' ELSE text END AS f FROM {_PAGES})""")
 def replacement_and_empty(spark, sf):
     fence = F.when(F.col("doc_id") % 4 == 0, "```text\n```").when(F.col("doc_id") % 4 == 1, "").otherwise(F.col("text"))
-    return t(spark, sf, "documents").select("doc_id", X.replacement_characters(_page()).alias("replaced"), X.is_blank(_page()).alias("blank"), X.local_content_empty(_page(), fence).alias("empty"))
+    return _pages(spark, sf).select("doc_id", X.replacement_characters(_page()).alias("replaced"), X.is_blank(_page()).alias("blank"), X.local_content_empty(_page(), fence).alias("empty"))
 
 
-@query(f"""WITH p AS (SELECT doc_id, {_PAGE} AS p, {_PAGE.replace('text', "replace(text, '1', '7')")} AS native, CASE WHEN doc_id % 3 = 0 THEN 'native' ELSE 'ocr' END AS route, (doc_id % 10) / 10.0 AS confidence FROM documents),
+@query(f"""WITH p AS (SELECT doc_id, {_PAGE} AS p, {_PAGE.replace('text', "replace(text, '1', '7')")} AS native, CASE WHEN doc_id % 3 = 0 THEN 'native' ELSE 'ocr' END AS route, (doc_id % 10) / 10.0 AS confidence FROM {_PAGES}),
 f AS (SELECT doc_id, unnest(list_filter([CASE WHEN {_strip('p')} = '' THEN 'empty-text' END, CASE WHEN p LIKE '%' || chr(65533) || '%' THEN 'replacement-characters' END,
  CASE WHEN route = 'ocr' AND confidence < 0.75 THEN 'low-ocr-confidence' END, CASE WHEN len(list_distinct({_widths('p')})) > 1 THEN 'inconsistent-table-width' END,
  CASE WHEN route = 'ocr' AND {_strip('native')} <> '' AND list_sort({_nums(_seen('p'))}) <> list_sort({_nums(_seen('native'))}) THEN 'native-ocr-numeric-disagreement' END], lambda x: x IS NOT NULL)) AS flag FROM p)
 SELECT flag, count(*) AS n FROM f GROUP BY 1""")
 def flag_histogram(spark, sf):
-    i, p = F.col("doc_id"), t(spark, sf, "documents")
+    i, p = F.col("doc_id"), _pages(spark, sf)
     p = p.select("doc_id", _page().alias("p"), p["text"]).withColumn("text", F.replace("text", F.lit("1"), F.lit("7"))).select("doc_id", "p", _page().alias("native"))
     found = rules.page_flags(F.col("p"), F.col("p"), F.when(i % 3 == 0, "native").otherwise("ocr"), (i % 10) / 10.0, F.col("native"))
     return p.select(F.explode(found).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
@@ -323,3 +332,54 @@ def table_score(spark, sf):
     # a case of key cells differs between the tables, as it does in the reference row "Total"
     same = F.size(F.filter(cells, lambda x: F.lower(x["a"]).eqNullSafe(F.lower(x["b"])))).cast("long")
     return t(spark, sf, "part").select("p_partkey", same.alias("exact"), F.size(F.filter(cells, lambda x: x["a"].isNotNull())).cast("long").alias("expected"))
+
+
+_AGREE = f"""WITH s AS (SELECT conv_id FROM (SELECT DISTINCT conv_id FROM conversations) ORDER BY md5('7|' || CAST(conv_id AS VARCHAR)), conv_id LIMIT 200),
+k AS (SELECT conv_id AS page, arg_min(text, turn) || ' 5 ' || CAST(conv_id % 3 AS VARCHAR) AS canonical FROM conversations JOIN s USING (conv_id) GROUP BY conv_id),
+a AS (SELECT conv_id AS page, role AS model, arg_max(text, turn) || ' 5 ' || CAST((conv_id + max(turn)) % 3 AS VARCHAR) AS text FROM conversations JOIN s USING (conv_id) GROUP BY conv_id, role),
+n AS (SELECT page, model, list_sort({_nums(_seen(_content('canonical')))}) AS said, list_sort({_nums(_seen(_content('text')))}) AS read, {_strip('text')} = '' AS blank, len(list_distinct({_widths('text')})) > 1 AS uneven FROM a JOIN k USING (page))
+SELECT 'model' AS kind, model AS a, 'canonical' AS b, count(*) AS pages, count(*) FILTER (WHERE blank) AS empty, count(*) FILTER (WHERE said <> read) AS numeric, count(*) FILTER (WHERE uneven) AS tables FROM n GROUP BY model
+UNION ALL SELECT 'pair', x.model, y.model, count(*), NULL, count(*) FILTER (WHERE x.read <> y.read), NULL FROM n x JOIN n y ON x.page = y.page AND x.model < y.model GROUP BY 2, 3"""
+
+
+@query(_AGREE)
+def model_agreement(spark, sf):
+    """Roles as models that read conversations: a seeded sample of 200 (the sample is the feature), each role's newest turn against the first
+    one; numbers are added by rule."""
+    c = t(spark, sf, "conversations").select(F.col("conv_id").alias("page"), "turn", F.col("role").alias("model"), "text")
+    number = lambda n: F.concat(F.lit(" 5 "), (n % 3).cast("string"))
+    drawn = sampling.seeded(c.select("page").distinct(), 200, 7, "page")
+    sample = c.join(F.broadcast(drawn), "page").groupBy("page").agg(F.min_by("text", "turn").alias("first")).select("page", F.concat("first", number(F.col("page"))).alias("canonical"))
+    answers = c.groupBy("page", "model").agg(F.max_by("text", "turn").alias("text"), F.max("turn").alias("turn")).select("page", "model", F.concat("text", number(F.col("page") + F.col("turn"))).alias("text"))
+    return audits.model_agreement(sample, answers)
+
+
+_TABLE = "chr(10) || '| a | b |' || chr(10) || '|---|---|' || chr(10) || '|---|---|' || chr(10) || '|---|---|'"
+_LAYOUTS = f"""(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'native' ELSE 'ocr' END AS route, text || CASE WHEN doc_id % 17 = 0 THEN {_TABLE} ELSE '' END AS local, text || CASE WHEN doc_id % 13 = 0 THEN ' 12' ELSE '' END AS model FROM documents
+UNION ALL SELECT -1 - doc_id, 'ocr', '', text FROM documents WHERE doc_id % 41 = 0)"""
+
+
+def _separators(c: str) -> str:
+    return f"len(list_filter(string_split({c}, chr(10)), lambda x: starts_with({_strip('x')}, '|') AND x LIKE '%-%' AND regexp_replace({_strip('x')}, '[|: -]', '', 'g') = ''))"
+
+
+@query(f"""WITH p AS (SELECT doc_id, route, local, model, {_separators('local')} AS separators, list_sort({_nums(_seen(_content('local')))}) AS a, list_sort({_nums(_seen(_content('model')))}) AS b, md5('3|' || CAST(doc_id AS VARCHAR)) AS h FROM {_LAYOUTS}),
+s1 AS (SELECT doc_id, route, 'random_baseline' AS stratum FROM p ORDER BY h, doc_id LIMIT 60),
+s2 AS (SELECT doc_id, route, 'route_baseline' AS stratum FROM p WHERE route NOT IN (SELECT route FROM s1) QUALIFY row_number() OVER (PARTITION BY route ORDER BY h, doc_id) = 1),
+t2 AS (FROM s1 UNION ALL FROM s2), s3 AS (SELECT doc_id, route, 'empty_local_text' AS stratum FROM p WHERE {_strip('local')} = '' AND doc_id NOT IN (SELECT doc_id FROM t2) ORDER BY h, doc_id LIMIT 20),
+t3 AS (FROM t2 UNION ALL FROM s3), s4 AS (SELECT doc_id, route, 'layout' AS stratum FROM p WHERE separators >= 3 AND doc_id NOT IN (SELECT doc_id FROM t3) ORDER BY h, doc_id LIMIT (SELECT (121 - count(*)) // 2 FROM t3)),
+t4 AS (FROM t3 UNION ALL FROM s4), s5 AS (SELECT doc_id, route, 'numeric' AS stratum FROM p WHERE a <> b AND doc_id NOT IN (SELECT doc_id FROM t4) ORDER BY h, doc_id LIMIT (SELECT 120 - count(*) FROM t4)),
+t5 AS (FROM t4 UNION ALL FROM s5), s6 AS (SELECT doc_id, route, 'random_fill' AS stratum FROM p WHERE doc_id NOT IN (SELECT doc_id FROM t5) ORDER BY h, doc_id LIMIT (SELECT 120 - count(*) FROM t5))
+SELECT doc_id, stratum, concat_ws(',', CASE WHEN separators <> {_separators('model')} THEN 'separator-rows' END, CASE WHEN {_widths('local')} <> {_widths('model')} THEN 'table-widths' END, CASE WHEN a <> b THEN 'numbers' END,
+ CASE WHEN {_strip('local')} = '' THEN 'local-empty' END, CASE WHEN {_strip('model')} = '' THEN 'model-empty' END) AS reasons FROM p JOIN (FROM t5 UNION ALL FROM s6) USING (doc_id)""")
+def layout_audit(spark, sf):
+    """A sample of 120 pages over overlapping strata (the sample is the feature) and why each must be looked at. Tables and numbers are added to
+    some whole texts; pages without local text are planted beside the documents."""
+    d, i = t(spark, sf, "documents").select("doc_id", "text"), F.col("doc_id")
+    table = F.lit("\n| a | b |\n|---|---|\n|---|---|\n|---|---|")
+    pages = d.select("doc_id", F.when(i % 3 == 0, "native").otherwise("ocr").alias("route"), F.concat("text", F.when(i % 17 == 0, table).otherwise("")).alias("local"), F.concat("text", F.when(i % 13 == 0, " 12").otherwise("")).alias("model"))
+    pages = pages.unionByName(d.where(i % 41 == 0).select((-1 - i).alias("doc_id"), F.lit("ocr").alias("route"), F.lit("").alias("local"), F.col("text").alias("model")))
+    numbers = lambda c: F.sort_array(X.content_numbers(F.col(c)))
+    strata = pages.select("doc_id", "route", X.is_blank(F.col("local")).alias("local_empty"), X.separator_rows(F.col("local")).alias("separator_rows"), (numbers("local") != numbers("model")).alias("numeric_differs"))
+    found = audits.layout_differences(audits.layout_sample(strata, "doc_id", 120, 3), pages, "doc_id")
+    return found.select("doc_id", "stratum", F.array_join("reasons", ",").alias("reasons"))

@@ -48,18 +48,15 @@ def acquire(store: Store, batch: DataFrame, **fetching) -> dict[str, int]:
     urls = batch.select(F.lit(None).cast("string").alias("file"), F.col("source_url").alias("url"), F.lit(None).cast("string").alias("sha256")).distinct()
     found = stage(documents.fetched(urls, **fetching), "fetched")
     register(store, found)
-    base = store.version("census_records")
     outcome = batch.select("record_id", "source_url").join(found.select(F.col("url").alias("source_url"), "sha256", "error"), "source_url")
     outcome = stage(outcome.select("record_id", "sha256", "error"), "outcome")
-    records = store.read("census_records").drop("document_sha256", "acquisition_status", "last_error")
-    states = store.read("census_records").select("record_id", F.struct("document_sha256", "acquisition_status", "last_error").alias("was"))
-    failed, tried = F.col("error").isNotNull(), F.col("n").isNotNull()
-    joined = records.join(states, "record_id").join(outcome.withColumn("n", F.lit(1)), "record_id", "left")
-    store.replace("census_records", joined.withColumns({
-        "document_sha256": F.when(tried & ~failed, F.col("sha256")).otherwise(F.col("was.document_sha256")),
-        "acquisition_status": F.when(~tried, F.col("was.acquisition_status")).when(failed, "failed").otherwise("downloaded"),
-        "last_error": F.when(~tried, F.col("was.last_error")).otherwise(F.col("error")),
-    }), base)
+    failed = F.col("error").isNotNull()
+    # only what this batch has learnt is written; readers take a record's newest outcome
+    number = F.lit(store.version("outcomes") + 1).cast("long")
+    state = F.when(failed, "failed").otherwise("downloaded")
+    was = store.read("census_records").select("record_id", F.col("document_sha256").alias("was")).join(F.broadcast(outcome.select("record_id")), "record_id", "left_semi")
+    rows = outcome.join(was, "record_id").select("record_id", F.when(failed, F.col("was")).otherwise(F.col("sha256")).alias("document_sha256"), state.alias("acquisition_status"), F.col("error").alias("last_error"), number.alias("n"))
+    store.append("outcomes", rows)
     counts = outcome.agg(F.count("*").alias("tried"), F.count_if(failed).alias("failed")).first()
     return {"tried": counts.tried, "failed": counts.failed}
 

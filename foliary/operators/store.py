@@ -10,6 +10,7 @@ import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from foliary.operators import versions
 from foliary.schemas import KEYS, SURVIVING, TABLES
@@ -56,7 +57,17 @@ class Store:
         return self._state(name)[0]
 
     def read(self, name: str) -> DataFrame:
-        return self._read(name, self._state(name)[1])
+        rows = self._read(name, self._state(name)[1])
+        return self._with_outcomes(rows) if name == "census_records" else rows
+
+    def _with_outcomes(self, records: DataFrame) -> DataFrame:
+        """Census records with the newest outcome of their acquisition: outcomes are appended batch by batch, records stay as they are."""
+        folders = self._state("outcomes")[1]
+        if not folders:
+            return records
+        newest = self._read("outcomes", folders).groupBy("record_id").agg(F.max_by(F.struct(*SURVIVING), "n").alias("_new"))
+        picked = {c: F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)) for c in SURVIVING}
+        return records.join(newest, "record_id", "left").withColumns(picked).select(*records.columns)
 
     def _read(self, name: str, folders: list[str]) -> DataFrame:
         if not folders:
@@ -104,17 +115,36 @@ class Store:
     def compact(self, name: str) -> None:
         """The same rows in one folder."""
         at, folders, _ = self._state(name)
-        if len(folders) > 1:
-            self.replace(name, self._read(name, folders), at)
+        if len(folders) > 1 or name == "census_records":
+            self.replace(name, self._with_outcomes(self._read(name, folders)) if name == "census_records" else self._read(name, folders), at)
 
-    def insert_or_ignore(self, name: str, rows: DataFrame) -> None:
+    def append_to(self, name: str, rows: DataFrame, base: int) -> None:
+        """Adds rows to exactly the version ``base``; if another writer has followed it, that is a Conflict."""
+        folder = self._write(name, rows)
         at, folders, _ = self._state(name)
-        self.replace(name, versions.insert_or_ignore(self._read(name, folders), self._filled(name, rows), KEYS[name]), at)
+        self._claim(name, base, [*folders, folder] if at == base else [folder])
+
+    def insert_or_ignore(self, name: str, rows: DataFrame, attempts: int = 5) -> None:
+        """Adds the rows whose key isn't there, one per key; only these are written. If another writer has followed the version that was
+        read, what is new is found again."""
+        keys, own = KEYS[name], self._filled(name, rows)
+        for n in range(attempts):
+            at, folders, _ = self._state(name)
+            new = own.dropDuplicates(keys).join(self._read(name, folders).select(*keys), keys, "left_anti").select(*own.columns)
+            folder = self._write(name, new)
+            try:
+                return self._claim(name, at, [*folders, folder])
+            except Conflict:
+                if n + 1 == attempts:
+                    raise
+                time.sleep(0.05 * n)
 
     def upsert(self, name: str, rows: DataFrame) -> None:
         surviving = SURVIVING if name == "census_records" else []
         at, folders, _ = self._state(name)
-        self.replace(name, versions.upsert(self._read(name, folders), self._filled(name, rows), KEYS[name][0], surviving), at)
+        old = self._read(name, folders)
+        old = self._with_outcomes(old) if name == "census_records" else old
+        self.replace(name, versions.upsert(old, self._filled(name, rows), KEYS[name][0], surviving), at)
 
     def _filled(self, name: str, rows: DataFrame) -> DataFrame:
         own = self.spark.createDataFrame([], TABLES[name])

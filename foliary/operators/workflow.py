@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from foliary.functions import rules
 from foliary.functions import text as X
 from foliary.operators import integrity, publish, staging, versions
-from foliary.operators.store import Store
+from foliary.operators.store import Conflict, Store
 from foliary.sources import documents as originals_source
 from foliary.sources import payloads
 
@@ -47,16 +48,50 @@ def pending(store: Store, config_json: str) -> DataFrame:
 
 
 def process(store: Store, extractor: originals_source.PageExtractor, config: dict, routing: rules.RoutingRules = rules.RoutingRules(), validation: rules.ValidationRules = rules.ValidationRules()) -> int:
-    """Extract, route and validate the pages of pending documents; a document with a failed page has a failed run."""
+    """Extract, route and validate the pages of pending documents; a document with a failed page has a failed run. Run ids are claimed by
+    rows of state running before any work begins, so that two calls at once take different ones; the end of a run is a further row:
+    complete, failed (with its error), or interrupted."""
     config_json = json.dumps(config, sort_keys=True, ensure_ascii=False)
-    base = store.read("runs").agg(F.max("id")).first()[0] or 0
-    todo = integrity.positions(pending(store, config_json).select("sha256"), ["sha256"]).select("sha256", (F.col("position") + 1 + base).alias("run_id"))
+    todo = _claim_runs(store, config_json)
+    state = lambda status, error: store.append("runs", todo.select(F.col("run_id").alias("id"), F.col("sha256").alias("document_sha256"), F.lit(status).alias("status"), F.lit(config_json).alias("config_json"), F.current_timestamp().alias("finished_at"), F.lit(error).cast("string").alias("error")))
+    try:
+        _process(store, extractor, todo, config_json, routing, validation)
+    except KeyboardInterrupt:
+        state("interrupted", None)
+        raise
+    except Exception as error:
+        state("failed", f"{type(error).__name__}: {error}"[:2000])
+        raise
+    return todo.count()
+
+
+def _claim_runs(store: Store, config_json: str, attempts: int = 20) -> DataFrame:
+    """(sha256, run_id) of the pending documents, staged; their runs stand in the store as running."""
+    for n in range(attempts):
+        at = store.version("runs")
+        base = store.read("runs").agg(F.max("id")).first()[0] or 0
+        todo = integrity.positions(pending(store, config_json).select("sha256"), ["sha256"]).select("sha256", (F.col("position") + 1 + base).alias("run_id"))
+        todo = staging.stage(todo, "runs")
+        try:
+            store.append_to("runs", todo.select(F.col("run_id").alias("id"), F.col("sha256").alias("document_sha256"), F.lit("running").alias("status"), F.lit(config_json).alias("config_json"), F.current_timestamp().alias("started_at")), at)
+            return todo
+        except Conflict:
+            if n + 1 == attempts:
+                raise
+
+
+def current_runs(store: Store) -> DataFrame:
+    """Runs in their newest state: running ones have no later row."""
+    order = F.when(F.col("status") == "running", 0).otherwise(1)
+    newest = store.read("runs").groupBy("id").agg(F.max_by(F.struct("document_sha256", "status", "config_json", "finished_at", "error"), order).alias("x"), F.min("started_at").alias("started_at"))
+    return newest.select("id", "x.document_sha256", "x.status", "x.config_json", "started_at", "x.finished_at", "x.error")
+
+
+def _process(store: Store, extractor: originals_source.PageExtractor, todo: DataFrame, config_json: str, routing: rules.RoutingRules, validation: rules.ValidationRules) -> None:
     files = store.spark.read.parquet(f"{store.root}/originals").select("sha256", "content").join(todo.select("sha256"), "sha256", "left_semi")
     routed = lambda p: p.withColumn("route", rules.route(rules.route_reasons(F.col("text"), F.col("reasons"), F.col("full_page_image"), routing)))
-    work = f"{store.root}/work/{base}"
+    work = f"{store.root}/work/{uuid.uuid4().hex}"
     originals_source.two_pass(files, extractor, routed).write.mode("overwrite").parquet(work)
-    todo.write.mode("overwrite").parquet(f"{work}-runs")
-    todo = store.spark.read.parquet(f"{work}-runs")
     pages = store.spark.read.parquet(work).join(todo.withColumnRenamed("sha256", "document_sha256"), "document_sha256")
     found = rules.page_flags(F.col("selected_text"), F.col("selected_markdown"), F.col("route"), F.col("confidence"), F.col("native_text"), validation)
     good = pages.where("error IS NULL").withColumn("flags", found)
@@ -66,13 +101,12 @@ def process(store: Store, extractor: originals_source.PageExtractor, config: dic
     ))
     failed = pages.where("error IS NOT NULL").groupBy("run_id").agg(F.min("error").alias("error"))
     store.append("runs", todo.join(failed, "run_id", "left").select(F.col("run_id").alias("id"), F.col("sha256").alias("document_sha256"), F.when(F.col("error").isNull(), "complete").otherwise("failed").alias("status"), F.lit(config_json).alias("config_json"), F.current_timestamp().alias("finished_at"), "error"))
-    return todo.count()
 
 
 def status(store: Store) -> dict:
     """Counts of the whole store, one pass per table."""
     out = {"documents": store.read("documents").count(), "sources": store.read("sources").count()}
-    out |= {f"runs_{r.status}": r.n for r in store.read("runs").groupBy("status").agg(F.count("*").alias("n")).collect()}
+    out |= {f"runs_{r.status}": r.n for r in current_runs(store).groupBy("status").agg(F.count("*").alias("n")).collect()}
     out |= current_pages(store).agg(F.count("*").alias("pages"), F.count_if(F.col("route") == "ocr").alias("ocr_pages"), F.count_if(F.col("validation_status") == "review").alias("review_pages")).first().asDict()
     out |= store.read("adjudications").agg(F.count("*").alias("adjudications"), F.coalesce(F.sum("total_tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("reported_cost").cast("double"), F.lit(0.0)).alias("cost")).first().asDict()
     return out

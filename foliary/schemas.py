@@ -12,12 +12,13 @@ TABLES = {
         "record_id string, source_type string, house string, parliament_number string, session string, document_number string, document_subtype string, document_date string, title string, ministry string, members array<string>, language string, "
         "source_url string, official_page_url string, api_url string, api_params map<string,string>, raw string, discovered_at timestamp, acquisition_status string, document_sha256 string, last_error string"
     ),
+    "outcomes": "record_id string, document_sha256 string, acquisition_status string, last_error string, n long",
     "attachments": "record_id string, bitstream_id string, position int, name string, source_url string, document_sha256 string, acquired_at timestamp",
 }
 #: What identifies a row of each table.
 KEYS = {
     "documents": ["sha256"], "sources": ["document_sha256", "source_uri"], "runs": ["id"], "pages": ["run_id", "page_number"], "adjudications": ["id"], "census_runs": ["id"],
-    "census_scopes": ["run_id", "house", "parliament_number", "session"], "census_records": ["record_id"], "attachments": ["record_id", "bitstream_id"],
+    "census_scopes": ["run_id", "house", "parliament_number", "session"], "census_records": ["record_id"], "outcomes": ["record_id", "n"], "attachments": ["record_id", "bitstream_id"],
 }
 #: Columns of a census record that a new census doesn't touch.
 SURVIVING = ["acquisition_status", "document_sha256", "last_error"]

@@ -313,3 +313,56 @@ def test_census_of_the_modern_interface(spark, tmp_path):
     assert workflow.scope_status(s, "lok_sabha", "18", "1")["census_status"] == "complete" and workflow.scope_status(s, "lok_sabha", "18", "2")["census_status"] == "failed"
     rows = spark.createDataFrame([(2, 267), (0, None), (1, 268)], "o int, session int")
     assert [r.session for r in payloads.session_list(rows, "o").collect()] == ["268", "267"]
+
+
+def _documents(spark, root, names):
+    store = Store(spark, root)
+    rows = spark.createDataFrame([(x, len(x), x.encode()) for x in names], "sha256 string, size_bytes long, content binary")
+    rows.write.mode("append").parquet(f"{root}/originals")
+    store.insert_or_ignore("documents", rows.select("sha256", "size_bytes"))
+    return store
+
+
+def test_two_calls_at_once_take_different_runs(spark, tmp_path, monkeypatch):
+    store = _documents(spark, str(tmp_path / "s"), ["a", "b", "c"])
+    write, others = store._write, []
+
+    def slow(name, rows):  # another call takes its runs between this one's reading and claiming
+        folder = write(name, rows)
+        if name == "runs" and not others:
+            others.append(workflow._claim_runs(Store(spark, store.root), "{}"))
+        return folder
+
+    monkeypatch.setattr(store, "_write", slow)
+    mine = {r.run_id for r in workflow._claim_runs(store, "{}").collect()}
+    assert mine == {4, 5, 6} and {r.run_id for r in others[0].collect()} == {1, 2, 3}
+    assert {(r.id, r.status) for r in workflow.current_runs(store).collect()} == {(i, "running") for i in range(1, 7)}
+
+
+def test_runs_have_states_and_ends(spark, tmp_path, monkeypatch):
+    store = _documents(spark, str(tmp_path / "s"), ["a", "b"])
+    broken = lambda error: monkeypatch.setattr(workflow, "_process", lambda *a: (_ for _ in ()).throw(error))
+    with monkeypatch.context():
+        broken(RuntimeError("no room"))
+        with pytest.raises(RuntimeError):
+            workflow.process(store, None, {})
+        broken(KeyboardInterrupt())
+        with pytest.raises(KeyboardInterrupt):
+            workflow.process(store, None, {})
+        monkeypatch.undo()
+    found = {r.id: r for r in workflow.current_runs(store).collect()}
+    assert {i: r.status for i, r in found.items()} == {1: "failed", 2: "failed", 3: "interrupted", 4: "interrupted"}
+    assert found[1].error == "RuntimeError: no room" and found[1].started_at is not None and found[3].finished_at is not None
+    assert workflow.pending(store, "{}").count() == 2
+
+
+def test_what_is_written_grows_with_what_is_new(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    rows = lambda a, b: spark.createDataFrame([(f"{i:06d}", "x" * 50) for i in range(a, b)], "sha256 string, raw_path string").coalesce(1)
+    size = lambda: sum(f.stat().st_size for f in (tmp_path / "s" / "documents").rglob("*.parquet"))
+    sizes = []
+    for i in range(0, 600, 100):
+        store.insert_or_ignore("documents", rows(max(0, i - 50), i + 100))  # half of it is there
+        sizes.append(size())
+    steps = [b - a for a, b in zip(sizes, sizes[1:], strict=False)]
+    assert store.read("documents").count() == 600 and max(steps) < 2 * min(steps)

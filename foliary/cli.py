@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import importlib.util
 import json
 import time
+from decimal import Decimal
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from foliary.operators import acquire, publish, workflow
+from foliary.operators import acquire, adjudicate, archive, publish, workflow
 from foliary.operators.store import Store
 from foliary.schemas import TABLES
 from foliary.sources import documents, snapshots
@@ -66,6 +68,22 @@ def parser() -> argparse.ArgumentParser:
     c.add_parser("export-census").add_argument("path")
     c.add_parser("census-status")
     c.add_parser("estimate-storage")
+    x = c.add_parser("adjudicate")
+    x.add_argument("--client", required=True, help="module:attribute of a model client")
+    x.add_argument("--models", required=True, help="in the order they are tried, with commas")
+    x.add_argument("--pages", choices=["review", "ocr", "all"], default="review")
+    x.add_argument("--instruction", default="")
+    x.add_argument("--limit-pages", type=int)
+    x.add_argument("--ceiling", type=Decimal, default=Decimal(0))
+    x.add_argument("--reserve", type=Decimal, default=Decimal(0), help="the most that one call can cost")
+    x.add_argument("--force", action="store_true", help="pages that a model has answered too")
+    x = c.add_parser("archive-save")
+    x.add_argument("archive")
+    x.add_argument("path")
+    x = c.add_parser("archive-restore")
+    x.add_argument("archive")
+    x.add_argument("path")
+    c.add_parser("doctor")
     return p
 
 
@@ -137,8 +155,30 @@ def run(a: argparse.Namespace, store: Store) -> dict:
         return workflow.prepare_publication(store, a.path, a.house, a.parliament, a.session, a.policy).first().asDict()
     if a.command == "verify-publication":
         return {"problems": [r.asDict() for r in workflow.verify_publication(store, a.path).collect()]}
+    if a.command == "adjudicate":
+        module, _, name = a.client.partition(":")
+        models = [m.strip() for m in a.models.split(",") if m.strip()]
+        requests = adjudicate.page_requests(store, a.pages, a.instruction, a.limit_pages, models, a.force)
+        return adjudicate.adjudicate(store, getattr(importlib.import_module(module), name), requests, models, adjudicate.Budget(a.ceiling, a.reserve))
+    if a.command == "archive-save":
+        return archive.RawArchive(store.spark, a.archive).save(archive.folder(store.spark, a.path))
+    if a.command == "archive-restore":
+        return archive.RawArchive(store.spark, a.archive).restore(a.path)
+    if a.command == "doctor":
+        return doctor(store)
     raise ValueError(a.command)
 
 
+def doctor(store: Store) -> dict:
+    """What this installation has: versions, optional libraries, the shared folder, and the store's tables by their versions."""
+    context = store.spark.sparkContext
+    folder = store.spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    found = {name: importlib.util.find_spec(name) is not None for name in ("pyarrow", "pandas", "numpy", "zstandard")}
+    tables = {name: store.version(name) for name in TABLES}
+    local = context.master == "local" or context.master.startswith("local[")
+    problems = [f"{name} is missing" for name, there in found.items() if not there] + ([] if folder or local else ["spark.checkpoint.dir is not set"])
+    return {"spark": store.spark.version, "java": context._jvm.System.getProperty("java.version"), "master": context.master, "shared_folder": folder, "libraries": found, "tables": tables, "problems": problems}
+
+
 if __name__ == "__main__":
     main()

@@ -216,7 +216,7 @@ def scope_state(store: Store, run: int, house: str, parliament: str, session: st
     store.append("census_scopes", store.spark.createDataFrame([(run, house, parliament, session, status)], "run_id long, house string, parliament_number string, session string, status string"))
 
 
-def census_modern(store: Store, url: str, scopes: list[tuple[str, str]], size: int = 100, source: str = "numbered_json") -> dict:
+def census_modern(store: Store, url: str, scopes: list[tuple[str, str]], size: int = 100, source: str = "numbered_json", page_url: str | None = None) -> dict:
     """Questions of (parliament, session) scopes of the modern interface, upserted scope by scope. A scope that fails is marked so
     with its error and the others go on; an interruption marks its scope and ends the run. Returns run, status and errors."""
     run, errors = _next_run(store), {}
@@ -226,9 +226,10 @@ def census_modern(store: Store, url: str, scopes: list[tuple[str, str]], size: i
         mark = lambda status, p=parliament, s=session: scope_state(store, run, "lok_sabha", p, s, status)
         mark("running")
         try:
-            params = json.dumps({"loksabhaNo": parliament, "sessionNumber": session, "locale": "en"})
+            asked = {"loksabhaNo": parliament, "sessionNumber": session, "locale": "en"}
+            params = json.dumps(asked)
             hits = staging.stage(store.spark.read.format(source).option("url", url).option("params", params).option("pagesize", size).load(), "hits")
-            found = payloads.modern_questions(hits, parliament, session)
+            found = payloads.modern_questions(hits, parliament, session, url, asked, size, page_url)
             integrity.require_none(found.where("problem IS NOT NULL").select("position", "problem"), "rows that can't be records")
             integrity.require_none(integrity.duplicates(found, ["record_id"]), "questions that repeat")
             store.upsert("census_records", found.drop("position", "problem").withColumn("acquisition_status", F.lit("discovered")))

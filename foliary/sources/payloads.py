@@ -31,9 +31,10 @@ def session_list(found: DataFrame, ordinal: str, session: str = "session") -> Da
 MODERN_ROW = "struct<quesNo:string,type:string,sessionNo:string,date:string,subjects:string,ministry:string,member:array<string>,questionsFilePath:string>"
 
 
-def modern_questions(items: DataFrame, parliament: str, session: str) -> DataFrame:
+def modern_questions(items: DataFrame, parliament: str, session: str, url: str | None = None, params: dict | None = None, size: int | None = None, page_url: str | None = None) -> DataFrame:
     """Records of the modern interface's rows (position, item: JSON text), rows without a URL too, as evidence; ``problem`` names
-    rows without a number."""
+    rows without a number. Where they came from stays with them: the interface's address, the parameters of the request (with the page that a
+    position from 0 lies on, if ``size`` is given), and the page that shows them to readers."""
     r = F.from_json("item", MODERN_ROW)
     own = lambda c: X.stripped(F.coalesce(F.col(f"r.{c}"), F.lit("")))
     kind = F.upper(X.stripped(F.coalesce(F.nullif(F.col("r.type"), F.lit("")), F.lit("unknown"))))
@@ -42,9 +43,19 @@ def modern_questions(items: DataFrame, parliament: str, session: str) -> DataFra
         "position", F.concat(F.lit(f"ls_l{parliament}_s{session}_q"), own("quesNo"), F.lit("_"), F.lower(kind), F.lit("_en")).alias("record_id"), F.lit("questions_answers").alias("source_type"), F.lit("lok_sabha").alias("house"), F.lit(parliament).alias("parliament_number"),
         F.coalesce(F.nullif(F.col("r.sessionNo"), F.lit("")), F.lit(session)).alias("session"), own("quesNo").alias("document_number"), kind.alias("document_subtype"), X.parse_date(own("date")).alias("document_date"), own("subjects").alias("title"), own("ministry").alias("ministry"),
         members.alias("members"), F.lit("en").alias("language"), own("questionsFilePath").alias("source_url"), F.col("item").alias("raw"), F.when(own("quesNo") == "", "no number").alias("problem"),
+        F.lit(url).cast("string").alias("api_url"), _asked(params, size).alias("api_params"), F.lit(page_url).cast("string").alias("official_page_url"),
     )
 
 
+def _asked(params: dict | None, size: int | None) -> Column:
+    if params is None:
+        return F.lit(None).cast("map<string,string>")
+    pairs = [x for k, v in params.items() for x in (F.lit(str(k)), F.lit(str(v)))]
+    if size:
+        pairs += [F.lit("pageSize"), F.lit(str(size)), F.lit("pageNo"), (F.floor(F.col("position") / size) + 1).cast("string")]
+    return F.create_map(*pairs)
+
+
 def first_session(found: DataFrame, ordinal: str, session: str = "session") -> DataFrame:
     """First session in the interface's own order, rows without one left out."""
     return found.where(F.col(session).isNotNull()).agg(F.min_by(session, ordinal).alias("session"))
@@ -106,9 +117,10 @@ def primary_files(files: DataFrame) -> DataFrame:
 
 def file_problems(bundles: DataFrame) -> DataFrame:
     """Records whose inventory isn't one ORIGINAL bundle of unique files with a PDF among them. Columns record_id, bundle,
-    bitstream_id, name, mime."""
+    bitstream_id, name, mime, and bundle_id if bundles of one name are to be told apart."""
     pdf = F.lower("name").endswith(".pdf") | (F.lower("mime") == "application/pdf")
-    x = bundles.where("bundle = 'ORIGINAL'").groupBy("record_id").agg(F.count("*").alias("n"), F.count_distinct("bitstream_id").alias("ids"), F.count_if(pdf).alias("pdfs"))
+    which = F.col("bundle_id") if "bundle_id" in bundles.columns else F.col("bundle")
+    x = bundles.where("bundle = 'ORIGINAL'").groupBy("record_id").agg(F.count_distinct(which).alias("bundles"), F.count("*").alias("n"), F.count_distinct("bitstream_id").alias("ids"), F.count_if(pdf).alias("pdfs"))
     all_ids = bundles.select("record_id").distinct().join(x, "record_id", "left")
-    problem = F.when(F.col("n").isNull(), "no original bundle").when(F.col("n") != F.col("ids"), "repeated file id").when(F.col("pdfs") == 0, "no pdf")
+    problem = F.when(F.col("n").isNull(), "no original bundle").when(F.col("bundles") > 1, "several original bundles").when(F.col("n") != F.col("ids"), "repeated file id").when(F.col("pdfs") == 0, "no pdf")
     return all_ids.select("record_id", problem.alias("problem")).where("problem IS NOT NULL")

@@ -84,6 +84,21 @@ def inventory_digest(rows: list[tuple[str, int, str]]) -> str:
     return hashlib.sha256("".join(f"{p}\0{n}\0{h}\n" for p, n, h in sorted(rows)).encode()).hexdigest()
 
 
+def settings(text: str) -> dict[str, str]:
+    """NAME=value lines of a settings file; blank lines and comments don't count, quotes around a value go."""
+    lines = (x.strip() for x in text.splitlines())
+    pairs = (x.split("=", 1) for x in lines if x and not x.startswith("#") and "=" in x)
+    return {k.strip(): v.strip().strip('"').strip("'") for k, v in pairs if k.strip()}
+
+
+def fill(environment: dict[str, str], text: str) -> None:
+    """Settings that the environment doesn't have yet; the first of a repeated name counts."""
+    lines = [x for x in text.splitlines() if x.strip()]
+    for line in lines:
+        for name, value in settings(line).items():
+            environment.setdefault(name, value)
+
+
 @dataclass(frozen=True)
 class Config:
     """Settings by section; unknown keys are an error, but in ``routing`` they are left out."""

@@ -366,3 +366,54 @@ def test_what_is_written_grows_with_what_is_new(spark, tmp_path):
         sizes.append(size())
     steps = [b - a for a, b in zip(sizes, sizes[1:], strict=False)]
     assert store.read("documents").count() == 600 and max(steps) < 2 * min(steps)
+
+
+class _Echo:
+    def complete(self, model, prompt):
+        return {"text": f"{model} read {prompt}", "total_tokens": 2}
+
+
+echo = _Echo()
+
+
+def test_commands_for_models_archives_and_the_installation(spark, tmp_path, monkeypatch):
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    root = str(tmp_path / "s")
+    store = Store(spark, root)
+    store.append("runs", spark.createDataFrame([(1, "d", "complete")], "id long, document_sha256 string, status string"))
+    store.append("pages", spark.createDataFrame([(1, i, "ocr", "review", f"page {i}") for i in range(3)], "run_id long, page_number int, route string, validation_status string, markdown string"))
+    run = lambda *a: cli.main(["--store", root, *a], spark)
+    command = ["adjudicate", "--client", f"{__name__}:echo", "--models", "m, n", "--limit-pages", "2"]
+    assert run(*command) == {"completed": 2, "failed": 0, "stored": 0, "repeated": 0, "over_budget": 0}
+    assert run(*command)["completed"] == 1 and run(*command)["completed"] == 0
+    assert {r.text for r in store.read("adjudications").collect()} == {f"m read page {i}" for i in range(3)}
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.pdf").write_bytes(b"a")
+    assert run("archive-save", str(tmp_path / "kept"), str(tmp_path / "raw"))["files"] == 1
+    assert run("archive-restore", str(tmp_path / "kept"), str(tmp_path / "back"))["restored"] and (tmp_path / "back" / "a.pdf").read_bytes() == b"a"
+    found = run("doctor")
+    assert found["problems"] == [] and found["tables"]["pages"] == 1 and found["spark"] == spark.version
+
+
+def test_settings_fill_what_is_missing():
+    from foliary.sources import snapshots
+
+    have = {"A": "kept"}
+    snapshots.fill(have, "# c\n\nA=1\nB = 'two' \nC=\"x=y\"\nB=3\nnothing\n=5\n")
+    assert have == {"A": "kept", "B": "two", "C": "x=y"}
+
+
+def test_several_original_bundles_are_a_problem(spark):
+    from foliary.sources import payloads
+
+    rows = [("a", "ORIGINAL", "1", "f1", "x.pdf", None), ("a", "ORIGINAL", "2", "f2", "y.pdf", None), ("b", "ORIGINAL", "3", "f3", "x.pdf", None), ("b", "TEXT", "4", "f4", "x.txt", None)]
+    frame = spark.createDataFrame(rows, "record_id string, bundle string, bundle_id string, bitstream_id string, name string, mime string")
+    assert [tuple(r) for r in payloads.file_problems(frame).collect()] == [("a", "several original bundles")]
+    assert payloads.file_problems(frame.drop("bundle_id")).count() == 0
+    items = spark.createDataFrame([(0, '{"quesNo": "1"}'), (150, '{"quesNo": "2"}')], "position long, item string")
+    got = payloads.modern_questions(items, "18", "5", "https://x.test/api", {"loksabhaNo": "18"}, 100, "https://x.test/list").orderBy("position").collect()
+    assert [r.api_params["pageNo"] for r in got] == ["1", "2"] and got[0].api_url == "https://x.test/api" and got[0].official_page_url == "https://x.test/list" and got[0].api_params["loksabhaNo"] == "18"

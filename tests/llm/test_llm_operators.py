@@ -273,6 +273,27 @@ def test_ball_tree_equals_brute_force(spark):
     assert ball_tree.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_ball_tree_asks_few_balls_on_clusters_and_splits_copies(spark):
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(40, 16)) * 4
+    base = middles[rng.integers(0, 40, 3000)] + rng.normal(size=(3000, 16)) * 0.2
+    base[1000:2000] = base[1000]  # a third of all rows are copies
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(base)], "vec_id long, embedding array<double>")
+    v = np.floor(base * 256).astype(np.int64)
+    want = []
+    for q in range(0, 3000, 50):
+        order = sorted((-int(s), i) for i, s in enumerate(v @ v[q]) if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(order)]
+    for near in (1, 4):
+        sent = []
+        got = ball_tree.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=60, near=near, sent=sent)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+        assert sum(x.count() for x in sent) < 60 * 50 / 4  # queries times shards of 60 rows
+    even = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.random((600, 16)))], "vec_id long, embedding array<double>")
+    by_one = ball_tree.top_k(even, F.col("vec_id") % 20 == 0)
+    assert sorted(map(tuple, ball_tree.top_k(even, F.col("vec_id") % 20 == 0, shard_rows=40).collect())) == sorted(map(tuple, by_one.collect()))
+
+
 def brute_classes(texts, threshold=0.8):
     import pyarrow as pa
 

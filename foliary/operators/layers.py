@@ -11,7 +11,7 @@ from foliary.operators.staging import stage
 
 #: Files that make a published tranche complete.
 TRANCHE = ("documents.parquet", "pages.parquet", "manifest.jsonl", "SHA256SUMS")
-MANIFEST = "shard long, first long, last long, n_rows long, digest string, layer string"
+MANIFEST = "shard long, first long, last long, n_rows long, digest string, layer string, origins string"
 
 
 def page_key(document: Column, page: Column) -> Column:
@@ -36,11 +36,19 @@ def with_shards(rows: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("shard", integrity.chunk(F.col("position"), size))
 
 
-def digests(rows: DataFrame, layer: str) -> DataFrame:
-    """A manifest row per shard: first and last position, rows, and a digest over the rows' JSON in order of position."""
+def origin_counts(origin: str) -> Column:
+    """``name:count`` of each origin of a shard's rows, by name and parted by commas; null origins don't count."""
+    all_ = F.collect_list(origin)
+    names = F.array_sort(F.array_distinct(all_))
+    return F.array_join(F.transform(names, lambda x: F.concat(x, F.lit(":"), F.size(F.filter(all_, lambda y: y == x)).cast("string"))), ",")
+
+
+def digests(rows: DataFrame, layer: str, origin: str | None = None) -> DataFrame:
+    """A manifest row per shard: first and last position, rows, a digest over the rows' JSON in order of position, and how many rows
+    come from each value of the column ``origin``, if there is one."""
     line = F.struct("position", F.sha2(F.to_json(F.struct(*(F.col(c) for c in sorted(rows.columns) if c != "shard"))), 256).alias("h"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["h"]), "\n")
-    return rows.groupBy("shard").agg(F.min("position").alias("first"), F.max("position").alias("last"), F.count("*").alias("n_rows"), F.sha2(joined, 256).alias("digest")).withColumn("layer", F.lit(layer))
+    return rows.groupBy("shard").agg(F.min("position").alias("first"), F.max("position").alias("last"), F.count("*").alias("n_rows"), F.sha2(joined, 256).alias("digest"), (origin_counts(origin) if origin else F.lit(None).cast("string")).alias("origins")).select("shard", "first", "last", "n_rows", "digest", F.lit(layer).alias("layer"), "origins")
 
 
 def manifest_problems(manifest: DataFrame, size: int, total: int) -> DataFrame:
@@ -55,10 +63,11 @@ def manifest_problems(manifest: DataFrame, size: int, total: int) -> DataFrame:
 
 
 class Layer:
-    """A folder with shards (rows) and manifest. Rows are added in order of position; a shard is there once its manifest row is."""
+    """A folder with shards (rows) and manifest. Rows are added in order of position; a shard is there once its manifest row is.
+    ``origin``: a column of the layer whose values are counted per shard; a manifest row without counts is not held to them."""
 
-    def __init__(self, spark, path: str, name: str, schema: str, size: int = 100) -> None:
-        self.spark, self.path, self.name, self.size = spark, path.rstrip("/"), name, size
+    def __init__(self, spark, path: str, name: str, schema: str, size: int = 100, origin: str | None = None) -> None:
+        self.spark, self.path, self.name, self.size, self.origin = spark, path.rstrip("/"), name, size, origin
         self.schema = f"position long, key string, {schema}, shard long"
 
     def _read(self, what: str, schema: str) -> DataFrame:
@@ -84,7 +93,7 @@ class Layer:
         here = self.manifest().select("shard")
         new = with_shards(rows.select(*(c.split()[0] for c in self.schema.split(", ")[:-1])), self.size).join(here, "shard", "left_anti")
         new = stage(new, "layer-rows")
-        found = digests(new, self.name)
+        found = digests(new, self.name, self.origin)
         full = F.least((F.col("shard") + 1) * self.size, F.lit(total)) - F.col("shard") * self.size
         found = stage(found.where(F.col("n_rows") == full), "layer-digests")
         integrity.require_none(manifest_problems(self.manifest().unionByName(found), self.size, total), "shards that don't follow each other")
@@ -94,7 +103,7 @@ class Layer:
             return 0
         target = f"shards/{low}"
         kept.repartition("shard").sortWithinPartitions("position").write.mode("overwrite").option("compression", "gzip").json(f"{self.path}/{target}")
-        back = digests(self.spark.read.schema(self.schema).json(f"{self.path}/{target}"), self.name)
+        back = digests(self.spark.read.schema(self.schema).json(f"{self.path}/{target}"), self.name, self.origin)
         integrity.require_none(found.exceptAll(back).unionByName(back.exceptAll(found)), "shards that read back differently")
         found.write.mode("append").parquet(f"{self.path}/manifest")
         return found.count()
@@ -107,13 +116,25 @@ class Layer:
         folders = f"{self.path}/shards/*"
         rows = self.spark.read.schema(self.schema).option("mode", "FAILFAST").json(folders).join(manifest.select("shard"), "shard", "left_semi")
         rows = stage(rows.select(*(c.split()[0] for c in self.schema.split(", "))), "layer")
-        found = digests(rows, self.name)
+        found = digests(rows, self.name, self.origin)
         integrity.require_none(found.select("shard", "n_rows", "digest").exceptAll(manifest.select("shard", "n_rows", "digest")), "shards that differ from their manifest")
+        if self.origin:
+            said = manifest.where("origins IS NOT NULL").select("shard", F.col("origins").alias("said"))
+            integrity.require_none(said.join(found, "shard").where(F.col("said") != F.col("origins")).select("shard", "said", "origins"), "shards with other origins than their manifest says")
         wrong = inventory.select("position", F.col("key").alias("wanted")).join(rows.select("position", "key"), "position", "full").where(~F.col("wanted").eqNullSafe(F.col("key")))
         integrity.require_none(wrong, "rows that are missing, or that the inventory doesn't have")
         return rows
 
 
+def layer_root(files: DataFrame, prefix: str) -> str:
+    """The one root under ``prefix`` that holds shard manifests (part-*.json) in a listing (path); none or several are an error."""
+    root = F.regexp_extract("path", r"^(.*)/part-[^/]*\.json$", 1).alias("root")
+    roots = files.where(F.col("path").startswith(prefix)).select(root).where("root <> ''").distinct().orderBy("root").limit(6).collect()
+    if len(roots) != 1:
+        raise ValueError(f"one layer under {prefix} expected, found {[r.root for r in roots]}")
+    return roots[0].root
+
+
 def same_inventory(a: dict[str, Column], b: dict[str, Column]) -> Column:
     """Whether two sources (three fields each: inventory digest, revision, pages) are the same and well-formed."""
     fields = ("inventory_sha256", "revision", "pages")

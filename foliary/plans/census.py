@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliary.functions import rules
-from foliary.operators import integrity, sampling, versions
+from foliary.operators import attachments, integrity, sampling, versions
 from foliary.plans.catalog import query
 from foliary.plans.frames import RECORDS, attempts, records, runs, t
 
@@ -266,6 +266,27 @@ def attachment_reselection(spark, sf):
     return best.select("document", "x.position", "x.file", "x.hint", (F.col("x.position") != F.col("first_position")).alias("changed"))
 
 
+# lines are a record's files; their names say a language or none, and the choice so far is the file at one of five places, or none
+_FILES = """f AS (SELECT l_orderkey AS record, l_linenumber AS position, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS file,
+ CASE WHEN l_suppkey % 5 = 0 THEN 'en' WHEN l_suppkey % 5 < 3 THEN 'hi' ELSE 'und' END AS hint FROM lineitem),
+r AS (SELECT o_orderkey AS record, CAST(o_orderkey AS VARCHAR) || '-' || CAST(1 + o_custkey % 5 AS VARCHAR) AS selected FROM orders)"""
+
+
+@query(f"""WITH {_FILES}, c AS (SELECT *, row_number() OVER (PARTITION BY record ORDER BY CASE hint WHEN 'en' THEN 0 WHEN 'und' THEN 1 ELSE 2 END, position) AS k FROM f),
+s AS (SELECT *, row_number() OVER (PARTITION BY record, file ORDER BY position, hint) AS k FROM f)
+SELECT r.record, r.selected, c.file AS candidate, CASE WHEN c.file IS NULL THEN 'no ledger' WHEN s.file IS NULL THEN 'absent' WHEN c.file = r.selected THEN 'kept'
+ WHEN c.hint = 'en' OR s.hint = 'hi' THEN 'changed' ELSE 'ambiguous' END AS outcome
+FROM r LEFT JOIN c ON c.record = r.record AND c.k = 1 LEFT JOIN s ON s.record = r.record AND s.file = r.selected AND s.k = 1""")
+def primary_reselection(spark, sf):
+    """Every record's primary file chosen anew; ambiguous names leave the choice as it was."""
+    o, l = t(spark, sf, "orders"), t(spark, sf, "lineitem")  # noqa: E741
+    text = lambda c: F.col(c).cast("string")
+    chosen = o.select(text("o_orderkey").alias("record_id"), F.concat(text("o_orderkey"), F.lit("-"), (1 + F.col("o_custkey") % 5).cast("string")).alias("document_sha256"))
+    name = F.when(F.col("l_suppkey") % 5 == 0, "answer_English.pdf").when(F.col("l_suppkey") % 5 < 3, "answer-hin.pdf").otherwise("answer.pdf")
+    files = l.select(text("l_orderkey").alias("record_id"), F.col("l_linenumber").alias("position"), name.alias("name"), F.concat(text("l_orderkey"), F.lit("-"), text("l_linenumber")).alias("document_sha256"))
+    return attachments.reselection(chosen, files).select(F.col("record_id").cast("long").alias("record"), "selected", "candidate", "outcome")
+
+
 @query("SELECT count(*) AS n_rows, count(DISTINCT conv_id * 1000 + turn) AS n_keys, count(*) = count(DISTINCT conv_id * 1000 + turn) AS proven FROM conversations")
 def unique_count_proof(spark, sf):
     return integrity.unique_count(t(spark, sf, "conversations"), ["conv_id", "turn"])

@@ -126,7 +126,20 @@ def layer_resume(spark, sf):
 @query(f"SELECT position // 100 AS shard, min(position) AS first, max(position) AS last, count(*) AS n_rows, 'chars' AS layer FROM {_POSITIONS} GROUP BY 1, 5")
 def shard_verify(spark, sf):
     """The manifest that the layer's readers hold its shards against."""
-    return _layer(spark, sf)[0].manifest().drop("digest")
+    return _layer(spark, sf)[0].manifest().drop("digest", "origins")
+
+
+@query("""WITH p AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, lang, source FROM documents),
+c AS (SELECT position // 100 AS shard, lang AS origin, count(*) AS n FROM p GROUP BY 1, 2)
+SELECT shard, string_agg(origin || ':' || CAST(n AS VARCHAR), ',' ORDER BY origin) AS origins, CAST(sum(n) AS BIGINT) AS n_rows FROM c GROUP BY 1""")
+def layer_origins(spark, sf):
+    """A layer of all documents whose rows name their language as origin, read back and held against its manifest; the counts of origins
+    are those of the rows read."""
+    d = t(spark, sf, "documents").select("doc_id", F.col("doc_id").cast("string").alias("key"), F.col("lang").alias("origin"))
+    inventory = staging.stage(integrity.positions(d, ["doc_id"]), "inventory")
+    layer = layers.Layer(spark, new_path(spark, "layer"), "origins", "origin string", origin="origin")
+    layer.add(inventory, inventory.count())
+    return layers.digests(layer.read(inventory), "origins", "origin").select("shard", "origins", "n_rows")
 
 
 @query("""SELECT source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, CAST(octet_length(encode(text)) AS BIGINT) AS size, sha256(text) AS hash, CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END AS generation, 'kept' AS state FROM documents""")

@@ -141,6 +141,23 @@ def flag_histogram(spark, sf):
     return p.select(F.explode(found).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
 
 
+# candidate texts beside their references: a sign, a table of uneven width or a changed number in some; every fifth reference is blank
+_CANDIDATE = f"CASE WHEN doc_id < 0 THEN text WHEN doc_id % 6 = 1 THEN {_FOOTED} || chr(65533) WHEN doc_id % 6 = 2 THEN '| a | b |' || chr(10) || '|---|---|' || chr(10) || '| x | y | z |' || chr(10) || {_FOOTED} WHEN doc_id % 6 = 3 THEN replace({_FOOTED}, '.5', '5') ELSE {_FOOTED} END"
+
+
+@query(f"""SELECT doc_id, array_to_string(list_filter([CASE WHEN {_strip('p')} = '' THEN 'empty-text' END, CASE WHEN p LIKE '%' || chr(65533) || '%' THEN 'replacement-characters' END,
+ CASE WHEN len(list_distinct({_widths('p')})) > 1 THEN 'inconsistent-table-width' END,
+ CASE WHEN {_strip('r')} <> '' AND list_sort({_nums(_seen(_content('p')))}) <> list_sort({_nums(_seen(_content('r')))}) THEN 'candidate-numeric-disagreement' END], lambda x: x IS NOT NULL), ',') AS flags
+FROM (SELECT doc_id, {_CANDIDATE} AS p, CASE WHEN doc_id % 5 = 0 THEN ' ' ELSE {_FOOTED} END AS r FROM {_PAGES})""")
+def candidate_flags(spark, sf):
+    """Flags of every candidate text against its reference; blank texts are planted as further rows."""
+    i, own = F.col("doc_id"), _footed()
+    table = F.concat(F.lit("| a | b |\n|---|---|\n| x | y | z |\n"), own)
+    changed = F.when(i < 0, F.col("text")).when(i % 6 == 1, F.concat(own, F.lit("\ufffd"))).when(i % 6 == 2, table).when(i % 6 == 3, F.replace(own, F.lit(".5"), F.lit("5"))).otherwise(own)
+    x = _pages(spark, sf).select("doc_id", changed.alias("p"), F.when(i % 5 == 0, " ").otherwise(own).alias("r"))
+    return x.select("doc_id", F.array_join(rules.candidate_flags(F.col("p"), F.col("r")), ",").alias("flags"))
+
+
 def _gold(tokens: str, numbered: bool = False) -> str:
     own = "text || ' ' || CAST({i} % 40 AS VARCHAR) || ',5.' || CAST({i} % 3 AS VARCHAR) || ' 7'" if numbered else "text"
     d, b = (f"(SELECT {i} AS id, w AS token, count(*) AS n FROM (SELECT {i}, unnest({tokens.format(own.format(i=i))}) AS w FROM {tab}) GROUP BY 1, 2)" for i, tab in (("doc_id", "documents"), ("item_id", "benchmark")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import subprocess
 import tarfile
 import tempfile
 import time
@@ -146,6 +147,28 @@ def archive_members(spark: SparkSession, path: str, most_bytes: int = 1 << 30) -
     return files.listing(spark, path).select("path").mapInPandas(run, "archive string, name string, size long, content binary")
 
 
+def rendered(content: bytes, suffix: str, command: Callable[[str, str], list[str]], seconds: float = 180) -> bytes:
+    """The one image (png or jpg) that an external tool makes of a file. ``command`` gives its words from the paths of input and output
+    folder. A tool that takes longer than ``seconds`` is ended; that, a failure, and no or several images are errors."""
+
+    def use(path: str) -> bytes:
+        out = os.path.join(os.path.dirname(path), "images")
+        os.mkdir(out)
+        try:
+            done = subprocess.run(command(path, out), capture_output=True, text=True, timeout=seconds, check=False)
+        except subprocess.TimeoutExpired as error:
+            raise RuntimeError(f"rendering took more than {seconds} s") from error
+        if done.returncode:
+            raise RuntimeError(f"rendering failed: {done.stderr.strip()[-500:]}")
+        images = [x for x in sorted(os.listdir(out)) if x.endswith((".png", ".jpg"))]
+        if len(images) != 1:
+            raise RuntimeError(f"{len(images)} images instead of one")
+        with open(os.path.join(out, images[0]), "rb") as f:
+            return f.read()
+
+    return with_file(content, suffix, use)
+
+
 def with_file(content: bytes, suffix: str, use: Callable[[str], object]):
     """``use`` on a temporary file in the worker's own folder; for tools that read paths, gone afterwards."""
     with tempfile.TemporaryDirectory() as folder:

@@ -243,5 +243,13 @@ def table_rows(t: Column) -> Column:
     second = lambda c: F.lower(F.coalesce(F.get(c, F.lit(1)), F.lit("")))
     kept = F.filter(cells, lambda c: key(c).rlike(r"\A\p{Nd}+\z") | key(c).contains("total") | ((key(c) == "") & second(c).contains("total")))
     named = F.transform(kept, lambda c: F.struct(F.when(key(c) == "", "total").otherwise(key(c)).alias("key"), c.alias("cells")))
-    last = F.filter(named, lambda x, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda y: y["key"] == x["key"]))
-    return F.map_from_entries(last)
+    return _let(named, lambda rows: F.map_from_entries(F.filter(rows, lambda x, i: ~F.exists(F.slice(rows, i + 2, F.size(rows)), lambda y: y["key"] == x["key"]))))
+
+
+def table_cells(reference: Column, candidate: Column) -> Column:
+    """(exact, expected) of a table's rows against those of a reference (entries of their map): cells that agree but for case, and all
+    cells of the reference. Each table is parsed once."""
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    cells = _let(candidate, lambda c: F.flatten(F.transform(reference, lambda r: F.zip_with(r["value"], F.coalesce(F.try_element_at(c, r["key"]), F.array().cast("array<string>")), pair))))
+    same = lambda xs: F.size(F.filter(xs, lambda x: F.lower(x["a"]).eqNullSafe(F.lower(x["b"])))).cast("long")
+    return _let(cells, lambda xs: F.struct(same(xs).alias("exact"), F.size(F.filter(xs, lambda x: x["a"].isNotNull())).cast("long").alias("expected")))

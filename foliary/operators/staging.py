@@ -23,6 +23,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str, rows: int = 0, rows_per_task: int = 4_000_000) -> DataFrame:
+    """Rows dealt by ``keys`` over as many tasks as shuffles have, or as hold ``rows`` by so many. The number is given, so that few bytes
+    don't become few tasks: adaptive execution merges partitions by their bytes, whatever work or memory their rows ask for."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-rows // rows_per_task)), *keys)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)

@@ -24,3 +24,15 @@ def compare(spark, folder, name, **tables):
 def test_attachments_that_are_lost_and_lead_elsewhere(spark, tmp_path):
     rows = compare(spark, tmp_path, "publication_violations", documents=([(i, f"text {i}") for i in (1, 5, 13, 1751, 9414)], "doc_id long, text string"))
     assert sum("r1751" in str(r) for r in rows) == 2
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tables_are_parsed_once(spark, tmp_path):
+    part = ([(i, i % 2) for i in range(9)], "p_partkey long, p_size int")
+    rows = compare(spark, tmp_path, "table_score", part=part)
+    assert len(rows) == 9
+    found = registry.queries()["table_score"](spark, str(tmp_path))
+    assert plan(found).count("RLIKE") == 2 and found.rdd.getNumPartitions() == 4

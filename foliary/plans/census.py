@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliary.functions import rules
-from foliary.operators import attachments, integrity, sampling, versions
+from foliary.operators import attachments, integrity, sampling, staging, versions
 from foliary.plans.catalog import query
 from foliary.plans.frames import RECORDS, attempts, records, runs, t
 
@@ -186,8 +186,12 @@ def file_set_compare(spark, sf):
 @query("""SELECT o_orderkey AS id, 'removed' AS state FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
 UNION ALL SELECT DISTINCT l_orderkey, 'new' FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""")
 def new_removed_ids(spark, sf):
+    """Both sides are counted per id in one pass; a removed id comes as often as the old side has it, a new one once."""
     old, new = t(spark, sf, "orders").select(F.col("o_orderkey").alias("id")), t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"))
-    return old.join(new, "id", "left_anti").withColumn("state", F.lit("removed")).unionByName(new.join(old, "id", "left_anti").distinct().withColumn("state", F.lit("new")))
+    both = old.withColumn("old", F.lit(True)).unionByName(new.withColumn("old", F.lit(False)))
+    sides = staging.spread(both, "id", rows=both.count()).groupBy("id").agg(F.count_if("old").cast("int").alias("n_old"), F.count_if(~F.col("old")).alias("n_new"))
+    times = F.when(F.col("n_new") == 0, F.array_repeat(F.lit("removed"), F.col("n_old"))).when(F.col("n_old") == 0, F.array(F.lit("new")))
+    return sides.select("id", F.explode(times).alias("state"))
 
 
 @query("""SELECT document, source, status FROM (SELECT o_orderkey AS document, 'base' AS source, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'P'

@@ -36,3 +36,10 @@ def test_tables_are_parsed_once(spark, tmp_path):
     assert len(rows) == 9
     found = registry.queries()["table_score"](spark, str(tmp_path))
     assert plan(found).count("RLIKE") == 2 and found.rdd.getNumPartitions() == 4
+
+
+def test_new_and_removed_ids_in_one_pass(spark, tmp_path):
+    rows = compare(spark, tmp_path, "new_removed_ids", orders=([(1,), (2,), (2,), (3,)], "o_orderkey long"), lineitem=([(3,), (3,), (4,), (4,)], "l_orderkey long"))
+    assert len(rows) == 4
+    found = registry.queries()["new_removed_ids"](spark, str(tmp_path))
+    assert "Join" not in plan(found) and found.rdd.getNumPartitions() == 4

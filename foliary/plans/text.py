@@ -168,15 +168,19 @@ SELECT doc_id, item_id, CAST(common AS BIGINT) AS common, CAST(ds.total AS BIGIN
 
 def _gold_plan(spark, sf, tokens, numbered=False):
     """Token-count tables joined on the token; that of the gold texts is broadcast if it is small, so that no task gathers a common
-    word's documents. Numbers are planted by rule, as the gold texts have none."""
+    word's documents. Texts are dealt by document once: their tokens, the pairs with gold texts and the sums stay in that task.
+    Numbers are planted by rule, as the gold texts have none."""
     own = lambda i: F.concat(F.col("text"), F.lit(" "), (F.col(i) % 40).cast("string"), F.lit(",5."), (F.col(i) % 3).cast("string"), F.lit(" 7")) if numbered else F.col("text")
-    d = multisets.counted(t(spark, sf, "documents"), ["doc_id"], tokens(own("doc_id")))
+    documents = t(spark, sf, "documents").where("doc_id IS NOT NULL").select("doc_id", "text")
+    texts = staging.spread(documents, "doc_id", rows=documents.count(), rows_per_task=2_500).groupBy("doc_id").agg(F.collect_list(own("doc_id")).alias("texts"))
+    words = texts.select("doc_id", F.flatten(F.transform("texts", tokens)).alias("words")).select("doc_id", F.size("words").cast("long").alias("found"), F.explode_outer("words").alias("token"))  # a filter for empty arrays would tokenise again
+    d = words.where("token IS NOT NULL").groupBy("doc_id", "found", "token").agg(F.count("*").alias("n_left"))
     b = multisets.counted(t(spark, sf, "benchmark"), ["item_id"], tokens(own("item_id")))
     b = staging.stage(b, "gold-tokens")
     few = F.broadcast(b) if b.count() <= 500_000 else b
-    totals = lambda x, k, name: x.groupBy(k).agg(F.sum("n").alias(name))
-    common = d.withColumnRenamed("n", "n_left").join(few.withColumnRenamed("n", "n_right"), "token").groupBy("doc_id", "item_id").agg(F.sum(F.least("n_left", "n_right")).alias("common"))
-    return common.join(totals(b, "item_id", "expected"), "item_id").where(F.col("common") * 2 >= F.col("expected")).join(totals(d, "doc_id", "found"), "doc_id").select("doc_id", "item_id", "common", "found", "expected")
+    common = d.join(few.withColumnRenamed("n", "n_right"), "token").groupBy("doc_id", "found", "item_id").agg(F.sum(F.least("n_left", "n_right")).alias("common"))
+    expected = b.groupBy("item_id").agg(F.sum("n").alias("expected"))
+    return common.join(F.broadcast(expected) if few is not b else expected, "item_id").where(F.col("common") * 2 >= F.col("expected")).select("doc_id", "item_id", "common", "found", "expected")
 
 
 @query(_gold(_words("{}").replace("{", "{{").replace("}", "}}").replace("{{}}", "{0}")))

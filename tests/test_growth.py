@@ -43,3 +43,11 @@ def test_new_and_removed_ids_in_one_pass(spark, tmp_path):
     assert len(rows) == 4
     found = registry.queries()["new_removed_ids"](spark, str(tmp_path))
     assert "Join" not in plan(found) and found.rdd.getNumPartitions() == 4
+
+
+def test_texts_are_dealt_once_for_gold_texts(spark, tmp_path):
+    texts = [(1, "the act, the house"), (1, "the 7 acts"), (2, ""), (3, None), (None, "the act"), (4, "house act the the")]
+    rows = compare(spark, tmp_path, "gold_word_f1", documents=(texts, "doc_id long, text string"), benchmark=([(1, "the act"), (2, "the the house")], "item_id long, text string"))
+    assert len(rows) == 4
+    found = registry.queries()["gold_word_f1"](spark, str(tmp_path))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(doc_id") == 1

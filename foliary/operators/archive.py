@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary.operators.integrity import compare_files, duplicates, require_none
-from foliary.operators.staging import stage
+from foliary.operators.staging import spread, stage
 from foliary.sources import files
 
 INDEX = "path string, size long, hash string, pack string, pack_size long"
@@ -196,7 +196,7 @@ class RawArchive:
             return self.spark.read.schema(INDEX).parquet(f"{self.root}/generations/{n}-{manifest['index']}") if manifest["files"] else self.spark.createDataFrame([], INDEX)
         packs = self.spark.createDataFrame([(p["path"], p["size"], p["hash"]) for p in manifest["packs"]], "pack string, pack_size long, pack_hash string")
         self._require_packs(packs)
-        members = self.spark.createDataFrame(packs.select("pack").collect(), "pack string").repartition("pack").mapInPandas(_members(self.root, None), "path string, size long, hash string, pack string")
+        members = spread(self.spark.createDataFrame(packs.select("pack").collect(), "pack string"), "pack").mapInPandas(_members(self.root, None), "path string, size long, hash string, pack string")
         found = stage(members.join(packs.select("pack", "pack_size"), "pack").select("path", "size", "hash", "pack", "pack_size"), "old-index")
         if manifest["version"] == 2 and inventory(found)["inventory"] != manifest["inventory"]:
             raise ValueError(f"generation {n}: members don't give the manifest's inventory")
@@ -237,7 +237,7 @@ class RawArchive:
 
     def members(self) -> DataFrame:
         """path, size, hash, pack as the packs' bytes give them."""
-        return self.index().select("pack").distinct().repartition("pack").mapInPandas(_members(self.root, None), "path string, size long, hash string, pack string")
+        return spread(self.index().select("pack").distinct(), "pack").mapInPandas(_members(self.root, None), "path string, size long, hash string, pack string")
 
     def violations(self) -> DataFrame:
         """Files whose bytes in the packs aren't what the index says."""
@@ -253,7 +253,7 @@ class RawArchive:
         self._require_packs(self.packs())
         if prior[-1]["version"] > 1 and (inventory(index)["inventory"] != prior[-1]["inventory"]):
             raise ValueError("the chain of indexes doesn't give the newest inventory")
-        written = index.select("pack").distinct().repartition("pack").mapInPandas(_members(self.root, target.rstrip("/")), "path string, size long, hash string, pack string")
+        written = spread(index.select("pack").distinct(), "pack").mapInPandas(_members(self.root, target.rstrip("/")), "path string, size long, hash string, pack string")
         require_none(compare_files(index, stage(written, "written")).where("state <> 'same'"), "members that the index doesn't have so")
         require_none(compare_files(index, folder(self.spark, target)).where("state NOT IN ('same', 'unexpected')"), "restored files that differ from the index")
         return {"restored": True, "generations": len(prior), **inventory(index)}

@@ -125,7 +125,8 @@ def two_pass(files: DataFrame, extractor: PageExtractor, reasons: Callable[[Data
 
 def archive_members(spark: SparkSession, path: str, most_bytes: int = 1 << 30) -> DataFrame:
     """Members of tar archives (plain, gzip or zstd): archive, name, size, content. Archives of any size are read as streams, a
-    member at a time; a member above ``most_bytes`` is an error before it is read."""
+    member at a time, and given on by the megabyte; a member above ``most_bytes`` is an error before it is read."""
+    columns = ["archive", "name", "size", "content"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -137,12 +138,18 @@ def archive_members(spark: SparkSession, path: str, most_bytes: int = 1 << 30) -
 
                         data = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True)
                     with tarfile.open(fileobj=data, mode="r|gz" if name.endswith("gz") else "r|") as tar:
+                        rows, held = [], 0
                         for member in tar:
                             if not member.isfile():
                                 continue
                             if member.size > most_bytes:
                                 raise ValueError(f"{name}: {member.name} has {member.size} bytes")
-                            yield pd.DataFrame({"archive": [name], "name": [member.name], "size": [member.size], "content": [tar.extractfile(member).read()]})
+                            rows.append((name, member.name, member.size, tar.extractfile(member).read()))
+                            held += member.size
+                            if held >= files.BLOCK or len(rows) == 1000:
+                                yield pd.DataFrame(rows, columns=columns)
+                                rows, held = [], 0
+                        yield pd.DataFrame(rows, columns=columns)
 
     return files.listing(spark, path).select("path").mapInPandas(run, "archive string, name string, size long, content binary")
 

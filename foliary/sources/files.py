@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliary.operators.staging import spread
+
 BLOCK = 1 << 20
 
 
@@ -72,7 +74,8 @@ class Writing:
 def listing(spark: SparkSession, path: str) -> DataFrame:
     """path, size of every file under a folder, empty and hidden ones too, but for the side files that Hadoop's local file system
     keeps (``.name.crc``); contents are not read. The folder's own entries are listed
-    here, what lies below each of its folders by the tasks. A single file is listed too."""
+    here, what lies below each of its folders by the tasks. The files are dealt over as many tasks as shuffles have, as whoever reads them
+    has more to do than these rows say. A single file is listed too."""
     system, at = _target(path)
     root = "" if system is None else f"{urllib.parse.urlsplit(path).scheme}://"
     at = at.rstrip("/") or "/"
@@ -94,7 +97,8 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["path", "size"])
 
     entries = spark.createDataFrame(top, "entry string, folder boolean")
-    return entries.repartition("entry").mapInPandas(walk, "path string, size long").repartition("path")
+    found = entries.repartition("entry").mapInPandas(walk, "path string, size long")
+    return spread(found, "path")
 
 
 def _is_folder(system, at: str) -> bool:

@@ -1,8 +1,12 @@
 """Queries on rows that the small tables don't hold, and the work that their plans leave out."""
 
+import io
+import tarfile
+
 import duckdb
 
 from foliary import registry
+from foliary.sources import documents, files
 
 from test_queries import normal
 
@@ -51,3 +55,18 @@ def test_texts_are_dealt_once_for_gold_texts(spark, tmp_path):
     assert len(rows) == 4
     found = registry.queries()["gold_word_f1"](spark, str(tmp_path))
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(doc_id") == 1
+
+
+def test_archives_are_read_by_as_many_tasks_as_shuffles_have(spark, tmp_path):
+    names = {}
+    for k in range(6):
+        with tarfile.open(tmp_path / f"{k}.tar", "w") as tar:
+            for i in range(1100 if k == 0 else 2):
+                info = tarfile.TarInfo(f"{k}-{i}")
+                names[info.name] = content = b"x" * (i % 7)
+                info.size = len(content)
+                tar.addfile(info, io.BytesIO(content))
+    assert files.listing(spark, str(tmp_path)).rdd.getNumPartitions() == 4
+    found = documents.archive_members(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 4
+    assert {r.name: bytes(r.content) for r in found.collect()} == names and found.count() == len(names)

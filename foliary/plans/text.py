@@ -197,10 +197,15 @@ def gold_number_f1(spark, sf):
 _LAYERS = f"""SELECT doc_id, {_nums(_seen(_content('a')))} AS local, {_nums(_seen(_content('b')))} AS ocr, {_nums(_seen(_content('c')))} AS model FROM (SELECT doc_id, {_FOOTED} AS a, CASE WHEN doc_id % 3 = 0 THEN replace({_FOOTED}, '.5', '5') ELSE {_FOOTED} END AS b, CASE WHEN doc_id % 4 = 0 THEN {_FOOTED} || ' 77' WHEN doc_id % 4 = 1 THEN replace({_FOOTED}, '/12.pdf', '/99.pdf') ELSE {_FOOTED} END AS c FROM documents)"""
 
 
-def _layers(spark, sf):
+def _layer_texts():
     i, a = F.col("doc_id"), _footed()
     b = F.when(i % 3 == 0, F.replace(a, F.lit(".5"), F.lit("5"))).otherwise(a)
     c = F.when(i % 4 == 0, F.concat(a, F.lit(" 77"))).when(i % 4 == 1, F.replace(a, F.lit("/12.pdf"), F.lit("/99.pdf"))).otherwise(a)
+    return a, b, c
+
+
+def _layers(spark, sf):
+    a, b, c = _layer_texts()
     return t(spark, sf, "documents").select("doc_id", X.content_numbers(a).alias("local"), X.content_numbers(b).alias("ocr"), X.content_numbers(c).alias("model"))
 
 
@@ -213,10 +218,13 @@ def numeric_disagreement(spark, sf):
 SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.x, b.x) AS number, greatest(coalesce(a.n, 0) - coalesce(b.n, 0), 0) AS local_only, greatest(coalesce(b.n, 0) - coalesce(a.n, 0), 0) AS ocr_only
 FROM a FULL JOIN b ON a.doc_id = b.doc_id AND a.x = b.x WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""")
 def numeric_difference(spark, sf):
-    l = _layers(spark, sf)  # noqa: E741
-    a, b = (multisets.counted(l, ["doc_id"], F.col(c)).withColumnRenamed("n", c) for c in ("local", "ocr"))
-    n = lambda c: F.coalesce(c, F.lit(0))
-    return a.join(b, ["doc_id", "token"], "full").where(n("local") != n("ocr")).select("doc_id", F.col("token").alias("number"), F.greatest(n("local") - n("ocr"), F.lit(0)).alias("local_only"), F.greatest(n("ocr") - n("local"), F.lit(0)).alias("ocr_only"))
+    """Both layers are counted in one pass. Equal texts have equal numbers, which cancel out in every count: theirs needn't be read out."""
+    a, b, _ = _layer_texts()
+    texts = t(spark, sf, "documents").select("doc_id", a.alias("a"), b.alias("b")).where(~F.col("a").eqNullSafe(F.col("b")))
+    layers = texts.select("doc_id", F.explode(F.array(F.struct(F.lit(1).alias("sign"), F.col("a").alias("text")), F.struct(F.lit(-1).alias("sign"), F.col("b").alias("text")))).alias("layer"))
+    tokens = layers.select("doc_id", "layer.sign", F.explode_outer(X.content_numbers(F.col("layer.text"))).alias("number")).where("number IS NOT NULL")  # a filter for empty arrays would read the numbers out again
+    n = tokens.groupBy("doc_id", "number").agg(F.sum("sign").alias("n")).where("n <> 0")
+    return n.select("doc_id", "number", F.greatest("n", F.lit(0)).alias("local_only"), F.greatest(-F.col("n"), F.lit(0)).alias("ocr_only"))
 
 
 _TRIAD = "CASE WHEN a = b AND b = c THEN 'all_equal' WHEN a = c THEN 'local_model_equal' WHEN a = b THEN 'local_ocr_equal' WHEN b = c THEN 'model_ocr_equal' ELSE 'all_different' END"

@@ -70,3 +70,10 @@ def test_archives_are_read_by_as_many_tasks_as_shuffles_have(spark, tmp_path):
     found = documents.archive_members(spark, str(tmp_path))
     assert found.rdd.getNumPartitions() == 4
     assert {r.name: bytes(r.content) for r in found.collect()} == names and found.count() == len(names)
+
+
+def test_numbers_of_both_layers_are_counted_in_one_pass(spark, tmp_path):
+    texts = [(3, "no 1.5 and 1.5, then 15"), (3, "1.5"), (4, "2.5"), (6, ""), (9, None), (None, "3.5")]
+    rows = compare(spark, tmp_path, "numeric_difference", documents=(texts, "doc_id long, text string"))
+    assert len(rows) == 6
+    assert "Join" not in plan(registry.queries()["numeric_difference"](spark, str(tmp_path)))

@@ -244,10 +244,11 @@ def layer_audit(spark, sf):
 
 @query()
 def sequence_similarity(spark, sf):
-    """Ratio of each conversation's turn to the one before: an Arrow function, as no built-in has this measure."""
+    """Ratio of each conversation's turn to the one before: an Arrow function, as no built-in has this measure. Its work is long beside the
+    bytes of its rows, so that the number of tasks is given."""
     c = t(spark, sf, "conversations").select("conv_id", "turn", "text")
-    before = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("before"))
-    return c.join(before, ["conv_id", "turn"]).select("conv_id", "turn", arrow_udfs.similarity("before", "text").alias("similarity"), arrow_udfs.word_sequence_similarity("before", "text").alias("words"))
+    before = staging.spread(c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("before")), "conv_id", "turn")
+    return staging.spread(c, "conv_id", "turn").join(before, ["conv_id", "turn"]).select("conv_id", "turn", arrow_udfs.similarity("before", "text").alias("similarity"), arrow_udfs.word_sequence_similarity("before", "text").alias("words"))
 
 
 _LINKED = "'[Report ' || CAST(doc_id AS VARCHAR) || '](https://example.test/file(7).pdf) ' || text || ' [open](x(1'"

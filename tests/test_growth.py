@@ -1,11 +1,14 @@
 """Queries on rows that the small tables don't hold, and the work that their plans leave out."""
 
+import difflib
 import io
+import random
 import tarfile
 
 import duckdb
 
 from foliary import registry
+from foliary.functions import arrow_udfs
 from foliary.sources import documents, files
 
 from test_queries import normal
@@ -77,3 +80,15 @@ def test_numbers_of_both_layers_are_counted_in_one_pass(spark, tmp_path):
     rows = compare(spark, tmp_path, "numeric_difference", documents=(texts, "doc_id long, text string"))
     assert len(rows) == 6
     assert "Join" not in plan(registry.queries()["numeric_difference"](spark, str(tmp_path)))
+
+
+def test_sequence_ratio_is_that_of_difflib(spark, tmp_path):
+    draw = random.Random(5)
+    for k in range(300):
+        a, b = ("".join(draw.choice("ab" if k % 3 else "abcdefgh é\U0001f600") for _ in range(draw.randrange(320 if k % 2 else 40))) for _ in range(2))
+        b = a[: len(a) // 2] + b + a[len(a) // 3 :] if k % 4 == 0 else b
+        for junk in (True, False) if k % 10 == 0 else (True,):
+            assert arrow_udfs.sequence_ratio(a, b, junk) == difflib.SequenceMatcher(None, a, b, junk).ratio()
+    spark.createDataFrame([(i, k, f"turn {k}") for i in range(3) for k in range(5)], "conv_id long, turn int, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = registry.queries()["sequence_similarity"](spark, str(tmp_path))
+    assert found.count() == 12 and found.rdd.getNumPartitions() == 4
